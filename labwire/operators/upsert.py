@@ -42,6 +42,7 @@ def upsert(
     key: str = KEY,
     id_col: str = "id",
     order: Sequence[str] = ARRIVAL_ORDER,
+    start_after: int | None = None,
 ) -> DataFrame:
     """The state after inserting ``updates`` into ``target`` with
     ``ON CONFLICT (key) DO UPDATE`` semantics.
@@ -52,7 +53,8 @@ def upsert(
       order (C5); keys not in ``updates`` are untouched.
 
     ``target`` has ``id_col``, ``key`` and ``columns``; ``updates`` has
-    ``key``, ``columns`` and the arrival columns.
+    ``key``, ``columns`` and the arrival columns.  ``start_after`` gives the
+    table's current maximum id when ``target`` is only part of the table.
     """
     value_cols = [c for c in columns if c not in (key, id_col)]
     u = latest(updates.select(key, *value_cols, *order), key, order, first_as="_first")
@@ -60,7 +62,7 @@ def upsert(
 
     new_keys = u.select(key, "_first").join(existing, key, "left_anti")
     # one scalar to the driver: the current maximum id
-    max_id = target.agg(F.max(id_col)).first()[0] or 0
+    max_id = start_after if start_after is not None else (target.agg(F.max(id_col)).first()[0] or 0)
     numbered = number_rows(
         new_keys, [F.col("_first"), F.col(key)], name=id_col, start=max_id + 1
     ).select(key, id_col)

@@ -1,4 +1,84 @@
-"""Streaming queries registered for the driver (filled in below)."""
+"""Registered stream queries: bounded ``availableNow`` runs over a file source
+fed in chunks, restarting from the checkpoint for every chunk (S1 S2 K1 K2
+K4 K5 R1-R5).  The expected result is the batch result over all records."""
 
-STREAM_QUERIES: dict = {}
-STREAM_ORACLE: dict = {}
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from labwire.plans.oracle import ORACLE, _q
+from labwire.plans.pipeline import order_count
+from labwire.session import scratch_dir
+from labwire.sinks import dead_letters as dlq_sink
+from labwire.sinks.table import TableUpsertSink
+from labwire.sources.fixtures import records_from_dir
+from labwire.streaming.job import FanOut, file_source, start
+
+CHUNKS = 3
+
+
+def run_chunked_stream(spark: SparkSession, sf_dir: str, chunks: int = CHUNKS, buckets: int = 16) -> dict:
+    """Feed the records in ``chunks`` offset ranges; after each chunk lands,
+    restart the query from its checkpoint and drain it (``availableNow``)."""
+    base = scratch_dir(spark, f"stream-{uuid.uuid4().hex[:12]}")
+    paths = {k: f"{base}/{k}" for k in ("source", "table", "dlq", "checkpoint")}
+    records = records_from_dir(spark, sf_dir)
+    n = order_count(spark, sf_dir)
+    sink = TableUpsertSink(paths["table"], buckets=buckets)
+    fan = FanOut(sink.for_query(paths["checkpoint"]), lambda df, bid: dlq_sink.to_files(df, paths["dlq"], bid))
+    for i in range(chunks):
+        lo, hi = i * n // chunks, (i + 1) * n // chunks
+        records.filter((F.col("offset") >= lo) & (F.col("offset") < hi)).write.mode("append").parquet(paths["source"])
+        q = start(file_source(spark, paths["source"]), fan, paths["checkpoint"], trigger={"availableNow": True},
+                  query_name=f"lab_orders_{uuid.uuid4().hex[:8]}")
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+    paths["sink"] = sink
+    return paths
+
+
+def replay_stream(spark: SparkSession, paths: dict) -> None:
+    """Redeploy without state: a fresh checkpoint re-reads every record."""
+    fresh = paths["checkpoint"] + "-replay"
+    fan = FanOut(paths["sink"].for_query(fresh), lambda df, bid: None)
+    q = start(file_source(spark, paths["source"]), fan, fresh, trigger={"availableNow": True},
+              query_name=f"lab_orders_replay_{uuid.uuid4().hex[:8]}")
+    q.awaitTermination()
+
+
+def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = run_chunked_stream(spark, sf_dir)
+    return paths["sink"].read(spark)
+
+
+def q_stream_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = run_chunked_stream(spark, sf_dir)
+    return spark.read.parquet(paths["dlq"]).select("value")
+
+
+def q_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = run_chunked_stream(spark, sf_dir)
+    replay_stream(spark, paths)
+    return paths["sink"].read(spark)
+
+
+_STORED = "order_id, message_ref_id, mfl_code, order_date, order_time, sending_application, test_id, lab_code"
+_ALL_UPSERTED = f"""
+, ids AS (SELECT message_ref_id, row_number() OVER (ORDER BY min(k)) AS id FROM v GROUP BY message_ref_id)
+SELECT ids.id, {_STORED} FROM st JOIN ids USING (message_ref_id)
+"""
+
+STREAM_QUERIES = {
+    "stream_upsert": q_stream_upsert,
+    "stream_dlq": q_stream_dlq,
+    "stream_replay": q_stream_replay,
+}
+STREAM_ORACLE = {
+    "stream_upsert": _q(_ALL_UPSERTED),
+    "stream_dlq": ORACLE["dead_letters"],
+    "stream_replay": _q(_ALL_UPSERTED),
+}
