@@ -90,7 +90,11 @@ def locate_segments(cleaned: DataFrame) -> DataFrame:
 def spread(records: DataFrame, min_partitions: int | None) -> DataFrame:
     """Split a feed that arrives in too few partitions (one small file, a
     topic with few partitions) before the per-row parse, which is the costly
-    part; a feed that is already wide is left alone (no shuffle)."""
+    part; a feed that is already wide is left alone (no shuffle).
+
+    Call it on a scan: counting a scan's partitions only lists files, while
+    on a plan with exchanges it would run those stages first.
+    """
     if not min_partitions:
         return records
     if records.rdd.getNumPartitions() >= min_partitions:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labwire.operators.numbering import number_rows
+from labwire.session import checkpoint_dir
 
 KEY = "message_ref_id"
 ARRIVAL_ORDER = ("partition", "offset")
@@ -57,7 +58,10 @@ def upsert(
     table's current maximum id when ``target`` is only part of the table.
     """
     value_cols = [c for c in columns if c not in (key, id_col)]
-    u = latest(updates.select(key, *value_cols, *order), key, order, first_as="_first")
+    checkpoint_dir(updates.sparkSession)
+    # the deduplicated batch feeds three joins: write it once (reliably, so a
+    # lost executor does not re-run the upstream parse) instead of recomputing
+    u = latest(updates.select(key, *value_cols, *order), key, order, first_as="_first").checkpoint(eager=True)
     existing = target.select(key, id_col)
 
     new_keys = u.select(key, "_first").join(existing, key, "left_anti")

@@ -22,7 +22,7 @@ def route_records(records: DataFrame, min_partitions: int | None = None) -> Data
 
 
 def routed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return route_records(records_from_dir(spark, sf_dir), default_width(spark))
+    return route_records(records_from_dir(spark, sf_dir, default_width(spark)))
 
 
 def valid_rows(routed_df: DataFrame) -> DataFrame:

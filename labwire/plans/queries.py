@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from labwire.functions.text import sanitize
 from labwire.operators import contracts, lookups, routing, schema, upsert as up
 from labwire.operators.orders import ORDER_COLUMNS, header_struct, patient_struct, sink_projection
-from labwire.operators.parse import accepts, clean_messages, gate_columns, parse_messages, segments_long, spread
+from labwire.operators.parse import accepts, clean_messages, gate_columns, parse_messages, segments_long
 from labwire.plans.pipeline import (
     default_width,
     facilities,
@@ -35,7 +35,7 @@ STORED = ["order_id", "message_ref_id", "mfl_code", "order_date", "order_time",
 
 
 def _records(spark, sf_dir):
-    return spread(records_from_dir(spark, sf_dir), default_width(spark))
+    return records_from_dir(spark, sf_dir, default_width(spark))
 
 
 # -- decode / parse ---------------------------------------------------------
@@ -52,7 +52,7 @@ def q_segments_long(spark, sf_dir):
 
 
 def _gated(spark, sf_dir, *extra):
-    p = parse_messages(records_from_dir(spark, sf_dir), min_partitions=default_width(spark))
+    p = parse_messages(_records(spark, sf_dir))
     return p.select(*ARRIVAL, "is_er7", *gate_columns(), *extra)
 
 
@@ -145,7 +145,8 @@ def q_latest_per_message(spark, sf_dir):
 
 
 def _upsert_fixture(spark, sf_dir):
-    v = _valid(spark, sf_dir)
+    # the arrived valid rows are a written table in the real job
+    v = _valid(spark, sf_dir).checkpoint(eager=True)
     n = order_count(spark, sf_dir)
     cols = [c for c in STORED if c != "message_ref_id"]
     target_rows = v.filter(F.col("offset") * 2 < n)

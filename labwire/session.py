@@ -21,6 +21,16 @@ RECOMMENDED_CONF = {
     # only the buckets a batch touches are rewritten by the table upsert
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+# Set at session start (not changeable later): remove checkpoint files of
+# frames that are no longer referenced.
+STARTUP_CONF = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
+
+# JVM option for every process that runs tasks (executors; the driver in
+# local mode).  The parse stages generate methods above HotSpot's 8000-byte
+# JIT limit; without this flag those methods stay interpreted (about 2x
+# slower at steady state, measured at sf0.1).
+JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "labwire") -> SparkSession:
@@ -31,8 +41,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
+        .config("spark.driver.extraJavaOptions", JIT_OPTIONS)
+        .config("spark.executor.extraJavaOptions", JIT_OPTIONS)
     )
-    for k, v in RECOMMENDED_CONF.items():
+    for k, v in {**RECOMMENDED_CONF, **STARTUP_CONF}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

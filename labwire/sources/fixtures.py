@@ -118,7 +118,13 @@ def read_tables(spark, sf_dir: str, *names: str) -> list[DataFrame]:
     return [spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names]
 
 
-def records_from_dir(spark, sf_dir: str) -> DataFrame:
-    """Raw records built from ``{sf_dir}/orders.parquet`` ⋈ ``customer.parquet``."""
+def records_from_dir(spark, sf_dir: str, min_partitions: int | None = None) -> DataFrame:
+    """Raw records built from ``{sf_dir}/orders.parquet`` ⋈ ``customer.parquet``.
+
+    ``min_partitions`` widens a narrow ``orders`` scan (one small file) before
+    the join, so the message feed and everything downstream run in parallel.
+    """
+    from labwire.operators.parse import spread
+
     orders, customer = read_tables(spark, sf_dir, "orders", "customer")
-    return lab_order_records(orders, customer)
+    return lab_order_records(spread(orders, min_partitions), customer)
