@@ -69,8 +69,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="labwire-ckpt-")
-        log.warning("spark.checkpoint.dir unset; using local folder %s (tests only)", configured)
+        log.warning("spark.checkpoint.dir unset; using local folder %s (local mode only)", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
