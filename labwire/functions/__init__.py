@@ -7,7 +7,9 @@ from labwire.functions.hl7 import (
     encoding_of,
     normalize_segments,
     first_segment,
-    first_order_part,
+    first_order_position,
+    segment_at,
+    segment_start,
     split_fields,
     field,
     component,
@@ -27,7 +29,7 @@ from labwire.functions.dates import (
 
 __all__ = [
     "decode_payload", "is_empty_payload", "sanitize", "preview",
-    "Encoding", "encoding_of", "normalize_segments", "first_segment", "first_order_part",
+    "Encoding", "encoding_of", "normalize_segments", "first_segment", "first_order_position", "segment_at", "segment_start",
     "split_fields", "field", "component", "unescape", "protect_escapes", "value",
     "message_type_name", "gender_name",
     "parse_hl7_datetime", "parse_hl7_date", "parse_exact_timestamp", "format_date", "format_time",

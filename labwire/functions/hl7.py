@@ -72,23 +72,46 @@ def _quote(c: Column) -> Column:
     return F.concat(F.lit("\\Q"), c, F.lit("\\E"))
 
 
+def _locate(needle: Column, hay: Column, start: Column | int = 1) -> Column:
+    return F.call_function("locate", needle, hay, start if isinstance(start, Column) else F.lit(start))
+
+
+def _segment_at(msg: Column, pos: Column) -> Column:
+    """The segment starting right after the ``\\r`` at ``pos`` ('' when pos = 0)."""
+    start = pos + 1
+    end = _locate(F.lit(SEGMENT_SEP), msg, start)
+    length = F.when(end > 0, end - start).otherwise(F.length(msg) - start + 1)
+    return F.when(pos > 0, F.substring(msg, start, length)).otherwise(F.lit(""))
+
+
+def segment_start(msg: Column | str, name: str, fs: Column, after: Column | int = 1) -> Column:
+    """Position of the ``\\r`` that opens the first ``name`` segment at or
+    after ``after`` (0 when absent).  The message starts with MSH, so every
+    other segment follows a segment separator; literal search, no regex."""
+    return _locate(F.concat(F.lit(SEGMENT_SEP + name), fs), col_of(msg), after)
+
+
+def segment_at(msg: Column | str, pos: Column) -> Column:
+    """The segment that starts right after the ``\\r`` at ``pos`` ('' when 0).
+
+    ``pos`` should be a materialised column (see :func:`segment_start`)."""
+    m = col_of(msg)
+    start = pos + 1
+    end = _locate(F.lit(SEGMENT_SEP), m, start)
+    length = F.when(end > 0, end - start).otherwise(F.length(m) - start + 1)
+    return F.when(pos > 0, F.substring(m, start, length)).otherwise(F.lit(""))
+
+
 def first_segment(msg: Column | str, name: str, fs: Column) -> Column:
     """Whole text of the first segment called ``name`` ('' when absent)."""
-    pattern = F.concat(
-        F.lit("(?:^|\\r)(" + name + "(?:"), _quote(fs), F.lit("[^\\r]*)?)(?=\\r|$)")
-    )
-    return F.call_function("regexp_extract", col_of(msg), pattern, F.lit(1))
-
+    m = col_of(msg)
+    return segment_at(m, segment_start(m, name, fs))
 
-def first_order_part(msg: Column | str, fs: Column) -> Column:
-    """The message up to (not including) its second ORC segment.
 
-    The first order group is the first ORC plus what follows it until the next
-    ORC; an OBR is only part of the first order if it appears before that.
-    """
-    return F.call_function(
-        "substring_index", col_of(msg), F.concat(F.lit("\rORC"), fs), F.lit(2)
-    )
+def first_order_position(obr_pos: Column, orc_pos: Column, orc2_pos: Column) -> Column:
+    """Keep a segment position only inside the first order group: before the
+    second ORC (the group is the first ORC plus what follows until the next)."""
+    return F.when((obr_pos > 0) & ((orc2_pos == 0) | (obr_pos < orc2_pos)), obr_pos).otherwise(F.lit(0))
 
 
 def split_fields(segment: Column | str, fs: Column) -> Column:
@@ -111,11 +134,17 @@ def field(fields: Column | str, n: int, msh: bool = False) -> Column:
     return F.coalesce(F.get(col_of(fields), idx), F.lit(""))
 
 
+def _first_part(s: Column, delim: Column) -> Column:
+    """Text before the first ``delim`` (all of it when absent), without
+    splitting the whole string into an array."""
+    return F.when(delim == "", s).otherwise(F.call_function("substring_index", s, delim, F.lit(1)))
+
+
 def component(fld: Column, enc: Encoding, c: int = 1) -> Column:
     """First repetition -> component ``c`` -> first subcomponent (raw, escaped)."""
-    rep = F.split_part(fld, enc.rs, F.lit(1))
-    comp = F.split_part(rep, enc.cs, F.lit(c))
-    return F.split_part(comp, enc.ss, F.lit(1))
+    rep = _first_part(fld, enc.rs)
+    comp = _first_part(rep, enc.cs) if c == 1 else F.split_part(rep, enc.cs, F.lit(c))
+    return _first_part(comp, enc.ss)
 
 
 # The standard escape sequences and what they stand for, in the

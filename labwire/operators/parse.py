@@ -15,8 +15,9 @@ from labwire.functions.hl7 import (
     SEGMENT_SEP,
     Encoding,
     encoding_of,
-    first_order_part,
-    first_segment,
+    first_order_position,
+    segment_at,
+    segment_start,
     normalize_segments,
     protect_escapes,
     split_fields,
@@ -75,15 +76,32 @@ def er7_ok(msg: Column, fs: Column) -> Column:
 
 
 def locate_segments(cleaned: DataFrame) -> DataFrame:
-    """Split the header, first ORC, first-order OBR and first PID into field arrays."""
+    """Split the header, first ORC, first-order OBR and first PID into field arrays.
+
+    Segment positions are found by literal search (one projection), then the
+    segments are cut at those positions (the next one), so each search runs
+    once per message.
+    """
     msg, fs = F.col("msg"), F.col("fs")
-    return cleaned.select(
-        *ARRIVAL, "is_empty", "raw_message", *ENCODING_COLUMNS,
+    keep = [*ARRIVAL, "is_empty", "raw_message", *ENCODING_COLUMNS]
+    orc = segment_start(msg, "ORC", fs)
+    positions = cleaned.select(
+        *keep, "msg",
         er7_ok(msg, fs).alias("is_er7"),
+        orc.alias("p_orc"),
+        segment_start(msg, "OBR", fs).alias("p_obr"),
+        segment_start(msg, "PID", fs).alias("p_pid"),
+    )
+    p_orc = F.col("p_orc")
+    orc2 = F.when(p_orc > 0, segment_start(msg, "ORC", fs, p_orc + 1)).otherwise(F.lit(0))
+    positions = positions.select("*", orc2.alias("p_orc2"))
+    obr = first_order_position(F.col("p_obr"), p_orc, F.col("p_orc2"))
+    return positions.select(
+        *keep, "is_er7",
         split_fields(F.substring_index(msg, SEGMENT_SEP, 1), fs).alias("msh"),
-        split_fields(first_segment(msg, "ORC", fs), fs).alias("orc"),
-        split_fields(first_segment(first_order_part(msg, fs), "OBR", fs), fs).alias("obr"),
-        split_fields(first_segment(msg, "PID", fs), fs).alias("pid"),
+        split_fields(segment_at(msg, p_orc), fs).alias("orc"),
+        split_fields(segment_at(msg, obr), fs).alias("obr"),
+        split_fields(segment_at(msg, F.col("p_pid")), fs).alias("pid"),
     )
 
 
