@@ -10,10 +10,13 @@ from labwire.functions.hl7 import (
     first_order_position,
     segment_at,
     segment_start,
+    split_pattern,
     split_fields,
     field,
     component,
     unescape,
+    unescape_target,
+    raw_value,
     protect_escapes,
     value,
     message_type_name,
@@ -30,7 +33,7 @@ from labwire.functions.dates import (
 __all__ = [
     "decode_payload", "is_empty_payload", "sanitize", "preview",
     "Encoding", "encoding_of", "normalize_segments", "first_segment", "first_order_position", "segment_at", "segment_start",
-    "split_fields", "field", "component", "unescape", "protect_escapes", "value",
+    "split_pattern", "split_fields", "field", "component", "unescape", "unescape_target", "raw_value", "protect_escapes", "value",
     "message_type_name", "gender_name",
     "parse_hl7_datetime", "parse_hl7_date", "parse_exact_timestamp", "format_date", "format_time",
 ]

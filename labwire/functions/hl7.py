@@ -42,18 +42,22 @@ class Encoding:
         return Encoding(*(F.col(prefix + n) for n in ("fs", "cs", "rs", "esc", "ss")))
 
 
+# Stand-in for a delimiter the header does not declare: it never occurs in
+# text, so a search for it finds nothing and the whole value is kept.
+NO_DELIMITER = "\u0000"
+
+
 def encoding_of(msg: Column | str) -> dict[str, Column]:
     """Delimiter columns ``fs cs rs esc ss`` read from the message header."""
     m = col_of(msg)
     fs = F.substring(m, 4, 1)
     msh2 = F.split_part(F.substring_index(m, SEGMENT_SEP, 1), fs, F.lit(2))
-    return {
-        "fs": fs,
-        "cs": F.substring(msh2, 1, 1),
-        "rs": F.substring(msh2, 2, 1),
-        "esc": F.substring(msh2, 3, 1),
-        "ss": F.substring(msh2, 4, 1),
-    }
+
+    def char(i: int) -> Column:
+        c = F.substring(msh2, i, 1)
+        return F.when(c == "", F.lit(NO_DELIMITER)).otherwise(c)
+
+    return {"fs": fs, "cs": char(1), "rs": char(2), "esc": char(3), "ss": char(4)}
 
 
 # Characters a segment may be indented with; a parser skips them.
@@ -62,10 +66,7 @@ _LEADING_BLANKS = "[\\t\\x0B\\f \\x1C-\\x1F]"
 
 def normalize_segments(msg: Column | str) -> Column:
     """Strip leading blanks of every segment after the first."""
-    m = col_of(msg)
-    return F.when(
-        m.rlike("\\r" + _LEADING_BLANKS), F.regexp_replace(m, "\\r" + _LEADING_BLANKS + "+", "\\r")
-    ).otherwise(m)
+    return F.regexp_replace(col_of(msg), "\\r" + _LEADING_BLANKS + "+", "\\r")
 
 
 def _quote(c: Column) -> Column:
@@ -76,14 +77,6 @@ def _locate(needle: Column, hay: Column, start: Column | int = 1) -> Column:
     return F.call_function("locate", needle, hay, start if isinstance(start, Column) else F.lit(start))
 
 
-def _segment_at(msg: Column, pos: Column) -> Column:
-    """The segment starting right after the ``\\r`` at ``pos`` ('' when pos = 0)."""
-    start = pos + 1
-    end = _locate(F.lit(SEGMENT_SEP), msg, start)
-    length = F.when(end > 0, end - start).otherwise(F.length(msg) - start + 1)
-    return F.when(pos > 0, F.substring(msg, start, length)).otherwise(F.lit(""))
-
-
 def segment_start(msg: Column | str, name: str, fs: Column, after: Column | int = 1) -> Column:
     """Position of the ``\\r`` that opens the first ``name`` segment at or
     after ``after`` (0 when absent).  The message starts with MSH, so every
@@ -114,17 +107,22 @@ def first_order_position(obr_pos: Column, orc_pos: Column, orc2_pos: Column) ->
     return F.when((obr_pos > 0) & ((orc2_pos == 0) | (obr_pos < orc2_pos)), obr_pos).otherwise(F.lit(0))
 
 
-def split_fields(segment: Column | str, fs: Column) -> Column:
-    """Array of the fields of one segment (element 0 is the segment name).
+def split_pattern(fs: Column) -> Column:
+    """Regex for ``split`` on the field separator.
 
-    ``split`` takes a regex; a backslash-escaped punctuation character takes
-    Java's no-regex fast path, and a letter or digit is already literal.
+    A backslash-escaped punctuation character takes Java's no-regex fast path,
+    a letter or digit is already literal; materialise it once per message.
     """
-    pattern = (
+    return (
         F.when(fs == "", F.lit("\u0000"))  # no separator (not a message): one field
         .when(fs.rlike("^[0-9A-Za-z]$"), fs)
         .otherwise(F.concat(F.lit("\\"), fs))
     )
+
+
+def split_fields(segment: Column | str, pattern: Column) -> Column:
+    """Array of the fields of one segment (element 0 is the segment name);
+    ``pattern`` comes from :func:`split_pattern`."""
     return F.call_function("split", col_of(segment), pattern, F.lit(-1))
 
 
@@ -137,7 +135,7 @@ def field(fields: Column | str, n: int, msh: bool = False) -> Column:
 def _first_part(s: Column, delim: Column) -> Column:
     """Text before the first ``delim`` (all of it when absent), without
     splitting the whole string into an array."""
-    return F.when(delim == "", s).otherwise(F.call_function("substring_index", s, delim, F.lit(1)))
+    return F.call_function("substring_index", s, delim, F.lit(1))
 
 
 def component(fld: Column, enc: Encoding, c: int = 1) -> Column:
@@ -173,15 +171,24 @@ def protect_escapes(msg: Column, enc: Encoding) -> Column:
     return F.when(has_escape, tagged).otherwise(msg)
 
 
-def unescape(v: Column, enc: Encoding) -> Column:
+def unescape_target(enc: Encoding) -> Column:
+    """The delimiters that the stand-ins map back to (materialise once)."""
+    return F.concat(enc.fs, enc.cs, enc.ss, enc.rs, enc.esc)
+
+
+def unescape(v: Column, target: Column) -> Column:
     """Stand-ins (see :func:`protect_escapes`) -> the message's delimiters."""
-    replacement = F.concat(enc.fs, enc.cs, enc.ss, enc.rs, enc.esc)
-    return F.call_function("translate", v, F.lit(PROTECTED), replacement)
+    return F.call_function("translate", v, F.lit(PROTECTED), target)
+
+
+def raw_value(fld: Column, enc: Encoding, target: Column, c: int = 1) -> Column:
+    """Component ``c`` of a field, unescaped ('' when absent)."""
+    return unescape(component(fld, enc, c), target)
 
 
-def value(fld: Column, enc: Encoding, c: int = 1) -> Column:
-    """Component ``c`` of a field, unescaped, empty -> null."""
-    return F.nullif(unescape(component(fld, enc, c), enc), F.lit(""))
+def value(raw: Column) -> Column:
+    """HL7 empty means null."""
+    return F.nullif(raw, F.lit(""))
 
 
 # Fixed values of the message-type map: structure name -> type, else ACK.

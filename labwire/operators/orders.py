@@ -5,9 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labwire.functions.dates import parse_exact_timestamp, parse_hl7_date, parse_hl7_datetime, format_date
+from labwire.functions.dates import format_date, parse_exact_timestamp, parse_hl7_date, parse_hl7_datetime
 from labwire.functions.hl7 import gender_name, message_type_name
-from labwire.operators.parse import gate_columns, msh_value, seg_value, stage
+from labwire.operators.parse import (
+    GATE_POSITIONS,
+    HEADER_POSITIONS,
+    ORDER_POSITIONS,
+    PATIENT_POSITIONS,
+    gate_columns,
+    raw_fields,
+    raw_name,
+    v,
+)
 from labwire.sources.records import ARRIVAL
 
 # Columns of one extracted order (D3 without the always-null header/test id).
@@ -15,39 +24,35 @@ ORDER_COLUMNS = [
     "message_ref_id", "sending_application", "mfl_code", "lab_code",
     "order_id", "loinc", "order_date", "order_time", "raw_message",
 ]
+PASS_THROUGH = [*ARRIVAL, "is_empty", "is_er7", "raw_message"]
 
 
 def order_columns() -> list[Column]:
-    """P5-P14 text fields as named columns over a parsed frame (see
-    ``parse_messages``); OBR-7 stays text (``obr7``) for :func:`finish_orders`."""
+    """P5-P14 text fields over ``raw_fields(…, ORDER_POSITIONS)``."""
     return [
-        msh_value(10).alias("message_ref_id"),
-        F.coalesce(msh_value(3), F.lit("")).alias("sending_application"),
-        F.coalesce(msh_value(4, 2), F.lit("")).alias("mfl_code"),
-        msh_value(6).alias("lab_code"),
-        seg_value("orc", 2).alias("order_id"),
-        F.coalesce(seg_value("obr", 4, 1), seg_value("obr", 4, 4)).alias("loinc"),
-        seg_value("obr", 7).alias("obr7"),
+        v("msh", 10).alias("message_ref_id"),
+        F.coalesce(v("msh", 3), F.lit("")).alias("sending_application"),
+        F.coalesce(v("msh", 4, 2), F.lit("")).alias("mfl_code"),
+        v("msh", 6).alias("lab_code"),
+        v("orc", 2).alias("order_id"),
+        F.coalesce(v("obr", 4, 1), v("obr", 4, 4)).alias("loinc"),
     ]
 
 
 def extract_orders(parsed: DataFrame, fence: bool = True) -> DataFrame:
     """Every parsed record with gate inputs and the order fields.
 
-    Text fields are extracted in one fenced stage; the order date and time are
-    derived from the materialised OBR-7 text in the next one, so the lenient
-    date rule reads a column instead of re-extracting the field per use.
+    The raw positions are one fenced stage; the typed fields and the order
+    date/time (from the OBR-7 column) are derived from it, so filters and
+    routes on these columns never re-derive them from the message.
     """
-    out = parsed.select(
-        *ARRIVAL, "is_empty", "is_er7", "raw_message", *gate_columns(), *order_columns()
-    )
-    if fence:
-        out = stage(out)
-    keep = [c for c in out.columns if c != "obr7"]
-    with_dt = out.select(*keep, parse_hl7_datetime("obr7").alias("_dt"))
-    return with_dt.select(
-        *keep, F.col("_dt.date").alias("order_date"), F.col("_dt.time").alias("order_time")
+    raw = raw_fields(parsed, GATE_POSITIONS + ORDER_POSITIONS, PASS_THROUGH, fence=fence)
+    typed = raw.select(
+        *PASS_THROUGH, *gate_columns(), *order_columns(),
+        parse_hl7_datetime(v("obr", 7)).alias("_dt"),
     )
+    keep = [c for c in typed.columns if c != "_dt"]
+    return typed.select(*keep, F.col("_dt.date").alias("order_date"), F.col("_dt.time").alias("order_time"))
 
 
 def sink_projection(orders: DataFrame) -> DataFrame:
@@ -61,32 +66,49 @@ def sink_projection(orders: DataFrame) -> DataFrame:
 
 
 def header_struct(fix_oml: bool = False) -> Column:
-    """The message header; null where a strict reader would throw
-    (no message structure, or a date/time that is not exact yyyyMMddHHmmss)."""
-    structure = msh_value(9, 3)
-    ts = parse_exact_timestamp(msh_value(7))
+    """P16 over ``raw_fields(…, HEADER_POSITIONS)``: null where a strict
+    reader would throw (no message structure, or a date/time that is not an
+    exact yyyyMMddHHmmss)."""
+    structure = v("msh", 9, 3)
+    ts = parse_exact_timestamp(v("msh", 7))
     fields = F.struct(
         message_type_name(structure, fix_oml).alias("message_type"),
-        msh_value(12).alias("version"),
+        v("msh", 12).alias("version"),
         ts.alias("timestamp"),
-        msh_value(4, 2).alias("sender_id"),
-        msh_value(6).alias("receiver_id"),
-        msh_value(10).alias("message_id"),
-        msh_value(16).alias("ack_type"),
+        v("msh", 4, 2).alias("sender_id"),
+        v("msh", 6).alias("receiver_id"),
+        v("msh", 10).alias("message_id"),
+        v("msh", 16).alias("ack_type"),
     )
     return F.when(structure.isNotNull() & ts.isNotNull(), fields)
 
 
 def patient_struct() -> Column:
-    """The first PID segment; null where a strict reader would throw
-    (no sex, or a birth date that is not an exact yyyyMMdd)."""
-    sex = seg_value("pid", 8)
-    dob = parse_hl7_date(seg_value("pid", 7))
+    """P17 over ``raw_fields(…, PATIENT_POSITIONS)``: null where a strict
+    reader would throw (no sex, or a birth date that is not an exact yyyyMMdd)."""
+    sex = v("pid", 8)
+    dob = parse_hl7_date(v("pid", 7))
     fields = F.struct(
-        seg_value("pid", 3).alias("id"),
-        seg_value("pid", 5, 2).alias("first_name"),
-        seg_value("pid", 5, 1).alias("last_name"),
+        v("pid", 3).alias("id"),
+        v("pid", 5, 2).alias("first_name"),
+        v("pid", 5, 1).alias("last_name"),
         gender_name(sex).alias("gender"),
         format_date(dob).alias("dob"),
     )
     return F.when(sex.isNotNull() & dob.isNotNull(), fields)
+
+
+def project(parsed: DataFrame, what: str, fix_oml: bool = False) -> DataFrame:
+    """Gate columns plus the header (``what="header"``) or patient struct ``h``/``p``.
+
+    The struct is built in its own projection over a materialised
+    timestamp / birth date, so the date rules read columns, not expressions.
+    """
+    positions = GATE_POSITIONS + (HEADER_POSITIONS if what == "header" else PATIENT_POSITIONS)
+    raw = raw_fields(parsed, positions, [*ARRIVAL, "is_er7"])
+    return raw.select(*ARRIVAL, "is_er7", *gate_columns(),
+                      (header_struct(fix_oml) if what == "header" else patient_struct()).alias(what[0]))
+
+
+__all__ = ["ORDER_COLUMNS", "order_columns", "extract_orders", "sink_projection", "header_struct",
+           "patient_struct", "project", "raw_name"]

@@ -1,13 +1,24 @@
 """ER7 parsing as a table-level Spark job (P1-P4, P2 long form).
 
-Parsing is staged: every ``select`` below materialises one costly
-intermediate (clean text, delimiters, split segments) that later stages only
-reference by name.  ``collapse`` controls whether the optimiser may fold the
-stages back together; see :func:`stage`.
+Parsing is staged, and every stage is fenced (:func:`stage`):
+
+1. ``clean_messages``: decode, sanitize, delimiters, escape protection, and
+   the per-message helper columns (split pattern, unescape target);
+2. ``locate_segments``: segment positions by literal search, then the
+   header, first ORC, first-order OBR and first PID split into field arrays;
+3. ``raw_fields``: each HL7 position a query needs, as one plain string
+   column (component picked, escapes resolved), computed exactly once.
+
+Everything after that (nulls, gates, dates, routes, structs) reads those
+columns.  Keeping each value a column keeps the generated code small: an
+expression that repeats its input inside conditional branches is not
+de-duplicated by Spark's code generator.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,21 +26,40 @@ from labwire.functions.hl7 import (
     SEGMENT_SEP,
     Encoding,
     encoding_of,
+    field,
     first_order_position,
-    segment_at,
-    segment_start,
     normalize_segments,
     protect_escapes,
+    raw_value,
+    segment_at,
+    segment_start,
     split_fields,
-    field,
+    split_pattern,
+    unescape_target,
     value,
 )
 from labwire.functions.text import sanitize
 from labwire.sources.records import ARRIVAL, decode
 
 ENCODING_COLUMNS = ["fs", "cs", "rs", "esc", "ss"]
+HELPER_COLUMNS = ["fs_pat", "unesc_to"]
 SEGMENT_ARRAYS = ["msh", "orc", "obr", "pid"]
 
+Position = tuple[str, int, int]  # (segment array, field, component)
+
+# HL7 positions read by each projection.
+GATE_POSITIONS: tuple[Position, ...] = (("msh", 9, 1), ("msh", 9, 2), ("msh", 9, 3), ("msh", 12, 1))
+ORDER_POSITIONS: tuple[Position, ...] = (
+    ("msh", 3, 1), ("msh", 4, 2), ("msh", 6, 1), ("msh", 10, 1),
+    ("orc", 2, 1), ("obr", 4, 1), ("obr", 4, 4), ("obr", 7, 1),
+)
+HEADER_POSITIONS: tuple[Position, ...] = (
+    ("msh", 4, 2), ("msh", 6, 1), ("msh", 7, 1), ("msh", 9, 3), ("msh", 10, 1), ("msh", 12, 1), ("msh", 16, 1),
+)
+PATIENT_POSITIONS: tuple[Position, ...] = (
+    ("pid", 3, 1), ("pid", 5, 1), ("pid", 5, 2), ("pid", 7, 1), ("pid", 8, 1),
+)
+
 
 def stage(df: DataFrame) -> DataFrame:
     """Fence a costly stage from the optimiser.
@@ -46,7 +76,7 @@ def stage(df: DataFrame) -> DataFrame:
 
 def clean_messages(records: DataFrame) -> DataFrame:
     """S3 + P1: raw records -> ``partition offset is_empty raw_message`` +
-    delimiters + ``msg`` (clean text, escape sequences protected)."""
+    delimiters + helpers + ``msg`` (clean text, escape sequences protected)."""
     d = decode(records)
     s1 = d.select(
         *ARRIVAL, "is_empty", "raw_message",
@@ -54,9 +84,12 @@ def clean_messages(records: DataFrame) -> DataFrame:
     )
     enc = encoding_of("msg")
     s2 = s1.select("*", *[enc[n].alias(n) for n in ENCODING_COLUMNS])
+    e = Encoding.from_columns()
     return s2.select(
         *ARRIVAL, "is_empty", "raw_message", *ENCODING_COLUMNS,
-        protect_escapes(F.col("msg"), Encoding.from_columns()).alias("msg"),
+        split_pattern(e.fs).alias("fs_pat"),
+        unescape_target(e).alias("unesc_to"),
+        protect_escapes(F.col("msg"), e).alias("msg"),
     )
 
 
@@ -82,13 +115,12 @@ def locate_segments(cleaned: DataFrame) -> DataFrame:
     segments are cut at those positions (the next one), so each search runs
     once per message.
     """
-    msg, fs = F.col("msg"), F.col("fs")
-    keep = [*ARRIVAL, "is_empty", "raw_message", *ENCODING_COLUMNS]
-    orc = segment_start(msg, "ORC", fs)
+    msg, fs, pat = F.col("msg"), F.col("fs"), F.col("fs_pat")
+    keep = [*ARRIVAL, "is_empty", "raw_message", *ENCODING_COLUMNS, "unesc_to"]
     positions = cleaned.select(
-        *keep, "msg",
+        *keep, "msg", "fs_pat",
         er7_ok(msg, fs).alias("is_er7"),
-        orc.alias("p_orc"),
+        segment_start(msg, "ORC", fs).alias("p_orc"),
         segment_start(msg, "OBR", fs).alias("p_obr"),
         segment_start(msg, "PID", fs).alias("p_pid"),
     )
@@ -98,10 +130,10 @@ def locate_segments(cleaned: DataFrame) -> DataFrame:
     obr = first_order_position(F.col("p_obr"), p_orc, F.col("p_orc2"))
     return positions.select(
         *keep, "is_er7",
-        split_fields(F.substring_index(msg, SEGMENT_SEP, 1), fs).alias("msh"),
-        split_fields(segment_at(msg, p_orc), fs).alias("orc"),
-        split_fields(segment_at(msg, obr), fs).alias("obr"),
-        split_fields(segment_at(msg, F.col("p_pid")), fs).alias("pid"),
+        split_fields(F.substring_index(msg, SEGMENT_SEP, 1), pat).alias("msh"),
+        split_fields(segment_at(msg, p_orc), pat).alias("orc"),
+        split_fields(segment_at(msg, obr), pat).alias("obr"),
+        split_fields(segment_at(msg, F.col("p_pid")), pat).alias("pid"),
     )
 
 
@@ -132,21 +164,32 @@ def parse_messages(records: DataFrame, fence: bool = True, min_partitions: int |
     return stage(located) if fence else located
 
 
-def _enc() -> Encoding:
-    return Encoding.from_columns()
+def raw_name(pos: Position) -> str:
+    seg, n, c = pos
+    return f"{seg}_{n}_{c}"
 
 
-def msh_value(n: int, c: int = 1) -> Column:
-    return value(field(F.col("msh"), n, msh=True), _enc(), c)
+def raw_fields(parsed: DataFrame, positions: Iterable[Position], keep: Sequence[str] = (), fence: bool = True) -> DataFrame:
+    """The given HL7 positions as string columns named ``{seg}_{n}_{c}``
+    ('' when absent), plus the ``keep`` columns of the parsed frame."""
+    enc, target = Encoding.from_columns(), F.col("unesc_to")
+    wanted = list(dict.fromkeys(positions))
+    cols = [
+        raw_value(field(F.col(seg), n, msh=(seg == "msh")), enc, target, c).alias(raw_name((seg, n, c)))
+        for seg, n, c in wanted
+    ]
+    out = parsed.select(*keep, *cols)
+    return stage(out) if fence else out
 
 
-def seg_value(seg: str, n: int, c: int = 1) -> Column:
-    return value(field(F.col(seg), n), _enc(), c)
+def v(seg: str, n: int, c: int = 1) -> Column:
+    """Value at an HL7 position (a ``raw_fields`` column), empty -> null."""
+    return value(F.col(raw_name((seg, n, c))))
 
 
 def message_structure() -> Column:
     """MSH-9.3, or ``MSH-9.1 _ MSH-9.2`` when the structure is not given."""
-    return F.coalesce(msh_value(9, 3), F.concat_ws("_", msh_value(9, 1), msh_value(9, 2)))
+    return F.coalesce(v("msh", 9, 3), F.concat_ws("_", v("msh", 9, 1), v("msh", 9, 2)))
 
 
 def accepts(structure: str, version: str = "2.5") -> Column:
@@ -158,7 +201,8 @@ def accepts(structure: str, version: str = "2.5") -> Column:
 
 
 def gate_columns() -> list[Column]:
-    return [message_structure().alias("structure"), msh_value(12).alias("version")]
+    """``structure`` and ``version`` over ``raw_fields(…, GATE_POSITIONS)``."""
+    return [message_structure().alias("structure"), v("msh", 12).alias("version")]
 
 
 def segments_long(cleaned: DataFrame) -> DataFrame:
@@ -168,13 +212,16 @@ def segments_long(cleaned: DataFrame) -> DataFrame:
     are skipped, as a parser would, and ``seg_idx`` counts the kept ones
     from 1; only ER7-shaped messages (starting with MSH) take part.
     """
-    er7 = cleaned.filter(F.col("msg").startswith("MSH"))
-    kept = F.filter(F.split(F.col("msg"), SEGMENT_SEP, -1), lambda seg: F.length(seg) >= 3)
-    exploded = er7.select(*ARRIVAL, "fs", F.posexplode(kept).alias("pos", "segment"))
-    fields = split_fields(F.col("segment"), F.col("fs"))
-    return exploded.select(
+    er7 = stage(cleaned).filter(F.col("msg").startswith("MSH"))
+    # drop short segments (with their separator) before splitting, so the
+    # positions of the kept segments are dense; a short last segment has no
+    # separator after it and is dropped after the explode (it is last)
+    compact = F.regexp_replace(F.col("msg"), "(?:^|(?<=\\r))[^\\r]{0,2}\\r", "")
+    exploded = er7.select(*ARRIVAL, "fs", "fs_pat", F.posexplode(F.split(compact, SEGMENT_SEP, -1)).alias("pos", "segment"))
+    kept = exploded.filter(F.length("segment") >= 3)
+    return kept.select(
         *ARRIVAL,
         (F.col("pos") + 1).alias("seg_idx"),
         F.call_function("substring_index", F.col("segment"), F.col("fs"), F.lit(1)).alias("seg_name"),
-        F.size(fields).alias("n_fields"),
+        F.size(split_fields(F.col("segment"), F.col("fs_pat"))).alias("n_fields"),
     )

@@ -14,8 +14,16 @@ from pyspark.sql import functions as F
 
 from labwire.functions.text import sanitize
 from labwire.operators import contracts, lookups, routing, schema, upsert as up
-from labwire.operators.orders import ORDER_COLUMNS, header_struct, patient_struct, sink_projection
-from labwire.operators.parse import accepts, clean_messages, gate_columns, parse_messages, segments_long
+from labwire.operators.orders import ORDER_COLUMNS, project, sink_projection
+from labwire.operators.parse import (
+    GATE_POSITIONS,
+    accepts,
+    clean_messages,
+    gate_columns,
+    parse_messages,
+    raw_fields,
+    segments_long,
+)
 from labwire.plans.pipeline import (
     default_width,
     facilities,
@@ -51,9 +59,13 @@ def q_segments_long(spark, sf_dir):
     return segments_long(clean_messages(_records(spark, sf_dir)))
 
 
-def _gated(spark, sf_dir, *extra):
-    p = parse_messages(_records(spark, sf_dir))
-    return p.select(*ARRIVAL, "is_er7", *gate_columns(), *extra)
+def _parsed(spark, sf_dir):
+    return parse_messages(_records(spark, sf_dir))
+
+
+def _gated(spark, sf_dir):
+    raw = raw_fields(_parsed(spark, sf_dir), GATE_POSITIONS, [*ARRIVAL, "is_er7"])
+    return raw.select(*ARRIVAL, "is_er7", *gate_columns())
 
 
 def q_oml_gate(spark, sf_dir):
@@ -70,14 +82,14 @@ def q_oru_gate(spark, sf_dir):
 
 def q_header_projection(spark, sf_dir):
     """P16, T7, T9."""
-    g = _gated(spark, sf_dir, header_struct().alias("h"))
-    return g.filter(accepts("OML_O21")).select(*ARRIVAL, "h.*")
+    h = project(_parsed(spark, sf_dir), "header")
+    return h.filter(accepts("OML_O21")).select(*ARRIVAL, "h.*")
 
 
 def q_patient_projection(spark, sf_dir):
     """P17, T8, T10."""
-    g = _gated(spark, sf_dir, patient_struct().alias("p"))
-    return g.filter(accepts("OML_O21")).select(*ARRIVAL, "p.*")
+    p = project(_parsed(spark, sf_dir), "patient")
+    return p.filter(accepts("OML_O21")).select(*ARRIVAL, "p.*")
 
 
 def q_lab_orders(spark, sf_dir):

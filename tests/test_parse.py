@@ -2,8 +2,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from labwire.operators.orders import extract_orders, header_struct, patient_struct
-from labwire.operators.parse import accepts, gate_columns
+from labwire.operators.orders import extract_orders, project
+from labwire.operators.parse import GATE_POSITIONS, accepts, gate_columns, raw_fields
 from labwire.operators.routing import mfl_ok, with_route
 from tests.helpers import lit_col, message, msh, one, parsed, records
 
@@ -74,7 +74,7 @@ def test_gate(spark):
         "MSH|^~\\&|a|b|c\r",                                   # too few separators
         message(msh(), "  " + PID),                            # indented segment is fine
     ]
-    g = parsed(spark, texts).select("offset", "is_er7", *gate_columns())
+    g = raw_fields(parsed(spark, texts), GATE_POSITIONS, ["offset", "is_er7"]).select("offset", "is_er7", *gate_columns())
     oml = one(g.select("offset", accepts("OML_O21").alias("a")), "a")
     assert oml == [True, True, False, False, False, False, False, True]
     oru = one(g.select("offset", accepts("ORU_R01").alias("a")), "a")
@@ -89,14 +89,14 @@ def test_header_projection(spark):
         message(msh(mtype="OML^O21"), PID),
         message(msh(ts="202401010800"), PID),
     ]
-    h = parsed(spark, texts).select("offset", header_struct().alias("h"))
+    h = project(parsed(spark, texts), "header")
     rows = [r.h for r in h.orderBy("offset").collect()]
     assert [r.message_type if r else None for r in rows] == ["ACK", "OML_021", "ORU_R01", None, None]
     assert rows[0].asDict() == {
         "message_type": "ACK", "version": "2.5", "timestamp": "2024-01-01 08:00:00",
         "sender_id": "1234", "receiver_id": "L01", "message_id": "MSG1", "ack_type": "AL",
     }
-    fixed = parsed(spark, texts[:1]).select(header_struct(fix_oml=True).alias("h")).first().h
+    fixed = project(parsed(spark, texts[:1]), "header", fix_oml=True).first().h
     assert fixed.message_type == "OML_021"
 
 
@@ -104,7 +104,7 @@ def test_patient_projection(spark):
     base = "PID|1||P7^^^MRN~X^^^ALT||Banda&van^Mary||{dob}|{sex}"
     texts = [message(msh(), base.format(dob="19900102", sex=s)) for s in ("M", "F", "U", "")]
     texts += [message(msh(), base.format(dob="19900231", sex="M")), message(msh(), base.format(dob="199001", sex="M"))]
-    p = parsed(spark, texts).select("offset", patient_struct().alias("p"))
+    p = project(parsed(spark, texts), "patient")
     rows = [r.p for r in p.orderBy("offset").collect()]
     assert [r.gender if r else None for r in rows] == ["MALE", "FEMALE", "OTHER", None, "MALE", None]
     assert rows[0].asDict() == {"id": "P7", "first_name": "Mary", "last_name": "Banda", "gender": "MALE", "dob": "1990-01-02"}
@@ -129,3 +129,14 @@ def test_routes_first_match_wins(spark):
     ]
     r = with_route(extracted(spark, texts))
     assert one(r, "route") == ["empty", "unparseable", "no_message_id", "bad_mfl", "dlq", "valid", "valid"]
+
+
+def test_segments_long_skips_short_segments(spark):
+    from labwire.operators.parse import clean_messages, segments_long
+
+    texts = ["MSH|^~\\&|a\r\rPID|1\rAB\rOBR|1\r\r\rORC|x\rZZ", "MSH|^~\\&|a\rNT\r\r", "junk\rPID|1"]
+    got = [tuple(r) for r in segments_long(clean_messages(records(spark, texts))).orderBy("offset", "seg_idx").collect()]
+    assert got == [
+        (0, 0, 1, "MSH", 3), (0, 0, 2, "PID", 2), (0, 0, 3, "OBR", 2), (0, 0, 4, "ORC", 2),
+        (0, 1, 1, "MSH", 3),
+    ]
