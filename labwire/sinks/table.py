@@ -8,9 +8,10 @@ Steps per batch:
 1. last write wins inside the batch (W1, partial aggregation);
 2. the touched bucket numbers (at most ``buckets`` values) go to the driver;
 3. the touched buckets are read (partition pruning), merged with the batch
-   (K1b; new keys numbered after ``max(id)``, read from parquet footers) and
-   written completely to ``_staging/batch=<id>``;
-4. the staged buckets replace the table's buckets.
+   (K1b; new keys numbered after the table's ``max(id)``) and written
+   completely to ``_staging/<query>/batch=<id>``;
+4. the staged buckets replace the table's buckets, and the new ``max(id)``
+   is recorded in ``_state`` (one row), so no batch scans the whole table.
 
 If the job dies during step 4, the re-run of the same batch id finds the
 complete staging copy and repeats step 4 only; if it dies earlier, the table
@@ -53,6 +54,23 @@ class TableUpsertSink:
     def _committed(self) -> str:
         return f"{self.path}/_committed"
 
+    def _state(self) -> str:
+        return f"{self.path}/_state"
+
+    def max_id(self, spark) -> int:
+        """The table's largest id: from ``_state``; a full scan of the id
+        column only if the state is missing (a crash while it was rewritten)."""
+        if files.complete(spark, self._state()):
+            return spark.read.json(self._state()).first()["max_id"]
+        if not files.exists(spark, self._committed()):
+            return 0
+        return spark.read.parquet(self.path).agg(F.max("id")).first()[0] or 0
+
+    def _record_max_id(self, spark, before: int, staged: DataFrame) -> None:
+        # ids only grow, and every new id is in the staged buckets
+        after = max(before, staged.agg(F.max("id")).first()[0] or 0)
+        spark.createDataFrame([(after,)], "max_id long").coalesce(1).write.mode("overwrite").json(self._state())
+
     def for_query(self, checkpoint: str):
         """The ``foreachBatch``-style merge for the query with this checkpoint."""
         tag = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
@@ -65,8 +83,9 @@ class TableUpsertSink:
         """Upsert ``rows`` (key, columns, partition, offset) as batch ``batch_id``."""
         spark = rows.sparkSession
         staging = self._staging(tag, batch_id)
+        before = self.max_id(spark)
         if not files.complete(spark, staging):
-            self._stage(rows, staging)
+            self._stage(rows, staging, before)
         staged = spark.read.parquet(staging)
         (
             staged.write.mode("overwrite")
@@ -75,10 +94,11 @@ class TableUpsertSink:
             .parquet(self.path)
         )
         files.touch(spark, self._committed())
+        self._record_max_id(spark, before, staged)
         # keep the latest staging copy only
         files.delete(spark, self._staging(tag, batch_id - 1))
 
-    def _stage(self, rows: DataFrame, staging: str) -> None:
+    def _stage(self, rows: DataFrame, staging: str, max_id: int) -> None:
         spark = rows.sparkSession
         batch = rows.withColumn("bucket", bucket_of(self.key, self.buckets))
         have_table = files.exists(spark, self._committed())
@@ -86,11 +106,8 @@ class TableUpsertSink:
             touched = [r[0] for r in batch.select("bucket").distinct().collect()]  # <= buckets values
             current = spark.read.parquet(self.path).filter(F.col("bucket").isin(touched))
             target = current.select("id", self.key, *self.columns)
-            # max(id) of the whole table, answered from parquet footers
-            max_id = spark.read.parquet(self.path).agg(F.max("id")).first()[0] or 0
         else:
             target = up.empty_like(rows, [self.key, *self.columns])
-            max_id = 0
         merged = up.upsert(target, batch, self.columns, key=self.key, start_after=max_id)
         (
             merged.withColumn("bucket", bucket_of(self.key, self.buckets))

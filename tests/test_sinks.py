@@ -27,13 +27,20 @@ def test_table_upsert_batches_and_crash_recovery(spark, tmp_dir):
     assert table_state(spark, sink) == [(1, "a", "a2"), (2, "b", "b1")]
     b1 = batch(spark, [("c", "c1", 3), ("b", "b2", 4)])
     # crash after staging, before the table was replaced: the re-run finishes from staging
-    sink._stage(b1, sink._staging(sink_tag("ckpt-a"), 1))
+    sink._stage(b1, sink._staging(sink_tag("ckpt-a"), 1), sink.max_id(spark))
     assert table_state(spark, sink) == [(1, "a", "a2"), (2, "b", "b1")]
     merge(b1, 1)
     assert table_state(spark, sink) == [(1, "a", "a2"), (2, "b", "b2"), (3, "c", "c1")]
     # replaying a committed batch (new query, fresh checkpoint) changes nothing
     sink.for_query("ckpt-b")(b1, 0)
     assert table_state(spark, sink) == [(1, "a", "a2"), (2, "b", "b2"), (3, "c", "c1")]
+    assert sink.max_id(spark) == 3
+    # a lost state file falls back to scanning the ids
+    from labwire.sinks import files
+    files.delete(spark, sink._state())
+    assert sink.max_id(spark) == 3
+    sink.for_query("ckpt-b")(batch(spark, [("d", "d1", 9)]), 1)
+    assert table_state(spark, sink)[-1] == (4, "d", "d1")
 
 
 def sink_tag(checkpoint):
