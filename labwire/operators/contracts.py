@@ -18,6 +18,19 @@ class ContractViolation(Exception):
     """Raised by :func:`enforce` in ``fail`` mode (a rejected sink batch)."""
 
 
+def _hits(not_null: Sequence[str], max_length: Mapping[str, int]):
+    checks = [
+        F.when(F.col(c).isNull(), F.struct(F.lit("not_null").alias("rule"), F.lit(c).alias("column_name")))
+        for c in not_null
+    ] + [
+        F.when(
+            F.length(c) > n, F.struct(F.lit("max_length").alias("rule"), F.lit(c).alias("column_name"))
+        )
+        for c, n in max_length.items()
+    ]
+    return F.filter(F.array(*checks), lambda x: x.isNotNull())
+
+
 def violations(
     df: DataFrame,
     key: str = KEY,
@@ -29,17 +42,7 @@ def violations(
     All rules are checked in a single pass: each row yields an array of
     (rule, column) hits that is exploded, so there is no union of scans.
     """
-    checks = [
-        F.when(F.col(c).isNull(), F.struct(F.lit("not_null").alias("rule"), F.lit(c).alias("column_name")))
-        for c in not_null
-    ] + [
-        F.when(
-            F.length(c) > n, F.struct(F.lit("max_length").alias("rule"), F.lit(c).alias("column_name"))
-        )
-        for c, n in max_length.items()
-    ]
-    hits = F.filter(F.array(*checks), lambda x: x.isNotNull())
-    return df.select(key, F.inline(hits))
+    return df.select(key, F.inline(_hits(not_null, max_length)))
 
 
 def duplicate_keys(df: DataFrame, key: str = KEY) -> DataFrame:
@@ -49,17 +52,20 @@ def duplicate_keys(df: DataFrame, key: str = KEY) -> DataFrame:
 
 def enforce(df: DataFrame, mode: str = "fail", key: str = KEY) -> tuple[DataFrame, DataFrame]:
     """``fail`` raises on the first violation (as a rejected batch does);
-    ``quarantine`` splits into (clean rows, violating rows) instead."""
-    bad = violations(df, key)
+    ``quarantine`` splits into (clean rows, violating rows) instead.
+
+    The rules are per row, so the split is two filters over one flag: no
+    join and no shuffle.
+    """
     if mode == "fail":
-        first = bad.take(1)
+        first = violations(df, key).take(1)
         if first:
             raise ContractViolation(f"contract broken: {first[0].asDict()}")
         return df, df.limit(0)
     if mode != "quarantine":
         raise ValueError(f"unknown mode {mode!r}")
-    bad_keys = bad.select(key).distinct()
-    return df.join(bad_keys, key, "left_anti"), df.join(bad_keys, key, "left_semi")
+    broken = F.size(_hits(NOT_NULL, MAX_LENGTH)) > 0
+    return df.filter(~broken), df.filter(broken)
 
 
 def _dim(dim: DataFrame, bounded: bool) -> DataFrame:

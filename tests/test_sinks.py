@@ -78,3 +78,51 @@ def test_schema_evolution(spark, tmp_dir):
     got = sorted(tuple(r) for r in read_evolved(spark, f"{tmp_dir}/v1", f"{tmp_dir}/v2")
                  .select("message_ref_id", "mfl_code", "lab_code").collect())
     assert got == [("m1", "1001", None), ("m2", "1002", "L01")]
+
+
+def test_jdbc_merge_retries_then_fails(spark, monkeypatch):
+    from labwire.sinks import jdbc
+
+    calls = []
+
+    def flaky(_spark, _t, sql):
+        calls.append(sql)
+        if len(calls) < 3:
+            raise RuntimeError("connection reset")
+
+    class FakeWriter:
+        def __getattr__(self, name):
+            return lambda *a, **k: self
+
+    rows = batch(spark, [("a", "a1", 0)]).drop("partition", "offset")
+    monkeypatch.setattr(jdbc, "_execute", flaky)
+    monkeypatch.setattr(type(rows), "write", property(lambda self: FakeWriter()))
+    t = jdbc.JdbcTarget("jdbc:postgresql://db/x", "u", "p")
+    jdbc.upsert_batch(rows, 7, t, pause_s=0)
+    assert len(calls) == 4 and calls[2].startswith("INSERT") and calls[3].startswith("DROP TABLE")
+    calls.clear()
+    monkeypatch.setattr(jdbc, "_execute", lambda *a: (_ for _ in ()).throw(RuntimeError("down")))
+    with pytest.raises(RuntimeError):
+        jdbc.upsert_batch(rows, 8, t, pause_s=0)
+
+
+def test_date_layout_and_lookups(spark, tmp_dir):
+    import datetime as dt
+
+    from labwire.operators import lookups
+
+    df = spark.createDataFrame(
+        [("m1", "1001", dt.date(2024, 1, 1)), ("m2", "1002", dt.date(2024, 1, 2)), ("m3", "1001", None)],
+        "message_ref_id string, mfl_code string, order_date date",
+    )
+    lookups.date_layout(df, f"{tmp_dir}/by_date")
+    back = spark.read.parquet(f"{tmp_dir}/by_date")
+    p = back.filter(F.col("order_date") == dt.date(2024, 1, 2))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_date" in p
+    assert [r.message_ref_id for r in back.filter(F.col("order_date") == dt.date(2024, 1, 2)).collect()] == ["m2"]
+    keys = spark.createDataFrame([("1001",)], "mfl_code string")
+    assert sorted(r.message_ref_id for r in lookups.lookup_many(df, keys, "mfl_code").collect()) == ["m1", "m3"]
+    ranked = [(r.rn, r.message_ref_id) for r in lookups.by_date(df).orderBy("rn").collect()]
+    assert ranked == [(1, "m2"), (2, "m1"), (3, "m3")]
+    tl = [(r.rn, r.message_ref_id) for r in lookups.facility_timeline(df, "1001").orderBy("rn").collect()]
+    assert tl == [(1, "m3"), (2, "m1")]

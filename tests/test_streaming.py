@@ -33,3 +33,15 @@ def test_stream_route_counters_and_restart(spark, tmp_dir):
     assert dict(counter.totals) == EXPECTED
     assert sum(dead) == EXPECTED["dlq"]
     assert sink.read(spark).count() == 914
+
+
+def test_job_entry_point_files_to_table(spark, tmp_dir):
+    from labwire.streaming import main
+
+    rec = records_from_dir(spark, SF_SMALL)
+    rec.write.parquet(f"{tmp_dir}/src")
+    main.main(["--source-path", f"{tmp_dir}/src", "--table", f"{tmp_dir}/table", "--buckets", "4",
+               "--dlq-path", f"{tmp_dir}/dlq", "--checkpoint", f"{tmp_dir}/ckpt", "--available-now",
+               "--query-name", "entry_point_test"])
+    assert spark.read.parquet(f"{tmp_dir}/table").count() == 914
+    assert spark.read.parquet(f"{tmp_dir}/dlq").count() == EXPECTED["dlq"]
