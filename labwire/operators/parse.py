@@ -42,8 +42,6 @@ from labwire.functions.text import sanitize
 from labwire.sources.records import ARRIVAL, decode
 
 ENCODING_COLUMNS = ["fs", "cs", "rs", "esc", "ss"]
-HELPER_COLUMNS = ["fs_pat", "unesc_to"]
-SEGMENT_ARRAYS = ["msh", "orc", "obr", "pid"]
 
 Position = tuple[str, int, int]  # (segment array, field, component)
 

@@ -4,7 +4,6 @@ decode step (S3, F1) that turns payload bytes into message text."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labwire.functions.text import decode_payload, is_empty_payload

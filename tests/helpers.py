@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from labwire.operators.parse import parse_messages
 from labwire.sources.records import RAW_SCHEMA
