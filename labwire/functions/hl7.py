@@ -66,7 +66,9 @@ _LEADING_BLANKS = "[\\t\\x0B\\f \\x1C-\\x1F]"
 
 def normalize_segments(msg: Column | str) -> Column:
     """Strip leading blanks of every segment after the first."""
-    return F.regexp_replace(col_of(msg), "\\r" + _LEADING_BLANKS + "+", "\\r")
+    # the replacement is a real carriage return: in a Java replacement string
+    # a backslash only quotes the next character ("\\r" would give "r")
+    return F.regexp_replace(col_of(msg), "\\r" + _LEADING_BLANKS + "+", SEGMENT_SEP)
 
 
 def _quote(c: Column) -> Column:
