@@ -51,7 +51,9 @@ def upsert(
     * per key the latest update wins (W1), including repeats in one batch;
     * an existing key keeps its ``id`` and takes the update's ``columns``;
     * a new key gets the next id after ``max(target.id)``, in first-arrival
-      order (C5); keys not in ``updates`` are untouched.
+      order (C5); keys not in ``updates`` are untouched;
+    * a null column stays null (C4: defaults such as the current date apply
+      only to omitted columns, and the upsert names every column).
 
     ``target`` has ``id_col``, ``key`` and ``columns``; ``updates`` has
     ``key``, ``columns`` and the arrival columns.  ``start_after`` gives the

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from labwire.operators.schema import STORED_COLUMNS
+from labwire.operators.schema import JDBC_COLUMN_TYPES, STORED_COLUMNS
 
 # Fixed values of the original sink: batch size, attempts, pause between attempts.
 BATCH_SIZE = 1000
@@ -85,6 +85,7 @@ def upsert_batch(rows: DataFrame, batch_id: int, t: JdbcTarget,
         rows.select(*STORED_COLUMNS)
         .write.mode("overwrite")
         .option("batchsize", BATCH_SIZE)
+        .option("createTableColumnTypes", JDBC_COLUMN_TYPES)
         .jdbc(t.url, staging, properties=t.props())
     )
     sql = merge_sql(t.table, staging, key=t.key)
