@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,14 +49,16 @@ def extract_orders(parsed: DataFrame, fence: bool = True) -> DataFrame:
     routes on these columns never re-derive them from the message.
     """
     raw = raw_fields(parsed, GATE_POSITIONS + ORDER_POSITIONS, PASS_THROUGH, fence=fence)
-    typed = raw.select(
-        *PASS_THROUGH, *gate_columns(), *order_columns(),
-        parse_hl7_datetime(v("obr", 7)).alias("_dt"),
-    )
+    typed = raw.select(*PASS_THROUGH, *_typed_exprs())
     keep = [c for c in typed.columns if c != "_dt"]
     return typed.select(*keep, F.col("_dt.date").alias("order_date"), F.col("_dt.time").alias("order_time"))
 
 
+@functools.cache
+def _typed_exprs() -> list[Column]:
+    return [*gate_columns(), *order_columns(), parse_hl7_datetime(v("obr", 7)).alias("_dt")]
+
+
 def sink_projection(orders: DataFrame) -> DataFrame:
     """The 8 stored columns; the LOINC code is stored as ``test_id``."""
     return orders.select(

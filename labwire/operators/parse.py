@@ -17,6 +17,7 @@ de-duplicated by Spark's code generator.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -72,23 +73,31 @@ def stage(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
-def clean_messages(records: DataFrame) -> DataFrame:
-    """S3 + P1: raw records -> ``partition offset is_empty raw_message`` +
-    delimiters + helpers + ``msg`` (clean text, escape sequences protected)."""
-    d = decode(records)
-    s1 = d.select(
-        *ARRIVAL, "is_empty", "raw_message",
-        normalize_segments(sanitize("raw_message")).alias("msg"),
-    )
+# Expression lists are built once per process and reused by every plan
+# (columns are immutable expression trees); this keeps plan construction,
+# which is many small JVM calls, out of each query's running time.
+
+@functools.cache
+def _clean_exprs() -> tuple[Column, list[Column], list[Column]]:
+    msg = normalize_segments(sanitize("raw_message")).alias("msg")
     enc = encoding_of("msg")
-    s2 = s1.select("*", *[enc[n].alias(n) for n in ENCODING_COLUMNS])
+    delims = [enc[n].alias(n) for n in ENCODING_COLUMNS]
     e = Encoding.from_columns()
-    return s2.select(
-        *ARRIVAL, "is_empty", "raw_message", *ENCODING_COLUMNS,
+    final = [
         split_pattern(e.fs).alias("fs_pat"),
         unescape_target(e).alias("unesc_to"),
         protect_escapes(F.col("msg"), e).alias("msg"),
-    )
+    ]
+    return msg, delims, final
+
+
+def clean_messages(records: DataFrame) -> DataFrame:
+    """S3 + P1: raw records -> ``partition offset is_empty raw_message`` +
+    delimiters + helpers + ``msg`` (clean text, escape sequences protected)."""
+    msg, delims, final = _clean_exprs()
+    s1 = decode(records).select(*ARRIVAL, "is_empty", "raw_message", msg)
+    s2 = s1.select("*", *delims)
+    return s2.select(*ARRIVAL, "is_empty", "raw_message", *ENCODING_COLUMNS, *final)
 
 
 def er7_ok(msg: Column, fs: Column) -> Column:
@@ -113,26 +122,32 @@ def locate_segments(cleaned: DataFrame) -> DataFrame:
     segments are cut at those positions (the next one), so each search runs
     once per message.
     """
-    msg, fs, pat = F.col("msg"), F.col("fs"), F.col("fs_pat")
     keep = [*ARRIVAL, "is_empty", "raw_message", *ENCODING_COLUMNS, "unesc_to"]
-    positions = cleaned.select(
-        *keep, "msg", "fs_pat",
+    first, second, arrays = _locate_exprs()
+    positions = cleaned.select(*keep, "msg", "fs_pat", *first)
+    positions = positions.select("*", second)
+    return positions.select(*keep, "is_er7", *arrays)
+
+
+@functools.cache
+def _locate_exprs() -> tuple[list[Column], Column, list[Column]]:
+    msg, fs, pat = F.col("msg"), F.col("fs"), F.col("fs_pat")
+    first = [
         er7_ok(msg, fs).alias("is_er7"),
         segment_start(msg, "ORC", fs).alias("p_orc"),
         segment_start(msg, "OBR", fs).alias("p_obr"),
         segment_start(msg, "PID", fs).alias("p_pid"),
-    )
+    ]
     p_orc = F.col("p_orc")
-    orc2 = F.when(p_orc > 0, segment_start(msg, "ORC", fs, p_orc + 1)).otherwise(F.lit(0))
-    positions = positions.select("*", orc2.alias("p_orc2"))
+    second = F.when(p_orc > 0, segment_start(msg, "ORC", fs, p_orc + 1)).otherwise(F.lit(0)).alias("p_orc2")
     obr = first_order_position(F.col("p_obr"), p_orc, F.col("p_orc2"))
-    return positions.select(
-        *keep, "is_er7",
+    arrays = [
         split_fields(F.substring_index(msg, SEGMENT_SEP, 1), pat).alias("msh"),
         split_fields(segment_at(msg, p_orc), pat).alias("orc"),
         split_fields(segment_at(msg, obr), pat).alias("obr"),
         split_fields(segment_at(msg, F.col("p_pid")), pat).alias("pid"),
-    )
+    ]
+    return first, second, arrays
 
 
 def spread(records: DataFrame, min_partitions: int | None) -> DataFrame:
@@ -170,14 +185,18 @@ def raw_name(pos: Position) -> str:
 def raw_fields(parsed: DataFrame, positions: Iterable[Position], keep: Sequence[str] = (), fence: bool = True) -> DataFrame:
     """The given HL7 positions as string columns named ``{seg}_{n}_{c}``
     ('' when absent), plus the ``keep`` columns of the parsed frame."""
+    cols = _raw_exprs(tuple(dict.fromkeys(positions)))
+    out = parsed.select(*keep, *cols)
+    return stage(out) if fence else out
+
+
+@functools.cache
+def _raw_exprs(positions: tuple[Position, ...]) -> list[Column]:
     enc, target = Encoding.from_columns(), F.col("unesc_to")
-    wanted = list(dict.fromkeys(positions))
-    cols = [
+    return [
         raw_value(field(F.col(seg), n, msh=(seg == "msh")), enc, target, c).alias(raw_name((seg, n, c)))
-        for seg, n, c in wanted
+        for seg, n, c in positions
     ]
-    out = parsed.select(*keep, *cols)
-    return stage(out) if fence else out
 
 
 def v(seg: str, n: int, c: int = 1) -> Column:

@@ -3,6 +3,8 @@ and the reject report (T13)."""
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +38,7 @@ def missing_lab_code(c: Column) -> Column:
     return c.isNull() | (c == "")
 
 
+@functools.cache
 def route_column(structure: str = "OML_O21", version: str = "2.5") -> Column:
     """F8: total classification over an extracted frame."""
     return (

@@ -8,6 +8,8 @@ tables and is built by Spark in parallel.  Key ``k`` = ``o_orderkey``.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,6 +92,22 @@ def message_text(k: Column, custkey: Column, nationkey: Column, orderdate: Colum
     )
 
 
+@functools.cache
+def _record_columns() -> tuple[Column, ...]:
+    """The record projection (built once per process: columns are immutable
+    expression trees and can be reused by every plan)."""
+    k = F.col("k")
+    base = k - F.when(k % 5 == 4, 1).otherwise(0)
+    return (
+        F.lit(None).cast("binary").alias("key"),
+        F.encode(message_text(k, F.col("custkey"), F.col("nationkey"), F.col("orderdate")), "UTF-8").alias("value"),
+        F.lit(TOPIC).alias("topic"),
+        (base % 3).cast("int").alias("partition"),
+        k.alias("offset"),
+        F.col("orderdate").cast("timestamp").alias("timestamp"),
+    )
+
+
 def lab_order_records(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """Kafka-shaped raw records (D1) for every order with a customer.
 
@@ -102,16 +120,7 @@ def lab_order_records(orders: DataFrame, customer: DataFrame) -> DataFrame:
     )
     c = customer.select(F.col("c_custkey").alias("custkey"), F.col("c_nationkey").alias("nationkey"))
     j = o.join(c, "custkey")
-    k = F.col("k")
-    base = k - F.when(k % 5 == 4, 1).otherwise(0)
-    return j.select(
-        F.lit(None).cast("binary").alias("key"),
-        F.encode(message_text(k, F.col("custkey"), F.col("nationkey"), F.col("orderdate")), "UTF-8").alias("value"),
-        F.lit(TOPIC).alias("topic"),
-        (base % 3).cast("int").alias("partition"),
-        k.alias("offset"),
-        F.col("orderdate").cast("timestamp").alias("timestamp"),
-    ).select(*RAW_COLUMNS)
+    return j.select(*_record_columns()).select(*RAW_COLUMNS)
 
 
 def read_tables(spark, sf_dir: str, *names: str) -> list[DataFrame]:
