@@ -23,9 +23,15 @@ def has_message_id(c: Column) -> Column:
     return c.isNotNull() & (c != "")
 
 
+def utf16_length(c: Column) -> Column:
+    """Length in UTF-16 code units, as a JVM string counts it: Spark's
+    ``length`` counts code points, so add one per supplementary character."""
+    return F.length(c) + F.regexp_count(c, F.lit("[\\x{10000}-\\x{10FFFF}]"))
+
+
 def mfl_ok(c: Column) -> Column:
     """non-null, non-empty, exactly 4 characters (any characters)."""
-    return c.isNotNull() & (c != "") & (F.length(c) == MFL_LENGTH)
+    return c.isNotNull() & (c != "") & (utf16_length(c) == MFL_LENGTH)
 
 
 def has_lab_code(c: Column) -> Column:

@@ -112,9 +112,10 @@ def test_patient_projection(spark):
 
 
 def test_mfl_rule(spark):
-    vals = [None, "", "123", "1234", "12345", "ABCD", "    ", '""']
+    vals = [None, "", "123", "1234", "12345", "ABCD", "    ", '""', "12\U0001F600", "123\U0001F600", "1é34"]
     got = [r[0] for r in lit_col(spark, vals).orderBy("i").select(mfl_ok(F.col("v"))).collect()]
-    assert got == [False, False, False, True, False, True, True, False]
+    # a supplementary character counts twice, as in a JVM string
+    assert got == [False, False, False, True, False, True, True, False, True, False, True]
 
 
 def test_routes_first_match_wins(spark):
