@@ -128,3 +128,112 @@ def test_parser_matches_python_rules(spark):
         expected = py_extract(text)
         got = {c: row[c] for c in cols}
         assert got == expected, repr(text)
+
+
+def _smart(y, m, d, h=0, mi=0, sec=0, allow_24=True):
+    import calendar
+    import datetime as dt
+
+    if y < 1 or not 1 <= m <= 12 or not 1 <= d <= 31 or mi > 59 or sec > 59:
+        return None
+    if h > 24 or (h == 24 and (mi or sec)) or (h == 24 and not allow_24):
+        return None
+    day = min(d, calendar.monthrange(y, m)[1])
+    return dt.date(y, m, day) + dt.timedelta(days=1 if h == 24 else 0)
+
+
+def py_header(e, text):
+    structure = e["raw"]("msh", 9, 3)
+    ts = e["raw"]("msh", 7, 1)
+    if structure is None or ts is None or not re.fullmatch(r"[0-9]{14}", ts):
+        return None
+    y, m, d, h, mi, sec = (int(ts[i:j]) for i, j in ((0, 4), (4, 6), (6, 8), (8, 10), (10, 12), (12, 14)))
+    date = _smart(y, m, d, h, mi, sec)
+    if date is None:
+        return None
+    return {
+        "message_type": {"ORU_R01": "ORU_R01", "OML_021": "OML_021"}.get(structure, "ACK"),
+        "version": e["raw"]("msh", 12, 1),
+        "timestamp": f"{date.isoformat()} {h % 24:02d}:{mi:02d}:{sec:02d}",
+        "sender_id": e["raw"]("msh", 4, 2),
+        "receiver_id": e["raw"]("msh", 6, 1),
+        "message_id": e["raw"]("msh", 10, 1),
+        "ack_type": e["raw"]("msh", 16, 1),
+    }
+
+
+def py_patient(e):
+    sex, dob = e["raw"]("pid", 8, 1), e["raw"]("pid", 7, 1)
+    if sex is None or dob is None or not re.fullmatch(r"[0-9]{8}", dob):
+        return None
+    date = _smart(int(dob[:4]), int(dob[4:6]), int(dob[6:8]))
+    if date is None:
+        return None
+    return {
+        "id": e["raw"]("pid", 3, 1),
+        "first_name": e["raw"]("pid", 5, 2),
+        "last_name": e["raw"]("pid", 5, 1),
+        "gender": {"M": "MALE", "F": "FEMALE"}.get(sex, "OTHER"),
+        "dob": date.isoformat(),
+    }
+
+
+def test_header_and_patient_match_python_rules(spark):
+    import random
+
+    from labwire.operators.orders import project
+
+    rng = random.Random(7)
+    texts = []
+    for _ in range(400):
+        t = random_message(rng)
+        fs = t[3]
+        fields = t.split("\r" if "\r" in t else "\n")[0].split(fs)
+        # plant plausible values so that every branch is taken
+        if rng.random() < 0.7:
+            fields[6] = f"{rng.randint(0, 2100):04d}{rng.randint(0, 13):02d}{rng.randint(0, 32):02d}" \
+                        f"{rng.choice([0, 8, 23, 24, 25]):02d}{rng.choice([0, 30, 60]):02d}{rng.choice([0, 59, 60]):02d}"
+        if rng.random() < 0.7:
+            fields[8] = "X" + t[4] + "Y" + t[4] + rng.choice(["ORU_R01", "OML_021", "OML_O21"])
+        pid = fs.join(["PID", "1", "", "P1", "", "Banda" + t[7] + "x" + t[4] + "Mary", "",
+                       f"{rng.randint(1900, 2000)}{rng.randint(1, 12):02d}{rng.randint(1, 31):02d}"
+                       if rng.random() < 0.8 else "1990", rng.choice(["M", "F", "U", ""])])
+        sep = "\r"
+        texts.append(fs.join(fields) + sep + pid + sep + sep.join(t.replace("\n", "\r").split("\r")[1:]))
+    h = {r.offset: r.h for r in project(parsed(spark, texts), "header").collect()}
+    p = {r.offset: r.p for r in project(parsed(spark, texts), "patient").collect()}
+    for i, text in enumerate(texts):
+        e = _raw_reader(text)
+        got_h = h[i].asDict() if h[i] else None
+        got_p = p[i].asDict() if p[i] else None
+        assert got_h == py_header(e, text), repr(text)
+        assert got_p == py_patient(e), repr(text)
+    # every branch was taken: valid and null structs, all three type names
+    types = {x.message_type for x in h.values() if x}
+    assert types == {"ACK", "ORU_R01", "OML_021"}
+    assert 40 < sum(1 for x in h.values() if x) < 360
+    assert 100 < sum(1 for x in p.values() if x) < 380
+
+
+def _raw_reader(text):
+    """``raw(seg, n, c)`` over the first segment of each name (as the parser picks them)."""
+    s = py_sanitize(text)
+    segs = [s.split("\r")[0]] + [re.sub(r"^[\t\x0b\x0c \x1c-\x1f]+", "", x) for x in s.split("\r")[1:]]
+    fs = s[3]
+    cs, rs, esc, ss = (list(segs[0].split(fs)[1]) + ["\x00"] * 4)[:4]
+
+    def raw(seg, n, c):
+        if seg == "msh":
+            idx, k = 0, n - 1
+        else:
+            idx = next((i for i, x in enumerate(segs[1:], 1) if x.startswith(seg.upper() + fs)), None)
+            if idx is None:
+                return None
+            k = n
+        fields = segs[idx].split(fs)
+        f = fields[k] if k < len(fields) else ""
+        parts = f.split(rs)[0].split(cs)
+        comp = parts[c - 1] if c - 1 < len(parts) else ""
+        return py_unescape(comp.split(ss)[0], fs, cs, rs, esc, ss) or None
+
+    return {"raw": raw}
