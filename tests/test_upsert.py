@@ -48,3 +48,17 @@ def test_skewed_key_is_aggregated_not_collected(spark):
     data = [("hot", str(i), i % 3, i) for i in range(3000)] + [("cold", "x", 0, 5)]
     got = {r.message_ref_id: r.v for r in latest(rows(spark, data)).collect()}
     assert got == {"hot": "2999", "cold": "x"}
+
+
+def test_number_rows_spreads_a_hot_sort_value(spark):
+    # every row has the same date: the unique tie-break still splits the range
+    import datetime as dt
+
+    data = [(f"m{i:05d}", dt.date(2024, 1, 1)) for i in range(4000)]
+    df = spark.createDataFrame(data, "message_ref_id string, order_date date").repartition(4)
+    order = [F.col("order_date").desc_nulls_last(), F.col("message_ref_id")]
+    out = number_rows(df, order, num_partitions=8)
+    sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= 4 and max(sizes) < 2000
+    got = [r.message_ref_id for r in out.orderBy("rn").collect()]
+    assert got == sorted(m for m, _ in data)
