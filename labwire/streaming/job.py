@@ -12,6 +12,7 @@ absorbs a replayed batch (R4); a fresh checkpoint replays the whole topic.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,17 +50,32 @@ def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 
 
 class FanOut:
-    """K5: one routed micro-batch -> upsert sink (valid) + dead-letter sink."""
+    """K5: one routed micro-batch -> upsert sink (valid) + dead-letter sink.
 
-    def __init__(self, upsert: Callable[[DataFrame, int], None], dead: Callable[[DataFrame, int], None]):
+    The routed batch is persisted once and both sinks read it.  With
+    ``parallel`` the two sinks run as concurrent Spark jobs (the dead-letter
+    write is a single narrow stage that fills cores the merge leaves idle);
+    an error in either sink fails the batch, which Spark then re-runs.
+    """
+
+    def __init__(self, upsert: Callable[[DataFrame, int], None], dead: Callable[[DataFrame, int], None],
+                 parallel: bool = True):
         self.upsert = upsert
         self.dead = dead
+        self.parallel = parallel
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         routed = batch.persist()
         try:
-            self.upsert(valid_rows(routed), batch_id)
-            self.dead(dead_letters(routed), batch_id)
+            jobs = [lambda: self.upsert(valid_rows(routed), batch_id),
+                    lambda: self.dead(dead_letters(routed), batch_id)]
+            if not self.parallel:
+                for job in jobs:
+                    job()
+                return
+            with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+                for f in [pool.submit(job) for job in jobs]:
+                    f.result()
         finally:
             routed.unpersist()
 
