@@ -30,3 +30,23 @@ def complete(spark: SparkSession, path: str) -> bool:
 def touch(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.create(p, True).close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()

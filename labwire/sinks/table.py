@@ -58,10 +58,12 @@ class TableUpsertSink:
         return f"{self.path}/_state"
 
     def max_id(self, spark) -> int:
-        """The table's largest id: from ``_state``; a full scan of the id
-        column only if the state is missing (a crash while it was rewritten)."""
-        if files.complete(spark, self._state()):
-            return spark.read.json(self._state()).first()["max_id"]
+        """The table's largest id: from the ``_state`` file (one number); a
+        full scan of the id column only if the file is missing or torn (a
+        crash while it was rewritten)."""
+        text = files.read_text(spark, self._state())
+        if text and text.strip().isdigit():
+            return int(text)
         if not files.exists(spark, self._committed()):
             return 0
         return spark.read.parquet(self.path).agg(F.max("id")).first()[0] or 0
@@ -69,7 +71,7 @@ class TableUpsertSink:
     def _record_max_id(self, spark, before: int, staged: DataFrame) -> None:
         # ids only grow, and every new id is in the staged buckets
         after = max(before, staged.agg(F.max("id")).first()[0] or 0)
-        spark.createDataFrame([(after,)], "max_id long").coalesce(1).write.mode("overwrite").json(self._state())
+        files.write_text(spark, self._state(), str(after))
 
     def for_query(self, checkpoint: str):
         """The ``foreachBatch``-style merge for the query with this checkpoint."""
