@@ -27,9 +27,9 @@ STARTUP_CONF = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
 
 
 # JVM option for every process that runs tasks (executors; the driver in
-# local mode).  The parse stages generate methods above HotSpot's 8000-byte
-# JIT limit; without this flag those methods stay interpreted (about 2x
-# slower at steady state, measured at sf0.1).
+# local mode).  Some parse-stage methods are above HotSpot's 8000-byte JIT
+# limit; without this flag they stay interpreted (10-30% slower at steady
+# state, measured at sf0.1).
 JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
 
 
