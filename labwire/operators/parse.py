@@ -36,6 +36,7 @@ from labwire.functions.hl7 import (
     segment_start,
     split_fields,
     split_pattern,
+    unescape,
     unescape_target,
     value,
 )
@@ -222,8 +223,9 @@ def gate_columns() -> list[Column]:
     return [message_structure().alias("structure"), v("msh", 12).alias("version")]
 
 
-def segments_long(cleaned: DataFrame) -> DataFrame:
-    """P2 long form: one row per segment ``(offset, seg_idx, seg_name, n_fields)``.
+def segments_long(cleaned: DataFrame, with_fields: bool = False) -> DataFrame:
+    """P2 long form: one row per segment ``(offset, seg_idx, seg_name, n_fields)``,
+    plus the unescaped ``fields`` array when ``with_fields`` is set.
 
     Segments shorter than 3 characters (blank lines left by note removal)
     are skipped, as a parser would, and ``seg_idx`` counts the kept ones
@@ -234,11 +236,16 @@ def segments_long(cleaned: DataFrame) -> DataFrame:
     # positions of the kept segments are dense; a short last segment has no
     # separator after it and is dropped after the explode (it is last)
     compact = F.regexp_replace(F.col("msg"), "(?:^|(?<=\\r))[^\\r]{0,2}\\r", "")
-    exploded = er7.select(*ARRIVAL, "fs", "fs_pat", F.posexplode(F.split(compact, SEGMENT_SEP, -1)).alias("pos", "segment"))
+    exploded = er7.select(*ARRIVAL, "fs", "fs_pat", "unesc_to", F.posexplode(F.split(compact, SEGMENT_SEP, -1)).alias("pos", "segment"))
     kept = exploded.filter(F.length("segment") >= 3)
-    return kept.select(
+    fields = split_fields(F.col("segment"), F.col("fs_pat"))
+    cols = [
         *ARRIVAL,
         (F.col("pos") + 1).alias("seg_idx"),
         F.call_function("substring_index", F.col("segment"), F.col("fs"), F.lit(1)).alias("seg_name"),
-        F.size(split_fields(F.col("segment"), F.col("fs_pat"))).alias("n_fields"),
-    )
+        F.size(fields).alias("n_fields"),
+    ]
+    if with_fields:
+        # fields stay split on components; stand-ins back to delimiters
+        cols.append(F.transform(fields, lambda f: unescape(f, F.col("unesc_to"))).alias("fields"))
+    return kept.select(*cols)

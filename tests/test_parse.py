@@ -141,3 +141,12 @@ def test_segments_long_skips_short_segments(spark):
         (0, 0, 1, "MSH", 3), (0, 0, 2, "PID", 2), (0, 0, 3, "OBR", 2), (0, 0, 4, "ORC", 2),
         (0, 1, 1, "MSH", 3),
     ]
+
+
+def test_segments_long_with_fields(spark):
+    from labwire.operators.parse import clean_messages, segments_long
+
+    texts = [message(msh(app="A\\T\\B"), "ORC|NW|X^Y")]
+    rows = segments_long(clean_messages(records(spark, texts)), with_fields=True).orderBy("seg_idx").collect()
+    assert rows[0].fields[:3] == ["MSH", "^~\\&", "A&B^1.2^ISO"]
+    assert rows[1].fields == ["ORC", "NW", "X^Y"]
