@@ -1,6 +1,6 @@
 """The continuous job as a ``spark-submit`` entry point.
 
-    spark-submit -m labwire.streaming.main \\
+    spark-submit --py-files labwire.zip labwire/streaming/main.py \\
         --bootstrap <servers> --topic lab-orders --checkpoint <shared path> \\
         --table <path> | --jdbc-url <url> --jdbc-user <user> \\
         [--dlq-topic lab-orders-dlq | --dlq-path <path>]
