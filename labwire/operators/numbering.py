@@ -48,3 +48,12 @@ def number_rows(
         name, (start_col + F.col("_before") + F.col("_pos") - F.col("_pos0")).cast("long")
     )
     return out.drop("_part", "_pos", "_pos0", "_before")
+
+
+def number_rows_counted(df: DataFrame, order: list[Column], name: str = "rn", start: int = 1,
+                        num_partitions: int | None = None) -> tuple[DataFrame, int]:
+    """:func:`number_rows` plus the row count (one small job over the
+    per-partition counts of the checkpointed, sorted rows)."""
+    numbered = number_rows(df, order, name, start, num_partitions)
+    n = numbered.agg(F.count(F.lit(1))).first()[0]
+    return numbered, n

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labwire.operators.numbering import number_rows
+from labwire.operators.numbering import number_rows_counted
 from labwire.session import checkpoint_dir
 
 KEY = "message_ref_id"
@@ -44,6 +44,7 @@ def upsert(
     id_col: str = "id",
     order: Sequence[str] = ARRIVAL_ORDER,
     start_after: int | None = None,
+    counts: dict | None = None,
 ) -> DataFrame:
     """The state after inserting ``updates`` into ``target`` with
     ``ON CONFLICT (key) DO UPDATE`` semantics.
@@ -57,7 +58,8 @@ def upsert(
 
     ``target`` has ``id_col``, ``key`` and ``columns``; ``updates`` has
     ``key``, ``columns`` and the arrival columns.  ``start_after`` gives the
-    table's current maximum id when ``target`` is only part of the table.
+    table's current maximum id when ``target`` is only part of the table;
+    ``counts`` (a dict) receives ``new_keys`` and the new ``max_id``.
     """
     value_cols = [c for c in columns if c not in (key, id_col)]
     checkpoint_dir(updates.sparkSession)
@@ -69,9 +71,11 @@ def upsert(
     new_keys = u.select(key, "_first").join(existing, key, "left_anti")
     # one scalar to the driver: the current maximum id
     max_id = start_after if start_after is not None else (target.agg(F.max(id_col)).first()[0] or 0)
-    numbered = number_rows(
-        new_keys, [F.col("_first"), F.col(key)], name=id_col, start=max_id + 1
-    ).select(key, id_col)
+    numbered, n_new = number_rows_counted(new_keys, [F.col("_first"), F.col(key)], name=id_col, start=max_id + 1)
+    numbered = numbered.select(key, id_col)
+    if counts is not None:
+        counts["new_keys"] = n_new
+        counts["max_id"] = max_id + n_new
 
     ids = existing.unionByName(numbered)
     changed = u.join(ids, key, "inner").select(id_col, key, *value_cols)

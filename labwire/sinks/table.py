@@ -68,10 +68,12 @@ class TableUpsertSink:
             return 0
         return spark.read.parquet(self.path).agg(F.max("id")).first()[0] or 0
 
-    def _record_max_id(self, spark, before: int, staged: DataFrame) -> None:
-        # ids only grow, and every new id is in the staged buckets
-        after = max(before, staged.agg(F.max("id")).first()[0] or 0)
-        files.write_text(spark, self._state(), str(after))
+    def _record_max_id(self, spark, before: int, staging: str, staged: DataFrame) -> None:
+        # ids are dense: the staging copy records the new maximum; a staging
+        # copy without it (written by an older version) is scanned instead
+        text = files.read_text(spark, f"{staging}/_max_id")
+        after = int(text) if text and text.strip().isdigit() else (staged.agg(F.max("id")).first()[0] or 0)
+        files.write_text(spark, self._state(), str(max(before, after)))
 
     def for_query(self, checkpoint: str):
         """The ``foreachBatch``-style merge for the query with this checkpoint."""
@@ -96,7 +98,7 @@ class TableUpsertSink:
             .parquet(self.path)
         )
         files.touch(spark, self._committed())
-        self._record_max_id(spark, before, staged)
+        self._record_max_id(spark, before, staging, staged)
         # keep the latest staging copy only
         files.delete(spark, self._staging(tag, batch_id - 1))
 
@@ -110,10 +112,13 @@ class TableUpsertSink:
             target = current.select("id", self.key, *self.columns)
         else:
             target = up.empty_like(rows, [self.key, *self.columns])
-        merged = up.upsert(target, batch, self.columns, key=self.key, start_after=max_id)
+        counts: dict = {}
+        merged = up.upsert(target, batch, self.columns, key=self.key, start_after=max_id, counts=counts)
         (
             merged.withColumn("bucket", bucket_of(self.key, self.buckets))
             .write.mode("overwrite")
             .partitionBy("bucket")
             .parquet(staging)
         )
+        # written after the data; if a crash loses it, the staged ids are scanned
+        files.write_text(spark, f"{staging}/_max_id", str(counts["max_id"]))
