@@ -104,9 +104,9 @@ def clean_messages(records: DataFrame) -> DataFrame:
 def er7_ok(msg: Column, fs: Column) -> Column:
     """Structural ER7 check: starts with MSH, every segment of 4+ characters
     has the field separator 4th, and at least 11 field separators overall."""
-    bad_segment = F.concat(
-        F.lit("(?:^|\\r)[^\\r]{3}(?!\\Q"), fs, F.lit("\\E)[^\\r]")
-    )
+    # the first segment's 4th character is the separator by definition, so
+    # only segments after a "\\r" can break the rule
+    bad_segment = F.concat(F.lit("\\r[^\\r]{3}(?!\\Q"), fs, F.lit("\\E)[^\\r]"))
     n_sep = F.length(msg) - F.length(F.replace(msg, fs, F.lit("")))
     return (
         msg.startswith("MSH")
