@@ -38,3 +38,16 @@ def test_latest_uses_partial_aggregation(spark):
     df = spark.createDataFrame([("a", 1, 0, 1)], "message_ref_id string, v int, partition int, offset long")
     p = plan(latest(df))
     assert "partial_max_by" in p
+
+
+def test_spread_widens_only_narrow_scans(spark, tmp_dir):
+    from labwire.operators.parse import spread
+
+    spark.range(1000).coalesce(1).write.parquet(f"{tmp_dir}/one")
+    narrow = spark.read.parquet(f"{tmp_dir}/one")
+    assert narrow.rdd.getNumPartitions() == 1
+    assert spread(narrow, 6).rdd.getNumPartitions() == 6
+    spark.range(1000).repartition(8).write.parquet(f"{tmp_dir}/many")
+    wide = spark.read.parquet(f"{tmp_dir}/many")
+    assert spread(wide, 4) is wide  # no extra shuffle
+    assert spread(narrow, None) is narrow
