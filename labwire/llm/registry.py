@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from labwire.llm import decontaminate
+from labwire.llm import decontaminate, quality, toxicity
 
 QUERIES = {
     "op1_winnowing": decontaminate.op1,
+    "op3_conv_toxicity": toxicity.op3,
+    "op4_risk_cutoffs": quality.op4,
 }
 
 ORACLE = {
