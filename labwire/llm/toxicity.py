@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from labwire.llm import common as c
 
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 8_000
 SAMPLE_CHARS = 20_000
 CUTOFF = 0.3
 MIN_TOXIC = 20
