@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from labwire.llm import bitpack, decontaminate, packing, quality, toxicity
+from labwire.llm import bitpack, decontaminate, jaccard, packing, quality, toxicity
 
 QUERIES = {
     "op1_winnowing": decontaminate.op1,
     "op3_conv_toxicity": toxicity.op3,
     "op4_risk_cutoffs": quality.op4,
     "op5_sum_of_squares_packing": packing.op5,
+    "op6_count_rtree": jaccard.op6,
     "op10_bit_packing": bitpack.op10,
 }
 
