@@ -201,7 +201,24 @@ def lists(values: pa.Array, counts: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(off), values)
 
 
-def schema_of(fields: str):
-    from pyspark.sql.types import StructType
-
-    return StructType.fromDDL(fields)
+#: Bits of a bitmap: 16 for each value, between 2^20 and 2^27 (16 MB).
+MIN_BITS, MAX_BITS = 20, 27
+
+
+def bitmap(df: DataFrame, column: str) -> tuple[np.ndarray, int]:
+    """(bits, log2 of their number) with the low bits of each value of a bigint
+    column set; gathered as at most 2^MAX_BITS / 64 words, whatever ``df`` holds."""
+    n = df.count()
+    log2 = min(MAX_BITS, max(MIN_BITS, int(np.ceil(np.log2(max(1, n) * 16)))))
+    low = F.col(column).bitwiseAND((1 << log2) - 1)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), low.bitwiseAND(63).cast("int"))
+    got = df.select(F.shiftright(low, 6).cast("int").alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    bits = np.zeros(1 << (log2 - 6), np.uint64)
+    bits[got.column("w").to_numpy()] = got.column("b").to_numpy().view(np.uint64)
+    return bits, log2
+
+
+def in_bitmap(bits: np.ndarray, log2: int, values: np.ndarray) -> np.ndarray:
+    """Whether each (unsigned) value may be one of the bitmap's."""
+    low = values & np.uint64((1 << log2) - 1)
+    return (bits[low >> np.uint64(6)] >> (low & np.uint64(63))) & np.uint64(1) == 1

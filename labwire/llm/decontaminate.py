@@ -13,7 +13,7 @@ An item of fewer than ``window`` words is one window of its own length: its
 fingerprint is the hash of the whole item (a winnowing window of one).
 
 Only fingerprints that pass a bitmap of the items' fingerprints leave the
-map tasks.  The bitmap has at most ``MAX_BITS`` bits whatever the items are;
+map tasks.  The bitmap has at most ``common.MAX_BITS`` bits whatever the items are;
 a full one only lets more rows through to the join, which decides.
 
 Defined results: a null or empty text has no words; items without words, or
@@ -32,8 +32,6 @@ from labwire.llm import common as c
 
 GRAM = 5
 WINDOW = 13
-#: Bits of the prefilter: 16 per fingerprint, between 2^20 and 2^27 (16 MB).
-MIN_BITS, MAX_BITS = 20, 27
 #: A document is contaminated when hit words reach this share (1 in 20).
 ONE_IN = 20
 
@@ -115,32 +113,19 @@ def item_fingerprints(items: DataFrame, gram: int, window: int) -> DataFrame:
         run, "k int, fp bigint, ctx array<string>, item_id bigint, long boolean")
 
 
-def _bitmap(fps: DataFrame) -> tuple[np.ndarray, int]:
-    """(bits, log2 of their number), gathered as at most 2^MAX_BITS / 64 words."""
-    n = fps.count()
-    log2 = min(MAX_BITS, max(MIN_BITS, int(np.ceil(np.log2(max(1, n) * 16)))))
-    low = F.col("fp").bitwiseAND((1 << log2) - 1)
-    got = (fps.select(F.shiftright(low, 6).cast("int").alias("w"), F.call_function("shiftleft", F.lit(1).cast("bigint"), low.bitwiseAND(63).cast("int")).alias("b"))
-           .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())
-    bits = np.zeros(1 << (log2 - 6), np.uint64)
-    bits[got.column("w").to_numpy()] = got.column("b").to_numpy().view(np.uint64)
-    return bits, log2
-
-
 def contaminated(docs: DataFrame, items: DataFrame, gram: int = GRAM, window: int = WINDOW, one_in: int = ONE_IN) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): n_words, n_hit, n_items, items_sha256, contaminated."""
     spark = docs.sparkSession
     fps = c.staged(item_fingerprints(items, gram, window), "items")
-    bits, log2 = _bitmap(fps)
+    bits, log2 = c.bitmap(fps, "fp")
     short = sorted(r[0] for r in fps.filter("not long").select("k").distinct().collect())  # fewer than `window`
-    shared = spark.sparkContext.broadcast(bits)  # at most 2^MAX_BITS bits
+    shared = spark.sparkContext.broadcast(bits)  # of bounded size
 
     def run(batches):
         bits = shared.value
 
         def known(fp):
-            low = fp & np.uint64((1 << log2) - 1)
-            return (bits[low >> np.uint64(6)] >> (low & np.uint64(63))) & np.uint64(1) == 1
+            return c.in_bitmap(bits, log2, fp)
 
         for whole in batches:
             for b in c.slices(whole, "text"):

@@ -22,7 +22,8 @@ sets with similarity of at least ``num / den`` that matters for components:
    point; points are bulk-loaded into an R-tree.  The overlap of two sets is
    at most the sum over coordinates of the smaller count; of two nodes, of
    the smaller upper corner.  Node pairs and then point pairs below the
-   needed overlap, or of one component, are dropped.  Blocks of more than
+   needed overlap, or of one component, are dropped.  The pairs with the best
+   bounds are verified first; what they join needs no more pairs.  Blocks of more than
    ``TILE`` sets are split into tiles, and each pair of tiles is a task's
    group, so no group grows with the data and no pair is lost.
 6. The surviving pairs are verified on the whole sets; components follow from
@@ -38,6 +39,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,9 +48,13 @@ from labwire.llm.components import components
 
 SHINGLE = 5
 NUM, DEN = 75, 100
-GROUPS = 64
+GROUPS = 256
 TILE = 4096
 FANOUT = 16
+#: Pairs of nodes or points tested at once.
+CHUNK = 10_000
+#: Partners each set is first verified against in a block, best bounds first.
+BEST = 2
 #: Scan bytes whose shingles make about one bucket.
 BUCKET_BYTES = 8 << 20
 
@@ -92,27 +98,31 @@ def _blobs(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(off), pa.py_buffer(np.ascontiguousarray(values))])
 
 
-SENT = ("bucket int, key bigint, doc_id bigint, n bigint, d1 bigint, d2 bigint, shared bigint, "
+SENT = ("bucket int, sid bigint, key bigint, doc_id bigint, n bigint, d1 bigint, d2 bigint, shared bigint, "
         "runs binary, lengths binary, once binary, more binary")
 
 
 def send_hashes(docs: DataFrame, log_buckets: int, k: int) -> DataFrame:
     """Rows of two kinds: each document (key, n, digest, shingles known to be
-    shared inside its slice); for each slice and bucket, the hashes seen in one
-    document (``once``, with ``runs`` of documents) and in ``more``."""
+    shared inside its slice); for each slice ``sid`` and bucket, the hashes seen
+    in one document (``once``, with ``runs`` of documents) and in ``more``."""
     names = [f.split()[0] for f in SENT.split(", ")]
     n_buckets = 1 << log_buckets
 
     def run(batches):
+        from pyspark import TaskContext
+
+        sid = TaskContext.get().partitionId() << 32
         for whole in batches:
             for b in c.slices(whole, "text"):
+                sid += 1
                 keys = b.column("key").to_numpy()
                 h, text = shingle_sets(b.column("text"), k)
                 counts = np.bincount(text, minlength=b.num_rows)
                 again = pd.Series(h).duplicated(keep=False).to_numpy()
                 nulls = pa.nulls(b.num_rows, pa.binary())
                 yield pa.RecordBatch.from_arrays([
-                    pa.array((keys & (n_buckets - 1)).astype(np.int32)), pa.array(keys), b.column("doc_id"), pa.array(counts),
+                    pa.array((keys & (n_buckets - 1)).astype(np.int32)), pa.array(np.full(b.num_rows, sid)), pa.array(keys), b.column("doc_id"), pa.array(counts),
                     pa.array(_sums(c.mix(h), counts).view(np.int64)), pa.array(_sums(c.mix(h ^ _U(0x5851F42D4C957F2D)), counts).view(np.int64)),
                     pa.array(np.bincount(text[again], minlength=b.num_rows)), nulls, nulls, nulls, nulls], names)
                 if not len(h):
@@ -131,7 +141,7 @@ def send_hashes(docs: DataFrame, log_buckets: int, k: int) -> DataFrame:
                 used = np.flatnonzero(per[1] + per[2])
                 zero = pa.nulls(len(used), pa.int64())
                 cols = [_blobs(keys[ot[new]], per[0]), _blobs(lengths.astype(np.int32), per[0]), _blobs(value[one], per[1]), _blobs(value[multi], per[2])]
-                yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32))] + [zero] * 6 + [x.take(pa.array(used)) for x in cols], names)
+                yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(np.full(len(used), sid))] + [zero] * 6 + [x.take(pa.array(used)) for x in cols], names)
 
     return docs.select("doc_id", "text", _key()).mapInArrow(run, SENT)
 
@@ -140,25 +150,46 @@ def _key():
     return F.xxhash64("doc_id", "text").alias("key")
 
 
+COUNTED = "sid bigint, key bigint, doc_id bigint, n bigint, d1 bigint, d2 bigint, shared bigint, runs binary, counts binary"
+
+
 def count_shared(table: pa.Table) -> pa.Table:
-    """Of one bucket: the document rows, and for each document how many of its
-    hashes in the bucket some other document has."""
-    is_doc = pa.compute.is_valid(table.column("key"))
-    out = [table.filter(is_doc).select(["key", "doc_id", "n", "d1", "d2", "shared"])]
-    rest = table.filter(pa.compute.invert(is_doc))
+    """Of one bucket: the document rows; for each slice, the documents with hashes
+    in the bucket that some other document has, and how many."""
+    is_doc = pc.is_valid(table.column("key"))
+    docs = table.filter(is_doc).select(["sid", "key", "doc_id", "n", "d1", "d2", "shared"])
+    none = pa.nulls(docs.num_rows, pa.binary())
+    out = [docs.append_column("runs", none).append_column("counts", none)]
+    rest = table.filter(pc.invert(is_doc))
     if rest.num_rows:
-        raw = {k: c.text_bytes(rest.column(k))[0].tobytes() for k in ("runs", "lengths", "once", "more")}
-        once, more = np.frombuffer(raw["once"], np.uint32), np.frombuffer(raw["more"], np.uint32)
+        raw = {k: c.text_bytes(rest.column(k)) for k in ("runs", "lengths", "once", "more")}
+        once, more = (np.frombuffer(raw[k][0].tobytes(), np.uint32) for k in ("once", "more"))
         again = pd.Series(np.concatenate([once, more])).duplicated(keep=False).to_numpy()[: len(once)]
-        bounds = np.concatenate([[0], np.cumsum(np.frombuffer(raw["lengths"], np.int32))]).astype(np.int64)
-        got = c.per_text(again, bounds)
+        lengths = np.frombuffer(raw["lengths"][0].tobytes(), np.int32)
+        got = c.per_text(again, np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64))
         hot = np.flatnonzero(got)
-        none = pa.nulls(len(hot), pa.int64())
-        out.append(pa.table({"key": pa.array(np.frombuffer(raw["runs"], np.int64)[hot]), "doc_id": none, "n": none, "d1": none, "d2": none,
-                             "shared": pa.array(got[hot])}))
+        per = np.bincount(np.searchsorted(raw["runs"][1], hot * 8, "right") - 1, minlength=rest.num_rows)
+        zero = pa.nulls(rest.num_rows, pa.int64())
+        out.append(pa.table(
+            [rest.column("sid")] + [zero] * 6 + [_blobs(np.frombuffer(raw["runs"][0].tobytes(), np.int64)[hot], per), _blobs(got[hot].astype(np.int32), per)],
+            [f.split()[0] for f in COUNTED.split(", ")]))
     return pa.concat_tables(out)
 
 
+def add_shared(table: pa.Table) -> pa.Table:
+    """Of one slice: its document rows with the counts of all buckets added."""
+    is_doc = pc.is_valid(table.column("key"))
+    docs, rest = table.filter(is_doc), table.filter(pc.invert(is_doc))
+    keys = docs.column("key").to_numpy()
+    names, at = np.unique(keys, return_inverse=True)
+    total = np.zeros(len(names), np.int64)
+    runs = np.frombuffer(c.text_bytes(rest.column("runs"))[0].tobytes(), np.int64)
+    counts = np.frombuffer(c.text_bytes(rest.column("counts"))[0].tobytes(), np.int32)
+    np.add.at(total, np.searchsorted(names, runs), counts)
+    shared = pa.array(docs.column("shared").to_numpy() + total[at])
+    return docs.select(["key", "doc_id", "n", "d1", "d2"]).append_column("shared", shared)
+
+
 def needed(a, b, num: int = NUM, den: int = DEN):
     """Least overlap of two sets of sizes ``a`` and ``b`` that are linked."""
     return -(-(num * (a + b)) // (num + den))
@@ -177,8 +208,8 @@ def _levels(vec: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, list]:
 
 
 def tree_pairs(vec: np.ndarray, size: np.ndarray, group: np.ndarray, side: np.ndarray | None = None, num: int = NUM, den: int = DEN):
-    """Chunks of index pairs whose bound reaches the needed overlap and whose ``group`` differs
-    (and, if given, whose ``side`` differs).  Bound: sum of the smaller coordinates."""
+    """Chunks of index pairs, and by how much their bound exceeds the needed overlap, whose
+    ``group`` differs (and, if given, whose ``side`` differs).  Bound: sum of the smaller coordinates."""
     order, levels = _levels(vec.astype(np.int32), size)
     group = group[order]
     side = None if side is None else side[order]
@@ -188,32 +219,32 @@ def tree_pairs(vec: np.ndarray, size: np.ndarray, group: np.ndarray, side: np.nd
         keep = den * hi[i] >= num * lo[j]
         keep &= den * hi[j] >= num * lo[i]
         i, j = i[keep], j[keep]
-        least = np.minimum(up[i], up[j]).sum(1)
-        keep = least >= needed(lo[i], lo[j], num, den)
-        return i[keep], j[keep]
+        slack = np.minimum(up[i], up[j]).sum(1) - needed(lo[i], lo[j], num, den)
+        keep = slack >= 0
+        return i[keep], j[keep], slack[keep]
 
     top = len(levels) - 1
     i, j = np.triu_indices(len(levels[top][0]))
     work = [(top, i, j)]
     while work:  # depth first, in bounded chunks
         level, i, j = work.pop()
-        if len(i) > 20_000:
-            work += [(level, i[s:s + 20_000], j[s:s + 20_000]) for s in range(0, len(i), 20_000)]
+        if len(i) > CHUNK:
+            work += [(level, i[s:s + CHUNK], j[s:s + CHUNK]) for s in range(0, len(i), CHUNK)]
             continue
         if level == 0:
             keep = (i < j) & (group[i] != group[j])
             if side is not None:
                 keep &= side[i] != side[j]
-            i, j = passing(0, i[keep], j[keep])
+            i, j, slack = passing(0, i[keep], j[keep])
             if len(i):
-                yield order[i], order[j]
+                yield order[i], order[j], slack
             continue
-        i, j = passing(level, i, j)
+        i, j, _ = passing(level, i, j)
         n = len(levels[level - 1][0])
         grid = np.arange(FANOUT)
-        for s in range(0, len(i), 256):
-            a = (i[s:s + 256, None, None] * FANOUT + grid[None, :, None]) + 0 * grid[None, None, :]
-            z = (j[s:s + 256, None, None] * FANOUT + grid[None, None, :]) + 0 * grid[None, :, None]
+        for s in range(0, len(i), 64):
+            a = (i[s:s + 64, None, None] * FANOUT + grid[None, :, None]) + 0 * grid[None, None, :]
+            z = (j[s:s + 64, None, None] * FANOUT + grid[None, None, :]) + 0 * grid[None, :, None]
             a, z = a.ravel(), z.ravel()
             ok = (a < n) & (z < n) & (a <= z)
             work.append((level - 1, a[ok], z[ok]))
@@ -228,6 +259,45 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             .filter(den * F.col("both") >= num * (F.size("hu") + F.size("hv") - F.col("both"))).select("u", "v"))
 
 
+def _block_pairs(prefix: DataFrame, part: DataFrame, vectors: DataFrame, best: int | None, num: int, den: int, tile: int) -> DataFrame:
+    """Distinct pairs (u > v) of different components that share a block and pass the
+    R-tree's bound; with ``best``, only so many of each set in a block."""
+    placed = prefix.join(part.withColumnRenamed("node", "key"), "key", "left").withColumn("part", F.coalesce("component", "key")).drop("component")
+    blocks = (
+        placed.groupBy("h").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("m"),
+                                F.sum(F.xxhash64("key").cast("decimal(20,0)")).alias("sign"))
+        .filter("lo <> hi").groupBy("m", "sign").agg(F.min("h").alias("h"))  # blocks of the same sets once
+        .withColumn("tiles", F.ceil(F.col("m") / tile).cast("int")).select("h", "tiles")
+    )
+    own = F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int")
+    dealt = (
+        placed.join(blocks, "h").withColumn("own", own)
+        .select("h", "key", "n", "part", "own", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
+        .select("h", "key", "n", "part", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    )
+
+    def search(table: pa.Table) -> pa.Table:
+        vec = np.frombuffer(c.text_bytes(table.column("vec"))[0].tobytes(), np.uint32).reshape(-1, GROUPS)
+        key = table.column("key").to_numpy()
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        side = table.column("own").to_numpy() if i != j else None
+        got = list(tree_pairs(vec, table.column("n").to_numpy().astype(np.int64), table.column("part").to_numpy(), side, num, den))
+        u, v, slack = (np.concatenate([g[s] for g in got]) if got else np.zeros(0, np.int64) for s in range(3))
+        if best and len(u):
+            u, v, slack = np.concatenate([u, v]), np.concatenate([v, u]), np.concatenate([slack, slack])
+            order = np.lexsort((key[v], -slack, u))
+            u, v = u[order], v[order]
+            first = np.flatnonzero(np.r_[True, u[1:] != u[:-1]])
+            rank = np.arange(len(u)) - np.repeat(first, np.diff(np.r_[first, len(u)]))
+            u, v = u[rank < best], v[rank < best]
+        return pa.table({"u": pa.array(key[u]), "v": pa.array(key[v])})
+
+    return (
+        dealt.join(vectors, "key").groupBy("h", "i", "j").applyInArrow(search, "u bigint, v bigint")
+        .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    )
+
+
 def link(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN, tile: int = TILE) -> DataFrame:
     """One row per row of ``docs``: doc_id, key (of id and text), n_shingles, component
     (a key), component_id (its least doc_id)."""
@@ -235,20 +305,25 @@ def link(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN, tile
     scan = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     want = docs.rdd.getNumPartitions() * max(1.0, scan / BUCKET_BYTES)
     log_buckets = min(28, max(3, int(np.ceil(np.log2(want)))))
-    counted = c.staged(
-        send_hashes(docs, log_buckets, k).groupBy("bucket").applyInArrow(
-            count_shared, "key bigint, doc_id bigint, n bigint, d1 bigint, d2 bigint, shared bigint"), "shared")
-    rows = counted.filter("n is not null")
-    elsewhere = counted.filter("n is null").groupBy("key").agg(F.sum("shared").alias("more"))
+    rows = c.staged(
+        send_hashes(docs, log_buckets, k).groupBy("bucket").applyInArrow(count_shared, COUNTED)
+        .groupBy("sid").applyInArrow(add_shared, "key bigint, doc_id bigint, n bigint, d1 bigint, d2 bigint, shared bigint"), "shared")
 
     # classes of equal sets among documents that may have a partner
-    may = (rows.filter("n > 0").join(elsewhere, "key", "left")
-           .filter(den * (F.col("shared") + F.coalesce("more", F.lit(0))) >= num * F.col("n")))
+    may = rows.filter((F.col("n") > 0) & (den * F.col("shared") >= num * F.col("n")))
     classes = c.staged(
         may.groupBy("d1", "d2", "n").agg(
             F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("rep"), F.min("doc_id").alias("least_id"))
         .select("d1", "d2", "n", F.col("rep.key").alias("rep"), F.col("rep.doc_id").alias("rep_id"), "least_id"), "classes")
 
+    wanted = classes.select(F.col("rep").alias("key"), F.col("rep_id"))
+    bits, log2 = c.bitmap(wanted, "key")
+    shared = spark.sparkContext.broadcast(bits)  # of bounded size; keeps most other texts from the shuffle
+
+    def maybe(batches):
+        for b in batches:
+            yield b.filter(pa.array(c.in_bitmap(shared.value, log2, b.column("key").to_numpy().view(_U))))
+
     def sets_of(batches):
         for whole in batches:
             for b in c.slices(whole, "text"):
@@ -256,8 +331,7 @@ def link(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN, tile
                 yield pa.RecordBatch.from_arrays(
                     [b.column("key"), c.lists(pa.array(h.view(np.int64)), np.bincount(text, minlength=b.num_rows))], ["key", "hashes"])
 
-    wanted = classes.select(F.col("rep").alias("key"), F.col("rep_id"))
-    texts = docs.select("doc_id", "text", _key())
+    texts = docs.select("doc_id", "text", _key()).mapInArrow(maybe, "doc_id bigint, text string, key bigint")
     sets = c.staged(
         texts.join(wanted, (texts.key == wanted.key) & texts.doc_id.eqNullSafe(wanted.rep_id)).select(texts.key, "text")
         .mapInArrow(sets_of, "key bigint, hashes array<bigint>").dropDuplicates(["key"]), "sets")
@@ -279,44 +353,23 @@ def link(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN, tile
     # stars: each set against the least one that it shares a block with
     star = prefix.groupBy("h").agg(F.min("key").alias("v"), F.count("*").alias("m")).filter("m > 1")
     stars = prefix.join(star, "h").groupBy(F.col("key").alias("u")).agg(F.min("v").alias("v")).filter("u <> v")
+    stars = c.staged(stars, "first")
     links = c.staged(_verify(stars, sets, num, den), "stars")
     part = c.staged(components(links), "parts")
 
-    # blocks that still hold different components
-    placed = prefix.join(part.withColumnRenamed("node", "key"), "key", "left").withColumn("part", F.coalesce("component", "key")).drop("component")
-    blocks = (
-        placed.groupBy("h").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("m"),
-                                F.sum(F.xxhash64("key").cast("decimal(20,0)")).alias("sign"))
-        .filter("lo <> hi").groupBy("m", "sign").agg(F.min("h").alias("h"))  # blocks of the same sets once
-        .withColumn("tiles", F.ceil(F.col("m") / tile).cast("int")).select("h", "tiles")
-    )
-    own = F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int")
-    dealt = (
-        placed.join(blocks, "h").withColumn("own", own)
-        .select("h", "key", "n", "part", "own", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-        .select("h", "key", "n", "part", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    )
-    vectors = sets.mapInArrow(_vectors, "key bigint, vec binary")
-
-    def search(table: pa.Table) -> pa.Table:
-        vec = np.frombuffer(c.text_bytes(table.column("vec"))[0].tobytes(), np.uint32).reshape(-1, GROUPS)
-        key = table.column("key").to_numpy()
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        side = table.column("own").to_numpy() if i != j else None
-        got = list(tree_pairs(vec, table.column("n").to_numpy().astype(np.int64), table.column("part").to_numpy(), side, num, den))
-        u, v = (np.concatenate([g[s] for g in got]) if got else np.zeros(0, np.int64) for s in (0, 1))
-        return pa.table({"u": pa.array(key[u]), "v": pa.array(key[v])})
-
-    found = (
-        dealt.join(vectors, "key").groupBy("h", "i", "j").applyInArrow(search, "u bigint, v bigint")
-        .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    )
-    more = c.staged(_verify(found, sets, num, den), "links")
-    final = components(links.union(more))
+    # blocks that still hold different components: first the best bounds, then all that is left
+    vectors = c.staged(sets.mapInArrow(_vectors, "key bigint, vec binary"), "vectors")
+    tested = stars
+    for best in (BEST, None):
+        found = _block_pairs(prefix, part, vectors, best, num, den, tile)
+        found = c.staged(found.join(tested, ["u", "v"], "left_anti"), "pairs")
+        links = c.staged(links.union(_verify(found, sets, num, den)), "links")
+        part = components(links)
+        tested = tested.union(found)
 
     # ids of the components, and back to the rows
     named = (
-        classes.join(final.withColumnRenamed("node", "rep"), "rep", "left")
+        classes.join(part.withColumnRenamed("node", "rep"), "rep", "left")
         .withColumn("component", F.coalesce("component", "rep"))
     )
     named = c.staged(named.select("d1", "d2", "n", "component", "least_id"), "named")
