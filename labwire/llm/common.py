@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 from labwire.session import checkpoint_dir
 
 #: Text bytes worked on at once in a task; a longer text is one slice of its own.
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 2 << 20
+#: Rows of an Arrow batch (whole texts travel in them), unless the session says otherwise.
+BATCH_ROWS = 1000
 
 _U = np.uint64
 _ALL = np.arange(256)
@@ -34,7 +36,14 @@ ALNUM = ((_ALL >= 48) & (_ALL <= 57)) | ((_ALL >= 97) & (_ALL <= 122)) | (_ALL >
 NOT_NEWLINE = _ALL != 10
 
 
+def prepare(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
