@@ -49,14 +49,14 @@ from labwire.llm.components import components
 SHINGLE = 5
 NUM, DEN = 75, 100
 GROUPS = 256
-TILE = 4096
+TILE = 1024
 FANOUT = 16
 #: Pairs of nodes or points tested at once.
 CHUNK = 10_000
 #: Partners each set is first verified against in a block, best bounds first.
 BEST = 2
 #: Scan bytes whose shingles make about one bucket.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 
 _U = np.uint64
 
