@@ -113,8 +113,9 @@ def item_fingerprints(items: DataFrame, gram: int, window: int) -> DataFrame:
         run, "k int, fp bigint, ctx array<string>, item_id bigint, long boolean")
 
 
-def contaminated(docs: DataFrame, items: DataFrame, gram: int = GRAM, window: int = WINDOW, one_in: int = ONE_IN) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): n_words, n_hit, n_items, items_sha256, contaminated."""
+def contaminated(docs: DataFrame, items: DataFrame, gram: int = GRAM, window: int = WINDOW, one_in: int = ONE_IN,
+                 extra: list[str] = ()) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): columns ``extra``, n_words, n_hit, n_items, items_sha256, contaminated."""
     spark = docs.sparkSession
     fps = c.staged(item_fingerprints(items, gram, window), "items")
     bits, log2 = c.bitmap(fps, "fp")
@@ -153,12 +154,12 @@ def contaminated(docs: DataFrame, items: DataFrame, gram: int = GRAM, window: in
                 else:
                     cand = pa.array([], CAND)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("rid"), b.column("doc_id"), pa.array(words.counts), c.lists(cand, counts)],
-                    ["rid", "doc_id", "n_words", "cands"])
+                    [b.column(x) for x in kept] + [pa.array(words.counts), c.lists(cand, counts)], kept + ["n_words", "cands"])
 
-    found = c.staged(
-        docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
-        .mapInArrow(run, f"rid bigint, doc_id bigint, n_words bigint, cands {CAND_DDL}"), "fingerprints")
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", *extra, "text")
+    kept = rows.columns[:-1]
+    ddl = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in rows.schema.fields[:-1])
+    found = c.staged(rows.mapInArrow(run, f"{ddl}, n_words bigint, cands {CAND_DDL}"), "fingerprints")
     shared.unpersist()
 
     # one row per distinct context: the ids of the items that hold it
@@ -182,8 +183,8 @@ def contaminated(docs: DataFrame, items: DataFrame, gram: int = GRAM, window: in
         "s.n + greatest(0L, x.z - greatest(x.a, s.upto)) as n, greatest(s.upto, x.z) as upto), s -> s.n)")
     by_doc = by_doc.select("rid", covered.alias("n_hit"), F.size("ids").cast("bigint").alias("n_items"), F.concat_ws(",", "ids").alias("ids"))
     return (
-        found.select("rid", "doc_id", "n_words").join(by_doc, "rid", "left")
-        .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
+        found.select(*kept, "n_words").join(by_doc, "rid", "left")
+        .select("doc_id", *extra, "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
                 F.coalesce("n_items", F.lit(0).cast("bigint")).alias("n_items"),
                 F.sha2(F.coalesce("ids", F.lit("")), 256).alias("items_sha256"))
         .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * one_in >= F.col("n_words")))

@@ -199,9 +199,9 @@ def _bin(expr: str, bins: int):
     return F.least(F.floor(F.expr(expr) * bins).cast("int"), F.lit(bins - 1))
 
 
-def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", bins: int = BINS, **risk) -> DataFrame:
-    """One row per row of ``docs``: doc_id, the counts, base_failed, failed_rules, kept."""
-    keep = list(dict.fromkeys(["doc_id", stratum]))
+def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", bins: int = BINS, extra: list[str] = (), **risk) -> DataFrame:
+    """One row per row of ``docs``: doc_id, columns ``extra``, the counts, base_failed, failed_rules, kept."""
+    keep = list(dict.fromkeys(["doc_id", stratum, *extra]))
     stats = c.staged(measure(docs, keep), "counts")
     cuts = thresholds(stats, labels, stratum, bins=bins, **risk)
     failed = F.filter(

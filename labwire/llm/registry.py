@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
-from labwire.llm import bitpack, decontaminate, jaccard, packing, quality, toxicity
+import corpus_pipeline
+from labwire.llm import bitpack, chat, decontaminate, jaccard, packing, quality, toxicity, warczip
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_winnowing": decontaminate.op1,
     "op3_conv_toxicity": toxicity.op3,
     "op4_risk_cutoffs": quality.op4,
     "op5_sum_of_squares_packing": packing.op5,
     "op6_count_rtree": jaccard.op6,
+    "op8_prefix_targets": chat.op8,
+    "op9_zip_warc": warczip.op9,
     "op10_bit_packing": bitpack.op10,
 }
 
 ORACLE = {
     "op1_winnowing": decontaminate.ORACLE,
+    "op8_prefix_targets": chat.ORACLE,
+    "op9_zip_warc": warczip.ORACLE,
 }
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
