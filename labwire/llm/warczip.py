@@ -1,7 +1,7 @@
 """WARC records in ZIP packages, read by range.
 
 A package is a ZIP file with stored (uncompressed) members: an archive of
-WARC 1.1 records, and an index with one line per record (offset and length in
+WARC 1.1 records, each a gzip member of its own, and an index with one line per record (offset and length in
 the archive, page id).  The reader parses the end record, the ZIP64 locator
 and end record where fields overflow, the central directory with its ZIP64
 extras, and each member's local header; then records are read by byte range
@@ -23,6 +23,7 @@ never serves as response for others, and revisits like any other row.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import json
 import struct
@@ -40,7 +41,7 @@ from labwire.llm.bitpack import filesystem
 
 MIN_REVISIT = 100
 PACKAGE_BYTES = 32 << 20
-ARCHIVE, INDEX = "archive/data.warc", "indexes/index.cdxj"
+ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 #: Bytes of neighbouring records that are read at once.
 READ_BYTES = 4 << 20
 DATE = "2024-01-01T00:00:00Z"
@@ -214,7 +215,7 @@ def write(pages: DataFrame, folder: str, package_bytes: int = PACKAGE_BYTES, zip
         for b in batches:
             for r in b.to_pylist():
                 payload = b"" if r["refers_to"] is not None else r["html"].encode()
-                raw = record(r["page_id"], r["url"], payload, r["digest"], r["refers_to"], r["size"])
+                raw = gzip.compress(record(r["page_id"], r["url"], payload, r["digest"], r["refers_to"], r["size"]), 6, mtime=0)
                 records.append(raw)
                 index.append(json.dumps({"offset": at, "length": len(raw), "page_id": r["page_id"]}) + "\n")
                 at += len(raw)
@@ -240,7 +241,7 @@ def records_of(package: Package):
         last = lines[j - 1]
         raw = package.read(at + first, last["offset"] + last["length"] - first)
         for x in lines[i:j]:
-            yield parse(raw[x["offset"] - first:x["offset"] - first + x["length"]])
+            yield parse(gzip.decompress(raw[x["offset"] - first:x["offset"] - first + x["length"]]))
         i = j
 
 
