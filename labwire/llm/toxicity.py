@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from labwire.llm import common as c
 
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 6_000
 SAMPLE_CHARS = 20_000
 CUTOFF = 0.3
 MIN_TOXIC = 20
@@ -101,53 +101,55 @@ class Model:
         act = np.tanh(pooled(responses(emb, self.conv, words.codes, words), len(words.counts)))
         return act @ self.out + self.bias
 
+    def raw(self, texts: pa.Array) -> np.ndarray:
+        """Logits of many texts, a batch at a time."""
+        parts = [self.logits(c.split_words(texts.slice(i, BATCH), c.ALNUM, lower=True)) for i in range(0, len(texts), BATCH)]
+        return np.concatenate(parts) if parts else np.zeros(0)
+
     def scores(self, col) -> np.ndarray:
         a, b = self.scale
-        return sigmoid(a * self.logits(c.split_words(col, c.ALNUM, lower=True)) + b)
+        return sigmoid(a * self.raw(col) + b)
 
-    def start(self, words: c.Words, y: np.ndarray) -> None:
+    def start(self, texts: pa.Array, y: np.ndarray) -> None:
         """Start from each row's shrunk log-odds, one dimension for each part."""
-        rows, text = word_rows(words.vocab), words.text_of
         base = y.mean()
+        n, pos = np.zeros(len(PARTS) * ROWS), np.zeros(len(PARTS) * ROWS)
+        for i in range(0, len(y), BATCH):
+            words = c.split_words(texts.slice(i, BATCH), c.ALNUM, lower=True)
+            rows, text = word_rows(words.vocab)[words.codes], words.text_of
+            for j in range(len(PARTS)):
+                once = np.unique(text * len(n) + rows[:, j])  # a text counts once
+                n += np.bincount(once % len(n), minlength=len(n))
+                pos += np.bincount(once % len(n), weights=y[i + once // len(n)], minlength=len(n))
+        p = np.clip((pos + SHRINK * base) / (n + SHRINK), 1e-3, 1 - 1e-3)
+        odds = np.log(p / (1 - p)) - np.log(base / (1 - base))
         for i in range(len(PARTS)):
-            row = rows[words.codes, i] - i * ROWS
-            once = np.unique(text * ROWS + row)  # a text counts once
-            r, t = once % ROWS, once // ROWS
-            n, pos = np.bincount(r, minlength=ROWS), np.bincount(r, weights=y[t], minlength=ROWS)
-            p = (pos + SHRINK * base) / (n + SHRINK)
-            p = np.clip(p, 1e-3, 1 - 1e-3)
-            self.table[i * ROWS:(i + 1) * ROWS, i] = np.log(p / (1 - p)) - np.log(base / (1 - base))
+            self.table[i * ROWS:(i + 1) * ROWS, i] = odds[i * ROWS:(i + 1) * ROWS]
             self.conv[0][0, :, i] = 0
             self.conv[0][0, i, i] = 0.5
             self.out[i] = 1.0
         self.bias = float(np.log(base / (1 - base)))
 
     def train(self, texts: pa.Array, y: np.ndarray, seed: int = 7) -> None:
-        words = c.split_words(texts, c.ALNUM, lower=True)
-        self.start(words, y)
-        rows = word_rows(words.vocab)
+        self.start(texts, y)
         g = np.random.default_rng(seed)
         square = {"table": np.full(self.table.shape[0], 1e-2, np.float32), "out": np.full(self.out.shape, 1e-2), "bias": 1e-2,
                   "conv": [np.full(w.shape, 1e-2, np.float32) for w in self.conv]}
         for _ in range(EPOCHS):
             order = g.permutation(len(y))
             for i in range(0, len(y), BATCH):
-                self._step(words, rows, np.sort(order[i:i + BATCH]), y, square)
+                docs = np.sort(order[i:i + BATCH])
+                self._step(c.split_words(texts.take(pa.array(docs)), c.ALNUM, lower=True), y[docs], square)
 
-    def _step(self, words, rows, docs, y, square) -> None:
-        counts = words.counts[docs]
-        bounds = np.concatenate([[0], np.cumsum(counts)])
-        if not bounds[-1]:
+    def _step(self, words: c.Words, y: np.ndarray, square: dict) -> None:
+        if not len(words.codes):
             return
-        pos = np.arange(bounds[-1]) + np.repeat(words.bounds[docs] - bounds[:-1], counts)
-        used, codes = np.unique(words.codes[pos], return_inverse=True)
-        part = c.Words(codes, words.vocab, bounds)
-        own = rows[used]
+        own, codes = word_rows(words.vocab), words.codes
         emb = self.table[own].sum(1)
-        parts = responses(emb, self.conv, codes, part)
-        top = pooled(parts, len(docs))
+        parts = responses(emb, self.conv, codes, words)
+        top = pooled(parts, len(y))
         act = np.tanh(top)
-        delta = ((sigmoid(act @ self.out + self.bias) - y[docs]) / len(docs)).astype(np.float32)
+        delta = ((sigmoid(act @ self.out + self.bias) - y) / len(y)).astype(np.float32)
         d_top = delta[:, None] * self.out[None, :] * (1 - act * act)
         d_emb = np.zeros_like(emb)
         for i, (at, text, r) in enumerate(parts):
@@ -172,8 +174,7 @@ class Model:
         hot = np.flatnonzero(np.abs(d_emb).sum(1))
         if len(hot):
             grad = np.repeat(d_emb[hot], len(PARTS), axis=0)
-            flat = own[hot].ravel()
-            r, inv = np.unique(flat, return_inverse=True)
+            r, inv = np.unique(own[hot].ravel(), return_inverse=True)
             total = np.zeros((len(r), DIM), np.float32)
             np.add.at(total, inv, grad)
             square["table"][r] += (total**2).mean(1)
@@ -231,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out, sample_rows: int = SAMPLE_
     if not aside.any():
         aside[:] = True
     held = texts.filter(pa.array(aside))
-    model.calibrate(model.logits(c.split_words(held, c.ALNUM, lower=True)), y[aside])
+    model.calibrate(model.raw(held), y[aside])
     score, lang = model.scores(held), np.array(rows.column("lang").to_pylist())[aside]
     cuts = {"": best_threshold(score, y[aside])}
     for k in np.unique(lang):
