@@ -165,7 +165,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end: int = END, file_ids
     if parts > 1:
         rows = rows.repartitionByRange(parts, F.asc_nulls_first("doc_id"))
     rows = rows.sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
-    manifest = c.staged(rows.mapInArrow(run, "part bigint, file bigint, path string, n_ids bigint, n_docs bigint"), "manifest")
+    manifest = c.staged(rows.mapInArrow(c.task(run), "part bigint, file bigint, path string, n_ids bigint, n_docs bigint"), "manifest")
     # ids before each partition: one number for each of them
     total = sorted(manifest.groupBy("part").agg(F.sum("n_ids").alias("n")).collect())
     before = np.concatenate([[0], np.cumsum([r["n"] for r in total])]).tolist()
@@ -194,7 +194,7 @@ def read_back(manifest: DataFrame, folder: str, run_ids: int = 1 << 20) -> DataF
                         ["doc_id", "start", "n_tokens", "ids_crc32"])
                 r.close()
 
-    return manifest.select("path", "start").mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return manifest.select("path", "start").mapInArrow(c.task(run), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def op10(spark, sf_dir: str) -> DataFrame:

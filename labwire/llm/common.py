@@ -8,6 +8,7 @@ word, and the result is exact (words are compared as bytes).
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -66,6 +67,27 @@ def drop_staged(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release() -> None:
+    """Give freed memory back to the system: Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def task(run):
+    """``run`` (batches -> batches) for mapInArrow, followed by :func:`release`."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
 def crc_mod(col: str, m: int):
     """crc32 of the id as text, modulo ``m`` (null id: of the empty text)."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % m

@@ -110,7 +110,7 @@ def item_fingerprints(items: DataFrame, gram: int, window: int) -> DataFrame:
                          pa.array(np.full(len(fp), is_long))], ["k", "fp", "ctx", "item_id", "long"])
 
     return items.select("item_id", "text").filter("item_id is not null").mapInArrow(
-        run, "k int, fp bigint, ctx array<string>, item_id bigint, long boolean")
+        c.task(run), "k int, fp bigint, ctx array<string>, item_id bigint, long boolean")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, gram: int = GRAM, window: int = WINDOW, one_in: int = ONE_IN,
@@ -159,7 +159,7 @@ def contaminated(docs: DataFrame, items: DataFrame, gram: int = GRAM, window: in
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", *extra, "text")
     kept = rows.columns[:-1]
     ddl = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in rows.schema.fields[:-1])
-    found = c.staged(rows.mapInArrow(run, f"{ddl}, n_words bigint, cands {CAND_DDL}"), "fingerprints")
+    found = c.staged(rows.mapInArrow(c.task(run), f"{ddl}, n_words bigint, cands {CAND_DDL}"), "fingerprints")
     shared.unpersist()
 
     # one row per distinct context: the ids of the items that hold it

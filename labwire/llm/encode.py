@@ -23,11 +23,11 @@ import pyarrow.compute as pc
 from labwire.llm import common as c
 
 #: Chunks a worker keeps between slices.
-CACHE = 500_000
+CACHE = 250_000
 #: Joined chunks are encoded in texts of about this many bytes.
 TEXT = 1 << 15
 #: Text bytes encoded at once.
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 _ALL = np.arange(256)
 _SPACE = ~c.NOT_SPACE

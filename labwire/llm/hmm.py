@@ -106,7 +106,7 @@ def count_words(docs: DataFrame) -> DataFrame:
         if texts:
             yield from rows(np.array([END], _U), np.array([-1]), np.array([texts]))
 
-    return docs.select("text").mapInArrow(run, "h bigint, ending int, n bigint").groupBy("h").agg(
+    return docs.select("text").mapInArrow(c.task(run), "h bigint, ending int, n bigint").groupBy("h").agg(
         F.min("ending").alias("ending"), F.sum("n").alias("n"))
 
 
@@ -206,7 +206,7 @@ def prepare(docs: DataFrame, vocabulary) -> DataFrame:
                     pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(off), pa.py_buffer(seq)]),
                     c.lists(tail, np.bincount(rt, minlength=rows))], [f.split()[0] for f in PREPARED.split(", ")])
 
-    return docs.mapInArrow(run, PREPARED)
+    return docs.mapInArrow(c.task(run), PREPARED)
 
 
 class Hmm:
@@ -353,7 +353,7 @@ def train(prepared: DataFrame, vocabulary: Vocabulary, states: int = STATES, rou
                 for i in range(0, len(at), 10_000):
                     yield pa.RecordBatch.from_arrays([pa.array(at[i:i + 10_000].astype(np.int32)), pa.array(flat[at[i:i + 10_000]])], ["at", "x"])
 
-        sums = prepared.select("classes").mapInArrow(run, "at int, x double").groupBy("at").agg(F.sum("x").alias("x")).toArrow()
+        sums = prepared.select("classes").mapInArrow(c.task(run), "at int, x double").groupBy("at").agg(F.sum("x").alias("x")).toArrow()
         flat = np.zeros(states + states * states + g * states)  # as many rows at most reach the driver
         flat[sums.column("at").to_numpy()] = sums.column("x").to_numpy()
         hmm.update(flat[:states], flat[states:states + states**2].reshape(states, states), flat[states + states**2:].reshape(g, states))
@@ -378,7 +378,7 @@ def score(docs: DataFrame, held_out, states: int = STATES, rounds: int = ROUNDS)
                 seq, bounds = _sequences(b.column("classes"))
                 yield pa.RecordBatch.from_arrays([b.column("rid"), pa.array(likelihood(hmm.value, seq, bounds) / math.log(10))], ["rid", "states"])
 
-    states_score = prepared.select("rid", "classes").mapInArrow(run, "rid bigint, states double")
+    states_score = prepared.select("rid", "classes").mapInArrow(c.task(run), "rid bigint, states double")
 
     # the words outside the head: joined with their counts
     rare = counts.filter((F.col("ending") >= 0) & (F.floor(F.log2(F.col("n").cast("double")) * 8).cast("int") < vocabulary.head_level)).select("h", "n")

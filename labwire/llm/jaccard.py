@@ -143,7 +143,7 @@ def send_hashes(docs: DataFrame, log_buckets: int, k: int) -> DataFrame:
                 cols = [_blobs(keys[ot[new]], per[0]), _blobs(lengths.astype(np.int32), per[0]), _blobs(value[one], per[1]), _blobs(value[multi], per[2])]
                 yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(np.full(len(used), sid))] + [zero] * 6 + [x.take(pa.array(used)) for x in cols], names)
 
-    return docs.select("doc_id", "text", _key()).mapInArrow(run, SENT)
+    return docs.select("doc_id", "text", _key()).mapInArrow(c.task(run), SENT)
 
 
 def _key():
@@ -331,10 +331,10 @@ def link(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN, tile
                 yield pa.RecordBatch.from_arrays(
                     [b.column("key"), c.lists(pa.array(h.view(np.int64)), np.bincount(text, minlength=b.num_rows))], ["key", "hashes"])
 
-    texts = docs.select("doc_id", "text", _key()).mapInArrow(maybe, "doc_id bigint, text string, key bigint")
+    texts = docs.select("doc_id", "text", _key()).mapInArrow(c.task(maybe), "doc_id bigint, text string, key bigint")
     sets = c.staged(
         texts.join(wanted, (texts.key == wanted.key) & texts.doc_id.eqNullSafe(wanted.rep_id)).select(texts.key, "text")
-        .mapInArrow(sets_of, "key bigint, hashes array<bigint>").dropDuplicates(["key"]), "sets")
+        .mapInArrow(c.task(sets_of), "key bigint, hashes array<bigint>").dropDuplicates(["key"]), "sets")
 
     # prefixes: the rarest shingles of each set, by frequency among the representatives
     flat = sets.select("key", F.explode("hashes").alias("h"))
@@ -358,7 +358,7 @@ def link(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN, tile
     part = c.staged(components(links), "parts")
 
     # blocks that still hold different components: first the best bounds, then all that is left
-    vectors = c.staged(sets.mapInArrow(_vectors, "key bigint, vec binary"), "vectors")
+    vectors = c.staged(sets.mapInArrow(c.task(_vectors), "key bigint, vec binary"), "vectors")
     tested = stars
     for best in (BEST, None):
         found = _block_pairs(prefix, part, vectors, best, num, den, tile)

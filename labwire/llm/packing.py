@@ -160,7 +160,7 @@ def pack(docs: DataFrame, tokenizer: str, end: int = END, width: int = WIDTH, ma
             yield flush()
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary")
+        c.task(run), "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary")
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

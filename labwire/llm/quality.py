@@ -130,7 +130,7 @@ def measure(docs: DataFrame, keep: list[str]) -> DataFrame:
 
     kept = docs.select(*keep)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, f"{ddl}, " + ", ".join(f"{k} bigint" for k in COUNTS))
+    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(c.task(run), f"{ddl}, " + ", ".join(f"{k} bigint" for k in COUNTS))
 
 
 def base_failed():

@@ -255,7 +255,7 @@ def score(docs: DataFrame, model: Model | None, cuts: dict, keep: list[str]) ->
 
     kept = docs.select(*keep)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    out = docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, f"{ddl}, score double")
+    out = docs.select(*keep, F.col("text").alias("__text")).mapInArrow(c.task(run), f"{ddl}, score double")
     by_lang = F.lit(cuts[""])
     for k, v in cuts.items():
         if k:

@@ -225,7 +225,7 @@ def write(pages: DataFrame, folder: str, package_bytes: int = PACKAGE_BYTES, zip
             yield flush()
 
     return c.staged(with_references(pages).select("page_id", "url", "html", "digest", "size", "refers_to")
-                    .mapInArrow(run, "path string, records bigint"), "packages")
+                    .mapInArrow(c.task(run), "path string, records bigint"), "packages")
 
 
 def records_of(package: Package):
@@ -273,7 +273,7 @@ def read_records(manifest: DataFrame, folder: str, payload: bool = True) -> Data
                     yield pa.RecordBatch.from_arrays([pa.array(col, k) for col, k in zip(zip(*rows), kinds)], names)
                 package.close()
 
-    return manifest.select("path").mapInArrow(run, READ)
+    return manifest.select("path").mapInArrow(c.task(run), READ)
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
