@@ -23,9 +23,10 @@ LAB_ORDER_SCHEMA = T.StructType(
 LAB_ORDER_COLUMNS = [f.name for f in LAB_ORDER_SCHEMA.fields]
 STORED_COLUMNS = [c for c in LAB_ORDER_COLUMNS if c != "id"]
 
-# JDBC column types for creating the table from Spark (K6).
+# JDBC column types for creating the table from Spark (K6); mfl_code and
+# test_id are unbounded text, the dialect's default for strings.
 JDBC_COLUMN_TYPES = (
-    "mfl_code VARCHAR(1024), order_id VARCHAR(50), test_id VARCHAR(1024), "
+    "order_id VARCHAR(50), "
     "message_ref_id VARCHAR(100), sending_application VARCHAR(25), lab_code VARCHAR(10)"
 )
 

@@ -20,6 +20,7 @@ def to_kafka(dead: DataFrame, bootstrap: str, topic: str = DLQ_TOPIC,
     w.save()
 
 
-def to_files(dead: DataFrame, path: str, batch_id: int) -> None:
-    """One folder per batch id, overwritten on a replay of that batch."""
-    dead.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+def to_files(dead: DataFrame, path: str, batch_id: int, query: str = "default") -> None:
+    """One folder per query (see ``files.query_id``) and batch id, overwritten on a
+    replay of that batch; another query's letters stay."""
+    dead.write.mode("overwrite").parquet(f"{path.rstrip('/')}/query={query}/batch={batch_id}")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import SparkSession
 
 
@@ -33,18 +36,41 @@ def touch(spark: SparkSession, path: str) -> None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Written under another name and renamed, so a crash leaves the old or the new text."""
     fs, p = _fs(spark, path)
-    out = fs.create(p, True)
+    _, own = _fs(spark, path + ".new")
+    out = fs.create(own, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(own, p):
+        raise OSError(f"could not rename {own} to {p}")
+
+
+def any_match(spark: SparkSession, pattern: str) -> bool:
+    fs, p = _fs(spark, pattern)
+    found = fs.globStatus(p)
+    return found is not None and len(found) > 0
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the streaming query that owns a checkpoint: new for each fresh
+    checkpoint, also at the same path.  Without one, a name from the path."""
+    text = read_text(spark, checkpoint.rstrip("/") + "/metadata")
+    if text:
+        return json.loads(text)["id"]
+    return hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
-        return None
+        fs, p = _fs(spark, path + ".new")  # a crash between delete and rename
+        if not fs.exists(p):
+            return None
     stream = fs.open(p)
     try:
         return bytes(stream.readAllBytes()).decode("utf-8")

@@ -10,20 +10,21 @@ Steps per batch:
 3. the touched buckets are read (partition pruning), merged with the batch
    (K1b; new keys numbered after the table's ``max(id)``) and written
    completely to ``_staging/<query>/batch=<id>``;
-4. the staged buckets replace the table's buckets, and the new ``max(id)``
-   is recorded in ``_state`` (one row), so no batch scans the whole table.
+4. the new ``max(id)`` is recorded in ``_state`` (a gap after a crash is
+   harmless, a repeated id is not), then the staged buckets replace the
+   table's buckets, the batch is marked done and its staging copy deleted.
 
 If the job dies during step 4, the re-run of the same batch id finds the
 complete staging copy and repeats step 4 only; if it dies earlier, the table
 is untouched and the batch is recomputed.  Replaying a batch that already
 committed leaves the table unchanged (the upsert is idempotent).  Staging
-folders are keyed by the query (its checkpoint) and the batch id, so a
-redeploy with a fresh checkpoint never reuses another run's staging copy.
+folders are keyed by the query's own id (new for every fresh checkpoint, also
+at the same path) and the batch id, so a redeploy never reuses another run's
+staging copy.  The bucket count is stored with the table; another is refused.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -64,10 +65,20 @@ class TableUpsertSink:
         text = files.read_text(spark, self._state())
         if text and text.strip().isdigit():
             return int(text)
-        if not files.exists(spark, self._committed()):
+        if not self._have_table(spark):
             return 0
         return spark.read.parquet(self.path).agg(F.max("id")).first()[0] or 0
 
+    def _have_table(self, spark) -> bool:
+        return files.any_match(spark, f"{self.path}/bucket=*")
+
+    def _check_buckets(self, spark) -> None:
+        stored = files.read_text(spark, f"{self.path}/_buckets")
+        if stored is None:
+            files.write_text(spark, f"{self.path}/_buckets", str(self.buckets))
+        elif int(stored) != self.buckets:
+            raise ValueError(f"{self.path} has {stored} buckets, not {self.buckets}: keys would be stored twice")
+
     def _record_max_id(self, spark, before: int, staging: str, staged: DataFrame) -> None:
         # ids are dense: the staging copy records the new maximum; a staging
         # copy without it (written by an older version) is scanned instead
@@ -77,8 +88,7 @@ class TableUpsertSink:
 
     def for_query(self, checkpoint: str):
         """The ``foreachBatch``-style merge for the query with this checkpoint."""
-        tag = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
-        return lambda rows, batch_id: self.merge(rows, batch_id, tag)
+        return lambda rows, batch_id: self.merge(rows, batch_id, files.query_id(rows.sparkSession, checkpoint))
 
     def read(self, spark) -> DataFrame:
         return spark.read.parquet(self.path).select("id", self.key, *self.columns)
@@ -86,11 +96,15 @@ class TableUpsertSink:
     def merge(self, rows: DataFrame, batch_id: int, tag: str = "batch") -> None:
         """Upsert ``rows`` (key, columns, partition, offset) as batch ``batch_id``."""
         spark = rows.sparkSession
-        staging = self._staging(tag, batch_id)
+        self._check_buckets(spark)
+        staging, done = self._staging(tag, batch_id), f"{self.path}/_done/{tag}-{batch_id}"
+        if files.exists(spark, done):
+            return  # this batch of this query is in the table
         before = self.max_id(spark)
         if not files.complete(spark, staging):
             self._stage(rows, staging, before)
         staged = spark.read.parquet(staging)
+        self._record_max_id(spark, before, staging, staged)
         (
             staged.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -98,14 +112,14 @@ class TableUpsertSink:
             .parquet(self.path)
         )
         files.touch(spark, self._committed())
-        self._record_max_id(spark, before, staging, staged)
-        # keep the latest staging copy only
-        files.delete(spark, self._staging(tag, batch_id - 1))
+        files.touch(spark, done)
+        files.delete(spark, staging)
+        files.delete(spark, f"{self.path}/_done/{tag}-{batch_id - 1}")  # only the last batch can run again
 
     def _stage(self, rows: DataFrame, staging: str, max_id: int) -> None:
         spark = rows.sparkSession
         batch = rows.withColumn("bucket", bucket_of(self.key, self.buckets))
-        have_table = files.exists(spark, self._committed())
+        have_table = self._have_table(spark)
         if have_table:
             touched = [r[0] for r in batch.select("bucket").distinct().collect()]  # <= buckets values
             current = spark.read.parquet(self.path).filter(F.col("bucket").isin(touched))

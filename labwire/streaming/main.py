@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession
 
 from labwire.session import apply_recommended_conf
 from labwire.sinks import dead_letters as dlq
+from labwire.sinks import files
 from labwire.sinks.jdbc import JdbcTarget, upsert_batch
 from labwire.sinks.table import TableUpsertSink
 from labwire.sources.kafka import KafkaSecurity, reader_options
@@ -95,7 +96,7 @@ def main(argv=None) -> None:
             dlq.to_kafka(df, a.bootstrap, a.dlq_topic, kafka_opts)
     elif a.dlq_path:
         def dead(df, batch_id):
-            dlq.to_files(df, a.dlq_path, batch_id)
+            dlq.to_files(df, a.dlq_path, batch_id, files.query_id(df.sparkSession, a.checkpoint))
     else:
         raise SystemExit("give --dlq-topic or --dlq-path")
 

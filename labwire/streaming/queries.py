@@ -13,6 +13,7 @@ from labwire.plans.oracle import ORACLE, _q
 from labwire.plans.pipeline import order_count
 from labwire.session import scratch_dir
 from labwire.sinks import dead_letters as dlq_sink
+from labwire.sinks import files
 from labwire.sinks.table import TableUpsertSink
 from labwire.sources.fixtures import records_from_dir
 from labwire.streaming.job import FanOut, file_source, start
@@ -20,6 +21,10 @@ from labwire.streaming.job import FanOut, file_source, start
 CHUNKS = 3
 
 
+def _dead_to(paths: dict):
+    return lambda df, bid: dlq_sink.to_files(df, paths["dlq"], bid, files.query_id(df.sparkSession, paths["checkpoint"]))
+
+
 def run_chunked_stream(spark: SparkSession, sf_dir: str, chunks: int = CHUNKS, buckets: int = 16) -> dict:
     """Feed the records in ``chunks`` offset ranges; after each chunk lands,
     restart the query from its checkpoint and drain it (``availableNow``)."""
@@ -28,7 +33,7 @@ def run_chunked_stream(spark: SparkSession, sf_dir: str, chunks: int = CHUNKS, b
     records = records_from_dir(spark, sf_dir)
     n = order_count(spark, sf_dir)
     sink = TableUpsertSink(paths["table"], buckets=buckets)
-    fan = FanOut(sink.for_query(paths["checkpoint"]), lambda df, bid: dlq_sink.to_files(df, paths["dlq"], bid))
+    fan = FanOut(sink.for_query(paths["checkpoint"]), _dead_to(paths))
     for i in range(chunks):
         lo, hi = i * n // chunks, (i + 1) * n // chunks
         records.filter((F.col("offset") >= lo) & (F.col("offset") < hi)).write.mode("append").parquet(paths["source"])
@@ -50,6 +55,32 @@ def replay_stream(spark: SparkSession, paths: dict) -> None:
     q.awaitTermination()
 
 
+def q_stream_redeploy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drain two thirds, wipe the checkpoint, and redeploy at the *same* path: all
+    records are read again in other batches, with the last third behind them."""
+    base = scratch_dir(spark, f"stream-{uuid.uuid4().hex[:12]}")
+    paths = {k: f"{base}/{k}" for k in ("source", "table", "dlq", "checkpoint")}
+    records, n = records_from_dir(spark, sf_dir), order_count(spark, sf_dir)
+    sink = TableUpsertSink(paths["table"], buckets=16)
+    fan = FanOut(sink.for_query(paths["checkpoint"]), _dead_to(paths))
+
+    def drain(files_per_batch=None):
+        q = start(file_source(spark, paths["source"], files_per_batch), fan, paths["checkpoint"], trigger={"availableNow": True},
+                  query_name=f"lab_orders_{uuid.uuid4().hex[:8]}")
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+
+    for i in range(2):
+        part = records.filter((F.col("offset") >= i * n // 3) & (F.col("offset") < (i + 1) * n // 3))
+        part.coalesce(1).write.mode("append").parquet(paths["source"])
+        drain()
+    files.delete(spark, paths["checkpoint"])
+    records.filter(F.col("offset") >= 2 * n // 3).coalesce(1).write.mode("append").parquet(paths["source"])
+    drain(files_per_batch=1)
+    return sink.read(spark)
+
+
 def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = run_chunked_stream(spark, sf_dir)
     return paths["sink"].read(spark)
@@ -76,9 +107,11 @@ STREAM_QUERIES = {
     "stream_upsert": q_stream_upsert,
     "stream_dlq": q_stream_dlq,
     "stream_replay": q_stream_replay,
+    "stream_redeploy": q_stream_redeploy,
 }
 STREAM_ORACLE = {
     "stream_upsert": _q(_ALL_UPSERTED),
     "stream_dlq": ORACLE["dead_letters"],
     "stream_replay": _q(_ALL_UPSERTED),
+    "stream_redeploy": _q(_ALL_UPSERTED),
 }

@@ -126,3 +126,20 @@ def test_date_layout_and_lookups(spark, tmp_dir):
     assert ranked == [(1, "m2"), (2, "m1"), (3, "m3")]
     tl = [(r.rn, r.message_ref_id) for r in lookups.facility_timeline(df, "1001").orderBy("rn").collect()]
     assert tl == [(1, "m3"), (2, "m1")]
+
+
+def test_other_bucket_count_is_refused(spark, tmp_dir):
+    import pytest
+
+    rows = batch(spark, [("a", "a1", 0), ("b", "b1", 1)])
+    TableUpsertSink(f"{tmp_dir}/t", buckets=4).for_query("c")(rows, 0)
+    with pytest.raises(ValueError, match="buckets"):
+        TableUpsertSink(f"{tmp_dir}/t", buckets=7).for_query("c")(rows, 1)
+
+
+def test_dead_letters_of_two_queries_stay(spark, tmp_dir):
+    from labwire.sinks import dead_letters
+
+    for query, text in (("q1", "one"), ("q2", "two"), ("q2", "two")):
+        dead_letters.to_files(spark.createDataFrame([(text,)], "value string"), f"{tmp_dir}/dlq", 0, query)
+    assert sorted(r.value for r in spark.read.parquet(f"{tmp_dir}/dlq").collect()) == ["one", "two"]
