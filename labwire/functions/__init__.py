@@ -6,7 +6,6 @@ from labwire.functions.hl7 import (
     Encoding,
     encoding_of,
     normalize_segments,
-    first_segment,
     first_order_position,
     segment_at,
     segment_start,
@@ -14,10 +13,8 @@ from labwire.functions.hl7 import (
     split_fields,
     field,
     component,
+    has_escape,
     unescape,
-    unescape_target,
-    raw_value,
-    protect_escapes,
     value,
     message_type_name,
     gender_name,
@@ -27,13 +24,12 @@ from labwire.functions.dates import (
     parse_hl7_date,
     parse_exact_timestamp,
     format_date,
-    format_time,
 )
 
 __all__ = [
     "decode_payload", "is_empty_payload", "sanitize", "preview",
-    "Encoding", "encoding_of", "normalize_segments", "first_segment", "first_order_position", "segment_at", "segment_start",
-    "split_pattern", "split_fields", "field", "component", "unescape", "unescape_target", "raw_value", "protect_escapes", "value",
+    "Encoding", "encoding_of", "normalize_segments", "first_order_position", "segment_at", "segment_start",
+    "split_pattern", "split_fields", "field", "component", "has_escape", "unescape", "value",
     "message_type_name", "gender_name",
-    "parse_hl7_datetime", "parse_hl7_date", "parse_exact_timestamp", "format_date", "format_time",
+    "parse_hl7_datetime", "parse_hl7_date", "parse_exact_timestamp", "format_date",
 ]

@@ -6,8 +6,3 @@ from pyspark.sql import functions as F
 
 def col_of(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
-
-
-def lit_or_col(c: Column | str) -> Column:
-    """Strings are literals here (delimiters), Columns pass through."""
-    return F.lit(c) if isinstance(c, str) else c

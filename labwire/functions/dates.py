@@ -87,8 +87,3 @@ def parse_exact_timestamp(v: Column | str) -> Column:
 def format_date(d: Column | str) -> Column:
     """``yyyy-MM-dd``."""
     return F.date_format(col_of(d), "yyyy-MM-dd")
-
-
-def format_time(h: Column, mi: Column, s: Column | None = None) -> Column:
-    """``HH:mm:ss``."""
-    return F.format_string("%02d:%02d:%02d", h, mi, s if s is not None else F.lit(0))

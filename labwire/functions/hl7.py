@@ -82,8 +82,19 @@ def _locate(needle: Column, hay: Column, start: Column | int = 1) -> Column:
 def segment_start(msg: Column | str, name: str, fs: Column, after: Column | int = 1) -> Column:
     """Position of the ``\\r`` that opens the first ``name`` segment at or
     after ``after`` (0 when absent).  The message starts with MSH, so every
-    other segment follows a segment separator; literal search, no regex."""
-    return _locate(F.concat(F.lit(SEGMENT_SEP + name), fs), col_of(msg), after)
+    other segment follows a segment separator.  The name is followed by the
+    field separator, or stands alone on its line (a segment without fields);
+    literal searches, no regex."""
+    m, opening = col_of(msg), F.lit(SEGMENT_SEP + name)
+    last = F.length(m) - len(name)  # a bare segment at the end of the text
+    return F.coalesce(
+        F.least(
+            F.nullif(_locate(F.concat(opening, fs), m, after), F.lit(0)),
+            F.nullif(_locate(F.lit(SEGMENT_SEP + name + SEGMENT_SEP), m, after), F.lit(0)),
+            F.when(m.endswith(opening) & (last >= after), last),
+        ),
+        F.lit(0),
+    )
 
 
 def segment_at(msg: Column | str, pos: Column) -> Column:
@@ -97,12 +108,6 @@ def segment_at(msg: Column | str, pos: Column) -> Column:
     return F.when(pos > 0, F.substring(m, start, length)).otherwise(F.lit(""))
 
 
-def first_segment(msg: Column | str, name: str, fs: Column) -> Column:
-    """Whole text of the first segment called ``name`` ('' when absent)."""
-    m = col_of(msg)
-    return segment_at(m, segment_start(m, name, fs))
-
-
 def first_order_position(obr_pos: Column, orc_pos: Column, orc2_pos: Column) -> Column:
     """Keep a segment position only inside the first order group: before the
     second ORC (the group is the first ORC plus what follows until the next)."""
@@ -147,45 +152,30 @@ def component(fld: Column, enc: Encoding, c: int = 1) -> Column:
     return _first_part(comp, enc.ss)
 
 
-# The standard escape sequences and what they stand for, in the
-# order F S T R E -> field, component, subcomponent, repetition, escape char.
+# The standard escape sequences and what they stand for:
+# F S T R E -> field, component, subcomponent, repetition, escape character.
 ESCAPE_CODES = "FSTRE"
-# Private-use stand-ins for the five sequences while the message is split.
-PROTECTED = "\ue000\ue001\ue002\ue003\ue004"
-_MARK = "\u0001"
-
-
-def protect_escapes(msg: Column, enc: Encoding) -> Column:
-    """Replace every ``\\F\\ \\S\\ \\T\\ \\R\\ \\E\\`` by a private-use character.
-
-    Escape sequences never contain a delimiter, so the message can be split
-    into fields and components afterwards; :func:`unescape` maps the stand-ins
-    to the message's own delimiter characters.  One regex pass finds the
-    sequences exactly as a left-to-right scan would (matches never overlap)
-    and tags them; five literal replaces turn tags into stand-ins.  Messages
-    with no escape character past MSH-2 skip all of it.
-    """
-    pattern = F.concat(_quote(enc.esc), F.lit("([" + ESCAPE_CODES + "])"), _quote(enc.esc))
-    tagged = F.call_function("regexp_replace", msg, pattern, F.lit(_MARK + "$1"))
-    for code, stand_in in zip(ESCAPE_CODES, PROTECTED):
-        tagged = F.replace(tagged, F.lit(_MARK + code), F.lit(stand_in))
-    has_escape = (enc.esc != "") & (F.call_function("locate", enc.esc, msg, F.lit(9)) > 0)
-    return F.when(has_escape, tagged).otherwise(msg)
 
 
-def unescape_target(enc: Encoding) -> Column:
-    """The delimiters that the stand-ins map back to (materialise once)."""
-    return F.concat(enc.fs, enc.cs, enc.ss, enc.rs, enc.esc)
+def has_escape(msg: Column, enc: Encoding) -> Column:
+    """Does an escape character occur behind the header's own declaration?"""
+    return (enc.esc != NO_DELIMITER) & (_locate(enc.esc, msg, 9) > 0)
 
 
-def unescape(v: Column, target: Column) -> Column:
-    """Stand-ins (see :func:`protect_escapes`) -> the message's delimiters."""
-    return F.call_function("translate", v, F.lit(PROTECTED), target)
+def unescape(v: Column, enc: Encoding) -> Column:
+    """Resolve ``\\F\\ \\S\\ \\T\\ \\R\\ \\E\\`` in a value that was split out before.
 
-
-def raw_value(fld: Column, enc: Encoding, target: Column, c: int = 1) -> Column:
-    """Component ``c`` of a field, unescaped ('' when absent)."""
-    return unescape(component(fld, enc, c), target)
+    A split value holds no field separator, so that character can tag the
+    sequences: one regex pass finds them as a left-to-right scan would and
+    leaves the separator and the code, then each tag is replaced, the field
+    separator's own last.  No other character of the text is touched.
+    """
+    pattern = F.concat(_quote(enc.esc), F.lit("([" + ESCAPE_CODES + "])"), _quote(enc.esc))
+    # in a Java replacement string a backslash quotes the separator
+    out = F.call_function("regexp_replace", v, pattern, F.concat(F.lit("\\"), enc.fs, F.lit("$1")))
+    for code, char in (("S", enc.cs), ("T", enc.ss), ("R", enc.rs), ("E", enc.esc), ("F", enc.fs)):
+        out = F.replace(out, F.concat(enc.fs, F.lit(code)), char)
+    return out
 
 
 def value(raw: Column) -> Column:

@@ -50,6 +50,23 @@ def duplicate_keys(df: DataFrame, key: str = KEY) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
+def check(df: DataFrame, facilities: DataFrame | None = None, labs: DataFrame | None = None) -> DataFrame:
+    """C1, C2, C6, J1, J2 in one pass: ``df`` plus ``violations``, an array of
+    ``(rule, column_name)``, empty for a clean row.  The reference sides are
+    optional; each is made distinct, so the left joins keep one row per row."""
+    hits = _hits(NOT_NULL, MAX_LENGTH)
+    out, cols = df, df.columns
+    for dim, column in ((facilities, "mfl_code"), (labs, "lab_code")):
+        if dim is None:
+            continue
+        known = dim.select(column).filter(F.col(column).isNotNull()).distinct().withColumn(f"_{column}", F.lit(True))
+        out = out.join(known, column, "left")
+        unknown = F.col(column).isNotNull() & F.col(f"_{column}").isNull()
+        hit = F.struct(F.lit("reference").alias("rule"), F.lit(column).alias("column_name"))
+        hits = F.concat(hits, F.when(unknown, F.array(hit)).otherwise(F.filter(F.array(hit), lambda _: F.lit(False))))
+    return out.select(*cols, hits.alias("violations"))
+
+
 def enforce(df: DataFrame, mode: str = "fail", key: str = KEY) -> tuple[DataFrame, DataFrame]:
     """``fail`` raises on the first violation (as a rejected batch does);
     ``quarantine`` splits into (clean rows, violating rows) instead.
@@ -68,37 +85,33 @@ def enforce(df: DataFrame, mode: str = "fail", key: str = KEY) -> tuple[DataFram
     return df.filter(~broken), df.filter(broken)
 
 
-def _dim(dim: DataFrame, bounded: bool) -> DataFrame:
-    # A hint only for dimensions whose size is bounded by construction; any
-    # other side is left to the planner and AQE's runtime size check.
-    return F.broadcast(dim) if bounded else dim
-
+# No broadcast hint on the reference sides below: the planner and AQE broadcast
+# them when their measured size allows it.
 
-def facility_violations(df: DataFrame, facilities: DataFrame, bounded: bool = False) -> DataFrame:
+def facility_violations(df: DataFrame, facilities: DataFrame) -> DataFrame:
     """Rows whose ``mfl_code`` is null or not a known facility."""
-    dim = _dim(facilities.select("mfl_code").distinct(), bounded)
-    return df.join(dim, "mfl_code", "left_anti")
+    return df.join(facilities.select("mfl_code").distinct(), "mfl_code", "left_anti")
 
 
-def facility_known(df: DataFrame, facilities: DataFrame, bounded: bool = False) -> DataFrame:
+def facility_known(df: DataFrame, facilities: DataFrame) -> DataFrame:
     """J1 (keep side): rows with a known facility."""
-    dim = _dim(facilities.select("mfl_code").distinct(), bounded)
-    return df.join(dim, "mfl_code", "left_semi")
+    return df.join(facilities.select("mfl_code").distinct(), "mfl_code", "left_semi")
 
 
-def lab_violations(df: DataFrame, labs: DataFrame, bounded: bool = False) -> DataFrame:
+def lab_violations(df: DataFrame, labs: DataFrame) -> DataFrame:
     """Rows with a non-null ``lab_code`` that is not a known lab (null passes)."""
-    dim = _dim(labs.select("lab_code").distinct(), bounded)
-    return df.filter(F.col("lab_code").isNotNull()).join(dim, "lab_code", "left_anti")
+    return df.filter(F.col("lab_code").isNotNull()).join(labs.select("lab_code").distinct(), "lab_code", "left_anti")
 
 
-def rename_facilities(df: DataFrame, renames: DataFrame, bounded: bool = False) -> DataFrame:
+def rename_facilities(df: DataFrame, renames: DataFrame) -> DataFrame:
     """Propagate facility code changes (``old_code -> new_code``)."""
-    m = _dim(renames.select(F.col("old_code").alias("mfl_code"), "new_code"), bounded)
+    m = renames.select(F.col("old_code").alias("mfl_code"), "new_code")
     cols = [F.coalesce("new_code", "mfl_code").alias("mfl_code") if c == "mfl_code" else F.col(c) for c in df.columns]
     return df.join(m, "mfl_code", "left").select(*cols)
 
 
 def blocked_deletes(to_delete: DataFrame, df: DataFrame, column: str = "mfl_code") -> DataFrame:
     """J3 delete guard: reference codes that cannot be deleted (still used)."""
-    return to_delete.join(df.select(column), column, "left_semi").distinct()
+    # distinct first (partial aggregation), so a hot code sends one row per task
+    used = df.select(column).distinct()
+    return to_delete.select(column).distinct().join(used, column, "left_semi")

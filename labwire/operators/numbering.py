@@ -10,7 +10,7 @@ The only data that meets in one place is one count per partition.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labwire.session import checkpoint_dir
@@ -28,6 +28,13 @@ def number_rows(
     ``order`` should be a total order (end it with a unique column) so the
     numbering is deterministic.  ``start`` may be a literal or a column.
     """
+    return number_rows_counted(df, order, name, start, num_partitions)[0]
+
+
+def number_rows_counted(df: DataFrame, order: list[Column], name: str = "rn", start: int | Column = 1,
+                        num_partitions: int | None = None) -> tuple[DataFrame, int]:
+    """:func:`number_rows` plus the row count, the sum of the counts by
+    partition that the numbering gathers anyway."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     parts = (
@@ -40,20 +47,14 @@ def number_rows(
         .checkpoint(eager=True)
     )
     # one row per non-empty partition: bounded by the partition count
-    per_part = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_pos0"))
-    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select("_part", "_pos0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
+    per_part = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_pos0")).collect()
+    before, rows = 0, []
+    for p in sorted(per_part):
+        rows.append((p["_part"], p["_pos0"], before))
+        before += p["_n"]
+    offsets = spark.createDataFrame(rows, "_part int, _pos0 long, _before long")
     start_col = start if isinstance(start, Column) else F.lit(start)
     out = ordered.join(F.broadcast(offsets), "_part").withColumn(
         name, (start_col + F.col("_before") + F.col("_pos") - F.col("_pos0")).cast("long")
     )
-    return out.drop("_part", "_pos", "_pos0", "_before")
-
-
-def number_rows_counted(df: DataFrame, order: list[Column], name: str = "rn", start: int = 1,
-                        num_partitions: int | None = None) -> tuple[DataFrame, int]:
-    """:func:`number_rows` plus the row count (one small job over the
-    per-partition counts of the checkpointed, sorted rows)."""
-    numbered = number_rows(df, order, name, start, num_partitions)
-    n = numbered.agg(F.count(F.lit(1))).first()[0]
-    return numbered, n
+    return out.drop("_part", "_pos", "_pos0", "_before"), before

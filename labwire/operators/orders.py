@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,8 @@ ORDER_COLUMNS = [
     "order_id", "loinc", "order_date", "order_time", "raw_message",
 ]
 PASS_THROUGH = [*ARRIVAL, "is_empty", "is_er7", "raw_message"]
+# What routing alone (F8) reads: the gate and three header values.
+ROUTE_POSITIONS = GATE_POSITIONS + (("msh", 4, 2), ("msh", 6, 1), ("msh", 10, 1))
 
 
 def order_columns() -> list[Column]:
@@ -59,9 +62,20 @@ def _typed_exprs() -> list[Column]:
     return [*gate_columns(), *order_columns(), parse_hl7_datetime(v("obr", 7)).alias("_dt")]
 
 
-def sink_projection(orders: DataFrame) -> DataFrame:
-    """The 8 stored columns; the LOINC code is stored as ``test_id``."""
+def extract_routing(parsed: DataFrame) -> DataFrame:
+    """The columns that F8 reads and nothing else: header positions only, no
+    order, patient or raw text (``parse_messages(…, ("msh",), with_raw=False)``)."""
+    keep = [*ARRIVAL, "is_empty", "is_er7"]
+    raw = raw_fields(parsed, ROUTE_POSITIONS, keep)
+    return raw.select(*keep, *gate_columns(), v("msh", 10).alias("message_ref_id"),
+                      F.coalesce(v("msh", 4, 2), F.lit("")).alias("mfl_code"), v("msh", 6).alias("lab_code"))
+
+
+def sink_projection(orders: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The 8 stored columns (after the ``keep`` columns); the LOINC code
+    is stored as ``test_id``."""
     return orders.select(
+        *keep,
         "order_id", "message_ref_id", "mfl_code",
         F.col("order_date").cast("date").alias("order_date"),
         "order_time", "sending_application",
@@ -114,5 +128,5 @@ def project(parsed: DataFrame, what: str, fix_oml: bool = False) -> DataFrame:
                       (header_struct(fix_oml) if what == "header" else patient_struct()).alias(what[0]))
 
 
-__all__ = ["ORDER_COLUMNS", "order_columns", "extract_orders", "sink_projection", "header_struct",
+__all__ = ["ORDER_COLUMNS", "order_columns", "extract_orders", "extract_routing", "sink_projection", "header_struct",
            "patient_struct", "project", "raw_name"]

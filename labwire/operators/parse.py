@@ -2,12 +2,13 @@
 
 Parsing is staged, and every stage is fenced (:func:`stage`):
 
-1. ``clean_messages``: decode, sanitize, delimiters, escape protection, and
-   the per-message helper columns (split pattern, unescape target);
+1. ``clean_messages``: decode, sanitize, delimiters, and the per-message
+   helper columns (split pattern, whether an escape occurs);
 2. ``locate_segments``: segment positions by literal search, then the
-   header, first ORC, first-order OBR and first PID split into field arrays;
+   header, first ORC, first-order OBR and first PID split into field arrays,
+   of which a caller names those it reads (a fence is not pruned through);
 3. ``raw_fields``: each HL7 position a query needs, as one plain string
-   column (component picked, escapes resolved), computed exactly once.
+   column (component picked, then escapes resolved), computed exactly once.
 
 Everything after that (nulls, gates, dates, routes, structs) reads those
 columns.  Keeping each value a column keeps the generated code small: an
@@ -27,23 +28,23 @@ from labwire.functions.hl7 import (
     SEGMENT_SEP,
     Encoding,
     encoding_of,
+    component,
     field,
     first_order_position,
+    has_escape,
     normalize_segments,
-    protect_escapes,
-    raw_value,
     segment_at,
     segment_start,
     split_fields,
     split_pattern,
     unescape,
-    unescape_target,
     value,
 )
 from labwire.functions.text import sanitize
 from labwire.sources.records import ARRIVAL, decode
 
 ENCODING_COLUMNS = ["fs", "cs", "rs", "esc", "ss"]
+SEGMENTS = ("msh", "orc", "obr", "pid")
 
 Position = tuple[str, int, int]  # (segment array, field, component)
 
@@ -86,19 +87,20 @@ def _clean_exprs() -> tuple[Column, list[Column], list[Column]]:
     e = Encoding.from_columns()
     final = [
         split_pattern(e.fs).alias("fs_pat"),
-        unescape_target(e).alias("unesc_to"),
-        protect_escapes(F.col("msg"), e).alias("msg"),
+        has_escape(F.col("msg"), e).alias("has_esc"),
+        F.col("msg"),
     ]
     return msg, delims, final
 
 
-def clean_messages(records: DataFrame) -> DataFrame:
-    """S3 + P1: raw records -> ``partition offset is_empty raw_message`` +
-    delimiters + helpers + ``msg`` (clean text, escape sequences protected)."""
+def clean_messages(records: DataFrame, with_raw: bool = True) -> DataFrame:
+    """S3 + P1: raw records -> ``partition offset is_empty [raw_message]`` +
+    delimiters + helpers + ``msg`` (the clean text)."""
     msg, delims, final = _clean_exprs()
-    s1 = decode(records).select(*ARRIVAL, "is_empty", "raw_message", msg)
+    kept = [*ARRIVAL, "is_empty", *(["raw_message"] if with_raw else [])]
+    s1 = decode(records).select(*kept, msg)
     s2 = s1.select("*", *delims)
-    return s2.select(*ARRIVAL, "is_empty", "raw_message", *ENCODING_COLUMNS, *final)
+    return s2.select(*kept, *ENCODING_COLUMNS, *final)
 
 
 def er7_ok(msg: Column, fs: Column) -> Column:
@@ -116,22 +118,23 @@ def er7_ok(msg: Column, fs: Column) -> Column:
     )
 
 
-def locate_segments(cleaned: DataFrame) -> DataFrame:
+def locate_segments(cleaned: DataFrame, segments: Sequence[str] = SEGMENTS) -> DataFrame:
     """Split the header, first ORC, first-order OBR and first PID into field arrays.
 
     Segment positions are found by literal search (one projection), then the
     segments are cut at those positions (the next one), so each search runs
-    once per message.
+    once per message.  Only the arrays named by ``segments`` leave the stage.
     """
-    keep = [*ARRIVAL, "is_empty", "raw_message", *ENCODING_COLUMNS, "unesc_to"]
+    raw = ["raw_message"] if "raw_message" in cleaned.columns else []
+    keep = [*ARRIVAL, "is_empty", *raw, *ENCODING_COLUMNS, "has_esc"]
     first, second, arrays = _locate_exprs()
     positions = cleaned.select(*keep, "msg", "fs_pat", *first)
     positions = positions.select("*", second)
-    return positions.select(*keep, "is_er7", *arrays)
+    return positions.select(*keep, "is_er7", *[arrays[s] for s in SEGMENTS if s in segments])
 
 
 @functools.cache
-def _locate_exprs() -> tuple[list[Column], Column, list[Column]]:
+def _locate_exprs() -> tuple[list[Column], Column, dict[str, Column]]:
     msg, fs, pat = F.col("msg"), F.col("fs"), F.col("fs_pat")
     first = [
         er7_ok(msg, fs).alias("is_er7"),
@@ -142,12 +145,12 @@ def _locate_exprs() -> tuple[list[Column], Column, list[Column]]:
     p_orc = F.col("p_orc")
     second = F.when(p_orc > 0, segment_start(msg, "ORC", fs, p_orc + 1)).otherwise(F.lit(0)).alias("p_orc2")
     obr = first_order_position(F.col("p_obr"), p_orc, F.col("p_orc2"))
-    arrays = [
-        split_fields(F.substring_index(msg, SEGMENT_SEP, 1), pat).alias("msh"),
-        split_fields(segment_at(msg, p_orc), pat).alias("orc"),
-        split_fields(segment_at(msg, obr), pat).alias("obr"),
-        split_fields(segment_at(msg, F.col("p_pid")), pat).alias("pid"),
-    ]
+    arrays = {
+        "msh": split_fields(F.substring_index(msg, SEGMENT_SEP, 1), pat).alias("msh"),
+        "orc": split_fields(segment_at(msg, p_orc), pat).alias("orc"),
+        "obr": split_fields(segment_at(msg, obr), pat).alias("obr"),
+        "pid": split_fields(segment_at(msg, F.col("p_pid")), pat).alias("pid"),
+    }
     return first, second, arrays
 
 
@@ -166,15 +169,23 @@ def spread(records: DataFrame, min_partitions: int | None) -> DataFrame:
     return records.repartition(min_partitions)
 
 
-def parse_messages(records: DataFrame, fence: bool = True, min_partitions: int | None = None) -> DataFrame:
+def segments_of(positions: Iterable[Position]) -> tuple[str, ...]:
+    """The segment arrays that a set of positions reads."""
+    used = {seg for seg, _, _ in positions}
+    return tuple(s for s in SEGMENTS if s in used)
+
+
+def parse_messages(records: DataFrame, fence: bool = True, min_partitions: int | None = None,
+                   segments: Sequence[str] = SEGMENTS, with_raw: bool = True) -> DataFrame:
     """Raw records -> one row per record with delimiters and segment arrays.
 
-    ``min_partitions`` (like Kafka's ``minPartitions``) widens a narrow feed.
+    ``min_partitions`` (like Kafka's ``minPartitions``) widens a narrow feed;
+    ``segments`` and ``with_raw`` name what leaves the parse.
     """
-    cleaned = clean_messages(spread(records, min_partitions))
+    cleaned = clean_messages(spread(records, min_partitions), with_raw)
     if fence:
         cleaned = stage(cleaned)
-    located = locate_segments(cleaned)
+    located = locate_segments(cleaned, segments)
     return stage(located) if fence else located
 
 
@@ -186,18 +197,21 @@ def raw_name(pos: Position) -> str:
 def raw_fields(parsed: DataFrame, positions: Iterable[Position], keep: Sequence[str] = (), fence: bool = True) -> DataFrame:
     """The given HL7 positions as string columns named ``{seg}_{n}_{c}``
     ('' when absent), plus the ``keep`` columns of the parsed frame."""
-    cols = _raw_exprs(tuple(dict.fromkeys(positions)))
-    out = parsed.select(*keep, *cols)
+    picked, resolved, cols = _raw_exprs(tuple(dict.fromkeys(positions)))
+    out = parsed.select(*keep, *ENCODING_COLUMNS, "has_esc", picked)
+    out = out.select(*keep, resolved).select(*keep, *cols)
     return stage(out) if fence else out
 
 
 @functools.cache
-def _raw_exprs(positions: tuple[Position, ...]) -> list[Column]:
-    enc, target = Encoding.from_columns(), F.col("unesc_to")
-    return [
-        raw_value(field(F.col(seg), n, msh=(seg == "msh")), enc, target, c).alias(raw_name((seg, n, c)))
-        for seg, n, c in positions
-    ]
+def _raw_exprs(positions: tuple[Position, ...]) -> tuple[Column, Column, list[Column]]:
+    # the values go through one array, so the escape rule is generated once
+    # (not per position) and runs only for messages that hold an escape
+    enc, picked = Encoding.from_columns(), F.col("_picked")
+    values = F.array(*[component(field(F.col(seg), n, msh=(seg == "msh")), enc, c) for seg, n, c in positions])
+    resolved = F.when(F.col("has_esc"), F.transform(picked, lambda v: unescape(v, enc))).otherwise(picked)
+    cols = [F.get(F.col("_values"), i).alias(raw_name(p)) for i, p in enumerate(positions)]
+    return values.alias("_picked"), resolved.alias("_values"), cols
 
 
 def v(seg: str, n: int, c: int = 1) -> Column:
@@ -236,7 +250,7 @@ def segments_long(cleaned: DataFrame, with_fields: bool = False) -> DataFrame:
     # positions of the kept segments are dense; a short last segment has no
     # separator after it and is dropped after the explode (it is last)
     compact = F.regexp_replace(F.col("msg"), "(?:^|(?<=\\r))[^\\r]{0,2}\\r", "")
-    exploded = er7.select(*ARRIVAL, "fs", "fs_pat", "unesc_to", F.posexplode(F.split(compact, SEGMENT_SEP, -1)).alias("pos", "segment"))
+    exploded = er7.select(*ARRIVAL, *ENCODING_COLUMNS, "fs_pat", "has_esc", F.posexplode(F.split(compact, SEGMENT_SEP, -1)).alias("pos", "segment"))
     kept = exploded.filter(F.length("segment") >= 3)
     fields = split_fields(F.col("segment"), F.col("fs_pat"))
     cols = [
@@ -246,6 +260,6 @@ def segments_long(cleaned: DataFrame, with_fields: bool = False) -> DataFrame:
         F.size(fields).alias("n_fields"),
     ]
     if with_fields:
-        # fields stay split on components; stand-ins back to delimiters
-        cols.append(F.transform(fields, lambda f: unescape(f, F.col("unesc_to"))).alias("fields"))
+        enc = Encoding.from_columns()
+        cols.append(F.when(F.col("has_esc"), F.transform(fields, lambda f: unescape(f, enc))).otherwise(fields).alias("fields"))
     return kept.select(*cols)

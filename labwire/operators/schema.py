@@ -31,15 +31,6 @@ JDBC_COLUMN_TYPES = (
 )
 
 
-def conform(df: DataFrame, schema: T.StructType = LAB_ORDER_SCHEMA) -> DataFrame:
-    """Select and cast to the stored schema; missing columns become null (K7)."""
-    cols = [
-        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schema.fields
-    ]
-    return df.select(*cols)
-
-
 def add_column(df: DataFrame, name: str, dtype: T.DataType) -> DataFrame:
     """K7: add a nullable column; existing rows read null."""
     return df if name in df.columns else df.withColumn(name, F.lit(None).cast(dtype))

@@ -66,21 +66,23 @@ def upsert(
     # the deduplicated batch feeds three joins: write it once (reliably, so a
     # lost executor does not re-run the upstream parse) instead of recomputing
     u = latest(updates.select(key, *value_cols, *order), key, order, first_as="_first").checkpoint(eager=True)
-    existing = target.select(key, id_col)
+    # the target is read twice: key and id here (a small batch is broadcast
+    # into this join), all columns for the untouched rows below
+    known = target.select(key, id_col).join(u.select(key), key)
+    matched = u.join(known, key, "left").checkpoint(eager=True)
 
-    new_keys = u.select(key, "_first").join(existing, key, "left_anti")
+    new_keys = matched.filter(F.col(id_col).isNull()).drop(id_col)
     # one scalar to the driver: the current maximum id
     max_id = start_after if start_after is not None else (target.agg(F.max(id_col)).first()[0] or 0)
     numbered, n_new = number_rows_counted(new_keys, [F.col("_first"), F.col(key)], name=id_col, start=max_id + 1)
-    numbered = numbered.select(key, id_col)
     if counts is not None:
         counts["new_keys"] = n_new
         counts["max_id"] = max_id + n_new
 
-    ids = existing.unionByName(numbered)
-    changed = u.join(ids, key, "inner").select(id_col, key, *value_cols)
-    untouched = target.join(u.select(key), key, "left_anti").select(id_col, key, *value_cols)
-    return untouched.unionByName(changed)
+    cols = [id_col, key, *value_cols]
+    changed = matched.filter(F.col(id_col).isNotNull()).select(*cols)
+    untouched = target.join(u.select(key), key, "left_anti").select(*cols)
+    return untouched.unionByName(changed).unionByName(numbered.select(*cols))
 
 
 def empty_like(df: DataFrame, columns: Sequence[str], id_col: str = "id") -> DataFrame:

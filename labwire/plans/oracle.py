@@ -27,24 +27,33 @@ p AS (
   SELECT b.*, n_all.n,
     CAST(bk % 3 AS INTEGER) AS part,
     CASE WHEN k % 83 = 11 THEN 'empty'
-         WHEN k % 71 = 8 OR k % 73 = 9 OR k % 79 = 10 THEN 'unparseable'
+         WHEN k % 71 = 8 OR k % 73 = 9 OR k % 79 = 10 OR k % 137 = 43 THEN 'unparseable'
          WHEN k % 41 = 0 THEN 'no_message_id'
          WHEN k % 43 = 1 OR k % 7 = 3 THEN 'bad_mfl'
          WHEN k % 11 = 5 THEN 'dlq' ELSE 'valid' END AS route,
-    CASE WHEN k % 41 = 0 THEN '' ELSE 'MSG' || lpad(CAST(bk AS VARCHAR), 8, '0') END AS mid_raw,
-    CASE WHEN k % 19 = 4 THEN 'A\\T\\B' ELSE 'APP' || CAST(k % 4 AS VARCHAR) END AS app_raw,
-    CASE WHEN k % 19 = 4 THEN 'A&B' ELSE 'APP' || CAST(k % 4 AS VARCHAR) END AS app,
+    CASE WHEN k % 41 = 0 THEN ''
+         ELSE 'MSG' || lpad(CAST(bk AS VARCHAR), 8, '0') || CASE WHEN bk % 131 = 41 THEN repeat('Y', 100) ELSE '' END
+    END AS mid_raw,
+    CASE WHEN k % 107 = 23 THEN 'A' || chr(57345) || 'B' || chr(1) || 'FC\\T\\D'
+         WHEN k % 113 = 31 THEN 'APPLICATION-NAME-OVER-25-CHARS'
+         WHEN k % 19 = 4 THEN 'A\\T\\B' ELSE 'APP' || CAST(k % 4 AS VARCHAR) END AS app_raw,
+    CASE WHEN k % 107 = 23 THEN 'A' || chr(57345) || 'B' || chr(1) || 'FC&D'
+         WHEN k % 113 = 31 THEN 'APPLICATION-NAME-OVER-25-CHARS'
+         WHEN k % 19 = 4 THEN 'A&B' ELSE 'APP' || CAST(k % 4 AS VARCHAR) END AS app,
     CASE WHEN k % 43 = 1 THEN ''
          WHEN k % 7 = 3 THEN '1' || lpad(CAST(ck AS VARCHAR), 7, '0')
          ELSE CAST(1000 + ck % 9000 AS VARCHAR) END AS mfl,
     CASE WHEN k % 11 = 5 THEN ''
          WHEN k % 47 = 2 THEN '""'
+         WHEN k % 109 = 29 THEN 'LAB-TOO-LONG-1'
          ELSE 'L' || lpad(CAST(nk AS VARCHAR), 2, '0') END AS lab_raw,
     CASE WHEN k % 73 = 9 THEN 'ORU^R01^ORU_R01'
+         WHEN k % 137 = 43 THEN 'OML^O21^OML_021'
          WHEN k % 17 = 1 THEN 'OML^O21'
          ELSE 'OML^O21^OML_O21' END AS mtype,
     CASE WHEN k % 79 = 10 THEN '2.4' ELSE '2.5' END AS ver,
-    CASE WHEN k % 3 = 0 THEN 'M' WHEN k % 3 = 1 THEN 'F' ELSE 'U' END AS sex,
+    CASE WHEN k % 139 = 47 THEN '19900230' WHEN k % 149 = 53 THEN '1990' ELSE '19900102' END AS dob_raw,
+    CASE WHEN k % 151 = 59 THEN '' WHEN k % 3 = 0 THEN 'M' WHEN k % 3 = 1 THEN 'F' ELSE 'U' END AS sex,
     CASE WHEN k % 89 = 12 THEN ''
          WHEN k % 13 = 7 THEN '^CBC^^' || lc
          ELSE lc || '^CBC^LN' END AS obr4,
@@ -52,17 +61,19 @@ p AS (
          WHEN k % 61 = 5 THEN '20230231' || hh || mi || '00'
          WHEN k % 67 = 6 THEN ymd || '240000'
          ELSE ymd || hh || mi || '37+0200' END AS obr7,
-    CASE WHEN k % 59 = 4 THEN NULL
+    CASE WHEN k % 59 = 4 OR (k % 103 = 19 AND k % 53 <> 3) THEN NULL
          WHEN k % 61 = 5 THEN DATE '2023-02-28'
          WHEN k % 67 = 6 THEN od + 1
          ELSE od END AS odate,
-    CASE WHEN k % 59 = 4 THEN NULL
+    CASE WHEN k % 59 = 4 OR (k % 103 = 19 AND k % 53 <> 3) THEN NULL
          WHEN k % 61 = 5 THEN hh || ':' || mi || ':00'
          WHEN k % 67 = 6 THEN '00:00:00'
          ELSE hh || ':' || mi || ':00' END AS otime,
-    CASE WHEN k % 53 = 3 THEN (CASE WHEN k % 97 = 13 THEN 'SECOND' END)
-         ELSE 'ORD-' || CAST(k AS VARCHAR) END AS oid,
-    CASE WHEN k % 89 = 12 THEN NULL ELSE lc END AS loinc
+    'ORD-' || CAST(k AS VARCHAR) || CASE WHEN k % 127 = 37 THEN '-' || repeat('X', 50) ELSE '' END AS oid_raw,
+    CASE WHEN k % 53 = 3 THEN (CASE WHEN k % 97 = 13 AND k % 103 <> 19 THEN 'SECOND' END)
+         WHEN k % 101 = 17 THEN NULL
+         ELSE 'ORD-' || CAST(k AS VARCHAR) || CASE WHEN k % 127 = 37 THEN '-' || repeat('X', 50) ELSE '' END END AS oid,
+    CASE WHEN k % 89 = 12 OR (k % 103 = 19 AND k % 53 <> 3) THEN NULL ELSE lc END AS loinc
   FROM b, n_all
 ),
 s AS (
@@ -71,8 +82,9 @@ s AS (
     NULLIF(lab_raw, '') AS lab,
     'MSH|^~\\&|' || app_raw || '^1.2^ISO|FAC^' || mfl || '^L|LAB|' || lab_raw || '^9^L|' || ymd
       || '080000||' || mtype || '|' || mid_raw || '|P|' || ver || '||||AL' AS seg_msh,
-    'PID|1||P' || CAST(ck AS VARCHAR) || '^^^MRN~X^^^ALT||Banda&van^Mary||19900102|' || sex AS seg_pid,
-    CASE WHEN k % 53 <> 3 THEN 'ORC|NW|ORD-' || CAST(k AS VARCHAR) || '^SCP' END AS seg_orc,
+    'PID|1||P' || CAST(ck AS VARCHAR) || '^^^MRN~X^^^ALT||Banda&van^Mary||' || dob_raw || '|' || sex AS seg_pid,
+    CASE WHEN k % 53 <> 3 THEN (CASE WHEN k % 101 = 17 THEN 'ORC' ELSE 'ORC|NW|' || oid_raw || '^SCP' END) END AS seg_orc,
+    CASE WHEN k % 103 = 19 THEN 'ORC' END AS seg_bare,
     'OBR|1|x||' || obr4 || '|||' || obr7 AS seg_obr,
     CASE WHEN k % 97 = 13 THEN 'ORC|NW|SECOND' END AS seg_orc2,
     CASE WHEN k % 97 = 13 THEN 'OBR|2|x||99999-9^Z^LN|||199901010000' END AS seg_obr2,
@@ -83,7 +95,7 @@ m AS (
   SELECT s.*,
     CASE WHEN k % 83 = 11 THEN ''
          WHEN k % 71 = 8 THEN 'not an hl7 message ' || CAST(k AS VARCHAR)
-         ELSE concat_ws(sep, seg_msh, seg_pid, seg_orc, seg_obr,
+         ELSE concat_ws(sep, seg_msh, seg_pid, seg_orc, seg_bare, seg_obr,
                         CASE WHEN k % 3 = 0 THEN 'NTE|1||fasting' END,
                         CASE WHEN k % 9 = 0 THEN 'NTE|2||repeat' END,
                         seg_orc2, seg_obr2) || sep END AS raw_message
@@ -130,6 +142,9 @@ state AS (
 SELECT id, {_STORED} FROM state
 """
 
+# the columns that O3 looks rows up by
+LOOKUP_KEYS = ("lab_code", "mfl_code", "message_ref_id", "order_id", "sending_application", "test_id")
+
 _BUSIEST_FAC = """
 , top AS (SELECT mfl_code FROM st WHERE mfl_code IS NOT NULL GROUP BY mfl_code ORDER BY count(*) DESC, mfl_code LIMIT 1)
 """
@@ -139,18 +154,19 @@ ORACLE: dict[str, str] = {
 SELECT {_POS}, (k % 83 = 11) AS is_empty,
   CASE WHEN k % 83 = 11 THEN ''
        WHEN k % 71 = 8 THEN 'not an hl7 message ' || CAST(k AS VARCHAR)
-       ELSE concat_ws({CR}, seg_msh, seg_pid, seg_orc, seg_obr) || {CR}
+       ELSE concat_ws({CR}, seg_msh, seg_pid, seg_orc, seg_bare, seg_obr) || {CR}
             || CASE WHEN k % 9 = 0 THEN {CR} ELSE '' END
             || CASE WHEN k % 97 = 13 THEN seg_orc2 || {CR} || seg_obr2 || {CR} ELSE '' END
   END AS message
 FROM m"""),
     "segments_long": _q(f"""
-, er7 AS (SELECT part, k, CASE WHEN k % 53 <> 3 THEN 4 ELSE 3 END AS obr_idx FROM m
+, er7 AS (SELECT part, k, 3 + CASE WHEN k % 53 <> 3 THEN 1 ELSE 0 END + CASE WHEN k % 103 = 19 THEN 1 ELSE 0 END AS obr_idx FROM m
           WHERE k % 83 <> 11 AND k % 71 <> 8),
 segs AS (
   SELECT part, k, 1 AS seg_idx, 'MSH' AS seg_name, 16 AS n_fields FROM er7
   UNION ALL SELECT part, k, 2, 'PID', 9 FROM er7
-  UNION ALL SELECT part, k, 3, 'ORC', 3 FROM er7 WHERE k % 53 <> 3
+  UNION ALL SELECT part, k, 3, 'ORC', CASE WHEN k % 101 = 17 THEN 1 ELSE 3 END FROM er7 WHERE k % 53 <> 3
+  UNION ALL SELECT part, k, obr_idx - 1, 'ORC', 1 FROM er7 WHERE k % 103 = 19
   UNION ALL SELECT part, k, obr_idx, 'OBR', 8 FROM er7
   UNION ALL SELECT part, k, obr_idx + 1, 'ORC', 3 FROM er7 WHERE k % 97 = 13
   UNION ALL SELECT part, k, obr_idx + 2, 'OBR', 8 FROM er7 WHERE k % 97 = 13
@@ -178,10 +194,33 @@ SELECT {_POS},
   CASE WHEN no_struct THEN NULL ELSE 'AL' END AS ack_type
 FROM h"""),
     "patient_projection": _q(f"""
-SELECT {_POS}, 'P' || CAST(ck AS VARCHAR) AS id, 'Mary' AS first_name, 'Banda' AS last_name,
-  CASE sex WHEN 'M' THEN 'MALE' WHEN 'F' THEN 'FEMALE' ELSE 'OTHER' END AS gender,
-  '1990-01-02' AS dob
-FROM m WHERE route NOT IN ('empty', 'unparseable')"""),
+, q AS (SELECT *, k % 151 = 59 OR (k % 149 = 53 AND k % 139 <> 47) AS no_patient
+      FROM m WHERE route NOT IN ('empty', 'unparseable'))
+SELECT {_POS},
+  CASE WHEN no_patient THEN NULL ELSE 'P' || CAST(ck AS VARCHAR) END AS id,
+  CASE WHEN no_patient THEN NULL ELSE 'Mary' END AS first_name,
+  CASE WHEN no_patient THEN NULL ELSE 'Banda' END AS last_name,
+  CASE WHEN no_patient THEN NULL WHEN sex = 'M' THEN 'MALE' WHEN sex = 'F' THEN 'FEMALE' ELSE 'OTHER' END AS gender,
+  CASE WHEN no_patient THEN NULL WHEN k % 139 = 47 THEN '1990-02-28' ELSE '1990-01-02' END AS dob
+FROM q"""),
+    "header_any": _q(f"""
+, h AS (SELECT *, k % 17 = 1 AND k % 73 <> 9 AND k % 137 <> 43 AS no_struct FROM m WHERE k % 83 <> 11 AND k % 71 <> 8)
+SELECT {_POS},
+  CASE WHEN no_struct THEN NULL WHEN k % 73 = 9 THEN 'ORU_R01' WHEN k % 137 = 43 THEN 'OML_021' ELSE 'ACK' END AS message_type,
+  CASE WHEN no_struct THEN NULL ELSE ver END AS version,
+  CASE WHEN no_struct THEN NULL ELSE NULLIF(mfl, '') END AS sender_id,
+  CASE WHEN no_struct THEN NULL ELSE lab END AS receiver_id
+FROM h"""),
+    "delete_guard": _q("""
+, del AS (SELECT DISTINCT CAST(1000 + c_custkey % 9000 AS VARCHAR) AS mfl_code FROM customer WHERE c_custkey % 50 = 0)
+SELECT mfl_code FROM del WHERE mfl_code IN (SELECT mfl_code FROM st)"""),
+    "date_layout_scan": _q("""
+SELECT message_ref_id, mfl_code, order_date FROM st
+WHERE order_date BETWEEN DATE '1996-03-01' AND DATE '1998-02-28' AND mfl_code >= '1050'"""),
+    "lookup_keys": _q("".join(f"""
+, t_{c} AS (SELECT {c} AS v FROM st WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"""
+                              for c in LOOKUP_KEYS) + "\n" + "\nUNION ALL ".join(
+        f"SELECT '{c}' AS lookup_key, message_ref_id FROM st WHERE {c} = (SELECT v FROM t_{c})" for c in LOOKUP_KEYS)),
     "route_each": _q(f"SELECT {_POS}, route FROM m"),
     "route_counts": _q("SELECT route, count(*) AS n FROM m GROUP BY route"),
     "valid_orders": _q(f"SELECT {_STORED} FROM v"),

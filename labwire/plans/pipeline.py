@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labwire.operators.orders import extract_orders
-from labwire.operators.parse import parse_messages
+from labwire.operators.orders import ORDER_POSITIONS, extract_orders, extract_routing, sink_projection
+from labwire.operators.parse import GATE_POSITIONS, parse_messages, segments_of
 from labwire.operators.routing import with_route
 from labwire.sources.fixtures import read_tables, records_from_dir
 from labwire.sources.records import ARRIVAL
@@ -18,7 +18,15 @@ def default_width(spark: SparkSession) -> int:
 
 def route_records(records: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Raw records -> every record with its order fields and route (F8)."""
-    return with_route(extract_orders(parse_messages(records, min_partitions=min_partitions)))
+    segments = segments_of(GATE_POSITIONS + ORDER_POSITIONS)
+    return with_route(extract_orders(parse_messages(records, min_partitions=min_partitions, segments=segments)))
+
+
+def route_only(records: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Raw records -> every record with its route: the header alone is split,
+    and neither the raw text nor another segment leaves the first stage."""
+    parsed = parse_messages(records, min_partitions=min_partitions, segments=("msh",), with_raw=False)
+    return with_route(extract_routing(parsed))
 
 
 def routed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,14 +35,7 @@ def routed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def valid_rows(routed_df: DataFrame) -> DataFrame:
     """F4-F6 + P15 with the arrival columns kept for last-write-wins."""
-    v = routed_df.filter(F.col("route") == "valid")
-    return v.select(
-        *ARRIVAL,
-        "order_id", "message_ref_id", "mfl_code",
-        F.col("order_date").cast("date").alias("order_date"),
-        "order_time", "sending_application",
-        F.col("loinc").alias("test_id"), "lab_code",
-    )
+    return sink_projection(routed_df.filter(F.col("route") == "valid"), ARRIVAL)
 
 
 def order_count(spark: SparkSession, sf_dir: str) -> int:

@@ -7,6 +7,8 @@ column names match the oracle SQL in :mod:`labwire.plans.oracle`.
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,18 +26,20 @@ from labwire.operators.parse import (
     raw_fields,
     segments_long,
 )
+from labwire.plans.oracle import LOOKUP_KEYS
 from labwire.plans.pipeline import (
     default_width,
     facilities,
     facility_renames,
     lab_prefixes,
     order_count,
+    route_only,
     routed,
     valid_rows,
 )
 from labwire.sources.fixtures import records_from_dir
 from labwire.sources.records import ARRIVAL, decode
-from labwire.session import checkpoint_dir
+from labwire.session import checkpoint_dir, scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +91,12 @@ def q_header_projection(spark, sf_dir):
     return h.filter(accepts("OML_O21")).select(*ARRIVAL, "h.*")
 
 
+def q_header_any(spark, sf_dir):
+    """P16, T7 for every ER7 message, whatever its type and version."""
+    h = project(_parsed(spark, sf_dir), "header")
+    return h.filter("is_er7").select(*ARRIVAL, "h.message_type", "h.version", "h.sender_id", "h.receiver_id")
+
+
 def q_patient_projection(spark, sf_dir):
     """P17, T8, T10."""
     p = project(_parsed(spark, sf_dir), "patient")
@@ -101,14 +111,18 @@ def q_lab_orders(spark, sf_dir):
 
 # -- routing ----------------------------------------------------------------
 
+def _routes(spark, sf_dir):
+    return route_only(_records(spark, sf_dir))
+
+
 def q_route_each(spark, sf_dir):
     """F1-F8."""
-    return routed(spark, sf_dir).select(*ARRIVAL, "route")
+    return _routes(spark, sf_dir).select(*ARRIVAL, "route")
 
 
 def q_route_counts(spark, sf_dir):
     """G1."""
-    return routing.route_counts(routed(spark, sf_dir))
+    return routing.route_counts(_routes(spark, sf_dir))
 
 
 def q_valid_orders(spark, sf_dir):
@@ -197,23 +211,29 @@ def q_contract_violations(spark, sf_dir):
 
 
 def q_fk_facility(spark, sf_dir):
-    """J1 (the facility set is bounded: codes are 1000 + custkey % 9000)."""
-    bad = contracts.facility_violations(stored(spark, sf_dir), facilities(spark, sf_dir), bounded=True)
+    """J1."""
+    bad = contracts.facility_violations(stored(spark, sf_dir), facilities(spark, sf_dir))
     return bad.select("message_ref_id", "mfl_code")
 
 
 def q_fk_lab(spark, sf_dir):
-    """J2 (at most 25 lab codes)."""
-    bad = contracts.lab_violations(stored(spark, sf_dir), lab_prefixes(spark, sf_dir), bounded=True)
+    """J2."""
+    bad = contracts.lab_violations(stored(spark, sf_dir), lab_prefixes(spark, sf_dir))
     return bad.select("message_ref_id", "lab_code")
 
 
 def q_facility_rename(spark, sf_dir):
     """J3."""
-    renamed = contracts.rename_facilities(stored(spark, sf_dir), facility_renames(spark, sf_dir), bounded=True)
+    renamed = contracts.rename_facilities(stored(spark, sf_dir), facility_renames(spark, sf_dir))
     return renamed.select("message_ref_id", "mfl_code")
 
 
+def q_delete_guard(spark, sf_dir):
+    """Facilities up for deletion that stored orders still use."""
+    codes = facility_renames(spark, sf_dir).select(F.col("old_code").alias("mfl_code"))
+    return contracts.blocked_deletes(codes, stored(spark, sf_dir))
+
+
 # -- lookups ------------------------------------------------------------------
 
 def _stored_table(spark, sf_dir):
@@ -251,6 +271,22 @@ def q_orders_by_date(spark, sf_dir):
     return lookups.by_date(_stored_table(spark, sf_dir)).select("rn", "message_ref_id", "order_date")
 
 
+def q_lookup_keys(spark, sf_dir):
+    """O3: the busiest value of each of the six lookup keys, by semi joins."""
+    s = _stored_table(spark, sf_dir)
+    parts = [lookups.lookup_many(s, lookups.busiest(s, c), c).select(F.lit(c).alias("lookup_key"), "message_ref_id")
+             for c in LOOKUP_KEYS]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def q_date_layout_scan(spark, sf_dir):
+    """Write the date layout, read a range of dates and facilities from it."""
+    path = scratch_dir(spark, f"layout-{uuid.uuid4().hex[:12]}")
+    lookups.date_layout(_stored_table(spark, sf_dir), path)
+    rows = spark.read.parquet(path).filter(F.col("order_date").between(F.lit("1996-03-01").cast("date"), F.lit("1998-02-28").cast("date")))
+    return rows.filter(F.col("mfl_code") >= "1050").select("message_ref_id", "mfl_code", "order_date")
+
+
 def q_add_lab_code_column(spark, sf_dir):
     """K7: rows stored before the lab_code column existed read it as null."""
     v = up.latest(_valid(spark, sf_dir))
@@ -267,6 +303,7 @@ QUERIES: dict[str, Query] = {
     "oru_gate": q_oru_gate,
     "lab_orders": q_lab_orders,
     "header_projection": q_header_projection,
+    "header_any": q_header_any,
     "patient_projection": q_patient_projection,
     "route_each": q_route_each,
     "route_counts": q_route_counts,
@@ -282,9 +319,12 @@ QUERIES: dict[str, Query] = {
     "fk_facility": q_fk_facility,
     "fk_lab": q_fk_lab,
     "facility_rename": q_facility_rename,
+    "delete_guard": q_delete_guard,
     "facility_timeline": q_facility_timeline,
     "facility_test": q_facility_test,
     "lookup_by_key": q_lookup_by_key,
+    "lookup_keys": q_lookup_keys,
+    "date_layout_scan": q_date_layout_scan,
     "orders_by_date": q_orders_by_date,
     "add_lab_code_column": q_add_lab_code_column,
 }

@@ -33,14 +33,15 @@ STARTUP_CONF = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
 JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "labwire") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "labwire",
+                  driver_memory: str = "8g") -> SparkSession:
     """A local session for tests and benchmarks (UI off, no ports beyond Spark's own)."""
     b = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", driver_memory)
         .config("spark.driver.extraJavaOptions", JIT_OPTIONS)
         .config("spark.executor.extraJavaOptions", JIT_OPTIONS)
     )
@@ -69,7 +70,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="labwire-ckpt-")
         log.warning("spark.checkpoint.dir unset; using local folder %s (local mode only)", configured)

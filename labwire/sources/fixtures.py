@@ -39,12 +39,19 @@ def message_text(k: Column, custkey: Column, nationkey: Column, orderdate: Colum
 
     mtype = _first(
         (k % 73 == 9, F.lit("ORU^R01^ORU_R01")),
+        (k % 137 == 43, F.lit("OML^O21^OML_021")),
         (k % 17 == 1, F.lit("OML^O21")),
         default=F.lit("OML^O21^OML_O21"),
     )
     ver = F.when(k % 79 == 10, F.lit("2.4")).otherwise(F.lit("2.5"))
-    mid = F.when(k % 41 == 0, F.lit("")).otherwise(F.concat(F.lit("MSG"), _lpad(base, 8)))
-    app = F.when(k % 19 == 4, F.lit("A\\T\\B")).otherwise(F.concat(F.lit("APP"), (k % 4).cast("string")))
+    mid = F.when(k % 41 == 0, F.lit("")).otherwise(
+        F.concat(F.lit("MSG"), _lpad(base, 8), F.when(base % 131 == 41, F.lit("Y" * 100)).otherwise(F.lit(""))))
+    app = _first(
+        (k % 107 == 23, F.lit("A\ue001B\u0001FC\\T\\D")),
+        (k % 113 == 31, F.lit("APPLICATION-NAME-OVER-25-CHARS")),
+        (k % 19 == 4, F.lit("A\\T\\B")),
+        default=F.concat(F.lit("APP"), (k % 4).cast("string")),
+    )
     mfl = _first(
         (k % 43 == 1, F.lit("")),
         (k % 7 == 3, F.concat(F.lit("1"), _lpad(custkey, 7))),
@@ -53,9 +60,11 @@ def message_text(k: Column, custkey: Column, nationkey: Column, orderdate: Colum
     lab = _first(
         (k % 11 == 5, F.lit("")),
         (k % 47 == 2, F.lit('""')),
+        (k % 109 == 29, F.lit("LAB-TOO-LONG-1")),
         default=F.concat(F.lit("L"), _lpad(nationkey, 2)),
     )
-    sex = _first((k % 3 == 0, F.lit("M")), (k % 3 == 1, F.lit("F")), default=F.lit("U"))
+    dob = _first((k % 139 == 47, F.lit("19900230")), (k % 149 == 53, F.lit("1990")), default=F.lit("19900102"))
+    sex = _first((k % 151 == 59, F.lit("")), (k % 3 == 0, F.lit("M")), (k % 3 == 1, F.lit("F")), default=F.lit("U"))
     obr4 = _first(
         (k % 89 == 12, F.lit("")),
         (k % 13 == 7, F.concat(F.lit("^CBC^^"), loinc)),
@@ -74,9 +83,11 @@ def message_text(k: Column, custkey: Column, nationkey: Column, orderdate: Colum
     )
     pid = F.concat(
         F.lit("PID|1||P"), custkey.cast("string"),
-        F.lit("^^^MRN~X^^^ALT||Banda&van^Mary||19900102|"), sex,
+        F.lit("^^^MRN~X^^^ALT||Banda&van^Mary||"), dob, F.lit("|"), sex,
     )
-    orc = F.when(k % 53 != 3, F.concat(F.lit("ORC|NW|ORD-"), k.cast("string"), F.lit("^SCP")))
+    oid = F.concat(F.lit("ORD-"), k.cast("string"), F.when(k % 127 == 37, F.lit("-" + "X" * 50)).otherwise(F.lit("")))
+    orc = F.when(k % 53 != 3, F.when(k % 101 == 17, F.lit("ORC")).otherwise(F.concat(F.lit("ORC|NW|"), oid, F.lit("^SCP"))))
+    bare = F.when(k % 103 == 19, F.lit("ORC"))
     obr = F.concat(F.lit("OBR|1|x||"), obr4, F.lit("|||"), obr7)
     nte1 = F.when(k % 3 == 0, F.lit("NTE|1||fasting"))
     nte2 = F.when(k % 9 == 0, F.lit("NTE|2||repeat"))
@@ -84,7 +95,7 @@ def message_text(k: Column, custkey: Column, nationkey: Column, orderdate: Colum
     orc2 = F.when(second, F.lit("ORC|NW|SECOND"))
     obr2 = F.when(second, F.lit("OBR|2|x||99999-9^Z^LN|||199901010000"))
     # concat_ws skips the null (absent) segments
-    body = F.concat(F.call_function("concat_ws", sep, msh, pid, orc, obr, nte1, nte2, orc2, obr2), sep)
+    body = F.concat(F.call_function("concat_ws", sep, msh, pid, orc, bare, obr, nte1, nte2, orc2, obr2), sep)
     return _first(
         (k % 83 == 11, F.lit("")),
         (k % 71 == 8, F.concat(F.lit("not an hl7 message "), k.cast("string"))),

@@ -7,16 +7,24 @@ a file source with the raw record schema.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from labwire.sources.records import RAW_COLUMNS
 
-# The input topic and the polling settings of the original job.
+# The input topic and the client settings of the original job
+# (defaults; each can be overridden by ``extra``).
 DEFAULT_TOPIC = "lab-orders"
-MAX_POLL_RECORDS = 50
-MAX_POLL_INTERVAL_MS = 10000
+CLIENT_DEFAULTS = {
+    "kafka.max.poll.records": "50",
+    "kafka.max.poll.interval.ms": "10000",
+    "kafka.request.timeout.ms": "2540000",
+    "kafka.default.api.timeout.ms": "2540000",
+}
+# The delivery timeout is a producer's setting: it applies to the dead-letter writer.
+PRODUCER_DEFAULTS = {"kafka.delivery.timeout.ms": "120000"}
 
 
 @dataclass(frozen=True)
@@ -48,17 +56,18 @@ def reader_options(
     starting: str = "earliest",
     max_offsets_per_trigger: int | None = None,
     min_partitions: int | None = None,
+    extra: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
     """S1/S2/S4/S5/S6.  Offsets live in the query checkpoint (Spark refuses
-    ``enable.auto.commit``); a fresh checkpoint + ``earliest`` replays all."""
+    ``enable.auto.commit``); a fresh checkpoint + ``earliest`` replays all.
+    ``extra`` passes any further ``kafka.*`` setting on and wins over a default."""
     if not bootstrap:
         raise ValueError("bootstrap servers are required")
     o = {
         "kafka.bootstrap.servers": bootstrap,
         "subscribe": topic,
         "startingOffsets": starting,
-        "kafka.max.poll.records": str(MAX_POLL_RECORDS),
-        "kafka.max.poll.interval.ms": str(MAX_POLL_INTERVAL_MS),
+        **CLIENT_DEFAULTS,
     }
     if group_id:
         o["kafka.group.id"] = group_id
@@ -68,15 +77,19 @@ def reader_options(
         o["minPartitions"] = str(min_partitions)
     if security:
         o.update(security.options())
+    o.update(client_settings(extra))
     return o
 
 
-def read_stream(spark: SparkSession, **kw) -> DataFrame:
-    return spark.readStream.format("kafka").options(**reader_options(**kw)).load().select(*RAW_COLUMNS)
+def client_settings(extra: Mapping[str, str] | None) -> dict[str, str]:
+    """Client settings by their Kafka names, with or without the ``kafka.`` prefix."""
+    return {k if k.startswith("kafka.") else f"kafka.{k}": str(v) for k, v in (extra or {}).items()}
+
 
+def writer_options(security: KafkaSecurity | None = None, extra: Mapping[str, str] | None = None) -> dict[str, str]:
+    """Options of the dead-letter writer besides servers and topic."""
+    return {**PRODUCER_DEFAULTS, **(security.options() if security else {}), **client_settings(extra)}
 
-def read_batch(spark: SparkSession, **kw) -> DataFrame:
-    """Bounded replay of the topic (S2 as a batch job)."""
-    o = reader_options(**kw)
-    o.pop("maxOffsetsPerTrigger", None)
-    return spark.read.format("kafka").options(**o).load().select(*RAW_COLUMNS)
+
+def read_stream(spark: SparkSession, **kw) -> DataFrame:
+    return spark.readStream.format("kafka").options(**reader_options(**kw)).load().select(*RAW_COLUMNS)

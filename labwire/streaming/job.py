@@ -3,8 +3,9 @@
 The stream carries the same ``DataFrame -> DataFrame`` transforms as the batch
 plans.  There is no watermark, window or state (R1, R2): every record is
 routed on its own, and the only keyed work — last write wins and the merge —
-happens per micro-batch inside ``foreachBatch`` (K5), where the routed batch
-is persisted once and feeds both sinks.  Offsets live in the checkpoint, so a
+happens per micro-batch inside ``foreachBatch`` (K5), where the orders of the
+batch are persisted once, checked against the table's contract (C6) and fed
+to both sinks.  Offsets live in the checkpoint, so a
 restart resumes where the last committed batch ended and the idempotent merge
 absorbs a replayed batch (R4); a fresh checkpoint replays the whole topic.
 """
@@ -18,10 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from labwire.operators.orders import extract_orders
-from labwire.operators.parse import parse_messages
-from labwire.operators.routing import ROUTES, dead_letters, with_route
-from labwire.plans.pipeline import valid_rows
+from labwire.operators import contracts
+from labwire.operators.routing import ROUTES, dead_letters
+from labwire.plans.pipeline import route_records, valid_rows
 from labwire.sources.records import RAW_SCHEMA
 
 QUERY_NAME = "lab-orders-to-table"
@@ -29,11 +29,12 @@ QUERY_NAME = "lab-orders-to-table"
 DEFAULT_TRIGGER = {"processingTime": "200 milliseconds"}
 
 BatchFn = Callable[[DataFrame, int], None]
+# A reference table, read anew for each batch (codes may be added meanwhile).
+Reference = Callable[[SparkSession], DataFrame]
 
-
-def route_stream(raw: DataFrame) -> DataFrame:
-    """Raw records (batch or stream) -> routed records."""
-    return with_route(extract_orders(parse_messages(raw)))
+# A batch with a violating row fails (as a database with these constraints
+# rejects it), or such rows go to a sink of their own, or nothing is checked.
+CONTRACT_MODES = ("fail", "quarantine", "off")
 
 
 def observe_routes(routed: DataFrame, name: str = "routes") -> DataFrame:
@@ -52,23 +53,55 @@ def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 class FanOut:
     """K5: one routed micro-batch -> upsert sink (valid) + dead-letter sink.
 
-    The routed batch is persisted once and both sinks read it.  With
-    ``parallel`` the two sinks run as concurrent Spark jobs (the dead-letter
+    The rows that reach a sink are persisted once (dropped records are not,
+    and the raw text only of dead letters) and all sinks read them.  With
+    ``parallel`` the sinks run as concurrent Spark jobs (the dead-letter
     write is a single narrow stage that fills cores the merge leaves idle);
-    an error in either sink fails the batch, which Spark then re-runs.
+    an error in any sink fails the batch, which Spark then re-runs.
+
+    ``contract`` is one of ``CONTRACT_MODES``.  Every valid row is checked,
+    also one that a later row of the batch replaces.  ``fail`` raises before
+    any sink has written; ``quarantine`` hands the violating rows (with their
+    ``violations``) to the sink of that name and the clean ones to the table.
+    ``facilities`` and ``labs`` add the reference checks J1 and J2.
     """
 
-    def __init__(self, upsert: Callable[[DataFrame, int], None], dead: Callable[[DataFrame, int], None],
-                 parallel: bool = True):
+    def __init__(self, upsert: BatchFn, dead: BatchFn, parallel: bool = True, contract: str = "fail",
+                 quarantine: BatchFn | None = None, facilities: Reference | None = None,
+                 labs: Reference | None = None):
+        if contract not in CONTRACT_MODES:
+            raise ValueError(f"contract is one of {CONTRACT_MODES}, not {contract!r}")
+        if contract == "quarantine" and quarantine is None:
+            raise ValueError("quarantine needs a sink for the violating rows")
         self.upsert = upsert
         self.dead = dead
         self.parallel = parallel
+        self.contract = contract
+        self.quarantine = quarantine
+        self.facilities = facilities
+        self.labs = labs
+
+    def _jobs(self, routed: DataFrame, batch_id: int) -> list[Callable[[], None]]:
+        valid = valid_rows(routed)
+        jobs = [lambda: self.dead(dead_letters(routed), batch_id)]
+        if self.contract == "off":
+            return [lambda: self.upsert(valid, batch_id), *jobs]
+        spark = routed.sparkSession
+        checked = contracts.check(valid, self.facilities and self.facilities(spark), self.labs and self.labs(spark))
+        broken = F.size("violations") > 0
+        if self.contract == "fail":
+            first = checked.filter(broken).select(contracts.KEY, "violations").take(1)
+            if first:
+                raise contracts.ContractViolation(f"contract broken: {first[0].asDict(recursive=True)}")
+            return [lambda: self.upsert(valid, batch_id), *jobs]
+        return [lambda: self.upsert(checked.filter(~broken).drop("violations"), batch_id),
+                lambda: self.quarantine(checked.filter(broken), batch_id), *jobs]
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        routed = batch.persist()
+        letters = F.when(F.col("route") == "dlq", F.col("raw_message"))
+        routed = batch.filter(F.col("route").isin("valid", "dlq")).withColumn("raw_message", letters).persist()
         try:
-            jobs = [lambda: self.upsert(valid_rows(routed), batch_id),
-                    lambda: self.dead(dead_letters(routed), batch_id)]
+            jobs = self._jobs(routed, batch_id)
             if not self.parallel:
                 for job in jobs:
                     job()
@@ -88,7 +121,7 @@ def start(
     query_name: str = QUERY_NAME,
 ) -> StreamingQuery:
     """Start the job; ``trigger={"availableNow": True}`` for a bounded run."""
-    routed = observe_routes(route_stream(raw))
+    routed = observe_routes(route_records(raw))
     return (
         routed.writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)

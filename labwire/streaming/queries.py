@@ -9,8 +9,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labwire.operators.contracts import MAX_LENGTH, NOT_NULL
+from labwire.operators.schema import STORED_COLUMNS
 from labwire.plans.oracle import ORACLE, _q
-from labwire.plans.pipeline import order_count
+from labwire.plans.pipeline import facilities, lab_prefixes, order_count
 from labwire.session import scratch_dir
 from labwire.sinks import dead_letters as dlq_sink
 from labwire.sinks import files
@@ -25,15 +27,17 @@ def _dead_to(paths: dict):
     return lambda df, bid: dlq_sink.to_files(df, paths["dlq"], bid, files.query_id(df.sparkSession, paths["checkpoint"]))
 
 
-def run_chunked_stream(spark: SparkSession, sf_dir: str, chunks: int = CHUNKS, buckets: int = 16) -> dict:
+def run_chunked_stream(spark: SparkSession, sf_dir: str, chunks: int = CHUNKS, buckets: int = 16,
+                       make_contract=lambda paths: {}) -> dict:
     """Feed the records in ``chunks`` offset ranges; after each chunk lands,
-    restart the query from its checkpoint and drain it (``availableNow``)."""
+    restart the query from its checkpoint and drain it (``availableNow``).
+    ``make_contract`` gives the job's contract options (default: unchecked)."""
     base = scratch_dir(spark, f"stream-{uuid.uuid4().hex[:12]}")
-    paths = {k: f"{base}/{k}" for k in ("source", "table", "dlq", "checkpoint")}
+    paths = {k: f"{base}/{k}" for k in ("source", "table", "dlq", "quarantine", "checkpoint")}
     records = records_from_dir(spark, sf_dir)
     n = order_count(spark, sf_dir)
     sink = TableUpsertSink(paths["table"], buckets=buckets)
-    fan = FanOut(sink.for_query(paths["checkpoint"]), _dead_to(paths))
+    fan = FanOut(sink.for_query(paths["checkpoint"]), _dead_to(paths), **({"contract": "off"} | make_contract(paths)))
     for i in range(chunks):
         lo, hi = i * n // chunks, (i + 1) * n // chunks
         records.filter((F.col("offset") >= lo) & (F.col("offset") < hi)).write.mode("append").parquet(paths["source"])
@@ -49,7 +53,7 @@ def run_chunked_stream(spark: SparkSession, sf_dir: str, chunks: int = CHUNKS, b
 def replay_stream(spark: SparkSession, paths: dict) -> None:
     """Redeploy without state: a fresh checkpoint re-reads every record."""
     fresh = paths["checkpoint"] + "-replay"
-    fan = FanOut(paths["sink"].for_query(fresh), lambda df, bid: None)
+    fan = FanOut(paths["sink"].for_query(fresh), lambda df, bid: None, contract="off")
     q = start(file_source(spark, paths["source"]), fan, fresh, trigger={"availableNow": True},
               query_name=f"lab_orders_replay_{uuid.uuid4().hex[:8]}")
     q.awaitTermination()
@@ -62,7 +66,7 @@ def q_stream_redeploy(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = {k: f"{base}/{k}" for k in ("source", "table", "dlq", "checkpoint")}
     records, n = records_from_dir(spark, sf_dir), order_count(spark, sf_dir)
     sink = TableUpsertSink(paths["table"], buckets=16)
-    fan = FanOut(sink.for_query(paths["checkpoint"]), _dead_to(paths))
+    fan = FanOut(sink.for_query(paths["checkpoint"]), _dead_to(paths), contract="off")
 
     def drain(files_per_batch=None):
         q = start(file_source(spark, paths["source"], files_per_batch), fan, paths["checkpoint"], trigger={"availableNow": True},
@@ -97,21 +101,56 @@ def q_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paths["sink"].read(spark)
 
 
+def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1, C2, C6, J1, J2 in the job: clean rows are stored, violating ones set
+    aside with every rule they break."""
+    def options(paths):
+        def quarantine(df, bid):
+            dlq_sink.to_files(df, paths["quarantine"], bid, files.query_id(df.sparkSession, paths["checkpoint"]))
+
+        return {"contract": "quarantine", "quarantine": quarantine,
+                "facilities": lambda s: facilities(s, sf_dir), "labs": lambda s: lab_prefixes(s, sf_dir)}
+
+    paths = run_chunked_stream(spark, sf_dir, make_contract=options)
+    rules = F.array_join(F.transform("violations", lambda x: F.concat_ws(":", x["rule"], x["column_name"])), ",")
+    aside = spark.read.parquet(paths["quarantine"]).select(
+        F.lit("quarantined").alias("kind"), F.lit(None).cast("long").alias("id"), *STORED_COLUMNS, rules.alias("violations"))
+    kept = paths["sink"].read(spark).select(F.lit("stored").alias("kind"), "id", *STORED_COLUMNS, F.lit("").alias("violations"))
+    return kept.unionByName(aside)
+
+
 _STORED = "order_id, message_ref_id, mfl_code, order_date, order_time, sending_application, test_id, lab_code"
 _ALL_UPSERTED = f"""
 , ids AS (SELECT message_ref_id, row_number() OVER (ORDER BY min(k)) AS id FROM v GROUP BY message_ref_id)
 SELECT ids.id, {_STORED} FROM st JOIN ids USING (message_ref_id)
 """
 
+_RULES = [f"CASE WHEN {c} IS NULL THEN 'not_null:{c}' END" for c in NOT_NULL] + [
+    f"CASE WHEN length({c}) > {n} THEN 'max_length:{c}' END" for c, n in MAX_LENGTH.items()] + [
+    f"CASE WHEN {c} IS NOT NULL AND {c} NOT IN (SELECT {c} FROM {t}) THEN 'reference:{c}' END"
+    for c, t in (("mfl_code", "fac"), ("lab_code", "labs"))]
+_QUARANTINE = f"""
+, fac AS (SELECT DISTINCT CAST(1000 + c_custkey % 9000 AS VARCHAR) AS mfl_code FROM customer WHERE c_custkey % 20 <> 0),
+labs AS (SELECT 'L' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS lab_code FROM nation WHERE n_nationkey <= 22),
+chk AS (SELECT v.*, concat_ws(',', {", ".join(_RULES)}) AS violations FROM v),
+clean AS (SELECT *, min(k) OVER (PARTITION BY message_ref_id) AS first_k FROM chk WHERE violations = ''),
+kept AS (SELECT * FROM clean QUALIFY row_number() OVER (PARTITION BY message_ref_id ORDER BY k DESC) = 1)
+SELECT 'stored' AS kind, row_number() OVER (ORDER BY first_k) AS id, {_STORED}, violations FROM kept
+UNION ALL
+SELECT 'quarantined', NULL, {_STORED}, violations FROM chk WHERE violations <> ''
+"""
+
 STREAM_QUERIES = {
     "stream_upsert": q_stream_upsert,
     "stream_dlq": q_stream_dlq,
     "stream_replay": q_stream_replay,
     "stream_redeploy": q_stream_redeploy,
+    "stream_quarantine": q_stream_quarantine,
 }
 STREAM_ORACLE = {
     "stream_upsert": _q(_ALL_UPSERTED),
     "stream_dlq": ORACLE["dead_letters"],
     "stream_replay": _q(_ALL_UPSERTED),
     "stream_redeploy": _q(_ALL_UPSERTED),
+    "stream_quarantine": _q(_QUARANTINE),
 }

@@ -44,7 +44,7 @@ def test_reference_keys(spark):
     labs = spark.createDataFrame([("L01",)], "lab_code string")
     t = table(spark)
     assert sorted(r.message_ref_id for r in contracts.facility_violations(t, fac).collect()) == ["m2", "m4"]
-    assert sorted(r.message_ref_id for r in contracts.facility_known(t, fac, bounded=True).collect()) == ["m1", "m3"]
+    assert sorted(r.message_ref_id for r in contracts.facility_known(t, fac).collect()) == ["m1", "m3"]
     assert sorted(r.message_ref_id for r in contracts.lab_violations(t, labs).collect()) == ["m2", "m4"]
     ren = spark.createDataFrame([("1001", "9001")], "old_code string, new_code string")
     got = {r.message_ref_id: r.mfl_code for r in contracts.rename_facilities(t, ren).collect()}
@@ -56,3 +56,17 @@ def test_reference_keys(spark):
 def test_duplicate_keys(spark):
     t = table(spark).unionByName(table(spark).limit(1))
     assert [(r.message_ref_id, r.n) for r in contracts.duplicate_keys(t).collect()] == [("m1", 2)]
+
+
+def test_check_lists_every_broken_rule(spark):
+    fac = spark.createDataFrame([("1001",), ("1002",), ("1001",), (None,)], "mfl_code string")
+    labs = spark.createDataFrame([("L01",)], "lab_code string")
+    got = {r.message_ref_id: [f"{x.rule}:{x.column_name}" for x in r.violations]
+           for r in contracts.check(table(spark), fac, labs).collect()}
+    assert got == {
+        "m1": [],
+        "m2": ["not_null:mfl_code", "not_null:test_id", "reference:lab_code"],
+        "m3": ["not_null:order_date", "not_null:order_time", "max_length:order_id", "max_length:sending_application"],
+        "m4": ["max_length:lab_code", "reference:mfl_code", "reference:lab_code"],
+    }
+    assert contracts.check(table(spark).limit(0), fac, labs).count() == 0

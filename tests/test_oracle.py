@@ -38,6 +38,6 @@ def test_every_query_has_an_oracle():
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.count() == 1054
+    assert df.count() == 1046
     assert df.columns == ["order_id", "message_ref_id", "mfl_code", "order_date", "order_time",
                           "sending_application", "test_id", "lab_code"]

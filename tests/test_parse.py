@@ -150,3 +150,20 @@ def test_segments_long_with_fields(spark):
     rows = segments_long(clean_messages(records(spark, texts)), with_fields=True).orderBy("seg_idx").collect()
     assert rows[0].fields[:3] == ["MSH", "^~\\&", "A&B^1.2^ISO"]
     assert rows[1].fields == ["ORC", "NW", "X^Y"]
+
+
+def test_bare_segments_bound_the_first_order(spark):
+    texts = [
+        message(msh(), "ORC", "ORC|NW|X2", "OBR|1|x||T2^N^LN"),
+        message(msh(), "ORC|NW|O1", "ORC", "OBR|1|x||T2^N^LN"),
+        message(msh(), "ORC|NW|O1", "OBR", "OBR|2|x||T2^N^LN"),
+        msh() + "\rOBR|1|x||T1^N^LN\rORC",  # a bare segment ends the text
+    ]
+    got = [(r.order_id, r.loinc) for r in extract_orders(parsed(spark, texts)).orderBy("offset").collect()]
+    assert got == [(None, None), ("O1", None), ("O1", None), (None, "T1")]
+
+
+def test_only_escape_sequences_change(spark):
+    texts = [message(msh(app=a)) for a in ("A\ue000B", "A\u0001FB\\T\\C", "\\F\\S\\E\\", "x\\R\\S\\S\\y")]
+    got = [r.sending_application for r in extract_orders(parsed(spark, texts)).orderBy("offset").collect()]
+    assert got == ["A\ue000B", "A\u0001FB&C", "|S\\", "x~S^y"]

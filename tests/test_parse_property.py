@@ -9,6 +9,9 @@ from tests.helpers import parsed
 
 PUNCT = "|^~\\&#$*!%@"
 ESCAPES = "FSTRE"
+# ordinary text, with private-use and control characters that a parser must
+# leave alone and letters that are escape codes
+TEXT = "ABCxyz019 .-FSTRE\ue000\ue001\ue004\x01"
 
 
 def py_sanitize(s):
@@ -20,6 +23,8 @@ def py_sanitize(s):
 
 
 def py_unescape(v, fs, cs, rs, esc, ss):
+    if esc == "\x00":  # the header declares no escape character
+        return v
     out, i = [], 0
     table = dict(zip(ESCAPES, (fs, cs, ss, rs, esc)))
     while i < len(v):
@@ -42,7 +47,7 @@ def py_extract(text):
         for i, seg in enumerate(segs[1:], 1):
             if before is not None and i >= before:
                 return None
-            if seg.startswith(name + fs):
+            if seg == name or seg.startswith(name + fs):
                 return i
         return None
 
@@ -62,7 +67,7 @@ def py_extract(text):
     orc2 = None
     if orc is not None:
         for i in range(orc + 1, len(segs)):
-            if segs[i].startswith("ORC" + fs):
+            if segs[i] == "ORC" or segs[i].startswith("ORC" + fs):
                 orc2 = i
                 break
     obr = find("OBR", before=orc2)
@@ -94,7 +99,7 @@ def random_message(rng):
             if rng.random() < 0.3:
                 parts.append(esc + rng.choice(ESCAPES) + esc)
             else:
-                parts.append("".join(rng.choice("ABCxyz019 .-") for _ in range(rng.randint(0, 5))))
+                parts.append("".join(rng.choice(TEXT) for _ in range(rng.randint(0, 5))))
         return "".join(parts)
 
     def fld():
@@ -107,13 +112,14 @@ def random_message(rng):
     for _ in range(rng.randint(0, 7)):
         name = rng.choice(["PID", "ORC", "OBR", "OBR", "NTE", "ZZZ"])
         indent = " " if rng.random() < 0.1 else ""
-        body.append(indent + fs.join([name] + [fld() for _ in range(rng.randint(1, 8))]))
+        n_fields = 0 if rng.random() < 0.2 else rng.randint(1, 8)  # 0: the bare name
+        body.append(indent + fs.join([name] + [fld() for _ in range(n_fields)]))
         if rng.random() < 0.1:
             body.append("")  # blank line
         if rng.random() < 0.03:
             body.append("XY" + rng.choice("Z" + fs) + "tail")  # malformed unless the 4th char is fs
     sep = rng.choice(["\r", "\n", "\r\n"])
-    return sep.join([msh] + body) + sep
+    return sep.join([msh] + body) + (sep if rng.random() < 0.8 else "")
 
 
 def test_parser_matches_python_rules(spark):
@@ -226,7 +232,7 @@ def _raw_reader(text):
         if seg == "msh":
             idx, k = 0, n - 1
         else:
-            idx = next((i for i, x in enumerate(segs[1:], 1) if x.startswith(seg.upper() + fs)), None)
+            idx = next((i for i, x in enumerate(segs[1:], 1) if x == seg.upper() or x.startswith(seg.upper() + fs)), None)
             if idx is None:
                 return None
             k = n

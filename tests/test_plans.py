@@ -51,3 +51,32 @@ def test_spread_widens_only_narrow_scans(spark, tmp_dir):
     wide = spark.read.parquet(f"{tmp_dir}/many")
     assert spread(wide, 4) is wide  # no extra shuffle
     assert spread(narrow, None) is narrow
+
+
+def test_routing_carries_neither_raw_text_nor_other_segments(spark, tmp_dir):
+    from labwire.operators.routing import route_counts
+    from labwire.plans.pipeline import route_only
+
+    path = f"{tmp_dir}/raw"
+    records_from_dir(spark, SF_SMALL).write.parquet(path)
+    counts = route_counts(route_only(spark.read.parquet(path)))
+    outputs = [line for line in counts._jdf.queryExecution().executedPlan().toString().splitlines() if "Generate" in line]
+    assert len(outputs) == 3  # clean, locate, pick: what leaves each fence
+    for line in outputs:
+        left = line[line.rindex("["):]
+        assert not any(name in left for name in ("raw_message", "pid", "orc", "obr")), left
+
+
+def test_date_layout_splits_a_hot_date(spark, tmp_dir):
+    from labwire.operators.lookups import date_layout
+
+    rows = spark.range(20000).selectExpr("concat('m', id) AS message_ref_id", "'1001' AS mfl_code", "DATE'2024-01-01' AS order_date")
+    # so few bytes would be merged into one task at run time
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        date_layout(rows, f"{tmp_dir}/t")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    back = spark.read.parquet(f"{tmp_dir}/t")
+    assert back.count() == 20000
+    assert back.select(F.input_file_name().alias("f")).distinct().count() > 2

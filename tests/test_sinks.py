@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from labwire.operators.schema import add_column, read_evolved, union_evolved
 from labwire.sinks.jdbc import merge_sql
 from labwire.sinks.table import TableUpsertSink
-from labwire.sources.kafka import KafkaSecurity, reader_options
+from labwire.sources.kafka import KafkaSecurity, reader_options, writer_options
 
 SCHEMA = ("message_ref_id string, mfl_code string, order_id string, test_id string, order_date date, "
           "order_time string, sending_application string, lab_code string, partition int, offset long")
@@ -64,6 +64,10 @@ def test_kafka_options_require_settings():
         reader_options("")
     o = reader_options("broker:9092", security=KafkaSecurity("SASL_SSL", "SCRAM-SHA-512", "u", "p"), group_id="g")
     assert o["subscribe"] == "lab-orders" and o["startingOffsets"] == "earliest"
+    assert o["kafka.request.timeout.ms"] == o["kafka.default.api.timeout.ms"] == "2540000"
+    more = reader_options("broker:9092", extra={"max.poll.records": 500, "kafka.fetch.min.bytes": 1})
+    assert more["kafka.max.poll.records"] == "500" and more["kafka.fetch.min.bytes"] == "1"
+    assert writer_options(extra={"acks": "all"}) == {"kafka.delivery.timeout.ms": "120000", "kafka.acks": "all"}
     assert o["kafka.group.id"] == "g" and 'username="u" password="p"' in o["kafka.sasl.jaas.config"]
 
 
@@ -98,8 +102,20 @@ def test_jdbc_merge_retries_then_fails(spark, monkeypatch):
     monkeypatch.setattr(jdbc, "_execute", flaky)
     monkeypatch.setattr(type(rows), "write", property(lambda self: FakeWriter()))
     t = jdbc.JdbcTarget("jdbc:postgresql://db/x", "u", "p")
-    jdbc.upsert_batch(rows, 7, t, pause_s=0)
+    jdbc.upsert_batch(rows, 7, t, "5f0c-11", pause_s=0)
     assert len(calls) == 4 and calls[2].startswith("INSERT") and calls[3].startswith("DROP TABLE")
+    assert calls[3].endswith("crt.lab_order_stage_5f0c11_7")  # another query's staging is another table
+    calls.clear()
+    calls.extend(["a", "b"])  # the merge works at once; a failing DROP does not fail the batch
+
+    def no_drop(_spark, _t, sql):
+        calls.append(sql)
+        if sql.startswith("DROP"):
+            raise RuntimeError("locked")
+
+    monkeypatch.setattr(jdbc, "_execute", no_drop)
+    jdbc.upsert_batch(rows, 7, t, pause_s=0)
+    assert [c[:4] for c in calls[2:]] == ["INSE", "DROP"]
     calls.clear()
     monkeypatch.setattr(jdbc, "_execute", lambda *a: (_ for _ in ()).throw(RuntimeError("down")))
     with pytest.raises(RuntimeError):

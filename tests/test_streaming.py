@@ -1,7 +1,11 @@
+import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
+from labwire.operators import contracts
+from labwire.plans.pipeline import route_records, valid_rows
 from labwire.sinks.table import TableUpsertSink
 from labwire.sources.fixtures import records_from_dir
 from labwire.streaming.job import FanOut, file_source, start
@@ -9,7 +13,7 @@ from labwire.streaming.metrics import RouteCounter
 from tests.conftest import SF_SMALL
 
 # FIXTURES §4 at sf0.001
-EXPECTED = {"empty": 18, "unparseable": 61, "no_message_id": 35, "bad_mfl": 226, "dlq": 106, "valid": 1054}
+EXPECTED = {"empty": 18, "unparseable": 71, "no_message_id": 35, "bad_mfl": 225, "dlq": 105, "valid": 1046}
 
 
 def test_stream_route_counters_and_restart(spark, tmp_dir):
@@ -19,7 +23,7 @@ def test_stream_route_counters_and_restart(spark, tmp_dir):
     spark.streams.addListener(counter)
     sink = TableUpsertSink(f"{tmp_dir}/table", buckets=4)
     dead = []
-    fan = FanOut(sink.for_query(ckpt), lambda df, bid: dead.append(df.count()))
+    fan = FanOut(sink.for_query(ckpt), lambda df, bid: dead.append(df.count()), contract="off")
     try:
         for lo, hi in ((0, 700), (700, 10**9)):
             rec.filter((F.col("offset") >= lo) & (F.col("offset") < hi)).write.mode("append").parquet(src)
@@ -32,7 +36,7 @@ def test_stream_route_counters_and_restart(spark, tmp_dir):
         spark.streams.removeListener(counter)
     assert dict(counter.totals) == EXPECTED
     assert sum(dead) == EXPECTED["dlq"]
-    assert sink.read(spark).count() == 914
+    assert sink.read(spark).count() == 908
 
 
 def test_job_entry_point_files_to_table(spark, tmp_dir):
@@ -40,8 +44,29 @@ def test_job_entry_point_files_to_table(spark, tmp_dir):
 
     rec = records_from_dir(spark, SF_SMALL)
     rec.write.parquet(f"{tmp_dir}/src")
+    args = ["--source-path", f"{tmp_dir}/src", "--table", f"{tmp_dir}/table", "--buckets", "4",
+            "--dlq-path", f"{tmp_dir}/dlq", "--checkpoint", f"{tmp_dir}/ckpt", "--available-now"]
+    with pytest.raises(Exception, match="contract broken"):  # the default: nothing is written
+        main.main([*args, "--query-name", "entry_point_fail"])
+    assert not os.path.exists(f"{tmp_dir}/table") and not os.path.exists(f"{tmp_dir}/dlq")
+    main.main([*args, "--contract", "off", "--query-name", "entry_point_test"])
+    before = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/table").collect())
+    assert len(before) == 908
+    # everything again from the start: the same table, the letters a second time
+    main.main([*args, "--contract", "off", "--replay", "--query-name", "entry_point_replay"])
+    assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/table").collect()) == before
+    assert spark.read.parquet(f"{tmp_dir}/dlq").count() == 2 * EXPECTED["dlq"]
+
+
+def test_entry_point_quarantines(spark, tmp_dir):
+    from labwire.streaming import main
+
+    records_from_dir(spark, SF_SMALL).write.parquet(f"{tmp_dir}/src")
     main.main(["--source-path", f"{tmp_dir}/src", "--table", f"{tmp_dir}/table", "--buckets", "4",
                "--dlq-path", f"{tmp_dir}/dlq", "--checkpoint", f"{tmp_dir}/ckpt", "--available-now",
-               "--query-name", "entry_point_test"])
-    assert spark.read.parquet(f"{tmp_dir}/table").count() == 914
-    assert spark.read.parquet(f"{tmp_dir}/dlq").count() == EXPECTED["dlq"]
+               "--contract", "quarantine", "--quarantine-path", f"{tmp_dir}/aside", "--query-name", "quarantine_test"])
+    stored, aside = spark.read.parquet(f"{tmp_dir}/table"), spark.read.parquet(f"{tmp_dir}/aside")
+    assert contracts.violations(stored).isEmpty() and not contracts.violations(aside).isEmpty()
+    assert contracts.violations(aside).select("message_ref_id", "rule").distinct().count() > 0
+    routed_rows = valid_rows(route_records(records_from_dir(spark, SF_SMALL)))
+    assert aside.count() == contracts.check(routed_rows).filter("size(violations) > 0").count()
