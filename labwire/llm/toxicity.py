@@ -9,15 +9,22 @@ of labelled rows and scored in the map tasks.
 
 Training sample (bounds are parameters): about ``sample_rows`` labelled rows,
 picked by a hash of the id, of texts up to ``sample_chars`` characters, never
-from the held-out fold.  A fifth of it is kept from training and calibrates
-the scores (Platt scaling) and, per language, the threshold with the best F1
-on that part; a language with fewer than ``min_toxic`` toxic rows there uses
-the threshold of all languages.  Language picks the threshold only; it, the
+from the held-out fold.  Only the weights are learned from it.
+
+Calibration: every labelled row outside the held-out fold, of any length, is
+scored by a model that did not learn from it: rows of the sample by one of
+``SPLITS`` further models, each trained without its share of the sample, all
+others by the model itself.  Counts by language, bin of the logit and label
+give the Platt scale and, per language, the threshold with the best F1; a
+language with fewer than ``min_toxic`` toxic rows uses the threshold of all
+languages.  (With a share of the sample that leaves only one label, all rows
+are scored by the model itself.)  Language picks the threshold only; it, the
 labels, source and id are no inputs of a score.
 
 Defined results: a null or empty text is scored like one without words; a
 null label or a label without a document is ignored; a label given twice
-counts as its highest value; without any toxic label every score is 0.
+counts as its highest value, and for each document row of its id; without any
+toxic label every score is 0.
 """
 
 from __future__ import annotations
@@ -45,6 +52,10 @@ RATE = 0.05
 #: A row's starting log-odds count as if seen so often at the base rate too.
 SHRINK = 5.0
 GRID = np.linspace(0.1, 0.9, 33)
+#: Models that score the training sample for the calibration.
+SPLITS = 3
+#: Bins of the calibration: so many for each unit of the logit, which is cut at +-LOGIT.
+FINE, LOGIT = 64, 30
 
 
 def word_rows(vocab: pa.Array) -> np.ndarray:
@@ -180,16 +191,16 @@ class Model:
             square["table"][r] += (total**2).mean(1)
             self.table[r] -= RATE * total / np.sqrt(square["table"][r])[:, None]
 
-    def calibrate(self, logit: np.ndarray, y: np.ndarray) -> None:
-        """Platt scaling with smoothed targets, by Newton steps."""
-        n1, n0 = y.sum(), (1 - y).sum()
-        t = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    def calibrate(self, logit: np.ndarray, pos: np.ndarray, neg: np.ndarray) -> None:
+        """Platt scaling with smoothed targets, by Newton steps; ``pos`` and ``neg`` rows have the logit."""
+        n1, n0 = pos.sum(), neg.sum()
+        n, t = pos + neg, pos * (n1 + 1) / (n1 + 2) + neg / (n0 + 2)
         x = np.stack([logit, np.ones_like(logit)], 1).astype(float)
         w = np.array([1.0, 0.0])
         for _ in range(50):
             p = sigmoid(x @ w)
-            h = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-            step = np.linalg.solve(h, x.T @ (p - t) + 1e-3 * (w - [1.0, 0.0]))
+            h = (x * (n * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+            step = np.linalg.solve(h, x.T @ (n * p - t) + 1e-3 * (w - [1.0, 0.0]))
             w -= np.clip(step, -1, 1)
             if np.abs(step).max() < 1e-8:
                 break
@@ -197,16 +208,40 @@ class Model:
             self.scale = (float(w[0]), float(w[1]))
 
 
-def best_threshold(score: np.ndarray, y: np.ndarray) -> float:
+def best_threshold(score: np.ndarray, pos: np.ndarray, neg: np.ndarray) -> float:
     """The grid value with the best F1; of equal ones the middle."""
     f1 = []
     for t in GRID:
         hit = score >= t
-        f1.append(2 * (hit & (y == 1)).sum() / max(1, hit.sum() + (y == 1).sum()))
+        f1.append(2 * pos[hit].sum() / max(1, (pos + neg)[hit].sum() + pos.sum()))
     best = np.flatnonzero(np.array(f1) >= max(f1) - 1e-12)
     return float(GRID[best[len(best) // 2]])
 
 
+def counts(docs: DataFrame, lab: DataFrame, models: list[Model], model) -> DataFrame:
+    """(lang, bin, logit, pos, neg) of all rows of ``docs`` with a label; column
+    ``model`` says which of ``models`` scores a row.  At most languages x bins rows."""
+    shared = docs.sparkSession.sparkContext.broadcast(models)  # of fixed size
+
+    def run(batches):
+        for whole in batches:
+            for b in c.slices(whole, "text"):
+                which, out = b.column("model").to_numpy(), np.zeros(b.num_rows)
+                for k in np.unique(which):
+                    at = np.flatnonzero(which == k)
+                    out[at] = shared.value[k].raw(b.column("text").take(pa.array(at)))
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("lang"), pa.array(out)], ["doc_id", "lang", "logit"])
+
+    rows = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), model.cast("int").alias("model"), "text").filter("doc_id is not null")
+    ddl = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, logit double"
+    cut = F.greatest(F.least("logit", F.lit(float(LOGIT))), F.lit(-float(LOGIT)))
+    return (
+        rows.mapInArrow(c.task(run), ddl).join(lab, "doc_id")
+        .groupBy("lang", F.floor(cut * FINE).cast("int").alias("bin"))
+        .agg(F.avg(cut).alias("logit"), F.count_if(F.col("toxic") == 1).alias("pos"), F.count_if(F.col("toxic") != 1).alias("neg"))
+    )
+
+
 def fit(docs: DataFrame, labels: DataFrame, held_out, sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS,
         min_toxic: int = MIN_TOXIC) -> tuple[Model | None, dict]:
     """(model, thresholds by language; '' for all others) from labelled rows outside ``held_out``."""
@@ -214,31 +249,38 @@ def fit(docs: DataFrame, labels: DataFrame, held_out, sample_rows: int = SAMPLE_
            .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     n = lab.count()
     share = min(1.0, sample_rows / max(1, n))
-    pick = lab.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))  # at most about sample_rows rows
+    picked = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))  # at most about sample_rows rows
+    split = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(SPLITS))
     rows = (
-        docs.select("doc_id", "lang", "text").filter(F.length("text") <= sample_chars)
-        .join(F.broadcast(pick), "doc_id").dropDuplicates(["doc_id"])
-        .select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), "toxic", "text").toArrow().sort_by("doc_id")
+        docs.select("doc_id", "text").filter(F.length("text") <= sample_chars)
+        .join(F.broadcast(lab.filter(picked)), "doc_id").dropDuplicates(["doc_id"])
+        .select("doc_id", "toxic", split.alias("split"), "text").toArrow().sort_by("doc_id")
     )
-    y = rows.column("toxic").to_numpy().astype(float)
+    y, part = rows.column("toxic").to_numpy().astype(float), rows.column("split").to_numpy()
     if not 0 < y.sum() < len(y):
         return None, {"": CUTOFF}
     texts = rows.column("text").combine_chunks()
-    aside = np.random.default_rng(11).random(len(y)) < 0.2
-    if y[~aside].sum() < 1 or y[aside].sum() < 1 or y[aside].min() == 1 or y[~aside].min() == 1:
-        aside[:] = False
-    model = Model()
-    model.train(texts.filter(pa.array(~aside)), y[~aside])
-    if not aside.any():
-        aside[:] = True
-    held = texts.filter(pa.array(aside))
-    model.calibrate(model.raw(held), y[aside])
-    score, lang = model.scores(held), np.array(rows.column("lang").to_pylist())[aside]
-    cuts = {"": best_threshold(score, y[aside])}
+
+    def trained(on: np.ndarray) -> Model:
+        out = Model()
+        out.train(texts.filter(pa.array(on)), y[on])
+        return out
+
+    model = trained(np.ones(len(y), bool))
+    if all(0 < y[part != k].sum() < (part != k).sum() for k in range(SPLITS)):
+        models, which = [*(trained(part != k) for k in range(SPLITS)), model], F.when(picked, split).otherwise(SPLITS)
+    else:
+        models, which = [model], F.lit(0)
+    got = counts(docs.filter(~held_out), lab, models, which).toArrow()
+    logit, pos, neg = (got.column(k).to_numpy() for k in ("logit", "pos", "neg"))
+    model.calibrate(logit, pos, neg)
+    a, b = model.scale
+    p, lang = sigmoid(a * logit + b), np.array(got.column("lang").to_pylist())
+    cuts = {"": best_threshold(p, pos, neg)}
     for k in np.unique(lang):
         own = lang == k
-        if y[aside][own].sum() >= min_toxic:
-            cuts[str(k)] = best_threshold(score[own], y[aside][own])
+        if k and pos[own].sum() >= min_toxic:
+            cuts[str(k)] = best_threshold(p[own], pos[own], neg[own])
     return model, cuts
 
 

@@ -52,3 +52,49 @@ def test_language_picks_the_threshold_only(spark):
     x = {r.doc_id: r.score for r in t.score(a, model, cuts, keep).collect()}
     y = {r.doc_id: r.score for r in t.score(b, model, cuts, keep).collect()}
     assert x.keys() == y.keys() and all(abs(x[i] - y[i]) < 1e-5 for i in x)  # equal but for the rounding of sums
+
+
+def _spanish():
+    docs, labels = _labelled(600)
+    docs = [(i, text, "es" if i % 10 == 0 else lang, s) for i, text, lang, s in docs]  # 60 Spanish rows, all toxic
+    docs[15] = (15, docs[15][1] + " w1" * 400, "de", "s")  # longer than the sample's texts
+    return docs, labels
+
+
+def test_thresholds_use_all_labelled_rows(spark):
+    docs, labels = _spanish()
+    table = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    _, cuts = t.fit(data.documents(spark, docs), table, F.col("doc_id") % 4 == 1, sample_rows=150, sample_chars=1000)
+    assert set(cuts) == {"", "en", "es"}  # each with 20 toxic rows or more of its own, far fewer in the sample
+
+
+def test_counts_hold_every_labelled_row(spark):
+    docs, labels = _spanish()
+    lab = spark.createDataFrame([(i, y) for i, _, y in labels], "doc_id bigint, toxic int")
+    model = t.Model()
+    out = t.counts(data.documents(spark, docs + [(9999, "x", "fr", "s")]), lab, [model, model], F.col("doc_id") % 2).collect()
+    got, want = {}, {}
+    for r in out:
+        pos, neg = got.get(r.lang, (0, 0))
+        got[r.lang] = (pos + r.pos, neg + r.neg)
+    for (_, _, lang, _), (_, _, y) in zip(docs, labels):
+        pos, neg = want.get(lang, (0, 0))
+        want[lang] = (pos + y, neg + 1 - y)
+    assert got == want
+
+
+def test_binned_calibration_is_that_of_the_rows():
+    import numpy as np
+
+    r = np.random.default_rng(5)
+    y = (r.random(4000) < 0.2).astype(float)
+    x = r.standard_normal(4000) * 2 + 3 * y - 2
+    rows, bins = t.Model(), t.Model()
+    rows.calibrate(x, y, 1 - y)
+    b = np.unique(np.floor(x * t.FINE), return_inverse=True)[1]
+    n, pos = np.bincount(b), np.bincount(b, weights=y)
+    mean = np.bincount(b, weights=x) / n
+    bins.calibrate(mean, pos, n - pos)
+    assert np.allclose(rows.scale, bins.scale, atol=1e-3)
+    p, q = t.sigmoid(x * rows.scale[0] + rows.scale[1]), t.sigmoid(mean * rows.scale[0] + rows.scale[1])
+    assert abs(t.best_threshold(p, y, 1 - y) - t.best_threshold(q, pos, n - pos)) < 0.026
