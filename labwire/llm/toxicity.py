@@ -4,12 +4,15 @@ A word's embedding is the sum of four hashed rows: the whole word and its
 first 4, 5 and 6 bytes, so an unseen ending of a known stem keeps a known
 part.  Filters of widths 1, 2 and 3 run over the words of the whole text;
 each filter's largest response (max pooling) feeds one logistic output.
-Everything is numpy: the model is trained on the driver from a bounded sample
-of labelled rows and scored in the map tasks.
+Everything is numpy: the model is trained in a task from a bounded sample of
+labelled rows and scored in the map tasks; the driver holds no texts.
 
 Training sample (bounds are parameters): about ``sample_rows`` labelled rows,
 picked by a hash of the id, of texts up to ``sample_chars`` characters, never
-from the held-out fold.  Only the weights are learned from it.
+from the held-out fold.  Of toxic and clean rows each up to half are taken,
+and more where the others are fewer.  Only the weights are learned from it.
+The sample is written once to the shared folder; one task for each model
+reads it.
 
 Calibration: every labelled row outside the held-out fold, of any length, is
 scored by a model that did not learn from it: rows of the sample by one of
@@ -29,14 +32,19 @@ toxic label every score is 0.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labwire.llm import common as c
+from labwire.llm.bitpack import filesystem
 
-SAMPLE_ROWS = 6_000
+SAMPLE_ROWS = 20_000
 SAMPLE_CHARS = 20_000
 CUTOFF = 0.3
 MIN_TOXIC = 20
@@ -242,35 +250,65 @@ def counts(docs: DataFrame, lab: DataFrame, models: list[Model], model) -> DataF
     )
 
 
+def sample_shares(toxic: int, clean: int, rows: int) -> tuple[float, float]:
+    """Shares of the toxic and of the clean rows that make a sample of ``rows``."""
+    take = min(toxic, max(rows // 2, rows - clean))
+    return min(1.0, take / max(1, toxic)), min(1.0, (rows - take) / max(1, clean))
+
+
+def _hash(seed: int):
+    """Of the id, alike whatever its type in documents and labels."""
+    return F.xxhash64(F.col("doc_id").cast("string"), F.lit(seed))
+
+
+def _picked(share: float):
+    return _hash(0) < F.lit(int(share * 2**64) - 2**63) if share < 1 else F.lit(True)
+
+
+def trained(spark, path: str, splits: int) -> list[Model]:
+    """``splits`` models, the k-th without the rows of split k, and one of all rows; a task each."""
+
+    def run(batches):
+        for b in batches:
+            for k in b.column("id").to_pylist():
+                fs, at = filesystem(path)
+                rows = pq.read_table(at, filesystem=fs, use_threads=False, partitioning=None)
+                if k < splits:
+                    rows = rows.filter(pc.not_equal(rows.column("split"), k))
+                rows = rows.sort_by("doc_id")
+                texts, y = rows.column("text").combine_chunks(), rows.column("toxic").to_numpy().astype(float)
+                del rows
+                model = Model()
+                model.train(texts, y)
+                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([pickle.dumps(model)], pa.binary())], ["id", "model"])
+
+    got = spark.range(0, splits + 1, 1, splits + 1).mapInArrow(c.task(run), "id bigint, model binary").collect()  # of fixed size
+    return [pickle.loads(r.model) for r in sorted(got, key=lambda r: r.id)]
+
+
 def fit(docs: DataFrame, labels: DataFrame, held_out, sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS,
         min_toxic: int = MIN_TOXIC) -> tuple[Model | None, dict]:
     """(model, thresholds by language; '' for all others) from labelled rows outside ``held_out``."""
     lab = (labels.filter("doc_id is not null and toxic is not null").filter(~held_out)
            .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    n = lab.count()
-    share = min(1.0, sample_rows / max(1, n))
-    picked = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))  # at most about sample_rows rows
-    split = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(SPLITS))
-    rows = (
-        docs.select("doc_id", "text").filter(F.length("text") <= sample_chars)
-        .join(F.broadcast(lab.filter(picked)), "doc_id").dropDuplicates(["doc_id"])
-        .select("doc_id", "toxic", split.alias("split"), "text").toArrow().sort_by("doc_id")
-    )
-    y, part = rows.column("toxic").to_numpy().astype(float), rows.column("split").to_numpy()
-    if not 0 < y.sum() < len(y):
+    shares = sample_shares(*lab.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") != 1)).first(), sample_rows)
+    split = F.pmod(_hash(11), F.lit(SPLITS))
+    pick = lab.filter(F.when(F.col("toxic") == 1, _picked(shares[0])).otherwise(_picked(shares[1])))  # at most about sample_rows rows
+    path = c.stage_dir(docs.sparkSession, "sample")
+    (docs.select("doc_id", "text").filter(F.length("text") <= sample_chars)
+     .join(F.broadcast(pick), "doc_id").dropDuplicates(["doc_id"])
+     .select("doc_id", (F.col("toxic") == 1).cast("int").alias("toxic"), split.cast("int").alias("split"), "text").write.parquet(path))
+    sums = docs.sparkSession.read.parquet(path).groupBy("split").agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") != 1)).collect()
+    have = {r[0]: np.array(r[1:]) for r in sums}  # toxic and clean rows of each split
+    total = sum(have.values(), np.zeros(2, int))
+    if not total.all():
         return None, {"": CUTOFF}
-    texts = rows.column("text").combine_chunks()
-
-    def trained(on: np.ndarray) -> Model:
-        out = Model()
-        out.train(texts.filter(pa.array(on)), y[on])
-        return out
-
-    model = trained(np.ones(len(y), bool))
-    if all(0 < y[part != k].sum() < (part != k).sum() for k in range(SPLITS)):
-        models, which = [*(trained(part != k) for k in range(SPLITS)), model], F.when(picked, split).otherwise(SPLITS)
+    if all((total - have.get(k, 0)).all() for k in range(SPLITS)):
+        models, which = trained(docs.sparkSession, path, SPLITS), F.when(_picked(max(shares)), split).otherwise(SPLITS)
     else:
-        models, which = [model], F.lit(0)
+        models, which = trained(docs.sparkSession, path, 0), F.lit(0)
+    model = models[-1]
+    c.drop_staged(docs.sparkSession, path)
     got = counts(docs.filter(~held_out), lab, models, which).toArrow()
     logit, pos, neg = (got.column(k).to_numpy() for k in ("logit", "pos", "neg"))
     model.calibrate(logit, pos, neg)

@@ -98,3 +98,32 @@ def test_binned_calibration_is_that_of_the_rows():
     assert np.allclose(rows.scale, bins.scale, atol=1e-3)
     p, q = t.sigmoid(x * rows.scale[0] + rows.scale[1]), t.sigmoid(mean * rows.scale[0] + rows.scale[1])
     assert abs(t.best_threshold(p, y, 1 - y) - t.best_threshold(q, pos, n - pos)) < 0.026
+
+
+def test_sample_takes_toxic_and_clean_rows_separately():
+    assert t.SAMPLE_ROWS >= 20_000
+    assert t.sample_shares(100, 900, 2000) == (1.0, 1.0)
+    assert t.sample_shares(100, 10_000, 1000) == (1.0, 0.09)  # rare toxic rows are all learned from
+    assert t.sample_shares(10_000, 10_000, 1000) == (0.05, 0.05)
+    assert t.sample_shares(10_000, 100, 1000) == (0.09, 1.0)
+
+
+def test_sample_is_spread_over_the_whole_hash_range(spark):
+    ids = spark.range(40_000).withColumnRenamed("id", "doc_id")
+    assert abs(ids.filter(t._picked(0.25)).count() - 10_000) < 400
+    assert ids.filter(t._picked(0.0)).count() == 0 and ids.filter(t._picked(1.0)).count() == 40_000
+    assert spark.range(1).select(F.lit(1).alias("doc_id")).filter(t._picked(1e-12)).count() in (0, 1)
+
+
+def test_every_rare_toxic_row_is_learned_from(spark, monkeypatch):
+    docs, labels = _labelled(600)
+    labels = [(i, 1, int(i % 50 == 0)) for i, _, _ in labels]  # 12 toxic rows
+    table = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    seen, inner = [], t.trained
+    def spy(s, path, splits):
+        seen.append(s.read.parquet(path).select("doc_id", "toxic").collect())
+        return inner(s, path, splits)
+    monkeypatch.setattr(t, "trained", spy)
+    t.fit(data.documents(spark, docs), table, F.lit(False), sample_rows=100)
+    assert {r.doc_id for r in seen[0] if r.toxic} == {i for i, _, y in labels if y}
+    assert 60 <= len(seen[0]) <= 140
