@@ -2,25 +2,24 @@
 
 Each document gets integer counts and, from them, a fixed set of rule
 statistics (``RULES``; a larger value is worse).  Every rule has a fixed grid
-of ``BINS`` cutoffs, chosen before any label is seen.  In each stratum
-(language) the labelled holdout gives, for a cutoff, how many of its ``n``
-good documents it would reject, ``k``.  The cutoff is *certified* when the
-exact binomial (Clopper-Pearson) upper bound of that rejection rate is at
-most ``alpha``.
-
-Multiple testing: the error rate ``delta`` is divided by the number of
-(stratum, rule) pairs (Bonferroni).  Within a pair, cutoffs are tested from
-the loosest to the strictest and testing stops at the first that fails (a
-fixed sequence needs no further correction).  So with probability
-``1 - delta`` over the holdout, no certified cutoff rejects more than
-``alpha`` of the good documents of its stratum.
-
-Among certified cutoffs the one with the largest ``bad - weight * good``
-rejections is used; a rule that gains nothing stays off.  A document is
-rejected when a rule of its stratum does.
-
-The counts of all labelled rows are used (a histogram per stratum, rule and
-bin); nothing is sampled.  Defined results: a null text has no words; a null
+of ``BINS`` cutoffs, chosen before any label is seen.  A document is rejected
+when a rule of its stratum (language) fires, so what is *certified* is the
+union of a stratum's rules: of ``n`` good documents of the labelled holdout it
+rejects ``k``, and the exact binomial (Clopper-Pearson) upper bound of that
+rejection rate is at most ``alpha``.
+
+The holdout is halved by a hash of the id.  One half proposes: of each rule
+the cutoff with the largest ``bad - weight * good`` rejections among those
+whose own bound holds there, the rules in the order of that gain, without
+those that add none to the rules before them.  The other half, which took no
+part in this, tests the unions of the first 1, 2, ... rules and stops at the
+first that fails (a fixed sequence needs no further correction); the last
+that held is used.  The error rate ``delta`` is divided by the number of
+strata (Bonferroni).  So with probability ``1 - delta`` over the holdout, in no
+stratum more than ``alpha`` of the good documents are rejected by its rules.
+
+The counts of all labelled rows are used, in one half or the other (histograms
+by stratum, rule and bin, and by stratum and rule); nothing is sampled.  Defined results: a null text has no words; a null
 language is a stratum of its own, ''; documents of a stratum without labels
 are judged by the base rule alone; a label given twice counts as its lowest
 value; labels that are null or lack a document are ignored.
@@ -175,24 +174,49 @@ def thresholds(stats: DataFrame, labels: DataFrame, stratum: str = "lang", alpha
     lab = (labels.filter("doc_id is not null and quality is not null")
            .groupBy("doc_id").agg(F.min("quality").alias("quality")))
     s = F.coalesce(F.col(stratum), F.lit(""))
-    binned = F.array(*[F.struct(F.lit(r).alias("rule"), _bin(e, bins).alias("bin")) for r, e in RULES.items()])
-    hist = (
+    rows = c.staged(
         stats.filter(~base_failed()).withColumn("stratum", s).join(lab, "doc_id")
-        .select("stratum", "quality", F.inline(binned))
-        .groupBy("stratum", "rule", "bin").agg(
-            F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad"))
-    )
-    hist = c.staged(hist, "histogram")  # at most strata x rules x bins rows
-    tests = max(1, hist.select("stratum").distinct().count() * len(RULES))
+        .select("stratum", "quality", F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(5)), F.lit(2)).alias("half"),
+                F.array(*[_bin(e, bins) for e in RULES.values()]).alias("bins")), "labelled")
+    good, bad = F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad")
+    strata = max(1, rows.select("stratum").distinct().count())
 
     def pick(key, pdf):
         good, bad = np.zeros(bins), np.zeros(bins)
         good[pdf.bin], bad[pdf.bin] = pdf.good, pdf.bad
-        b = choose(good, bad, int(good.sum()), alpha, delta / tests, weight)
-        return pd.DataFrame({"stratum": [key[0]], "rule": [key[1]], "cut": pd.array([b], "Int32")})
-
-    cuts = hist.groupBy("stratum", "rule").applyInPandas(pick, "stratum string, rule string, cut int").filter("cut is not null")
-    return cuts.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cut"))).alias("cuts"))
+        b = choose(good, bad, int(good.sum()), alpha, delta / strata, weight)
+        gain = 0.0 if b is None else float(bad[b:].sum() - weight * good[b:].sum())
+        return pd.DataFrame({"stratum": [key[0]], "rule": [key[1]], "cut": pd.array([b], "Int32"), "loss": [-gain]})
+
+    def staged_seq(df):
+        return c.staged(df.select("stratum", "seq"), "proposed")  # a row for each stratum, of at most one entry for each rule
+
+    def first(half, seq):
+        """Labelled rows by the first rule of ``seq`` that fires (0: none)."""
+        fires = F.transform("seq", lambda x: F.col("bins")[x["rule"]] >= x["cut"])
+        return (rows.filter(F.col("half") == half).join(seq, "stratum")
+                .groupBy("stratum", F.size("seq").alias("n"), F.array_position(fires, True).cast("int").alias("at")).agg(good, bad))
+
+    hist = (rows.filter("half = 0").select("stratum", "quality", F.posexplode("bins").alias("rule", "bin"))
+            .groupBy("stratum", "rule", "bin").agg(good, bad))  # at most strata x rules x bins rows
+    picked = hist.groupBy("stratum", "rule").applyInPandas(pick, "stratum string, rule int, cut int, loss double").filter("cut is not null")
+    seq = staged_seq(picked.groupBy("stratum").agg(F.sort_array(F.collect_list(F.struct("loss", "rule", "cut"))).alias("seq")))
+    adds = first(0, seq).filter((F.col("at") > 0) & (F.col("bad") > weight * F.col("good"))).groupBy("stratum").agg(F.collect_list("at").alias("adds"))
+    seq = staged_seq(seq.join(adds, "stratum").withColumn("seq", F.filter("seq", lambda x, i: F.array_contains("adds", i + 1))))
+
+    def test(key, pdf):
+        k, total, held = np.zeros(int(pdf.n.iloc[0]) + 1), int(pdf.good.sum()), 0
+        k[pdf["at"]] = pdf.good
+        for i, lost in enumerate(np.cumsum(k[1:]), 1):
+            if not certified(int(lost), total, alpha, delta / strata):
+                break
+            held = i
+        return pd.DataFrame({"stratum": [key[0]], "held": [held]})
+
+    held = first(1, seq).groupBy("stratum").applyInPandas(test, "stratum string, held int").filter("held > 0")
+    name = F.array(*[F.lit(r) for r in RULES])
+    return seq.join(held, "stratum").select("stratum", F.map_from_entries(
+        F.transform(F.slice("seq", 1, F.col("held")), lambda x: F.struct(name[x["rule"]].alias("rule"), x["cut"].alias("cut")))).alias("cuts"))
 
 
 def _bin(expr: str, bins: int):
