@@ -9,7 +9,8 @@ Chunks that begin with white space and end with an ordinary character are
 encoded joined together; since tokens are lossless, their byte lengths give
 each chunk's share.  A bounded cache keeps chunks that return in later slices.
 
-Strings of special tokens inside a text are ordinary text.
+A special token's string inside a text becomes its id, as in a plain encode (it
+holds no space, so no cut falls inside it, and its length adds up like others).
 """
 
 from __future__ import annotations
@@ -62,7 +63,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         n = self.tok.get_vocab_size()
         self.vocab_size = n
         # one character of a byte-level token stands for one byte

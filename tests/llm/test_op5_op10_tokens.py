@@ -120,3 +120,14 @@ def test_files_in_order(spark, enc, monkeypatch):
     assert first.count() == len(data.rows()) and first.filter("doc_id is null").agg({"start": "min"}).first()[0] == 0
     folder = tempfile.mkdtemp()
     assert bitpack.read_back(bitpack.write(data.empty(spark), folder, PATH), folder).count() == 0
+
+
+def test_special_tokens_are_those_of_a_plain_encode():
+    from tokenizers import Tokenizer
+
+    plain, e = Tokenizer.from_file(PATH), encode.Encoder(PATH)
+    texts = ["<|endoftext|>", "a<|endoftext|> b", "a  <|endoftext|>b c", " <|endoftext|><|endoftext|>\n<|endoftext|> x", "a <|endoftext| > b", "é<|endoftext|>é"]
+    ids, bounds = e.encode(pa.array(texts))
+    for t, a, z in zip(texts, bounds[:-1], bounds[1:]):
+        assert ids[a:z].tolist() == plain.encode(t, add_special_tokens=False).ids, t
+    assert (ids == plain.token_to_id("<|endoftext|>")).sum() == 7
