@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from labwire.llm import bitpack, chat, decontaminate, hmm, jaccard, packing, quality, reshard, toxicity, warczip
+from labwire.llm import (
+    bitpack, chat, decontaminate, hmm, jaccard, packing, quality, repair, reshard, simhash, toxicity, warczip, whitening)
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -17,12 +18,16 @@ QUERIES = {
     "op8_prefix_targets": chat.op8,
     "op9_zip_warc": warczip.op9,
     "op10_bit_packing": bitpack.op10,
+    "op11_grammar_repair": repair.op11,
+    "op12_cholesky_whitening": whitening.op12,
+    "op13_pivot_simhash": simhash.op13,
 }
 
 ORACLE = {
     "op1_winnowing": decontaminate.ORACLE,
     "op8_prefix_targets": chat.ORACLE,
     "op9_zip_warc": warczip.ORACLE,
+    "op11_grammar_repair": repair.ORACLE,
 }
 
 if corpus_pipeline.ORACLE_SQL:
