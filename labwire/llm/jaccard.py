@@ -22,12 +22,17 @@ sets with similarity of at least ``num / den`` that matters for components:
    point; points are bulk-loaded into an R-tree.  The overlap of two sets is
    at most the sum over coordinates of the smaller count; of two nodes, of
    the smaller upper corner.  Node pairs and then point pairs below the
-   needed overlap, or of one component, are dropped.  The pairs with the best
-   bounds are verified first; what they join needs no more pairs.  Blocks of more than
-   ``TILE`` sets are split into tiles, and each pair of tiles is a task's
-   group, so no group grows with the data and no pair is lost.
-6. The surviving pairs are verified on the whole sets; components follow from
-   all links (alternating stars).
+   needed overlap, or of one component, are dropped.  Of what the other pairs join a
+   block returns stars, less than one row a set, and the components of these
+   candidates are *families*: every pair that may be linked lies in one.
+6. *Verification.*  The sets of a family meet in one task, where the same tree
+   gives the pairs again and bit rows verify them; what a link has joined is not
+   tested again, and stars of what the links join are returned.  Components follow
+   from all links (alternating stars).
+
+Blocks and families of more than ``TILE`` sets or ``TILE_BYTES`` are
+split into tiles, and each pair of tiles is a task's group, so no group grows
+with the data and no pair is lost.
 
 Defined results: a document without words, or a null text, has the empty set
 and is linked with nothing; repeated rows are one class; a component's id is
@@ -53,8 +58,8 @@ TILE = 1024
 FANOUT = 16
 #: Pairs of nodes or points tested at once.
 CHUNK = 10_000
-#: Partners each set is first verified against in a block, best bounds first.
-BEST = 2
+#: Bytes of the sets of a family's tile (two tiles meet in a task), and of bit rows compared at once.
+TILE_BYTES, BIT_BYTES = 2 << 20, 4 << 20
 #: Scan bytes whose shingles make about one bucket.
 BUCKET_BYTES = 4 << 20
 
@@ -259,46 +264,140 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             .filter(den * F.col("both") >= num * (F.size("hu") + F.size("hv") - F.col("both"))).select("u", "v"))
 
 
-def _block_pairs(prefix: DataFrame, part: DataFrame, vectors: DataFrame, best: int | None, num: int, den: int, tile: int) -> DataFrame:
-    """Distinct pairs (u > v) of different components that share a block and pass the
-    R-tree's bound; with ``best``, only so many of each set in a block."""
+class Joined:
+    """Which points are joined; points of one of ``groups`` are from the start."""
+
+    def __init__(self, n: int, groups: np.ndarray):
+        _, first, place = np.unique(groups, return_index=True, return_inverse=True)
+        self.start = self.root = first[place] if n else np.zeros(0, np.int64)
+
+    def apart(self, i, j):
+        return self.root[i] != self.root[j]
+
+    def add(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Join the points of each index pair."""
+        parent: dict[int, int] = {}
+
+        def find(x):
+            while x in parent:
+                x = parent[x]
+            return x
+
+        for x, y in zip(self.root[i].tolist(), self.root[j].tolist()):
+            x, y = find(x), find(y)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+        if parent:
+            old = np.array(sorted(parent))
+            new = np.array([find(x) for x in old.tolist()])
+            at = np.minimum(np.searchsorted(old, self.root), len(old) - 1)
+            self.root = np.where(old[at] == self.root, new[at], self.root)
+
+    def stars(self, key: np.ndarray) -> pa.Table:
+        """(u, v): of each set of joined points that grew, every key with the least one."""
+        order = np.lexsort((key, self.root))
+        root = self.root[order]
+        first = np.r_[True, root[1:] != root[:-1]] if len(root) else np.zeros(0, bool)
+        least = np.repeat(key[order][first], np.diff(np.r_[np.flatnonzero(first), len(root)]))
+        moved = np.bincount(self.root[self.start != self.root], minlength=len(root)) > 0
+        keep = moved[root] & ~first
+        return pa.table({"u": pa.array(key[order][keep]), "v": pa.array(least[keep])})
+
+
+def _tiled(rows: DataFrame, tiles: DataFrame, by: str, *cols: str) -> DataFrame:
+    """Each row in every pair (i, j) of tiles of its group that holds its own tile."""
+    own = F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int")
+    return (
+        rows.join(tiles, by).withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        .select(by, "key", *cols, "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    )
+
+
+def _side(table: pa.Table) -> np.ndarray | None:
+    """The tile of each row where the group is of two different tiles."""
+    return table.column("own").to_numpy() if table.column("i")[0].as_py() != table.column("j")[0].as_py() else None
+
+
+def candidates(prefix: DataFrame, part: DataFrame, vectors: DataFrame, num: int, den: int, tile: int) -> DataFrame:
+    """By block, what the pairs of different components that pass the R-tree's bound join: each
+    set (u) with the least one (v) that it is joined with, so less than one row a set and tile."""
     placed = prefix.join(part.withColumnRenamed("node", "key"), "key", "left").withColumn("part", F.coalesce("component", "key")).drop("component")
+    placed = c.staged(placed, "placed")
     blocks = (
         placed.groupBy("h").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("m"),
                                 F.sum(F.xxhash64("key").cast("decimal(20,0)")).alias("sign"))
         .filter("lo <> hi").groupBy("m", "sign").agg(F.min("h").alias("h"))  # blocks of the same sets once
-        .withColumn("tiles", F.ceil(F.col("m") / tile).cast("int")).select("h", "tiles")
-    )
-    own = F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int")
-    dealt = (
-        placed.join(blocks, "h").withColumn("own", own)
-        .select("h", "key", "n", "part", "own", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-        .select("h", "key", "n", "part", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+        .select("h", F.ceil(F.col("m") / tile).cast("int").alias("tiles"))
     )
+    blocks = c.staged(blocks, "blocks")  # a table of its own, so that the join with a hot block is split
 
     def search(table: pa.Table) -> pa.Table:
         vec = np.frombuffer(c.text_bytes(table.column("vec"))[0].tobytes(), np.uint32).reshape(-1, GROUPS)
-        key = table.column("key").to_numpy()
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        side = table.column("own").to_numpy() if i != j else None
-        got = list(tree_pairs(vec, table.column("n").to_numpy().astype(np.int64), table.column("part").to_numpy(), side, num, den))
-        u, v, slack = (np.concatenate([g[s] for g in got]) if got else np.zeros(0, np.int64) for s in range(3))
-        if best and len(u):
-            u, v, slack = np.concatenate([u, v]), np.concatenate([v, u]), np.concatenate([slack, slack])
-            order = np.lexsort((key[v], -slack, u))
-            u, v = u[order], v[order]
-            first = np.flatnonzero(np.r_[True, u[1:] != u[:-1]])
-            rank = np.arange(len(u)) - np.repeat(first, np.diff(np.r_[first, len(u)]))
-            u, v = u[rank < best], v[rank < best]
-        return pa.table({"u": pa.array(key[u]), "v": pa.array(key[v])})
+        joined = Joined(len(vec), np.arange(len(vec)))
+        for i, j, _ in tree_pairs(vec, table.column("n").to_numpy().astype(np.int64), table.column("part").to_numpy(), _side(table), num, den):
+            new = joined.apart(i, j)
+            joined.add(i[new], j[new])
+        return joined.stars(table.column("key").to_numpy())
+
+    return (
+        _tiled(placed, blocks, "h", "n", "part").join(vectors, "key").groupBy("h", "i", "j")
+        .applyInArrow(search, "u bigint, v bigint").distinct()
+    )
+
+
+def bit_rows(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Each set as bits over the hashes that occur in two sets or more (64 a word)."""
+    codes, _ = pd.factorize(hashes)
+    often = np.bincount(codes) > 1 if len(codes) else np.zeros(0, bool)
+    column = np.cumsum(often) - 1
+    keep = often[codes]
+    row, col = np.repeat(np.arange(len(sizes)), sizes)[keep], column[codes[keep]]
+    words = max(1, -(-int(often.sum()) // 64))
+    out = np.zeros(len(sizes) * words, _U)
+    np.bitwise_or.at(out, row * words + (col >> 6), _U(1) << (col & 63).astype(_U))
+    return out.reshape(-1, words)
+
+
+def verified(families: DataFrame, part: DataFrame, sets: DataFrame, num: int, den: int, tile: int, tile_bytes: int) -> DataFrame:
+    """By tile of a family, what its links join: each set (u) with the least one (v).
+
+    Every candidate pair lies in one family (a component of the candidates), so a set
+    travels once for each pair of tiles that holds it, and once in all where the family
+    fits one tile of ``tile_bytes``."""
+    member = families.select(F.col("node").alias("key"), F.col("component").alias("family"))
+    member = member.join(part.withColumnRenamed("node", "key"), "key", "left").withColumn("part", F.coalesce("component", "key")).drop("component")
+    member = c.staged(member.join(sets.select("key", F.size("hashes").alias("n")), "key"), "family")
+    tiles = member.groupBy("family").agg(F.greatest(F.sum("n") * 8 / tile_bytes, F.count("*") / tile).alias("t")).select(
+        "family", F.ceil("t").cast("int").alias("tiles"))
+    tiles = c.staged(tiles, "family-tiles")
+
+    def search(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        col = table.column("hashes")
+        h, size = pc.list_flatten(col).to_numpy().view(_U), pc.list_value_length(col).to_numpy().astype(np.int64)
+        part_of = table.column("part").to_numpy()
+        bits = bit_rows(h, size)
+        joined = Joined(len(size), part_of)
+        step = max(1, BIT_BYTES // (8 * bits.shape[1]))
+        for i, j, _ in tree_pairs(_counts(h, size), size, part_of, _side(table), num, den):
+            for s in range(0, len(i), step):
+                a, z = i[s:s + step], j[s:s + step]
+                new = joined.apart(a, z)
+                a, z = a[new], z[new]
+                both = np.bitwise_count(bits[a] & bits[z]).sum(1, dtype=np.int64)
+                ok = den * both >= num * (size[a] + size[z] - both)
+                joined.add(a[ok], z[ok])
+        return joined.stars(table.column("key").to_numpy())
 
     return (
-        dealt.join(vectors, "key").groupBy("h", "i", "j").applyInArrow(search, "u bigint, v bigint")
-        .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+        _tiled(member, tiles, "family", "part").join(sets, "key").groupBy("family", "i", "j")
+        .applyInArrow(search, "u bigint, v bigint").distinct()
     )
 
 
-def link(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN, tile: int = TILE) -> DataFrame:
+def link(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN, tile: int = TILE,
+         tile_bytes: int = TILE_BYTES) -> DataFrame:
     """One row per row of ``docs``: doc_id, key (of id and text), n_shingles, component
     (a key), component_id (its least doc_id)."""
     spark = docs.sparkSession
@@ -351,21 +450,17 @@ def link(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN, tile
     prefix = c.staged(prefix, "prefix")
 
     # stars: each set against the least one that it shares a block with
-    star = prefix.groupBy("h").agg(F.min("key").alias("v"), F.count("*").alias("m")).filter("m > 1")
+    star = c.staged(prefix.groupBy("h").agg(F.min("key").alias("v"), F.count("*").alias("m")).filter("m > 1").select("h", "v"), "least")
     stars = prefix.join(star, "h").groupBy(F.col("key").alias("u")).agg(F.min("v").alias("v")).filter("u <> v")
     stars = c.staged(stars, "first")
     links = c.staged(_verify(stars, sets, num, den), "stars")
     part = c.staged(components(links), "parts")
 
-    # blocks that still hold different components: first the best bounds, then all that is left
+    # blocks that still hold different components: families of candidates, verified within
     vectors = c.staged(sets.mapInArrow(c.task(_vectors), "key bigint, vec binary"), "vectors")
-    tested = stars
-    for best in (BEST, None):
-        found = _block_pairs(prefix, part, vectors, best, num, den, tile)
-        found = c.staged(found.join(tested, ["u", "v"], "left_anti"), "pairs")
-        links = c.staged(links.union(_verify(found, sets, num, den)), "links")
-        part = components(links)
-        tested = tested.union(found)
+    families = components(candidates(prefix, part, vectors, num, den, tile))
+    found = verified(families, part, sets, num, den, tile, tile_bytes)
+    part = components(c.staged(links.union(found), "all-links"))
 
     # ids of the components, and back to the rows
     named = (
@@ -382,15 +477,17 @@ def link(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN, tile
     )
 
 
-def _vectors(batches):
+def _counts(h: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The counts of each set's hashes in ``GROUPS`` groups."""
+    text = np.repeat(np.arange(len(size)), size)
+    return np.bincount(text * GROUPS + (h % _U(GROUPS)).astype(np.int64), minlength=len(size) * GROUPS).reshape(-1, GROUPS)
+
+
+def _vectors(batches):
     for b in batches:
         col = b.column("hashes")
-        h, off = col.flatten().to_numpy().view(_U), np.concatenate([[0], np.cumsum(col.value_lengths().to_numpy())])
-        text = np.repeat(np.arange(len(col)), np.diff(off))
-        flat = np.bincount(text * GROUPS + (h % _U(GROUPS)).astype(np.int64), minlength=len(col) * GROUPS)
-        vec = flat.astype(np.uint32)
-        yield pa.RecordBatch.from_arrays([b.column("key"), _blobs(vec, np.full(len(col), GROUPS))], ["key", "vec"])
+        vec = _counts(col.flatten().to_numpy().view(_U), col.value_lengths().to_numpy().astype(np.int64)).astype(np.uint32)
+        yield pa.RecordBatch.from_arrays([b.column("key"), _blobs(vec.ravel(), np.full(len(col), GROUPS))], ["key", "vec"])
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

@@ -37,17 +37,62 @@ def brute(rows):
     return collections.Counter((r[0], len(s), least.get(k)) for r, s, k in zip(rows, sets, label))
 
 
-@pytest.mark.parametrize("tile", [3, j.TILE])
-def test_against_brute_force(spark, tile):
+@pytest.mark.parametrize("tile,tile_bytes", [(3, j.TILE_BYTES), (j.TILE, 4000), (j.TILE, j.TILE_BYTES)])
+def test_against_brute_force(spark, tile, tile_bytes):
     rows = data.rows()
     # a chain of near copies: many links, some ends not linked with each other
     base = [f"c{i}" for i in range(120)]
     for step in range(14):
         rows.append((700 + step, " ".join(base[:step * 4] + [f"n{step}{i}" for i in range(step % 3)] + base[step * 4 + 2:]), "en", "s"))
-    out = j.link(data.documents(spark, rows), tile=tile).collect()
+    out = j.link(data.documents(spark, rows), tile=tile, tile_bytes=tile_bytes).collect()
     assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute(rows)
 
 
+def test_a_family_of_unlinked_near_copies_gives_linear_rows(spark, monkeypatch):
+    rows = {}
+    staged = j.c.staged
+
+    def counted(df, name):
+        out = staged(df, name)
+        rows.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(j.c, "staged", counted)
+    g, most = np.random.default_rng(3), []
+    for n in (100, 200, 400):
+        texts = []
+        for m in range(n):  # each shares about two thirds of its shingles with any other
+            w = [f"b{i}" for i in range(300)]
+            for at in g.choice(300, 6, replace=False):
+                w[at] = f"m{m}x{at}"
+            texts.append((m, " ".join(w), "en", "s"))
+        rows.clear()
+        assert j.link(data.documents(spark, texts)).count() == n
+        most.append({k: max(v) for k, v in rows.items()})
+    assert most[2]["family"] > 100  # the family did reach verification
+    shingles = ("prefix", "placed", "least", "blocks")  # rows of shingles: about 75 a set
+    for n, rows_of in zip((100, 200, 400), most):
+        assert max(v for k, v in rows_of.items() if k not in shingles) <= 4 * n, rows_of
+        assert max(rows_of[k] for k in shingles) <= 75 * n, rows_of
+
+
+def test_joined_returns_stars():
+    g = np.random.default_rng(4)
+    key, groups = g.permutation(50).astype(np.int64), np.arange(50) // 2
+    for rounds in (0, 1, 6):
+        joined, links = j.Joined(50, groups), [(2 * k, 2 * k + 1) for k in range(25)]
+        for _ in range(rounds):
+            a, b = g.integers(0, 50, (2, 5))
+            joined.add(a, b)
+            links += list(zip(a.tolist(), b.tolist()))
+        want = classes(50, links)
+        members = collections.defaultdict(list)
+        for x, k in enumerate(want):
+            members[k].append(int(key[x]))
+        t = joined.stars(key)
+        assert sorted(zip(*(t.column(k).to_pylist() for k in "uv"))) == sorted((y, min(m)) for m in members.values() if len(m) > 2 for y in m if y != min(m))
+
+
 def test_empty(spark):
     assert j.link(data.empty(spark)).count() == 0
 
