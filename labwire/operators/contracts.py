@@ -103,9 +103,19 @@ def lab_violations(df: DataFrame, labs: DataFrame) -> DataFrame:
     return df.filter(F.col("lab_code").isNotNull()).join(labs.select("lab_code").distinct(), "lab_code", "left_anti")
 
 
+def check_renames(renames: DataFrame) -> None:
+    """A code that is renamed to two codes is refused."""
+    twice = renames.groupBy("old_code").agg(F.count_distinct("new_code").alias("n")).filter("n > 1").take(1)
+    if twice:
+        raise ValueError(f"facility code {twice[0]['old_code']!r} is mapped to {twice[0]['n']} codes")
+
+
 def rename_facilities(df: DataFrame, renames: DataFrame) -> DataFrame:
-    """Propagate facility code changes (``old_code -> new_code``)."""
-    m = renames.select(F.col("old_code").alias("mfl_code"), "new_code")
+    """Propagate facility code changes (``old_code -> new_code``).  One row stays one
+    row: a code that is mapped to two codes fails the query when it runs."""
+    twice = F.concat(F.lit("facility code mapped twice: "), F.col("mfl_code"))
+    m = renames.groupBy(F.col("old_code").alias("mfl_code")).agg(F.min("new_code").alias("lo"), F.max("new_code").alias("hi"))
+    m = m.select("mfl_code", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.raise_error(twice)).alias("new_code"))
     cols = [F.coalesce("new_code", "mfl_code").alias("mfl_code") if c == "mfl_code" else F.col(c) for c in df.columns]
     return df.join(m, "mfl_code", "left").select(*cols)
 

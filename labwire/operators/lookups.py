@@ -29,15 +29,20 @@ def facility_test(df: DataFrame, mfl_code, test_id) -> DataFrame:
     return df.filter((F.col("mfl_code") == F.lit(mfl_code)) & (F.col("test_id") == F.lit(test_id)))
 
 
-def facility_timeline(df: DataFrame, mfl_code, rank: str = "rn") -> DataFrame:
-    """O1: one facility, newest first (order date descending, nulls first)."""
+def facility_timeline(df: DataFrame, mfl_code, rank: str | None = "rn") -> DataFrame:
+    """O1: one facility, newest first (order date descending, nulls first).
+    ``rank=None`` gives the rows in order, without ranks and without a checkpoint."""
     rows = df.filter(F.col("mfl_code") == F.lit(mfl_code))
-    return number_rows(rows, [F.col("order_date").desc_nulls_first(), F.col(KEY).asc()], name=rank)
+    return _ordered(rows, [F.col("order_date").desc_nulls_first(), F.col(KEY).asc()], rank)
 
 
-def by_date(df: DataFrame, rank: str = "rn") -> DataFrame:
-    """The whole table by order date descending, nulls last."""
-    return number_rows(df, [F.col("order_date").desc_nulls_last(), F.col(KEY).asc()], name=rank)
+def by_date(df: DataFrame, rank: str | None = "rn") -> DataFrame:
+    """The whole table by order date descending, nulls last (``rank`` as above)."""
+    return _ordered(df, [F.col("order_date").desc_nulls_last(), F.col(KEY).asc()], rank)
+
+
+def _ordered(rows: DataFrame, order: list, rank: str | None) -> DataFrame:
+    return rows.orderBy(*order) if rank is None else number_rows(rows, order, name=rank)
 
 
 def busiest(df: DataFrame, *cols: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from labwire.operators.numbering import number_rows_counted
@@ -36,6 +36,21 @@ def latest(
     return out.select(*cols)
 
 
+def latest_of_stored(df: DataFrame, key: str = KEY, order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
+    """W1 for rows that are cheap to read twice (a stored or persisted frame).
+
+    The arrival (two whole numbers, the second below 10^19) becomes one decimal, so
+    the newest arrival per key is a hash aggregate over two narrow columns: nothing
+    is sorted before the exchange.  The rows are then joined with it by key and
+    arrival.  A record that is stored twice (equal arrival) counts once.
+    """
+    high, low = order
+    at = (F.col(high).cast("decimal(18,0)") * F.lit(str(10**19)).cast("decimal(20,0)") + F.col(low).cast("decimal(19,0)")).cast("decimal(38,0)")
+    newest = df.groupBy(F.col(key).alias("_key")).agg(F.max(at).alias("_at"))
+    rows = df.join(newest, F.col(key).eqNullSafe(F.col("_key")) & (at == F.col("_at")), "left_semi")
+    return rows.dropDuplicates([key])
+
+
 def upsert(
     target: DataFrame,
     updates: DataFrame,
@@ -60,29 +75,32 @@ def upsert(
     ``key``, ``columns`` and the arrival columns.  ``start_after`` gives the
     table's current maximum id when ``target`` is only part of the table;
     ``counts`` (a dict) receives ``new_keys`` and the new ``max_id``.
+
+    The target is read once: it meets the batch in one full outer join, the
+    merged state is written once (reliably, so a lost executor does not re-run
+    the upstream parse), and the job that writes it observes the largest id.
     """
     value_cols = [c for c in columns if c not in (key, id_col)]
-    checkpoint_dir(updates.sparkSession)
-    # the deduplicated batch feeds three joins: write it once (reliably, so a
-    # lost executor does not re-run the upstream parse) instead of recomputing
-    u = latest(updates.select(key, *value_cols, *order), key, order, first_as="_first").checkpoint(eager=True)
-    # the target is read twice: key and id here (a small batch is broadcast
-    # into this join), all columns for the untouched rows below
-    known = target.select(key, id_col).join(u.select(key), key)
-    matched = u.join(known, key, "left").checkpoint(eager=True)
-
-    new_keys = matched.filter(F.col(id_col).isNull()).drop(id_col)
-    # one scalar to the driver: the current maximum id
-    max_id = start_after if start_after is not None else (target.agg(F.max(id_col)).first()[0] or 0)
+    spark = updates.sparkSession
+    checkpoint_dir(spark)
+    u = latest(updates.select(key, *value_cols, *order), key, order, first_as="_first")
+    u = u.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in value_cols], "_first")
+    merged = target.select(id_col, key, *value_cols).join(u, F.col(key) == F.col("_key"), "full_outer")
+    taken = F.col("_first").isNotNull()
+    merged = merged.select(id_col, F.coalesce(key, "_key").alias(key),
+                           *[F.when(taken, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in value_cols], "_first")
+    seen = Observation()
+    merged = merged.observe(seen, F.max(id_col).alias("max_id")).checkpoint(eager=True)
+
+    new_keys = merged.filter(F.col(id_col).isNull()).drop(id_col)
+    max_id = start_after if start_after is not None else (seen.get["max_id"] or 0)
     numbered, n_new = number_rows_counted(new_keys, [F.col("_first"), F.col(key)], name=id_col, start=max_id + 1)
     if counts is not None:
         counts["new_keys"] = n_new
         counts["max_id"] = max_id + n_new
 
     cols = [id_col, key, *value_cols]
-    changed = matched.filter(F.col(id_col).isNotNull()).select(*cols)
-    untouched = target.join(u.select(key), key, "left_anti").select(*cols)
-    return untouched.unionByName(changed).unionByName(numbered.select(*cols))
+    return merged.filter(F.col(id_col).isNotNull()).select(*cols).unionByName(numbered.select(*cols))
 
 
 def empty_like(df: DataFrame, columns: Sequence[str], id_col: str = "id") -> DataFrame:

@@ -70,3 +70,15 @@ def test_check_lists_every_broken_rule(spark):
         "m4": ["max_length:lab_code", "reference:mfl_code", "reference:lab_code"],
     }
     assert contracts.check(table(spark).limit(0), fac, labs).count() == 0
+
+
+def test_a_code_that_is_renamed_twice_is_refused(spark):
+    rows = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", None)], "message_ref_id string, mfl_code string")
+    once = spark.createDataFrame([("1", "9"), ("1", "9"), ("7", "8")], "old_code string, new_code string")
+    got = sorted(map(tuple, contracts.rename_facilities(rows, once).select("message_ref_id", "mfl_code").collect()), key=str)
+    assert got == [("a", "9"), ("b", "2"), ("c", None)]  # a repeated row of the map adds none
+    twice = spark.createDataFrame([("1", "9"), ("1", "8")], "old_code string, new_code string")
+    with pytest.raises(ValueError, match="mapped to 2"):
+        contracts.check_renames(twice)
+    with pytest.raises(Exception, match="mapped twice"):
+        contracts.rename_facilities(rows, twice).collect()
