@@ -50,6 +50,24 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"could not rename {own} to {p}")
 
 
+def create_new(spark: SparkSession, path: str) -> None:
+    """An empty file that must not exist yet."""
+    fs, p = _fs(spark, path)
+    fs.create(p, False).close()
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    fs, p = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def matches(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern."""
+    fs, p = _fs(spark, pattern)
+    return [s.getPath().toString() for s in fs.globStatus(p) or []]
+
+
 def any_match(spark: SparkSession, pattern: str) -> bool:
     fs, p = _fs(spark, pattern)
     found = fs.globStatus(p)

@@ -29,9 +29,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labwire.operators import upsert as up
-from labwire.operators.schema import LAB_ORDER_COLUMNS
+from labwire.operators.schema import LAB_ORDER_COLUMNS, LAB_ORDER_SCHEMA
 from labwire.sinks import files
 
 KEY = "message_ref_id"
@@ -90,8 +91,18 @@ class TableUpsertSink:
         """The ``foreachBatch``-style merge for the query with this checkpoint."""
         return lambda rows, batch_id: self.merge(rows, batch_id, files.query_id(rows.sparkSession, checkpoint))
 
+    def _files(self, spark) -> DataFrame:
+        """The table's files under its declared schema (K7): a column that older files lack
+        is null there.  A column that is not declared is taken as the files have it."""
+        known = {f.name: f.dataType for f in LAB_ORDER_SCHEMA.fields}
+        wanted = ["id", self.key, *self.columns]
+        if all(c in known for c in wanted):
+            fields = [T.StructField(c, known[c]) for c in wanted]
+            return spark.read.schema(T.StructType([*fields, T.StructField("bucket", T.IntegerType())])).parquet(self.path)
+        return spark.read.parquet(self.path)
+
     def read(self, spark) -> DataFrame:
-        return spark.read.parquet(self.path).select("id", self.key, *self.columns)
+        return self._files(spark).select("id", self.key, *self.columns)
 
     def merge(self, rows: DataFrame, batch_id: int, tag: str = "batch") -> None:
         """Upsert ``rows`` (key, columns, partition, offset) as batch ``batch_id``."""
@@ -105,16 +116,23 @@ class TableUpsertSink:
             self._stage(rows, staging, before)
         staged = spark.read.parquet(staging)
         self._record_max_id(spark, before, staging, staged)
+        self._replace(staged)
+        self._mark(spark, staging, done, f"{self.path}/_done/{tag}-{batch_id - 1}")
+
+    def _replace(self, staged: DataFrame) -> None:
+        """The staged buckets take the place of the table's."""
         (
             staged.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("bucket")
             .parquet(self.path)
         )
+
+    def _mark(self, spark, staging: str, done: str, done_before: str) -> None:
         files.touch(spark, self._committed())
         files.touch(spark, done)
         files.delete(spark, staging)
-        files.delete(spark, f"{self.path}/_done/{tag}-{batch_id - 1}")  # only the last batch can run again
+        files.delete(spark, done_before)  # only the last batch can run again
 
     def _stage(self, rows: DataFrame, staging: str, max_id: int) -> None:
         spark = rows.sparkSession
@@ -122,7 +140,7 @@ class TableUpsertSink:
         have_table = self._have_table(spark)
         if have_table:
             touched = [r[0] for r in batch.select("bucket").distinct().collect()]  # <= buckets values
-            current = spark.read.parquet(self.path).filter(F.col("bucket").isin(touched))
+            current = self._files(spark).filter(F.col("bucket").isin(touched))
             target = current.select("id", self.key, *self.columns)
         else:
             target = up.empty_like(rows, [self.key, *self.columns])
@@ -131,6 +149,7 @@ class TableUpsertSink:
         (
             merged.withColumn("bucket", bucket_of(self.key, self.buckets))
             .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")  # dynamic mode leaves no marker of a finished write
             .partitionBy("bucket")
             .parquet(staging)
         )

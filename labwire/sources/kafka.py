@@ -7,6 +7,7 @@ a file source with the raw record schema.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -93,3 +94,26 @@ def writer_options(security: KafkaSecurity | None = None, extra: Mapping[str, st
 
 def read_stream(spark: SparkSession, **kw) -> DataFrame:
     return spark.readStream.format("kafka").options(**reader_options(**kw)).load().select(*RAW_COLUMNS)
+
+
+def range_options(bootstrap: str, start: Mapping[int, int], end: Mapping[int, int], topic: str = DEFAULT_TOPIC,
+                  security: KafkaSecurity | None = None, extra: Mapping[str, str] | None = None) -> dict[str, str]:
+    """S2 for a stretch: options of a batch read of ``[start, end)`` by partition.  A partition
+    that only one of them names begins at its earliest or ends at its latest offset."""
+    parts = sorted({*start, *end})
+    if not parts:
+        raise ValueError("name at least one partition")
+    if bad := [p for p in parts if p in start and p in end and start[p] > end[p]]:
+        raise ValueError(f"partition {bad[0]} ends before it starts")
+    o = reader_options(bootstrap, topic, security=security, extra=extra)
+    del o["subscribe"]
+    earliest, latest = -2, -1  # fixed values of the connector
+    o["assign"] = json.dumps({topic: parts})
+    o["startingOffsets"] = json.dumps({topic: {str(p): start.get(p, earliest) for p in parts}})
+    o["endingOffsets"] = json.dumps({topic: {str(p): end.get(p, latest) for p in parts}})
+    return o
+
+
+def read_range(spark: SparkSession, **kw) -> DataFrame:
+    """The raw records of a stretch of the topic (see :func:`range_options`)."""
+    return spark.read.format("kafka").options(**range_options(**kw)).load().select(*RAW_COLUMNS)

@@ -3,7 +3,12 @@ decode step (S3, F1) that turns payload bytes into message text."""
 
 from __future__ import annotations
 
+import functools
+import operator
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labwire.functions.text import decode_payload, is_empty_payload
@@ -35,3 +40,15 @@ def decode(records: DataFrame) -> DataFrame:
         is_empty_payload("value").alias("is_empty"),
         decode_payload("value").alias("raw_message"),
     )
+
+
+def offset_range(records: DataFrame, start: Mapping[int, int], end: Mapping[int, int]) -> DataFrame:
+    """S2 for a stretch of stored records: those of ``[start, end)`` by partition, with the
+    rules of ``kafka.range_options``.  The filter reaches the scan of a stored table."""
+    def one(p):
+        keep = F.col("partition") == p
+        if p in start:
+            keep &= F.col("offset") >= start[p]
+        return keep & (F.col("offset") < end[p]) if p in end else keep
+
+    return records.filter(functools.reduce(operator.or_, [one(p) for p in sorted({*start, *end})], F.lit(False)))

@@ -64,11 +64,14 @@ class FanOut:
     any sink has written; ``quarantine`` hands the violating rows (with their
     ``violations``) to the sink of that name and the clean ones to the table.
     ``facilities`` and ``labs`` add the reference checks J1 and J2.
+
+    ``counts`` receives every record of the batch with its ``route`` (G1); the
+    dropped ones are then persisted too, without their text.
     """
 
     def __init__(self, upsert: BatchFn, dead: BatchFn, parallel: bool = True, contract: str = "fail",
                  quarantine: BatchFn | None = None, facilities: Reference | None = None,
-                 labs: Reference | None = None):
+                 labs: Reference | None = None, counts: BatchFn | None = None):
         if contract not in CONTRACT_MODES:
             raise ValueError(f"contract is one of {CONTRACT_MODES}, not {contract!r}")
         if contract == "quarantine" and quarantine is None:
@@ -80,6 +83,7 @@ class FanOut:
         self.quarantine = quarantine
         self.facilities = facilities
         self.labs = labs
+        self.counts = counts
 
     def _jobs(self, routed: DataFrame, batch_id: int) -> list[Callable[[], None]]:
         valid = valid_rows(routed)
@@ -99,9 +103,12 @@ class FanOut:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         letters = F.when(F.col("route") == "dlq", F.col("raw_message"))
-        routed = batch.filter(F.col("route").isin("valid", "dlq")).withColumn("raw_message", letters).persist()
+        routed = batch if self.counts else batch.filter(F.col("route").isin("valid", "dlq"))
+        routed = routed.withColumn("raw_message", letters).persist()
         try:
             jobs = self._jobs(routed, batch_id)
+            if self.counts:
+                jobs.append(lambda: self.counts(routed, batch_id))
             if not self.parallel:
                 for job in jobs:
                     job()

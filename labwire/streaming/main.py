@@ -27,10 +27,12 @@ from pyspark.sql import SparkSession
 from labwire.session import apply_recommended_conf
 from labwire.sinks import dead_letters as dlq
 from labwire.sinks import files
+from labwire.sinks.deltas import DeltaTable
 from labwire.sinks.jdbc import JdbcTarget, upsert_batch
 from labwire.sinks.table import TableUpsertSink
 from labwire.sources.kafka import KafkaSecurity, read_stream, writer_options
 from labwire.streaming.job import CONTRACT_MODES, DEFAULT_TRIGGER, QUERY_NAME, FanOut, file_source, start
+from labwire.streaming.metrics import write_counts
 
 
 def _secret(env_name: str | None) -> str:
@@ -58,6 +60,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     out = p.add_argument_group("sinks")
     out.add_argument("--table", help="parquet upsert table path")
     out.add_argument("--buckets", type=int, default=64)
+    out.add_argument("--delta-table", help="path of a merge-on-read table (a batch costs what it holds)")
+    out.add_argument("--counts-path", help="folder for the route counters of each batch")
     out.add_argument("--jdbc-url")
     out.add_argument("--jdbc-user")
     out.add_argument("--jdbc-password-env")
@@ -103,6 +107,8 @@ def main(argv=None) -> None:
 
     if a.table:
         upsert = TableUpsertSink(a.table, buckets=a.buckets).for_query(a.checkpoint)
+    elif a.delta_table:
+        upsert = DeltaTable(a.delta_table).for_query(a.checkpoint)
     elif a.jdbc_url:
         target = JdbcTarget(a.jdbc_url, a.jdbc_user, _secret(a.jdbc_password_env), a.jdbc_table)
         from labwire.operators.upsert import latest
@@ -110,7 +116,7 @@ def main(argv=None) -> None:
         def upsert(rows, batch_id):
             upsert_batch(latest(rows), batch_id, target, files.query_id(rows.sparkSession, a.checkpoint))
     else:
-        raise SystemExit("give --table or --jdbc-url")
+        raise SystemExit("give --table, --delta-table or --jdbc-url")
 
     if a.dlq_topic:
         if not a.bootstrap:
@@ -128,11 +134,15 @@ def main(argv=None) -> None:
     def quarantine(df, batch_id):
         dlq.to_files(df, a.quarantine_path, batch_id, files.query_id(df.sparkSession, a.checkpoint))
 
+    def counts(df, batch_id):
+        write_counts(df, a.counts_path, batch_id, files.query_id(df.sparkSession, a.checkpoint))
+
     def reference(path):
         return (lambda s: s.read.parquet(path)) if path else None
 
     fan = FanOut(upsert, dead, contract=a.contract, quarantine=quarantine,
-                 facilities=reference(a.facilities), labs=reference(a.labs))
+                 facilities=reference(a.facilities), labs=reference(a.labs),
+                 counts=counts if a.counts_path else None)
     trigger = {"availableNow": True} if a.available_now else DEFAULT_TRIGGER
     q = start(raw, fan, a.checkpoint, trigger=trigger, query_name=a.query_name)
     q.awaitTermination()

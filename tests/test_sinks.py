@@ -43,6 +43,22 @@ def test_table_upsert_batches_and_crash_recovery(spark, tmp_dir):
     assert table_state(spark, sink)[-1] == (4, "d", "d1")
 
 
+def test_a_complete_staging_copy_is_used_again(spark, tmp_dir):
+    """A crash after the maximum id was recorded: the re-run takes the staged ids, not new ones."""
+    from labwire.sinks import files
+
+    sink = TableUpsertSink(f"{tmp_dir}/t", buckets=4)
+    merge = sink.for_query("ckpt-a")
+    merge(batch(spark, [("a", "a1", 0)]), 0)
+    rows, staging = batch(spark, [("b", "b1", 1)]), sink._staging(sink_tag("ckpt-a"), 1)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")  # as the library recommends
+    sink._stage(rows, staging, sink.max_id(spark))
+    assert files.complete(spark, staging)
+    sink._record_max_id(spark, 1, staging, spark.read.parquet(staging))
+    merge(rows, 1)
+    assert table_state(spark, sink) == [(1, "a", "a1"), (2, "b", "b1")]
+
+
 def sink_tag(checkpoint):
     import hashlib
 
@@ -159,3 +175,24 @@ def test_dead_letters_of_two_queries_stay(spark, tmp_dir):
     for query, text in (("q1", "one"), ("q2", "two"), ("q2", "two")):
         dead_letters.to_files(spark.createDataFrame([(text,)], "value string"), f"{tmp_dir}/dlq", 0, query)
     assert sorted(r.value for r in spark.read.parquet(f"{tmp_dir}/dlq").collect()) == ["one", "two"]
+
+
+def test_a_stretch_of_the_topic(spark):
+    import json
+
+    from labwire.sources.kafka import range_options
+    from labwire.sources.records import offset_range
+
+    o = range_options("broker:9092", {0: 5, 2: 7}, {0: 9, 1: 3}, group := "lab-orders", extra={"fetch.min.bytes": 1})
+    assert json.loads(o["assign"]) == {group: [0, 1, 2]} and "subscribe" not in o
+    assert json.loads(o["startingOffsets"]) == {group: {"0": 5, "1": -2, "2": 7}}
+    assert json.loads(o["endingOffsets"]) == {group: {"0": 9, "1": 3, "2": -1}}
+    assert o["kafka.fetch.min.bytes"] == "1" and "maxOffsetsPerTrigger" not in o
+    with pytest.raises(ValueError, match="ends before"):
+        range_options("broker:9092", {0: 5}, {0: 4})
+    with pytest.raises(ValueError, match="at least one"):
+        range_options("broker:9092", {}, {})
+    rows = spark.createDataFrame([(p, i) for p in range(4) for i in range(12)], "partition int, offset bigint")
+    got = {p: sorted(r.offset for r in offset_range(rows, {0: 5, 2: 7}, {0: 9, 1: 3}).collect() if r.partition == p) for p in range(4)}
+    assert got == {0: [5, 6, 7, 8], 1: [0, 1, 2], 2: [7, 8, 9, 10, 11], 3: []}
+    assert offset_range(rows, {}, {}).count() == 0
