@@ -170,14 +170,21 @@ def choose(good: np.ndarray, bad: np.ndarray, n_good: int, alpha: float, delta:
 
 def thresholds(stats: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = ALPHA,
                delta: float = DELTA, weight: float = WEIGHT, bins: int = BINS) -> DataFrame:
-    """(stratum, cuts map<rule, bin>) from all labelled documents that pass the base rule."""
+    """(stratum, cuts map<rule, bin>) from all labelled documents that pass the base rule.
+
+    Equal texts (column ``__text_key``, else the id) are one trial of a stratum, good only if
+    all their labels are, and lie in one half: the trials of a binomial bound are independent."""
     lab = (labels.filter("doc_id is not null and quality is not null")
            .groupBy("doc_id").agg(F.min("quality").alias("quality")))
     s = F.coalesce(F.col(stratum), F.lit(""))
-    rows = c.staged(
+    key = F.col("__text_key") if "__text_key" in stats.columns else F.xxhash64(F.col("doc_id").cast("string"))
+    trials = (
         stats.filter(~base_failed()).withColumn("stratum", s).join(lab, "doc_id")
-        .select("stratum", "quality", F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(5)), F.lit(2)).alias("half"),
-                F.array(*[_bin(e, bins) for e in RULES.values()]).alias("bins")), "labelled")
+        .select("stratum", "quality", key.alias("text"), *[_bin(e, bins).alias(f"b{i}") for i, e in enumerate(RULES.values())])
+        .groupBy("stratum", "text", *[f"b{i}" for i in range(len(RULES))]).agg(F.min("quality").alias("quality"))
+    )
+    rows = c.staged(trials.select("stratum", "quality", F.pmod(F.xxhash64("text", F.lit(5)), F.lit(2)).alias("half"),
+                                  F.array(*[f"b{i}" for i in range(len(RULES))]).alias("bins")), "labelled")
     good, bad = F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad")
     strata = max(1, rows.select("stratum").distinct().count())
 
@@ -226,13 +233,13 @@ def _bin(expr: str, bins: int):
 def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", bins: int = BINS, extra: list[str] = (), **risk) -> DataFrame:
     """One row per row of ``docs``: doc_id, columns ``extra``, the counts, base_failed, failed_rules, kept."""
     keep = list(dict.fromkeys(["doc_id", stratum, *extra]))
-    stats = c.staged(measure(docs, keep), "counts")
+    stats = c.staged(measure(docs.withColumn("__text_key", F.xxhash64("text")), [*keep, "__text_key"]), "counts")
     cuts = thresholds(stats, labels, stratum, bins=bins, **risk)
     failed = F.filter(
         F.array(*[F.when(_bin(e, bins) >= F.col("cuts")[r], F.lit(r)) for r, e in RULES.items()]), lambda x: x.isNotNull())
     out = stats.withColumn("stratum", F.coalesce(F.col(stratum), F.lit(""))).join(cuts, "stratum", "left")
     out = out.withColumn("base_failed", base_failed()).withColumn("failed_rules", F.coalesce(failed, F.array().cast("array<string>")))
-    return out.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("cuts")
+    return out.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("cuts", "__text_key")
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

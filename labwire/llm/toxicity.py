@@ -229,10 +229,14 @@ def best_threshold(score: np.ndarray, pos: np.ndarray, neg: np.ndarray) -> float
 def counts(docs: DataFrame, lab: DataFrame, models: list[Model], model) -> DataFrame:
     """(lang, bin, logit, pos, neg) of all rows of ``docs`` with a label; column
     ``model`` says which of ``models`` scores a row.  At most languages x bins rows."""
+    key = F.xxhash64(F.col("doc_id").cast("string"))
+    bits, log2 = c.bitmap(lab.select(key.alias("key")), "key")
     shared = docs.sparkSession.sparkContext.broadcast(models)  # of fixed size
+    labelled = docs.sparkSession.sparkContext.broadcast(bits)  # of bounded size: most other rows are not scored
 
     def run(batches):
         for whole in batches:
+            whole = whole.filter(pa.array(c.in_bitmap(labelled.value, log2, whole.column("key").to_numpy().view(np.uint64))))
             for b in c.slices(whole, "text"):
                 which, out = b.column("model").to_numpy(), np.zeros(b.num_rows)
                 for k in np.unique(which):
@@ -240,7 +244,7 @@ def counts(docs: DataFrame, lab: DataFrame, models: list[Model], model) -> DataF
                     out[at] = shared.value[k].raw(b.column("text").take(pa.array(at)))
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("lang"), pa.array(out)], ["doc_id", "lang", "logit"])
 
-    rows = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), model.cast("int").alias("model"), "text").filter("doc_id is not null")
+    rows = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), model.cast("int").alias("model"), "text", key.alias("key")).filter("doc_id is not null")
     ddl = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, logit double"
     cut = F.greatest(F.least("logit", F.lit(float(LOGIT))), F.lit(-float(LOGIT)))
     return (
@@ -296,7 +300,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out, sample_rows: int = SAMPLE_
     pick = lab.filter(F.when(F.col("toxic") == 1, _picked(shares[0])).otherwise(_picked(shares[1])))  # at most about sample_rows rows
     path = c.stage_dir(docs.sparkSession, "sample")
     (docs.select("doc_id", "text").filter(F.length("text") <= sample_chars)
-     .join(F.broadcast(pick), "doc_id").dropDuplicates(["doc_id"])
+     .join(F.broadcast(pick), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # of several texts of an id the least
      .select("doc_id", (F.col("toxic") == 1).cast("int").alias("toxic"), split.cast("int").alias("split"), "text").write.parquet(path))
     sums = docs.sparkSession.read.parquet(path).groupBy("split").agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") != 1)).collect()
     have = {r[0]: np.array(r[1:]) for r in sums}  # toxic and clean rows of each split

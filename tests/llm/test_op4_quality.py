@@ -75,3 +75,21 @@ def test_the_union_of_rules_keeps_the_promise(spark):
     labels = spark.range(20_900).selectExpr("id as doc_id", "if(id < 20000, 1, 0) as quality")
     cuts = q.thresholds(stats, labels, alpha=0.01, weight=0).collect()
     assert len(cuts) == 1 and len(cuts[0].cuts) == 1  # two rules would reject 1.2 % of the good documents, three 1.8 %
+
+
+def test_copies_are_one_trial(spark):
+    # one good text in 3,000 copies on which a rule fires, 500 good and 300 bad texts of which it does not fire on the good
+    def rows(copies):
+        return spark.range(copies + 900).selectExpr(
+            "id as doc_id", "'en' as lang", f"if(id < {copies}, 1L, id) as __text_key", "100L as n_words", "500L as word_chars",
+            f"if(id < {copies} or id >= {copies} + 600, 50L, 0L) as n_symbols", "0L as n_dup_lines", "0L as n_repeat_words", "1L as n_lines",
+            "60L as n_distinct", "0L as n_upper", "450L as n_letters", "0L as n_digits", "0L as n_marks")
+
+    def labels(copies):
+        return spark.range(copies + 900).selectExpr("id as doc_id", f"if(id < {copies} + 600, 1, 0) as quality")
+
+    one, many = (q.thresholds(rows(n), labels(n), alpha=0.05, weight=0).collect() for n in (1, 3000))
+    assert [r.cuts for r in one] == [r.cuts for r in many] and one[0].cuts  # the copies change nothing
+    # a text with both labels counts as bad
+    mixed = spark.createDataFrame([(0, 1), (1, 0)], "doc_id bigint, quality int")
+    assert q.thresholds(rows(2).filter("doc_id < 2"), mixed).count() == 0
