@@ -33,12 +33,14 @@ def quality_rules(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose score reaches the threshold of their language."""
+    c.tidy(spark)
     scored = toxicity.classify(_keyed(docs), c.read(spark, sf_dir, "labels"), keep=["doc_id", "lang", "__key"])
     return _keep(docs, scored.filter(~F.col("flagged")))
 
 
 def near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of similar documents, the one with the least id stays."""
+    c.tidy(spark)
     linked = jaccard.link(docs)
     first = linked.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("x"))
     chosen = first.select(F.col("x.doc_id").alias("doc_id"), F.col("x.key").alias("__key"))
@@ -47,6 +49,7 @@ def near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminated(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of which a twentieth or more of the words lie in benchmark windows."""
+    c.tidy(spark)
     found = decontaminate.contaminated(_keyed(docs), c.read(spark, sf_dir, "benchmark"), extra=["__key"])
     return _keep(docs, found.filter(~F.col("contaminated")))
 

@@ -9,6 +9,7 @@ word, and the result is exact (words are compared as bytes).
 from __future__ import annotations
 
 import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -76,6 +77,14 @@ def release() -> None:
         pass
 
 
+def tidy(spark: SparkSession) -> None:
+    """Before a long stage: drop what the stages before left on the driver.  Spark frees
+    broadcasts and shuffle files of plans that are gone only when the JVM collects them."""
+    gc.collect()
+    release()
+    spark._jvm.System.gc()
+
+
 def task(run):
     """``run`` (batches -> batches) for mapInArrow, followed by :func:`release`."""
 

@@ -456,6 +456,8 @@ def link(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN, tile
     links = c.staged(_verify(stars, sets, num, den), "stars")
     part = c.staged(components(links), "parts")
 
+    c.tidy(spark)  # each round of components leaves plans and broadcasts behind
+
     # blocks that still hold different components: families of candidates, verified within
     vectors = c.staged(sets.mapInArrow(c.task(_vectors), "key bigint, vec binary"), "vectors")
     families = components(candidates(prefix, part, vectors, num, den, tile))

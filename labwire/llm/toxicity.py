@@ -314,6 +314,8 @@ def fit(docs: DataFrame, labels: DataFrame, held_out, sample_rows: int = SAMPLE_
     model = models[-1]
     c.drop_staged(docs.sparkSession, path)
     got = counts(docs.filter(~held_out), lab, models, which).toArrow()
+    del models
+    c.tidy(docs.sparkSession)
     logit, pos, neg = (got.column(k).to_numpy() for k in ("logit", "pos", "neg"))
     model.calibrate(logit, pos, neg)
     a, b = model.scale
