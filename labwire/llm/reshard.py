@@ -20,8 +20,14 @@ which moves a few of the smallest documents.
 Affected shards (those that lose or gain documents) are rewritten; the others
 stay where they are.
 
-Defined results: a null text has size 1; rows that repeat in full stay
-together and get neighbouring slots; a null source is the shard of the empty
+Rows of equal id and text are numbered, and each copy is placed on its own: a
+hash of its number deals the copies over the blocks, so a cut may fall between
+them and a row that is a third of the table fills several shards.  To write
+them, copies are counted by the part of the table they were read from, and
+numbered inside their part, so no task holds all copies.
+
+Defined results: a null text has size 1; of equal rows with several sources
+all count as of the least old shard; a null source is the shard of the empty
 one; an empty table gives no rows.
 """
 
@@ -39,6 +45,7 @@ OLD, NEW = 12, 16
 BUCKETS = 16
 SLOT_BLOCKS = 256
 ROUNDS = 4
+ROW = ["doc_id", "key", "copy", "size", "copies", "old"]
 
 
 def min_cost_flow(supply: list[int], capacity: list[int], cost) -> list[list[int]]:
@@ -95,11 +102,11 @@ def capacities(total: int, shards: int) -> list[int]:
 
 
 def _transfer(rows: DataFrame, shards: int, name: str) -> DataFrame:
-    """``rows`` (doc_id, key, size, copies, old, at) with ``at`` moved by the flows from the sums of ``at``."""
+    """``rows`` (doc_id, key, copy, size, copies, old, at) with ``at`` moved by the flows from the sums of ``at``."""
     spark = rows.sparkSession
     rows = rows.withColumn("class", F.floor(4 * F.log2(F.col("size").cast("double"))).cast("int")).withColumn(
-        "bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int"))
-    blocks = rows.groupBy("at", "class", "bucket").agg(F.sum(F.col("size") * F.col("copies")).alias("bytes")).collect()  # a bounded number of blocks
+        "bucket", F.pmod(F.xxhash64("key", "copy"), F.lit(BUCKETS)).cast("int"))
+    blocks = rows.groupBy("at", "class", "bucket").agg(F.sum("size").alias("bytes")).collect()  # a bounded number of blocks
     supply = [0] * (max([r["at"] for r in blocks], default=0) + 1)
     for r in blocks:
         supply[r["at"]] += int(r["bytes"])
@@ -120,51 +127,71 @@ def _transfer(rows: DataFrame, shards: int, name: str) -> DataFrame:
             at += n
     table = spark.createDataFrame(plan, "at int, class int, bucket int, start bigint, target int, a bigint, z bigint, whole boolean")
     block = ["at", "class", "bucket"]
-    whole = rows.join(table.filter("whole"), block).select("doc_id", "key", "size", "copies", "old", F.col("target").alias("at"))
+    whole = rows.join(table.filter("whole"), block).select(*ROW, F.col("target").alias("at"))
     cut = table.filter("not whole")
-    upto = F.sum(F.col("size") * F.col("copies")).over(Window.partitionBy(*block).orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
-    middle = F.col("start") + F.col("upto") - F.col("size") * F.col("copies") / 2
+    upto = F.sum("size").over(Window.partitionBy(*block).orderBy("key", "doc_id", "copy").rowsBetween(Window.unboundedPreceding, 0))
+    middle = F.col("start") + F.col("upto") - F.col("size") / 2
     part = (
         rows.join(cut.select(*block).distinct(), block, "left_semi").withColumn("upto", upto)
         .join(cut, block).filter((middle >= F.col("a")) & (middle < F.col("z")))
-        .select("doc_id", "key", "size", "copies", "old", F.col("target").alias("at"))
+        .select(*ROW, F.col("target").alias("at"))
     )
     return c.staged(whole.union(part), name)
 
 
 def assign(docs: DataFrame, old, shards: int = NEW, rounds: int = ROUNDS) -> DataFrame:
-    """One row per distinct (doc_id, key): size, copies, old, shard, slot of the first copy."""
+    """One row per document: doc_id, key, copy (from 0, of ``copies`` rows of equal doc_id and key), size, old, shard, slot."""
     rows = (
         docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), (F.octet_length(F.coalesce("text", F.lit(""))) + 1).cast("bigint").alias("size"),
                     old.cast("int").alias("old"))
         .groupBy("doc_id", "key").agg(F.first("size").alias("size"), F.count("*").alias("copies"), F.min("old").alias("old"))
-        .withColumn("at", F.col("old"))
+        .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
+        .select(*ROW, F.col("old").alias("at"))
     )
     rows = c.staged(rows, "sizes")
     for i in range(rounds):
         rows = _transfer(rows, shards, f"round{i}")
     # slots: counts of blocks of each shard, then a number inside the block
-    rows = rows.withColumnRenamed("at", "shard").withColumn("slot_block", F.pmod(F.xxhash64("key", "doc_id"), F.lit(SLOT_BLOCKS)).cast("int"))
-    counts = rows.groupBy("shard", "slot_block").agg(F.sum("copies").alias("n"))  # shards x SLOT_BLOCKS rows
+    rows = rows.withColumnRenamed("at", "shard").withColumn("slot_block", F.pmod(F.xxhash64("key", "doc_id", "copy"), F.lit(SLOT_BLOCKS)).cast("int"))
+    counts = rows.groupBy("shard", "slot_block").agg(F.count("*").alias("n"))  # shards x SLOT_BLOCKS rows
     before = Window.partitionBy("shard").orderBy("slot_block").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("shard", "slot_block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    inside = Window.partitionBy("shard", "slot_block").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        rows.join(first, ["shard", "slot_block"])
-        .select("doc_id", "key", "size", "copies", "old", "shard", (F.col("first") + F.coalesce(F.sum("copies").over(inside), F.lit(0))).alias("slot"))
-    )
+    inside = F.row_number().over(Window.partitionBy("shard", "slot_block").orderBy("key", "doc_id", "copy"))
+    return rows.join(first, ["shard", "slot_block"]).select(*ROW, "shard", (F.col("first") + inside - 1).alias("slot"))
+
+
+def _numbered(keyed: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The rows of ``keyed`` whose (doc_id, __key) is in ``repeated``, with ``__copy`` numbered from 0 in each."""
+    at = F.monotonically_increasing_id()  # the part of the scan in the upper bits, taken before any shuffle
+    rows = keyed.withColumn("__at", at)
+    rows = c.staged(rows.join(repeated, (F.col("__key") == F.col("__k")) & rows.doc_id.eqNullSafe(F.col("__id")), "left_semi"), "repeats")
+    rows = rows.withColumn("__part", F.shiftright("__at", 33))
+    sums = rows.groupBy(F.col("__key").alias("__k"), F.col("doc_id").alias("__id"), F.col("__part").alias("__p")).agg(F.count("*").alias("__n"))
+    before = Window.partitionBy("__k", "__id").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)  # a row for each part
+    sums = sums.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    rows = rows.withColumn("__in", F.row_number().over(Window.partitionBy("__key", "doc_id", "__part").orderBy("__at")) - 1)
+    same = (F.col("__key") == F.col("__k")) & rows.doc_id.eqNullSafe(F.col("__id")) & (F.col("__part") == F.col("__p"))
+    return rows.join(sums, same).select(*keyed.columns, (F.col("__before") + F.col("__in")).cast("bigint").alias("__copy"))
 
 
 def rewrite(docs: DataFrame, placed: DataFrame, folder: str) -> DataFrame:
-    """Writes the affected shards below ``folder`` (``__shard=<n>`` folders with whole rows);
+    """Writes the affected shards below ``folder`` (``__shard=<n>`` folders with whole rows, their key and copy);
     returns the shards' rows, read from there and, for shards not affected, from ``docs``."""
     spark = docs.sparkSession
     moved = placed.filter("old <> shard")
     touched = moved.select(F.explode(F.array("old", "shard")).alias("shard")).distinct().collect()  # at most the number of shards
     touched = [r["shard"] for r in touched]
     keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
-    where = placed.select(F.col("doc_id").alias("__id"), F.col("key").alias("__k"), F.col("shard").alias("__shard"))
-    rows = keyed.join(where, (F.col("__key") == F.col("__k")) & keyed.doc_id.eqNullSafe(F.col("__id"))).drop("__id", "__k")
+    where = placed.select(F.col("doc_id").alias("__id"), F.col("key").alias("__k"), F.col("copy").alias("__c"), F.col("shard").alias("__shard"), "copies")
+
+    def located(rows, places):
+        same = (F.col("__key") == F.col("__k")) & (F.col("__copy") == F.col("__c")) & rows.doc_id.eqNullSafe(F.col("__id"))
+        return rows.join(places, same).select(*keyed.columns, "__copy", "__shard")
+
+    rows = located(keyed.withColumn("__copy", F.lit(0).cast("bigint")), where.filter(where["copies"] == 1).drop("copies"))
+    repeated = where.filter((where["copies"] > 1) & (F.col("__c") == 0)).select("__id", "__k")
+    if not repeated.isEmpty():
+        rows = rows.unionByName(located(_numbered(keyed, repeated), where.filter(where["copies"] > 1).drop("copies")))
     rows.filter(F.col("__shard").isin(touched)).write.partitionBy("__shard").parquet(folder)
     if not touched:
         return rows
@@ -180,10 +207,10 @@ def op7(spark, sf_dir: str) -> DataFrame:
     placed = c.staged(assign(docs, old), "placed")
     files = rewrite(docs, placed, c.stage_dir(spark, "shards"))
     read = files.select(
-        F.col("doc_id").alias("id"), "__key", F.col("__shard").alias("shard"), (F.octet_length(F.coalesce("text", F.lit(""))) + 1).cast("bigint").alias("size"),
+        F.col("doc_id").alias("id"), "__key", "__copy", F.col("__shard").alias("shard"), (F.octet_length(F.coalesce("text", F.lit(""))) + 1).cast("bigint").alias("size"),
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
-    slots = placed.select("doc_id", "key", "slot", "old", "copies")
-    copy = F.row_number().over(Window.partitionBy("__key", "doc_id").orderBy("shard")) - 1
-    out = read.join(slots, (F.col("__key") == F.col("key")) & F.col("id").eqNullSafe(F.col("doc_id")))
-    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("slot") + copy).cast("bigint").alias("slot"),
-                      F.lit(None).cast("int").alias("grown_shard"), F.col("old").alias("old_shard"))
+    slots = placed.select("doc_id", "key", "copy", "slot", "old")
+    same = (F.col("__key") == F.col("key")) & (F.col("__copy") == F.col("copy")) & F.col("id").eqNullSafe(F.col("doc_id"))
+    return read.join(slots, same).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("bigint").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"), F.col("old").alias("old_shard"))
