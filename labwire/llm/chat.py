@@ -5,20 +5,29 @@ A turn is formatted as ``<s>role\\ntext</s>``.  Control strings (``<s>``,
 cannot occur inside: ``\\`` becomes ``\\b``, ``<`` becomes ``\\l``, ``[`` becomes
 ``\\k``, and a line feed in a role ``\\n``; each code is reversed exactly.
 
-Every assistant turn is one example: all earlier turns of its conversation as
-context, and only that reply trainable.  Writing each context out grows with
-the square of a conversation's turns, so the output holds every turn once, at
-its position, and an example is its target's row: its text is the segments
-``0 .. position``, its loss span ``[loss_start, loss_end)`` counts from the
-start of that text.  ``render`` writes out the full texts of chosen examples.
-
-Turns are dealt by conversation, sorted, and streamed: a task keeps one
-running count, never a conversation.  (A conversation's positions and its
-SHA-256 are sequential by definition, so one task reads it through.)
+Every assistant turn is exploded into an example of its own: all earlier turns
+of its conversation as context, and only that reply trainable.  A conversation
+that does not end in a reply gets one more row set, its whole text without a
+trainable span (``is_target`` false), so that its last turns are not lost.
+
+An example is written in chunks: a turn belongs to the chunk of
+``CHUNK_CHARS`` characters in which it begins, and an example holds every
+earlier chunk of its conversation whole and its own up to its reply.  Reading
+an example's chunks in order gives its text; the loss span ``[loss_start,
+loss_end)`` counts characters from the example's start and stands with its
+last chunk.  The output is the examples' full text, so it grows with the
+square of a conversation's turns, as the method does.  No value is longer than
+a chunk and a turn, and a long conversation's contexts are made by (chunk of
+the target, earlier chunk), so they are spread over tasks by the join.
+
+Positions come from a window over the conversation, which keeps a running
+count.  (A conversation's SHA-256 is sequential by definition, so one task
+reads it through, streamed.)
 
 Defined results: a null text or role is empty; turns are ordered by number
 (null first), equal numbers by role and text; a null conversation id is a
-conversation of its own; one without an assistant turn has no example.
+conversation of its own; one without an assistant turn has no example, only
+its text; an empty table gives no rows.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,7 +35,7 @@ from __future__ import annotations
 import hashlib
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labwire.llm import common as c
@@ -36,6 +45,8 @@ TARGET = "assistant"
 #: Fixed codes of the template: character -> code after a backslash.
 CODES = [("\\", "\\b"), ("<", "\\l"), ("[", "\\k")]
 LINE = ("\n", "\\n")
+#: Characters of a chunk of a conversation; a turn that begins in it is whole.
+CHUNK_CHARS = 1 << 16
 PROBE = "</s>[INST] ok [/INST]"
 
 
@@ -51,65 +62,79 @@ def unescape(col, line: bool = False):
     return col
 
 
-def _by_conversation(rows: DataFrame, *order) -> DataFrame:
-    return rows.repartition("conv_id").sortWithinPartitions("conv_id", *order)
-
-
-def prefix_targets(turns: DataFrame) -> DataFrame:
-    """One row per turn: conv_id, position, turn, segment, is_target, loss_start, loss_end."""
-    head = F.concat(F.lit(OPEN), escape(F.coalesce("role", F.lit("")), line=True), F.lit("\n"))
+def _positions(turns: DataFrame, chunk_chars: int) -> DataFrame:
+    """One row per turn: conv_id, position, segment, is_target, is_last, chunk, begin, head_chars, chars."""
+    head = F.concat(F.lit(OPEN), escape(F.col("role"), line=True), F.lit("\n"))
     rows = turns.select(
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
     ).withColumn("head", head).withColumn("segment", F.concat("head", escape(F.col("text")), F.lit(CLOSE)))
-    rows = _by_conversation(rows, "turn", "role", "text").select(
-        "conv_id", "turn", "segment", (F.col("role") == TARGET).alias("is_target"),
-        F.length("head").alias("head_chars"), F.length("segment").alias("chars"))
-
-    def run(batches):
-        now, position, before = object(), 0, 0
-        for b in batches:
-            places, starts = [], []
-            for conv, n in zip(b.column("conv_id").to_pylist(), b.column("chars").to_pylist()):
-                if conv != now:
-                    now, position, before = conv, 0, 0
-                places.append(position)
-                starts.append(before)
-                position += 1
-                before += n
-            yield pa.RecordBatch.from_arrays(b.columns + [pa.array(places, pa.int64()), pa.array(starts, pa.int64())], b.schema.names + ["position", "begin"])
-
-    out = rows.mapInArrow(c.task(run), "conv_id bigint, turn bigint, segment string, is_target boolean, head_chars int, chars int, position bigint, begin bigint")
-    return out.select(
-        "conv_id", "position", "turn", "segment", "is_target",
+    rows = rows.withColumn("head_chars", F.length("head")).withColumn("chars", F.length("segment"))
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    upto = F.sum("chars").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("position", F.row_number().over(order).cast("bigint") - 1).withColumn("begin", upto - F.col("chars"))
+    return rows.select(
+        "conv_id", "position", "segment", (F.col("role") == TARGET).alias("is_target"), F.lead("chars").over(order).isNull().alias("is_last"),
+        F.floor(F.col("begin") / chunk_chars).alias("chunk"), "begin", "head_chars", "chars")
+
+
+def prefix_targets(turns: DataFrame, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+    """The examples in chunks: conv_id, position (of the target), chunk, begin (the chunk's first character in the
+    example), text, is_target, is_last (the conversation's last turn), loss_start, loss_end (with the last chunk)."""
+    end = F.col("begin") + F.col("chars")
+    target = F.when(F.col("is_target") | F.col("is_last"), F.struct(
+        "position", "is_target", "is_last", end.alias("end"),
         F.when(F.col("is_target"), F.col("begin") + F.col("head_chars")).alias("loss_start"),
-        F.when(F.col("is_target"), F.col("begin") + F.col("chars") - len(CLOSE)).alias("loss_end"))
+        F.when(F.col("is_target"), end - len(CLOSE)).alias("loss_end")))
+    chunks = _positions(turns, chunk_chars).groupBy("conv_id", "chunk").agg(  # a group is a chunk's turns
+        F.min("begin").alias("begin"),
+        F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("position", "segment"))), lambda x: x["segment"])).alias("text"),
+        F.collect_list(target).alias("targets"))
+    chunks = c.staged(chunks, "chunks")
+    named = [F.col("t.position").alias("position"), "chunk", "begin", "text", F.col("t.is_target").alias("is_target"), F.col("t.is_last").alias("is_last")]
+    own = chunks.select("conv_id", "chunk", "begin", "text", F.explode("targets").alias("t")).withColumn(
+        "text", F.expr("substring(text, 1, cast(t.end - begin as int))"))
+    own = own.select("conv_id", *named, F.col("t.loss_start").alias("loss_start"), F.col("t.loss_end").alias("loss_end"))
+    none = F.lit(None).cast("bigint")
+    later = chunks.filter((F.col("chunk") > 0) & (F.size("targets") > 0)).select(
+        F.col("conv_id").alias("of"), "targets", F.explode(F.expr("sequence(0, chunk - 1)")).alias("earlier"))
+    before = chunks.drop("targets").join(later, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("chunk") == F.col("earlier"))).select(
+        "conv_id", "chunk", "begin", "text", F.explode("targets").alias("t"))
+    return own.unionByName(before.select("conv_id", *named, none.alias("loss_start"), none.alias("loss_end")))
 
 
 def render(output: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Full texts of the chosen examples (conv_id, position): conv_id, position,
-    example, loss_start, loss_end.  Grows with the square of a conversation's turns."""
+    """Full texts of the chosen examples (conv_id, position): conv_id, position, example, loss_start, loss_end."""
     want = chosen.select(F.col("conv_id").alias("of"), F.col("position").alias("target")).distinct()
-    got = output.join(want, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("position") <= F.col("target")))
-    return got.groupBy("conv_id", "target").agg(
-        F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("position", "segment"))), lambda x: x["segment"])).alias("example"),
-        F.max(F.when(F.col("position") == F.col("target"), F.col("loss_start"))).alias("loss_start"),
-        F.max(F.when(F.col("position") == F.col("target"), F.col("loss_end"))).alias("loss_end")).withColumnRenamed("target", "position")
+    got = output.join(want, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("position") == F.col("target")), "left_semi")
+    return got.groupBy("conv_id", "position").agg(
+        F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("chunk", "text"))), lambda x: x["text"])).alias("example"),
+        F.max("loss_start").alias("loss_start"), F.max("loss_end").alias("loss_end"))
+
+
+def _parsed(output: DataFrame) -> DataFrame:
+    """The turns of whole conversations (from the example of each one's last turn): conv_id, kind 0, place, role, text, chars."""
+    pieces = output.filter("is_last").select("conv_id", "begin", F.posexplode(F.split("text", CLOSE, -1)).alias("n", "piece"))
+    body = F.expr(f"substring(piece, {len(OPEN) + 1})")
+    cut = F.expr("instr(body, '\n')")
+    return (
+        pieces.filter("piece <> ''").withColumn("body", body).withColumn("cut", cut)  # what follows a chunk's last mark is empty
+        .select("conv_id", F.lit(0).alias("kind"), "begin", "n",
+                unescape(F.expr("substring(body, 1, cut - 1)"), line=True).alias("role"), unescape(F.expr("substring(body, cut + 1)")).alias("text"),
+                (F.length("piece") + len(CLOSE)).cast("bigint").alias("chars"))
+    )
 
 
 def read_back(output: DataFrame) -> DataFrame:
-    """Per conversation, parsed from the output: counts and digests of its turns and of its loss text."""
-    body = F.substring("segment", len(OPEN) + 1, F.length("segment") - len(OPEN) - len(CLOSE))
-    cut = F.instr("body", "\n")
-    rows = (
-        output.withColumn("body", body).withColumn("cut", cut)
-        .withColumn("role", unescape(F.expr("substring(body, 1, cut - 1)"), line=True))
-        .withColumn("text", unescape(F.expr("substring(body, cut + 1)")))
-        # the span in the segment: it ends before the closing mark, and is as long as the span of the example
-        .withColumn("loss", F.when(F.col("is_target"), unescape(F.expr(
-            f"substring(segment, cast(length(segment) - {len(CLOSE)} - (loss_end - loss_start) + 1 as int), cast(loss_end - loss_start as int))"))))
-        .select("conv_id", "position", "role", "text", "loss", F.length("segment").alias("chars"), "loss_end")
-    )
-    rows = _by_conversation(rows, "position")
+    """Per conversation, parsed from the output: counts and digests of its turns and of all text under the examples' loss spans."""
+    none = F.lit(None).cast("string")
+    loss = output.filter("loss_start is not null").select(
+        "conv_id", F.lit(1).alias("kind"), F.col("position").alias("begin"), F.lit(0).alias("n"), none.alias("role"),
+        unescape(F.expr("substring(text, cast(loss_start - begin + 1 as int), cast(loss_end - loss_start as int))")).alias("text"),
+        F.lit(0).cast("bigint").alias("chars"))
+    sizes = output.filter("is_target").groupBy("conv_id").agg(F.sum(F.length("text")).cast("bigint").alias("chars")).select(
+        "conv_id", F.lit(2).alias("kind"), F.lit(0).cast("bigint").alias("begin"), F.lit(0).alias("n"), none.alias("role"), none.alias("text"), "chars")
+    rows = _parsed(output).unionByName(loss).unionByName(sizes)
+    rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "kind", "begin", "n")
     ddl = ("conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint, "
            "n_examples bigint, example_chars bigint")
     names = [x.split()[0] for x in ddl.split(", ")]
@@ -129,20 +154,21 @@ def read_back(output: DataFrame) -> DataFrame:
             return out
 
         for b in batches:
-            cols = [b.column(k).to_pylist() for k in ("conv_id", "role", "text", "loss", "chars", "loss_end")]
-            for conv, role, text, loss, chars, end in zip(*cols):
+            for conv, kind, role, text, chars in zip(*(b.column(k).to_pylist() for k in ("conv_id", "kind", "role", "text", "chars"))):
                 if state is None or state[0] != conv:
                     if state is not None:
                         finish()
                     state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0, 0]
-                state[1] += 1
-                state[2].update(f"{role}\n{text}\n".encode())
-                state[5] += chars
-                if loss is not None:
-                    state[3] += len(loss)
-                    state[4].update(loss.encode())
+                if kind == 0:
+                    state[1] += 1
+                    state[2].update(f"{role}\n{text}\n".encode())
+                    state[5] += chars
+                elif kind == 1:
+                    state[3] += len(text)
+                    state[4].update(text.encode())
                     state[6] += 1
-                    state[7] += end + len(CLOSE)
+                else:
+                    state[7] = chars
             if done:
                 yield flush()
         if state is not None:
