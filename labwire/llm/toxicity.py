@@ -12,7 +12,7 @@ picked by a hash of the id, of texts up to ``sample_chars`` characters, never
 from the held-out fold.  Of toxic and clean rows each up to half are taken,
 and more where the others are fewer.  Only the weights are learned from it.
 The sample is written once to the shared folder; one task for each model
-reads it.
+reads it and writes the model there.
 
 Calibration: every labelled row outside the held-out fold, of any length, is
 scored by a model that did not learn from it: rows of the sample by one of
@@ -26,7 +26,8 @@ labels, source and id are no inputs of a score.
 
 Defined results: a null or empty text is scored like one without words; a
 null label or a label without a document is ignored; a label given twice
-counts as its highest value, and for each document row of its id; without any
+counts as its highest value, and for each document row of its id (the sample
+takes the least text of an id with several); without any
 toxic label every score is 0.
 """
 
@@ -226,22 +227,25 @@ def best_threshold(score: np.ndarray, pos: np.ndarray, neg: np.ndarray) -> float
     return float(GRID[best[len(best) // 2]])
 
 
-def counts(docs: DataFrame, lab: DataFrame, models: list[Model], model) -> DataFrame:
+def counts(docs: DataFrame, lab: DataFrame, models: list[Model] | Stored, model) -> DataFrame:
     """(lang, bin, logit, pos, neg) of all rows of ``docs`` with a label; column
     ``model`` says which of ``models`` scores a row.  At most languages x bins rows."""
     key = F.xxhash64(F.col("doc_id").cast("string"))
     bits, log2 = c.bitmap(lab.select(key.alias("key")), "key")
-    shared = docs.sparkSession.sparkContext.broadcast(models)  # of fixed size
+    shared = docs.sparkSession.sparkContext.broadcast(models)  # of fixed size; only their path if stored
     labelled = docs.sparkSession.sparkContext.broadcast(bits)  # of bounded size: most other rows are not scored
 
     def run(batches):
+        loaded = {}
         for whole in batches:
             whole = whole.filter(pa.array(c.in_bitmap(labelled.value, log2, whole.column("key").to_numpy().view(np.uint64))))
             for b in c.slices(whole, "text"):
                 which, out = b.column("model").to_numpy(), np.zeros(b.num_rows)
                 for k in np.unique(which):
                     at = np.flatnonzero(which == k)
-                    out[at] = shared.value[k].raw(b.column("text").take(pa.array(at)))
+                    if k not in loaded:
+                        loaded[k] = shared.value[k]
+                    out[at] = loaded[k].raw(b.column("text").take(pa.array(at)))
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("lang"), pa.array(out)], ["doc_id", "lang", "logit"])
 
     rows = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), model.cast("int").alias("model"), "text", key.alias("key")).filter("doc_id is not null")
@@ -269,8 +273,20 @@ def _picked(share: float):
     return _hash(0) < F.lit(int(share * 2**64) - 2**63) if share < 1 else F.lit(True)
 
 
-def trained(spark, path: str, splits: int) -> list[Model]:
-    """``splits`` models, the k-th without the rows of split k, and one of all rows; a task each."""
+class Stored:
+    """Models in the shared folder; each is loaded where it is used, so the driver need not hold them all."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def __getitem__(self, k: int) -> Model:
+        fs, at = filesystem(self.path)
+        got = pq.read_table(at, filesystem=fs, use_threads=False, partitioning=None, filters=[("id", "=", int(k))])
+        return pickle.loads(got.column("model")[0].as_py())
+
+
+def trained(spark, path: str, splits: int) -> Stored:
+    """``splits`` models, the k-th without the rows of split k, and last one of all rows; a task each."""
 
     def run(batches):
         for b in batches:
@@ -286,8 +302,9 @@ def trained(spark, path: str, splits: int) -> list[Model]:
                 model.train(texts, y)
                 yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([pickle.dumps(model)], pa.binary())], ["id", "model"])
 
-    got = spark.range(0, splits + 1, 1, splits + 1).mapInArrow(c.task(run), "id bigint, model binary").collect()  # of fixed size
-    return [pickle.loads(r.model) for r in sorted(got, key=lambda r: r.id)]
+    out = c.stage_dir(spark, "models")
+    spark.range(0, splits + 1, 1, splits + 1).mapInArrow(c.task(run), "id bigint, model binary").write.parquet(out)
+    return Stored(out)
 
 
 def fit(docs: DataFrame, labels: DataFrame, held_out, sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS,
@@ -307,15 +324,15 @@ def fit(docs: DataFrame, labels: DataFrame, held_out, sample_rows: int = SAMPLE_
     total = sum(have.values(), np.zeros(2, int))
     if not total.all():
         return None, {"": CUTOFF}
+    splits, which = 0, F.lit(0)
     if all((total - have.get(k, 0)).all() for k in range(SPLITS)):
-        models, which = trained(docs.sparkSession, path, SPLITS), F.when(_picked(max(shares)), split).otherwise(SPLITS)
-    else:
-        models, which = trained(docs.sparkSession, path, 0), F.lit(0)
-    model = models[-1]
+        splits, which = SPLITS, F.when(_picked(max(shares)), split).otherwise(SPLITS)
+    models = trained(docs.sparkSession, path, splits)
     c.drop_staged(docs.sparkSession, path)
     got = counts(docs.filter(~held_out), lab, models, which).toArrow()
-    del models
     c.tidy(docs.sparkSession)
+    model = models[splits]
+    c.drop_staged(docs.sparkSession, models.path)
     logit, pos, neg = (got.column(k).to_numpy() for k in ("logit", "pos", "neg"))
     model.calibrate(logit, pos, neg)
     a, b = model.scale

@@ -127,3 +127,81 @@ def test_every_rare_toxic_row_is_learned_from(spark, monkeypatch):
     t.fit(data.documents(spark, docs), table, F.lit(False), sample_rows=100)
     assert {r.doc_id for r in seen[0] if r.toxic} == {i for i, _, y in labels if y}
     assert 60 <= len(seen[0]) <= 140
+
+
+def _plain_logit(model, text):
+    """The classifier by its definition, a word, window and filter at a time."""
+    import re
+
+    import numpy as np
+    import pyarrow as pa
+
+    words = re.findall("[0-9a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m.group().lower(), text))
+    emb = [sum(model.table[r] for r in t.word_rows(pa.array([w.encode()], pa.binary()))[0]) for w in words]
+    out = model.bias
+    for i, k in enumerate(t.WIDTHS):
+        for f in range(t.FILTERS):
+            responses = [sum(float(np.dot(emb[at + j], model.conv[i][j, :, f])) for j in range(k)) for at in range(len(emb) - k + 1)]
+            out += np.tanh(max(responses, default=0.0)) * model.out[i * t.FILTERS + f]
+    return out
+
+
+TEXTS = ["grobian du", "", "Ein Wort", "one", "a b c d e a b", "né 漢字 x1 a", "Grobian Grobian grobianer!", " - "]
+
+
+def test_logits_are_those_of_plain_loops():
+    import numpy as np
+    import pyarrow as pa
+
+    model = t.Model()
+    model.table *= 50
+    model.bias = 0.25
+    got = model.raw(pa.array(TEXTS))
+    assert np.allclose(got, [_plain_logit(model, x) for x in TEXTS], atol=1e-4)
+
+
+def test_a_training_step_follows_the_gradient_of_plain_loops():
+    import copy
+
+    import numpy as np
+    import pyarrow as pa
+
+    y = np.array([1, 0, 0, 1, 0, 1, 1, 0], float)
+    before = t.Model()
+    before.table *= 50
+    after = copy.deepcopy(before)
+    square = {"table": np.full(after.table.shape[0], 1e-2, np.float32), "out": np.full(after.out.shape, 1e-2), "bias": 1e-2,
+              "conv": [np.full(w.shape, 1e-2, np.float32) for w in after.conv]}
+    after._step(t.c.split_words(pa.array(TEXTS), t.c.ALNUM, lower=True), y, square)
+
+    def loss(model):
+        p = t.sigmoid(np.array([_plain_logit(model, x) for x in TEXTS]))
+        return -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
+
+    def slope(change, h=1e-3):
+        up, down = copy.deepcopy(before), copy.deepcopy(before)
+        change(up, h), change(down, -h)
+        return (loss(up) - loss(down)) / (2 * h)
+
+    def bias(m, h):
+        m.bias += h
+
+    def out(i):
+        def change(m, h):
+            m.out[i] += h
+        return change
+
+    def conv(i, j, d, f):
+        def change(m, h):
+            m.conv[i][j, d, f] += h
+        return change
+
+    def step(g):
+        return -t.RATE * g / np.sqrt(1e-2 + g * g)
+
+    assert np.isclose(after.bias - before.bias, step(slope(bias)), atol=1e-3)
+    for i in (0, 7, 17):
+        assert np.isclose(after.out[i] - before.out[i], step(slope(out(i))), atol=1e-3)
+    for at in ((0, 0, 3, 1), (1, 1, 5, 2), (2, 2, 0, 4)):
+        i, *rest = at
+        assert np.isclose(after.conv[i][tuple(rest)] - before.conv[i][tuple(rest)], step(slope(conv(*at))), atol=2e-3)
