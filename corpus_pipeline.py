@@ -81,7 +81,15 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir: str) -> DataFrame:
-    docs = c.read(spark, sf_dir, "documents")
+    """The rows of the last stage.  Once a stage's result is written, the tables it staged and
+    the result before it are deleted; the last result stays, as the returned rows read it."""
+    docs, before = c.read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = c.staged(stage(spark, docs, sf_dir), name)
+        path = c.stage_dir(spark, name)
+        with c.scratch(spark, f"{name}-tables"):
+            result = stage(spark, docs, sf_dir)
+            result.write.parquet(path)
+        if before:
+            c.drop_staged(spark, before)
+        docs, before = spark.read.schema(result.schema).parquet(path), path
     return docs

@@ -12,6 +12,8 @@ import ctypes
 import gc
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,9 +51,25 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
 def stage_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder of ``spark.checkpoint.dir``."""
-    return f"{checkpoint_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder of ``spark.checkpoint.dir``, or below the open :func:`scratch` folder."""
+    return f"{_SCRATCH.get() or checkpoint_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A folder for the tables staged inside; it is deleted at the end, also after an error.
+    What is to stay must have been written to a path taken before."""
+    path = stage_dir(spark, name)
+    token = _SCRATCH.set(path)
+    try:
+        yield path
+    finally:
+        _SCRATCH.reset(token)
+        drop_staged(spark, path)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
