@@ -13,8 +13,9 @@ File layout (little endian)::
 of ids needs the blocks it touches only: their bytes are read by offset and
 unpacked as whole numpy arrays.
 
-Documents are range-partitioned and sorted by id; each task writes files of
-about ``FILE_IDS`` ids (a document lies in one file) under a name of its own
+Documents are range-partitioned by id and the first ``TIE_CHARS`` characters of
+the text, so that rows of one id (or of none) are dealt over tasks, and sorted by
+id and text; each task writes files of about ``FILE_IDS`` ids (a document lies in one file) under a name of its own
 and renames them when complete, so a task that runs again leaves one file.
 The manifest of files carries the number of ids before each file.
 
@@ -41,6 +42,8 @@ MAGIC = b"LWBITS01"
 HEAD = struct.Struct("<8sIIQQQ")
 BLOCK = 1 << 16
 FILE_IDS = 1 << 22
+#: Characters of a text by which rows of equal id are dealt; the range bounds on the driver hold no more of a text.
+TIE_CHARS = 24
 END = 2
 
 
@@ -163,8 +166,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end: int = END, file_ids
     parts = max(1, docs.rdd.getNumPartitions())
     rows = docs.select("doc_id", "text")
     if parts > 1:
-        rows = rows.repartitionByRange(parts, F.asc_nulls_first("doc_id"))
-    rows = rows.sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
+        rows = rows.repartitionByRange(parts, F.asc_nulls_first("doc_id"), F.asc_nulls_first(F.substring("text", 1, TIE_CHARS)))
+    rows = rows.sortWithinPartitions(F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))
     manifest = c.staged(rows.mapInArrow(c.task(run), "part bigint, file bigint, path string, n_ids bigint, n_docs bigint"), "manifest")
     # ids before each partition: one number for each of them
     total = sorted(manifest.groupBy("part").agg(F.sum("n_ids").alias("n")).collect())

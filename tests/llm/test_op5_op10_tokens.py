@@ -122,6 +122,18 @@ def test_files_in_order(spark, enc, monkeypatch):
     assert bitpack.read_back(bitpack.write(data.empty(spark), folder, PATH), folder).count() == 0
 
 
+def test_rows_of_one_id_are_dealt_over_tasks(spark, enc):
+    rows = [(7, f"text {i * 37 % 500:03d}", "en", "s") for i in range(500)] + [(7, None, "en", "s")]
+    rows += [(None, f"none {i:03d}", "en", "s") for i in range(300)] + [(i, f"other {i}", "en", "s") for i in range(20)]
+    folder = tempfile.mkdtemp()
+    manifest = bitpack.write(data.documents(spark, rows), folder, PATH)
+    docs = [r.n for r in manifest.groupBy("part").sum("n_docs").withColumnRenamed("sum(n_docs)", "n").collect()]
+    assert sum(docs) == len(rows) and len(docs) == 3 and max(docs) < 400  # neither id is in one task alone
+    got = sorted(bitpack.read_back(manifest, folder).collect(), key=lambda r: r.start)
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    assert [(r.doc_id, r.ids_crc32) for r in got] == [(i, crc(ids_of(enc, t, 2))) for i, t, *_ in want]
+
+
 def test_special_tokens_are_those_of_a_plain_encode():
     from tokenizers import Tokenizer
 
