@@ -97,15 +97,45 @@ def segment_start(msg: Column | str, name: str, fs: Column, after: Column | int
     )
 
 
+def before_opening(text: Column | str, name: str) -> Column:
+    """Number of characters before the first ``\\r`` + ``name``, all when there is none.
+
+    A search by bytes; ``locate`` compares the needle at every character and
+    took a third of the parse."""
+    return F.length(F.substring_index(col_of(text), SEGMENT_SEP + name, 1))
+
+
+def opened_at(text: Column | str, before: Column, name: str, fs: Column, exact: Column, skipped: Column | int = 0) -> Column:
+    """:func:`segment_start` from ``before``, a column of :func:`before_opening` over ``text``,
+    which is the message without its first ``skipped`` characters.
+
+    Every segment of the name begins with that opening, so where the first one is
+    followed by the field separator, a segment separator or nothing, it is the
+    segment; else (a longer name) ``exact`` is evaluated."""
+    t = col_of(text)
+    after = F.substring(t, before + 2 + len(name), F.lit(1))
+    return (
+        F.when(before >= F.length(t), 0)
+        .when((after == fs) | (after == SEGMENT_SEP) | (after == ""), before + 1 + skipped)
+        .otherwise(exact)
+    )
+
+
+def from_position(msg: Column | str, pos: Column) -> Column:
+    """The text right after the ``\\r`` at ``pos`` ('' when 0); a materialised column."""
+    return F.when(pos > 0, F.substring(col_of(msg), pos + 1, F.lit(2**31 - 1))).otherwise(F.lit(""))
+
+
+def first_segment(text: Column | str) -> Column:
+    """The text up to the first segment separator."""
+    return F.substring_index(col_of(text), SEGMENT_SEP, 1)
+
+
 def segment_at(msg: Column | str, pos: Column) -> Column:
     """The segment that starts right after the ``\\r`` at ``pos`` ('' when 0).
 
     ``pos`` should be a materialised column (see :func:`segment_start`)."""
-    m = col_of(msg)
-    start = pos + 1
-    end = _locate(F.lit(SEGMENT_SEP), m, start)
-    length = F.when(end > 0, end - start).otherwise(F.length(m) - start + 1)
-    return F.when(pos > 0, F.substring(m, start, length)).otherwise(F.lit(""))
+    return first_segment(from_position(msg, pos))
 
 
 def first_order_position(obr_pos: Column, orc_pos: Column, orc2_pos: Column) -> Column:

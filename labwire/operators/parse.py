@@ -27,12 +27,16 @@ from pyspark.sql import functions as F
 from labwire.functions.hl7 import (
     SEGMENT_SEP,
     Encoding,
+    before_opening,
     encoding_of,
     component,
     field,
     first_order_position,
+    first_segment,
+    from_position,
     has_escape,
     normalize_segments,
+    opened_at,
     segment_at,
     segment_start,
     split_fields,
@@ -109,49 +113,50 @@ def er7_ok(msg: Column, fs: Column) -> Column:
     # the first segment's 4th character is the separator by definition, so
     # only segments after a "\\r" can break the rule
     bad_segment = F.concat(F.lit("\\r[^\\r]{3}(?!\\Q"), fs, F.lit("\\E)[^\\r]"))
-    n_sep = F.length(msg) - F.length(F.replace(msg, fs, F.lit("")))
+    # the text before the 11th separator: all of it when there are fewer
+    before_11th = F.call_function("substring_index", msg, fs, F.lit(11))
     return (
         msg.startswith("MSH")
         & (F.length(msg) >= 4)
         & (F.call_function("regexp_instr", msg, bad_segment) == 0)
-        & (n_sep >= 11)
+        & (F.octet_length(before_11th) < F.octet_length(msg))
     )
 
 
 def locate_segments(cleaned: DataFrame, segments: Sequence[str] = SEGMENTS) -> DataFrame:
     """Split the header, first ORC, first-order OBR and first PID into field arrays.
 
-    Segment positions are found by literal search (one projection), then the
-    segments are cut at those positions (the next one), so each search runs
+    Segments are found by literal search and then cut at their positions.  Each
+    search and each position is a column of a projection of its own, so it runs
     once per message.  Only the arrays named by ``segments`` leave the stage.
     """
     raw = ["raw_message"] if "raw_message" in cleaned.columns else []
     keep = [*ARRIVAL, "is_empty", *raw, *ENCODING_COLUMNS, "has_esc"]
-    first, second, arrays = _locate_exprs()
-    positions = cleaned.select(*keep, "msg", "fs_pat", *first)
-    positions = positions.select("*", second)
+    searches, found, rest, second, arrays = _locate_exprs()
+    base = [*keep, "msg", "fs_pat"]
+    positions = cleaned.select(*base, *searches).select(*base, "is_er7", *found).select("*", rest)
+    positions = positions.select("*", before_opening("from_orc", "ORC").alias("b_orc2")).select("*", second)
     return positions.select(*keep, "is_er7", *[arrays[s] for s in SEGMENTS if s in segments])
 
 
 @functools.cache
-def _locate_exprs() -> tuple[list[Column], Column, dict[str, Column]]:
+def _locate_exprs() -> tuple[list[Column], list[Column], Column, Column, dict[str, Column]]:
     msg, fs, pat = F.col("msg"), F.col("fs"), F.col("fs_pat")
-    first = [
-        er7_ok(msg, fs).alias("is_er7"),
-        segment_start(msg, "ORC", fs).alias("p_orc"),
-        segment_start(msg, "OBR", fs).alias("p_obr"),
-        segment_start(msg, "PID", fs).alias("p_pid"),
-    ]
-    p_orc = F.col("p_orc")
-    second = F.when(p_orc > 0, segment_start(msg, "ORC", fs, p_orc + 1)).otherwise(F.lit(0)).alias("p_orc2")
+    names = ("ORC", "OBR", "PID")
+    searches = [er7_ok(msg, fs).alias("is_er7"), *[before_opening(msg, n).alias(f"b_{n.lower()}") for n in names]]
+    found = [opened_at(msg, F.col(f"b_{n.lower()}"), n, fs, segment_start(msg, n, fs)).alias(f"p_{n.lower()}") for n in names]
+    p_orc, from_orc = F.col("p_orc"), F.col("from_orc")
+    rest = from_position(msg, p_orc).alias("from_orc")
+    # without a first ORC the rest is empty, and nothing is found in it
+    second = opened_at(from_orc, F.col("b_orc2"), "ORC", fs, segment_start(msg, "ORC", fs, p_orc + 1), p_orc).alias("p_orc2")
     obr = first_order_position(F.col("p_obr"), p_orc, F.col("p_orc2"))
     arrays = {
-        "msh": split_fields(F.substring_index(msg, SEGMENT_SEP, 1), pat).alias("msh"),
-        "orc": split_fields(segment_at(msg, p_orc), pat).alias("orc"),
+        "msh": split_fields(first_segment(msg), pat).alias("msh"),
+        "orc": split_fields(first_segment(from_orc), pat).alias("orc"),
         "obr": split_fields(segment_at(msg, obr), pat).alias("obr"),
         "pid": split_fields(segment_at(msg, F.col("p_pid")), pat).alias("pid"),
     }
-    return first, second, arrays
+    return searches, found, rest, second, arrays
 
 
 def spread(records: DataFrame, min_partitions: int | None) -> DataFrame:

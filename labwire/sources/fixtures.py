@@ -119,11 +119,13 @@ def _record_columns() -> tuple[Column, ...]:
     )
 
 
-def lab_order_records(orders: DataFrame, customer: DataFrame) -> DataFrame:
+def lab_order_records(orders: DataFrame, customer: DataFrame, width: int | None = None) -> DataFrame:
     """Kafka-shaped raw records (D1) for every order with a customer.
 
     ``partition = base % 3`` and ``offset = k`` keep repeats of one message id
-    in one partition, with offsets increasing in arrival order.
+    in one partition, with offsets increasing in arrival order.  ``width`` deals
+    the rows evenly over so many partitions, before their texts are built (four
+    narrow columns move): splits of a file may hold no row group, or many.
     """
     o = orders.select(
         F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("custkey"),
@@ -131,6 +133,8 @@ def lab_order_records(orders: DataFrame, customer: DataFrame) -> DataFrame:
     )
     c = customer.select(F.col("c_custkey").alias("custkey"), F.col("c_nationkey").alias("nationkey"))
     j = o.join(c, "custkey")
+    if width:
+        j = j.repartition(width)
     return j.select(*_record_columns()).select(*RAW_COLUMNS)
 
 
@@ -138,13 +142,13 @@ def read_tables(spark, sf_dir: str, *names: str) -> list[DataFrame]:
     return [spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names]
 
 
-def records_from_dir(spark, sf_dir: str, min_partitions: int | None = None) -> DataFrame:
+def records_from_dir(spark, sf_dir: str, width: int | None = None, offsets: tuple[int, int] | None = None) -> DataFrame:
     """Raw records built from ``{sf_dir}/orders.parquet`` ⋈ ``customer.parquet``.
 
-    ``min_partitions`` widens a narrow ``orders`` scan (one small file) before
-    the join, so the message feed and everything downstream run in parallel.
+    ``width`` deals them over so many partitions, so the message feed and everything
+    downstream run in parallel; ``offsets`` keeps those of ``[first, last)``.
     """
-    from labwire.operators.parse import spread
-
     orders, customer = read_tables(spark, sf_dir, "orders", "customer")
-    return lab_order_records(spread(orders, min_partitions), customer)
+    if offsets:
+        orders = orders.filter((F.col("o_orderkey") >= offsets[0]) & (F.col("o_orderkey") < offsets[1]))
+    return lab_order_records(orders, customer, width)

@@ -56,8 +56,10 @@ class FanOut:
     The rows that reach a sink are persisted once (dropped records are not,
     and the raw text only of dead letters) and all sinks read them.  With
     ``parallel`` the sinks run as concurrent Spark jobs (the dead-letter
-    write is a single narrow stage that fills cores the merge leaves idle);
-    an error in any sink fails the batch, which Spark then re-runs.
+    write is a single narrow stage that fills cores the merge leaves idle),
+    once one job has parsed the batch: concurrent jobs over rows that are not
+    stored yet would each parse them.  An error in any sink fails the batch,
+    which Spark then re-runs.
 
     ``contract`` is one of ``CONTRACT_MODES``.  Every valid row is checked,
     also one that a later row of the batch replaces.  ``fail`` raises before
@@ -113,6 +115,7 @@ class FanOut:
                 for job in jobs:
                     job()
                 return
+            routed.count()
             with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
                 for f in [pool.submit(job) for job in jobs]:
                     f.result()

@@ -14,7 +14,7 @@ from labwire.operators.contracts import MAX_LENGTH, NOT_NULL
 from labwire.operators.schema import LAB_ORDER_SCHEMA, STORED_COLUMNS
 from labwire.operators.upsert import latest
 from labwire.plans.oracle import ORACLE, _q
-from labwire.plans.pipeline import facilities, facility_renames, lab_prefixes, order_count, route_records, valid_rows
+from labwire.plans.pipeline import default_width, facilities, facility_renames, lab_prefixes, order_count, route_records, valid_rows
 from labwire.session import scratch_dir
 from labwire.sinks import dead_letters as dlq_sink
 from labwire.sinks import files
@@ -38,17 +38,17 @@ def _paths(spark: SparkSession) -> dict:
 
 
 def _chunk(spark: SparkSession, sf_dir: str, i: int, chunks: int) -> DataFrame:
-    """The raw records of one of ``chunks`` offset ranges."""
+    """The raw records of one of ``chunks`` offset ranges, dealt evenly over the cores: the range
+    lies in a few row groups of the orders, and a task of the stream reads a file of the chunk."""
     n = order_count(spark, sf_dir)
-    return records_from_dir(spark, sf_dir).filter((F.col("offset") >= i * n // chunks) & (F.col("offset") < (i + 1) * n // chunks))
+    return records_from_dir(spark, sf_dir, default_width(spark), (i * n // chunks, (i + 1) * n // chunks))
 
 
 def _land(chunk: DataFrame, path: str) -> int:
-    """Write a chunk as the next files of the source, the same number each time; a trigger
-    of so many files then reads one chunk.  Returns that number."""
-    width = chunk.sparkSession.sparkContext.defaultParallelism
-    chunk.repartition(width).write.mode("append").parquet(path)
-    return width
+    """Write a chunk as the next files of the source, one a partition, the same number each time;
+    a trigger of so many files then reads one chunk.  Returns that number."""
+    chunk.write.mode("append").parquet(path)
+    return default_width(chunk.sparkSession)
 
 
 def _drain(spark: SparkSession, paths: dict, fan: FanOut, files_per_batch: int | None = None) -> None:
@@ -67,7 +67,7 @@ def run_chunked_stream(spark: SparkSession, sf_dir: str, chunks: int = CHUNKS, m
     ``make_sink`` the table as the job knows it at chunk ``i``."""
     paths = _paths(spark)
     for i in range(chunks):
-        _chunk(spark, sf_dir, i, chunks).write.mode("append").parquet(paths["source"])
+        _land(_chunk(spark, sf_dir, i, chunks), paths["source"])
         sink = make_sink(paths["table"], i)
         _drain(spark, paths, FanOut(sink.for_query(paths["checkpoint"]), _dead_to(paths), **({"contract": "off"} | make_contract(paths))))
     paths["sink"] = sink
@@ -239,7 +239,7 @@ def _stretch(n: int) -> tuple[dict, dict]:
 def q_replay_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stretch of offsets by partition, replayed alone."""
     begin, end = _stretch(order_count(spark, sf_dir))
-    stretch = offset_range(records_from_dir(spark, sf_dir), begin, end)
+    stretch = offset_range(records_from_dir(spark, sf_dir, default_width(spark)), begin, end)
     return latest(valid_rows(route_records(stretch))).select(*STORED_COLUMNS)
 
 
