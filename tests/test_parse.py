@@ -167,3 +167,20 @@ def test_only_escape_sequences_change(spark):
     texts = [message(msh(app=a)) for a in ("A\ue000B", "A\u0001FB\\T\\C", "\\F\\S\\E\\", "x\\R\\S\\S\\y")]
     got = [r.sending_application for r in extract_orders(parsed(spark, texts)).orderBy("offset").collect()]
     assert got == ["A\ue000B", "A\u0001FB&C", "|S\\", "x~S^y"]
+
+
+def test_segments_by_first_opening_equal_the_exact_search(spark):
+    from labwire.functions.hl7 import before_opening, opened_at, segment_start
+
+    texts = ["", "MSH|", "MSH|x\rORC|a", "MSH|x\rORCX|a\rORC|b", "MSH|x\rORCX|a", "MSH|x\rORC\rORC|b", "MSH|x\rORCX\rORC",
+             "MSH|x\rORC", "MSH|x\rOR", "MSH|ORC|\rOBR|1\rORCA\rORCB|\rORC|c\rORC|d", "MSH|\U0001f600é\rORCé|\rORC|z", None]
+    df = spark.createDataFrame([(t,) for t in texts], "msg string").withColumn("fs", F.substring("msg", 4, 1))
+    df = df.withColumn("b", before_opening("msg", "ORC")).withColumn("exact", segment_start("msg", "ORC", F.col("fs")))
+    df = df.withColumn("fast", opened_at("msg", F.col("b"), "ORC", F.col("fs"), F.col("exact")))
+    assert [(r.msg, r.fast) for r in df.collect()] == [(r.msg, r.exact) for r in df.collect()]
+    # from the second character of the first segment on
+    df = df.withColumn("rest", F.substring("msg", 3, 1000)).withColumn("b2", before_opening("rest", "ORC"))
+    df = df.withColumn("fast", opened_at("rest", F.col("b2"), "ORC", F.col("fs"), segment_start("msg", "ORC", F.col("fs"), 3), 2))
+    assert [r.fast for r in df.collect()] == [r.exact for r in df.collect()]
+    got = {r["offset"]: r for r in parsed(spark, [message(msh(), "ORCX|NO", "ORC|NW|yes^1", "OBR|1|x||A", "ORCY", "OBR|2")]).collect()}[0]
+    assert got["orc"][2] == "yes^1" and got["obr"][4] == "A"

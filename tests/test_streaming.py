@@ -114,3 +114,37 @@ def test_entry_point_writes_deltas_and_counts(spark, tmp_dir):
     one = read_counts(spark, f"{tmp_dir}/counts", files.query_id(spark, f"{tmp_dir}/ckpt"))
     assert {r.route: r.n for r in one.collect()} == EXPECTED
     assert read_counts(spark, f"{tmp_dir}/none").count() == 0
+
+
+def test_a_chunk_of_the_feed_is_dealt_evenly(spark, tmp_dir):
+    from labwire.streaming import queries as q
+
+    # one file of one row group: a scan splits it by bytes, and one split has all rows
+    spark.range(6000).selectExpr("id AS o_orderkey", "id % 50 AS o_custkey", "DATE'1997-01-01' AS o_orderdate").coalesce(1).write.parquet(f"{tmp_dir}/orders.parquet")
+    spark.range(50).selectExpr("id AS c_custkey", "id % 25 AS c_nationkey").coalesce(1).write.parquet(f"{tmp_dir}/customer.parquet")
+    width = spark.sparkContext.defaultParallelism
+    seen = []
+    for i in range(3):
+        chunk = q._chunk(spark, tmp_dir, i, 3)
+        sizes = [r.n for r in chunk.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert len(sizes) == width and max(sizes) <= 2 * 2000 / width
+        assert q._land(chunk, f"{tmp_dir}/src") == width
+        seen += [r.offset for r in chunk.select("offset").collect()]
+    assert sorted(seen) == list(range(6000))
+    files = spark.read.parquet(f"{tmp_dir}/src").select(F.input_file_name()).distinct().count()
+    assert files == 3 * width
+
+
+def test_sinks_run_over_a_batch_that_is_parsed_already(spark):
+    rows = route_records(records_from_dir(spark, SF_SMALL, 4)).cache()
+    stored = rows.count()
+    assert stored == sum(EXPECTED.values())
+    before = {i.id() for i in spark._jsc.sc().getRDDStorageInfo()}
+    held = []
+
+    def sink(df, bid):
+        held.extend(i.numCachedPartitions() for i in spark._jsc.sc().getRDDStorageInfo() if i.id() not in before)
+
+    FanOut(sink, sink, contract="off")(rows, 0)
+    rows.unpersist()
+    assert held == [4, 4]
