@@ -51,7 +51,8 @@ def encoding_of(msg: Column | str) -> dict[str, Column]:
     """Delimiter columns ``fs cs rs esc ss`` read from the message header."""
     m = col_of(msg)
     fs = F.substring(m, 4, 1)
-    msh2 = F.split_part(F.substring_index(m, SEGMENT_SEP, 1), fs, F.lit(2))
+    # a separator that ends the segment is not in it
+    msh2 = F.when(fs == SEGMENT_SEP, F.lit("")).otherwise(_last_part(_parts(F.substring_index(m, SEGMENT_SEP, 1), fs, 2), fs))
 
     def char(i: int) -> Column:
         c = F.substring(msh2, i, 1)
@@ -169,16 +170,31 @@ def field(fields: Column | str, n: int, msh: bool = False) -> Column:
     return F.coalesce(F.get(col_of(fields), idx), F.lit(""))
 
 
+def _parts(s: Column, delim: Column, n: int) -> Column:
+    """The first ``n`` parts of the text with the ``delim`` between them (all when
+    there are fewer), without splitting the whole string into an array."""
+    return F.call_function("substring_index", s, delim, F.lit(n))
+
+
 def _first_part(s: Column, delim: Column) -> Column:
-    """Text before the first ``delim`` (all of it when absent), without
-    splitting the whole string into an array."""
-    return F.call_function("substring_index", s, delim, F.lit(1))
+    return _parts(s, delim, 1)
+
+
+def _last_part(s: Column, delim: Column) -> Column:
+    return F.call_function("substring_index", s, delim, F.lit(-1))
+
+
+def _part(s: Column, delim: Column, n: int) -> Column:
+    """Part ``n`` (2 or more), '' when absent, as ``split_part``, which decodes the text and
+    splits all of it by a regex."""
+    absent = F.octet_length(_parts(s, delim, n - 1)) == F.octet_length(s)
+    return F.when(absent, F.lit("")).otherwise(_last_part(_parts(s, delim, n), delim))
 
 
 def component(fld: Column, enc: Encoding, c: int = 1) -> Column:
     """First repetition -> component ``c`` -> first subcomponent (raw, escaped)."""
     rep = _first_part(fld, enc.rs)
-    comp = _first_part(rep, enc.cs) if c == 1 else F.split_part(rep, enc.cs, F.lit(c))
+    comp = _first_part(rep, enc.cs) if c == 1 else _part(rep, enc.cs, c)
     return _first_part(comp, enc.ss)
 
 
@@ -189,7 +205,7 @@ ESCAPE_CODES = "FSTRE"
 
 def has_escape(msg: Column, enc: Encoding) -> Column:
     """Does an escape character occur behind the header's own declaration?"""
-    return (enc.esc != NO_DELIMITER) & (_locate(enc.esc, msg, 9) > 0)
+    return (enc.esc != NO_DELIMITER) & F.substring(msg, 9, 2**31 - 1).contains(enc.esc)
 
 
 def unescape(v: Column, enc: Encoding) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labwire.functions._util import col_of
@@ -32,15 +32,39 @@ def decode_payload(value: Column | str) -> Column:
 NTE_LINE_PATTERN = r"(?m)^NTE\|.*(?:\r?\n)?"
 
 
+def _once(pair: str, by: str):
+    return lambda t: F.replace(t, F.lit(pair), F.lit(by))
+
+
+#: The cleanup in its order: a text that holds no such literal is not changed by the step.
+SANITIZE_STEPS = (
+    ("\n", _once("\n", "\r")),
+    ("\r\r", _once("\r\r", "\r")),
+    ("NTE|", lambda t: F.regexp_replace(t, NTE_LINE_PATTERN, "")),
+    ("\r\r", _once("\r\r", "\r")),
+)
+
+
+def sanitized(df: DataFrame, text: str, name: str) -> DataFrame:
+    """:func:`sanitize` of column ``text`` as column ``name``, a projection a step.
+
+    ``contains`` looks at a byte where ``replace`` compares its needle and a regex decodes
+    the text, so each step runs for the texts that hold its literal.  In one expression
+    each guard would copy the steps before it."""
+    src = text
+    for literal, step in SANITIZE_STEPS:
+        t = F.col(src)
+        df = df.withColumn(name, F.when(t.contains(literal), step(t)).otherwise(t))
+        src = name
+    return df
+
+
 def sanitize(text: Column | str) -> Column:
     """Normalise line endings and strip NTE (note) segments."""
     t = col_of(text)
-    t = F.replace(t, F.lit("\n"), F.lit("\r"))
-    t = F.replace(t, F.lit("\r\r"), F.lit("\r"))
-    # no "contains" guard: it would copy the chain into two branches, and a
-    # regex that finds nothing costs one scan, like the guard itself
-    t = F.regexp_replace(t, NTE_LINE_PATTERN, "")
-    return F.replace(t, F.lit("\r\r"), F.lit("\r"))
+    for _, step in SANITIZE_STEPS:
+        t = step(t)
+    return t
 
 
 def preview(text: Column | str, n: int = 100) -> Column:

@@ -44,7 +44,7 @@ from labwire.functions.hl7 import (
     unescape,
     value,
 )
-from labwire.functions.text import sanitize
+from labwire.functions.text import sanitized
 from labwire.sources.records import ARRIVAL, decode
 
 ENCODING_COLUMNS = ["fs", "cs", "rs", "esc", "ss"]
@@ -85,7 +85,7 @@ def stage(df: DataFrame) -> DataFrame:
 
 @functools.cache
 def _clean_exprs() -> tuple[Column, list[Column], list[Column]]:
-    msg = normalize_segments(sanitize("raw_message")).alias("msg")
+    msg = normalize_segments("clean").alias("msg")
     enc = encoding_of("msg")
     delims = [enc[n].alias(n) for n in ENCODING_COLUMNS]
     e = Encoding.from_columns()
@@ -102,7 +102,8 @@ def clean_messages(records: DataFrame, with_raw: bool = True) -> DataFrame:
     delimiters + helpers + ``msg`` (the clean text)."""
     msg, delims, final = _clean_exprs()
     kept = [*ARRIVAL, "is_empty", *(["raw_message"] if with_raw else [])]
-    s1 = decode(records).select(*kept, msg)
+    decoded = sanitized(decode(records), "raw_message", "clean")
+    s1 = decoded.select(*kept, msg)
     s2 = s1.select("*", *delims)
     return s2.select(*kept, *ENCODING_COLUMNS, *final)
 
@@ -117,7 +118,7 @@ def er7_ok(msg: Column, fs: Column) -> Column:
     before_11th = F.call_function("substring_index", msg, fs, F.lit(11))
     return (
         msg.startswith("MSH")
-        & (F.length(msg) >= 4)
+        & (F.octet_length(msg) >= 4)  # of characters too: the first three are one byte each
         & (F.call_function("regexp_instr", msg, bad_segment) == 0)
         & (F.octet_length(before_11th) < F.octet_length(msg))
     )

@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from labwire.operators import contracts
+from labwire.operators.orders import ORDER_COLUMNS
 from labwire.operators.routing import ROUTES, dead_letters
 from labwire.plans.pipeline import route_records, valid_rows
-from labwire.sources.records import RAW_SCHEMA
+from labwire.sources.records import ARRIVAL, RAW_SCHEMA
 
 QUERY_NAME = "lab-orders-to-table"
 # K2: the original sink flushed at least every 200 ms
@@ -37,6 +38,11 @@ Reference = Callable[[SparkSession], DataFrame]
 CONTRACT_MODES = ("fail", "quarantine", "off")
 
 
+# What the sinks read of a routed record.
+BATCH_COLUMNS = [*ARRIVAL, *ORDER_COLUMNS, "route"]
+COMPRESSED = "spark.sql.inMemoryColumnarStorage.compressed"
+
+
 def observe_routes(routed: DataFrame, name: str = "routes") -> DataFrame:
     """G1 for streams: per-route counts in every progress report."""
     return routed.observe(name, *[F.count_if(F.col("route") == r).alias(r) for r in ROUTES])
@@ -106,7 +112,11 @@ class FanOut:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         letters = F.when(F.col("route") == "dlq", F.col("raw_message"))
         routed = batch if self.counts else batch.filter(F.col("route").isin("valid", "dlq"))
-        routed = routed.withColumn("raw_message", letters).persist()
+        routed = routed.withColumn("raw_message", letters).select(*BATCH_COLUMNS)
+        # read once or twice: not worth trying encodings on every value (the setting counts when the rows are stored)
+        conf, compressed = routed.sparkSession.conf, routed.sparkSession.conf.get(COMPRESSED)
+        conf.set(COMPRESSED, "false")
+        routed = routed.persist()
         try:
             jobs = self._jobs(routed, batch_id)
             if self.counts:
@@ -121,6 +131,7 @@ class FanOut:
                     f.result()
         finally:
             routed.unpersist()
+            conf.set(COMPRESSED, compressed)
 
 
 def start(

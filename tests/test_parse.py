@@ -184,3 +184,32 @@ def test_segments_by_first_opening_equal_the_exact_search(spark):
     assert [r.fast for r in df.collect()] == [r.exact for r in df.collect()]
     got = {r["offset"]: r for r in parsed(spark, [message(msh(), "ORCX|NO", "ORC|NW|yes^1", "OBR|1|x||A", "ORCY", "OBR|2")]).collect()}[0]
     assert got["orc"][2] == "yes^1" and got["obr"][4] == "A"
+
+
+def test_parts_are_cut_as_split_part_cuts_them(spark):
+    from labwire.functions.hl7 import _part
+
+    rows = [(s, d) for s in (None, "", "a", "^", "^^", "a^b", "a^b^c", "^b", "a^", "a^^c^d", "\u00e9^\u4e2d^x", "aXXb") for d in ("^", "\u0000", "X", None)]
+    df = spark.createDataFrame(rows, "s string, d string")
+    for n in (2, 3, 4):
+        out = df.select(_part(F.col("s"), F.col("d"), n).alias("a"), F.split_part("s", "d", F.lit(n)).alias("b")).collect()
+        assert [r.a for r in out] == [r.b for r in out]
+
+
+def test_parse_splits_no_text_by_a_delimiter_regex(spark):
+    from labwire.plans.pipeline import route_records
+
+    plan = route_records(records(spark, ["MSH|^~\\&|x"]))._jdf.queryExecution().optimizedPlan().toString()
+    assert "split_part" not in plan and "StringSplitSQL" not in plan and "split(" in plan
+
+
+def test_encoding_of_short_and_odd_headers(spark):
+    from labwire.functions.hl7 import NO_DELIMITER, encoding_of
+
+    texts = ["", "M", "MSH", "MSH\rPID|1", "MSH|", "MSH|^", "MSH|^~\\&|A", "MSHS^~S", "A|B|C|D", "MSH|\rPID|^~"]
+    df = spark.createDataFrame([(t,) for t in texts], "m string")
+    fs = F.substring("m", 4, 1)
+    msh2 = F.split_part(F.substring_index("m", "\r", 1), fs, F.lit(2))
+    want = df.select(fs.alias("fs"), *[F.when(F.substring(msh2, i, 1) == "", NO_DELIMITER).otherwise(F.substring(msh2, i, 1)).alias(n) for i, n in enumerate(("cs", "rs", "esc", "ss"), 1)])
+    got = df.select(*[c.alias(n) for n, c in encoding_of("m").items()])
+    assert got.collect() == want.collect()

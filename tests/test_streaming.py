@@ -148,3 +148,13 @@ def test_sinks_run_over_a_batch_that_is_parsed_already(spark):
     FanOut(sink, sink, contract="off")(rows, 0)
     rows.unpersist()
     assert held == [4, 4]
+
+
+def test_a_stored_batch_holds_what_sinks_read_and_settings_stay(spark):
+    rows = route_records(records_from_dir(spark, SF_SMALL, 4))
+    name, seen = "spark.sql.inMemoryColumnarStorage.compressed", []
+    before = spark.conf.get(name)
+    FanOut(lambda df, bid: None, lambda df, bid: None, contract="off",
+           counts=lambda df, bid: seen.extend([df.columns, df.count()]))(rows, 0)
+    assert spark.conf.get(name) == before and seen[1] == sum(EXPECTED.values())
+    assert "raw_message" in seen[0] and not {"is_empty", "is_er7", "structure", "version"} & set(seen[0])

@@ -33,3 +33,12 @@ def test_preview_is_first_100_chars(spark):
     df = lit_col(spark, ["x" * 250, "short"])
     got = [r[0] for r in df.orderBy("i").select(preview("v")).collect()]
     assert got == ["x" * 100, "short"]
+
+
+def test_guarded_steps_clean_as_the_chain_does(spark):
+    from labwire.functions.text import sanitized
+
+    texts = [None, "", "a", "\n", "\r\r\r\r\r", "\r\n\n\r", "MSH|x\r\nNTE|1||a\r\nNTE|2\nPID|1\n", "x NTE|1\r", "NTE|", "a\rNTE|b\u2028NTE|c\r\rd", "\rNTE|1\r\rNTE|2\r\r"]
+    df = lit_col(spark, texts)
+    rows = sanitized(df, "v", "clean").select("v", "clean", sanitize("v").alias("want")).collect()
+    assert len(rows) == len(texts) and [r.clean for r in rows] == [r.want for r in rows]
