@@ -49,7 +49,7 @@ def parse_hl7_datetime(v: Column | str) -> Column:
         ok,
         F.struct(
             _clamped_date(y, m, d, rolled).alias("date"),
-            F.format_string("%02d:%02d:00", h % 24, mi).alias("time"),
+            F.concat(F.when(h == 24, F.lit("00")).otherwise(F.substring(s, 9, 2)), F.lit(":"), F.substring(s, 11, 2), F.lit(":00")).alias("time"),
         ),
     )
 

@@ -17,6 +17,7 @@ pattern string changes, so the dynamic patterns cost one compile per task.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -224,6 +225,74 @@ def unescape(v: Column, enc: Encoding) -> Column:
     return out
 
 
+# A message in the usual delimiters, matched as a whole: its lines end with "\r\n", "\r" or "\n",
+# begin with no blank and are not empty, and their 4th character, if any, is the separator.  No
+# step of the cleanup then moves a value, and the ER7 check holds.  Every repeat is atomic or
+# possessive, so a text is walked through once, in a loop.  (A class repeated in an atomic group is
+# a tight loop in java.util.regex, a possessive one is not; a class of single characters below 256
+# is a table.)  No match: a header of another shape, an ORC after an OBR without one.
+_ENDS = r"\r\n\x85"
+# Line ends of a regex beyond that table; texts that hold one are not matched.
+_WIDE_ENDS = ("\u2028", "\u2029")
+_EOL = r"(?:\r\n?+|\n)"
+_IN_LINE = f"(?>[^{_ENDS}]*)"
+_IN_FIELD = f"(?>[^|{_ENDS}]*)"
+_IN_COMPONENT = rf"(?>[^|\^~{_ENDS}]*)"
+_VALUE = rf"(?>[^|\^~\&{_ENDS}]*)"
+_LINE = rf"[^{_ENDS}\t\x0B\f \x1C\x1D\x1E\x1F][^{_ENDS}]{{0,2}}+(?:\|{_IN_LINE})?+"
+
+
+def _components(names: dict[int, str]) -> str:
+    """A field, up to its end, whose named components are groups."""
+    out = ""
+    for c in range(max(names, default=0), 0, -1):
+        one = f"(?<{names[c]}>{_VALUE}){_IN_COMPONENT}" if c in names else _IN_COMPONENT
+        out = one + out if c == 1 else rf"(?:\^{one}{out})?+"
+    return out + _IN_FIELD
+
+
+def _segment(fields: dict[int, dict[int, str]]) -> str:
+    """Fields 1, 2, ... of a segment, each of which may be absent, up to the end of the line."""
+    out = _IN_LINE
+    for n in range(max(fields), 0, -1):
+        out = rf"(?:\|{_components(fields.get(n, {}))}{out})?+"
+    return out
+
+
+def _plain_message() -> str:
+    header = {3: {1: "msh31"}, 4: {2: "msh42"}, 6: {1: "msh61"}, 9: {1: "msh91", 2: "msh92", 3: "msh93"}, 10: {1: "msh101"}, 12: {1: "msh121"}}
+    msh = r"\AMSH\|\^~\\&" + "".join(r"\|" + _components(header.get(n, {})) for n in range(3, 13)) + _IN_LINE
+    orc = _EOL + "ORC" + _segment({2: {1: "orc21"}})
+    obr, early = (_EOL + "OBR" + _segment({4: {1: f"obr41{x}", 4: f"obr44{x}"}, 7: {1: f"obr71{x}"}}) for x in ("", "b"))
+    other, no_orc, line = (f"(?:{_EOL}{but}{_LINE})*+" for but in ("(?!ORC|OBR)", "(?!ORC)", ""))
+    return f"{msh}{other}(?:{orc}{other}(?:{obr})?+{line}|{early}{no_orc})?+{_EOL}?+\\z"
+
+
+PLAIN_MESSAGE = _plain_message()
+PLAIN_HEADER = "MSH|^~\\&|"
+# The values of a plain message, in the order of ``parse.FLAT_POSITIONS``; only one of two groups is set.
+_GROUPS = {name: f"${i}" for i, name in enumerate(re.findall(r"\(\?<(\w+)>", PLAIN_MESSAGE), 1)}
+_PLAIN_VALUES = SEGMENT_SEP.join("".join(_GROUPS[name] for name in names.split("+")) for names in (
+    "msh91", "msh92", "msh93", "msh121", "msh31", "msh42", "msh61", "msh101",
+    "orc21", "obr41+obr41b", "obr44+obr44b", "obr71+obr71b"))
+
+
+def plain_values(text: Column | str) -> Column:
+    """The header and order values of a plain message, joined by the segment separator, in one
+    pass; any other text that begins like one is returned as it is, and the rest are null."""
+    t = col_of(text)
+    ascii_only = F.length(t) == F.octet_length(t)
+    ends = ascii_only | ~(t.contains(_WIDE_ENDS[0]) | t.contains(_WIDE_ENDS[1]))
+    return F.when(t.startswith(PLAIN_HEADER) & ends, F.regexp_replace(t, PLAIN_MESSAGE, _PLAIN_VALUES))
+
+
+def plain_fields(joined: Column | str) -> Column:
+    """:func:`plain_values` as an array, null for a message that is not plain: its text still
+    begins with its header, and a value holds no separator."""
+    j = col_of(joined)
+    return F.when(~j.startswith("MSH|"), F.split(j, SEGMENT_SEP, -1))
+
+
 def value(raw: Column) -> Column:
     """HL7 empty means null."""
     return F.nullif(raw, F.lit(""))

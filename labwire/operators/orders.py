@@ -51,6 +51,8 @@ def extract_orders(parsed: DataFrame, fence: bool = True) -> DataFrame:
     date/time (from the OBR-7 column) are derived from it, so filters and
     routes on these columns never re-derive them from the message.
     """
+    if "flat" in parsed.columns:  # a plain message passed the ER7 check
+        parsed = parsed.withColumn("is_er7", F.col("flat").isNotNull() | F.col("is_er7"))
     raw = raw_fields(parsed, GATE_POSITIONS + ORDER_POSITIONS, PASS_THROUGH, fence=fence)
     typed = raw.select(*PASS_THROUGH, *_typed_exprs())
     keep = [c for c in typed.columns if c != "_dt"]

@@ -37,6 +37,8 @@ from labwire.functions.hl7 import (
     has_escape,
     normalize_segments,
     opened_at,
+    plain_fields,
+    plain_values,
     segment_at,
     segment_start,
     split_fields,
@@ -49,6 +51,8 @@ from labwire.sources.records import ARRIVAL, decode
 
 ENCODING_COLUMNS = ["fs", "cs", "rs", "esc", "ss"]
 SEGMENTS = ("msh", "orc", "obr", "pid")
+# The values of a plain message and whether one of them holds an escape character.
+FLAT = ("flat", "flat_esc")
 
 Position = tuple[str, int, int]  # (segment array, field, component)
 
@@ -58,6 +62,8 @@ ORDER_POSITIONS: tuple[Position, ...] = (
     ("msh", 3, 1), ("msh", 4, 2), ("msh", 6, 1), ("msh", 10, 1),
     ("orc", 2, 1), ("obr", 4, 1), ("obr", 4, 4), ("obr", 7, 1),
 )
+# What the one-pass match of a plain message gives (``hl7.plain_values``).
+FLAT_POSITIONS = GATE_POSITIONS + ORDER_POSITIONS
 HEADER_POSITIONS: tuple[Position, ...] = (
     ("msh", 4, 2), ("msh", 6, 1), ("msh", 7, 1), ("msh", 9, 3), ("msh", 10, 1), ("msh", 12, 1), ("msh", 16, 1),
 )
@@ -97,13 +103,20 @@ def _clean_exprs() -> tuple[Column, list[Column], list[Column]]:
     return msg, delims, final
 
 
-def clean_messages(records: DataFrame, with_raw: bool = True) -> DataFrame:
+def clean_messages(records: DataFrame, with_raw: bool = True, flat: bool = False) -> DataFrame:
     """S3 + P1: raw records -> ``partition offset is_empty [raw_message]`` +
-    delimiters + helpers + ``msg`` (the clean text)."""
+    delimiters + helpers + ``msg`` (the clean text).
+
+    With ``flat``, a plain message gives the array ``flat`` of its ``FLAT_POSITIONS`` in one
+    pass and has no ``msg``: the steps that follow meet a null and do nothing."""
     msg, delims, final = _clean_exprs()
-    kept = [*ARRIVAL, "is_empty", *(["raw_message"] if with_raw else [])]
-    decoded = sanitized(decode(records), "raw_message", "clean")
-    s1 = decoded.select(*kept, msg)
+    kept = [*ARRIVAL, "is_empty", *(["raw_message"] if with_raw else []), *(FLAT if flat else [])]
+    decoded, text = decode(records), "raw_message"
+    if flat:
+        joined = decoded.withColumn("_joined", plain_values(text))
+        decoded = joined.withColumns({"flat": plain_fields("_joined"), "flat_esc": F.col("_joined").contains("\\")})
+        decoded, text = decoded.withColumn("_text", F.when(F.col("flat").isNull(), F.col(text))), "_text"
+    s1 = sanitized(decoded, text, "clean").select(*kept, msg)
     s2 = s1.select("*", *delims)
     return s2.select(*kept, *ENCODING_COLUMNS, *final)
 
@@ -131,8 +144,8 @@ def locate_segments(cleaned: DataFrame, segments: Sequence[str] = SEGMENTS) -> D
     search and each position is a column of a projection of its own, so it runs
     once per message.  Only the arrays named by ``segments`` leave the stage.
     """
-    raw = ["raw_message"] if "raw_message" in cleaned.columns else []
-    keep = [*ARRIVAL, "is_empty", *raw, *ENCODING_COLUMNS, "has_esc"]
+    carried = [c for c in ("raw_message", *FLAT) if c in cleaned.columns]
+    keep = [*ARRIVAL, "is_empty", *carried, *ENCODING_COLUMNS, "has_esc"]
     searches, found, rest, second, arrays = _locate_exprs()
     base = [*keep, "msg", "fs_pat"]
     positions = cleaned.select(*base, *searches).select(*base, "is_er7", *found).select("*", rest)
@@ -182,13 +195,15 @@ def segments_of(positions: Iterable[Position]) -> tuple[str, ...]:
 
 
 def parse_messages(records: DataFrame, fence: bool = True, min_partitions: int | None = None,
-                   segments: Sequence[str] = SEGMENTS, with_raw: bool = True) -> DataFrame:
+                   segments: Sequence[str] = SEGMENTS, with_raw: bool = True, flat: bool = False) -> DataFrame:
     """Raw records -> one row per record with delimiters and segment arrays.
 
     ``min_partitions`` (like Kafka's ``minPartitions``) widens a narrow feed;
-    ``segments`` and ``with_raw`` name what leaves the parse.
+    ``segments`` and ``with_raw`` name what leaves the parse.  With ``flat`` a
+    plain message has the values of ``FLAT_POSITIONS`` in ``flat`` and no segment
+    arrays (``raw_fields`` reads either).
     """
-    cleaned = clean_messages(spread(records, min_partitions), with_raw)
+    cleaned = clean_messages(spread(records, min_partitions), with_raw, flat)
     if fence:
         cleaned = stage(cleaned)
     located = locate_segments(cleaned, segments)
@@ -203,19 +218,35 @@ def raw_name(pos: Position) -> str:
 def raw_fields(parsed: DataFrame, positions: Iterable[Position], keep: Sequence[str] = (), fence: bool = True) -> DataFrame:
     """The given HL7 positions as string columns named ``{seg}_{n}_{c}``
     ('' when absent), plus the ``keep`` columns of the parsed frame."""
-    picked, resolved, cols = _raw_exprs(tuple(dict.fromkeys(positions)))
-    out = parsed.select(*keep, *ENCODING_COLUMNS, "has_esc", picked)
+    positions, flat = tuple(dict.fromkeys(positions)), "flat" in parsed.columns
+    if flat and positions != FLAT_POSITIONS:
+        raise ValueError("a frame of plain messages holds FLAT_POSITIONS alone")
+    picked, resolved, cols = _raw_exprs(positions)
+    out = parsed.select(*keep, *(_flat_encoding() if flat else ENCODING_COLUMNS), *(_flat_exprs(picked) if flat else ["has_esc", picked]))
     out = out.select(*keep, resolved).select(*keep, *cols)
     return stage(out) if fence else out
 
 
+def _flat_encoding() -> list[Column]:
+    """The usual delimiters where a message is plain."""
+    return [F.coalesce(n, F.lit(d)).alias(n) for n, d in zip(ENCODING_COLUMNS, "|^~\\&")]
+
+
+def _flat_exprs(picked: Column) -> list[Column]:
+    flat = F.col("flat")
+    return [F.when(flat.isNotNull(), F.col("flat_esc")).otherwise(F.col("has_esc")).alias("has_esc"),
+            F.when(flat.isNotNull(), flat).otherwise(picked).alias("_picked")]
+
+
 @functools.cache
 def _raw_exprs(positions: tuple[Position, ...]) -> tuple[Column, Column, list[Column]]:
     # the values go through one array, so the escape rule is generated once
     # (not per position) and runs only for messages that hold an escape
     enc, picked = Encoding.from_columns(), F.col("_picked")
     values = F.array(*[component(field(F.col(seg), n, msh=(seg == "msh")), enc, c) for seg, n, c in positions])
-    resolved = F.when(F.col("has_esc"), F.transform(picked, lambda v: unescape(v, enc))).otherwise(picked)
+    # a value without the escape character is left as it is, without a regex
+    one = lambda v: F.when(v.contains(enc.esc), unescape(v, enc)).otherwise(v)
+    resolved = F.when(F.col("has_esc"), F.transform(picked, one)).otherwise(picked)
     cols = [F.get(F.col("_values"), i).alias(raw_name(p)) for i, p in enumerate(positions)]
     return values.alias("_picked"), resolved.alias("_values"), cols
 
