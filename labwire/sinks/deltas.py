@@ -20,7 +20,8 @@ later append changes.
 * J3: an update appends new versions of the matching rows alone.
 
 The read is one hash aggregate over keys and order values (two columns of the
-files) and a join back, so no task sorts or holds all versions of a row.
+files) and a join back, so no task sorts or holds all versions of a row.  Ids are
+given to the keys before that join: numbering sorts and writes no other column.
 Reading costs grow with the appends; ``copy_to`` writes the current state as the
 first delta of another table.
 """
@@ -105,18 +106,26 @@ class DeltaTable:
             return spark.createDataFrame([], self.stored)
         return spark.read.schema(self.stored).option("basePath", self.path).parquet(*whole)
 
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        """``_key``, the append of its newest version and the ``_order`` of its first arrival; a
+        version without a key is none (the join with the rows by key drops it)."""
+        order = F.col("seq").cast(T.DecimalType(15, 0)) * F.lit(str(10**23)).cast(T.DecimalType(24, 0)) + F.col("_first")
+        keyed = rows.filter(F.col(self.key).isNotNull()).groupBy(F.col(self.key).alias("_key"))
+        return keyed.agg(F.max("seq").alias("_seq"), F.min(order.cast(_ORDER)).alias("_order"))
+
+    def _versions(self, rows: DataFrame, newest: DataFrame) -> DataFrame:
+        return rows.join(newest, (F.col(self.key) == F.col("_key")) & (F.col("seq") == F.col("_seq")))
+
     def current(self, spark: SparkSession) -> DataFrame:
         """The newest version of every key, with ``_order`` (of its first arrival) and no id."""
         rows = self.deltas(spark)
-        order = F.col("seq").cast(T.DecimalType(15, 0)) * F.lit(str(10**23)).cast(T.DecimalType(24, 0)) + F.col("_first")
-        newest = rows.groupBy(F.col(self.key).alias("_key")).agg(F.max("seq").alias("_seq"), F.min(order.cast(_ORDER)).alias("_order"))
-        same = (F.col(self.key) == F.col("_key")) & (F.col("seq") == F.col("_seq"))
-        return rows.join(newest, same).select(self.key, *self.columns, "_order")
+        return self._versions(rows, self._newest(rows)).select(self.key, *self.columns, "_order")
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The table: id (dense, by first arrival), key, columns."""
-        rows = number_rows(self.current(spark), [F.col("_order"), F.col(self.key)], name=self.id_col)
-        return rows.select(self.id_col, self.key, *self.columns)
+        rows = self.deltas(spark)
+        ids = number_rows(self._newest(rows), [F.col("_order"), F.col("_key")], name=self.id_col)
+        return self._versions(rows, ids).select(self.id_col, self.key, *self.columns)
 
     # -- other writes ------------------------------------------------------------
 

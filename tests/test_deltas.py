@@ -5,7 +5,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from labwire.operators.numbering import number_rows
 from labwire.operators.schema import LAB_ORDER_SCHEMA
+from labwire.sinks import deltas
 from labwire.sinks.deltas import DeltaTable
 from labwire.sinks.table import TableUpsertSink
 from tests.test_sinks import batch, table_state
@@ -80,6 +82,22 @@ def test_read_aggregates_two_columns_and_sorts_nothing_before(spark, tmp_dir):
     assert "mfl_code" not in scan and "order_id" not in scan  # key and order alone
 
 
+def test_ids_are_given_to_keys_before_the_rows_are_joined(spark, tmp_dir, monkeypatch):
+    numbered = []
+
+    def spy(df, *args, **kw):
+        numbered.append(df.columns)
+        return number_rows(df, *args, **kw)
+
+    monkeypatch.setattr(deltas, "number_rows", spy)
+    t = DeltaTable(f"{tmp_dir}/t")
+    put = t.for_query("q")
+    put(batch(spark, [("b", "b1", 0), ("a", "a1", 1), (None, "x", 2)]), 0)
+    put(batch(spark, [("b", "b2", 3), (None, "y", 4), ("c", "c1", 5)]), 1)
+    assert table_state(spark, t) == [(1, "b", "b2"), (2, "a", "a1"), (3, "c", "c1")]  # no id for a row without a key
+    assert [set(c) for c in numbered] == [{"_key", "_seq", "_order"}]  # no other column is sorted or checkpointed
+
+
 def test_column_added_later(spark, tmp_dir):
     old = type(LAB_ORDER_SCHEMA)([f for f in LAB_ORDER_SCHEMA.fields if f.name != "lab_code"])
     DeltaTable(f"{tmp_dir}/t", old).for_query("q")(batch(spark, [("a", "a1", 0), ("b", "b1", 1)]), 0)
