@@ -234,6 +234,8 @@ def unescape(v: Column, enc: Encoding) -> Column:
 _ENDS = r"\r\n\x85"
 # Line ends of a regex beyond that table; texts that hold one are not matched.
 _WIDE_ENDS = ("\u2028", "\u2029")
+# The two bytes that both begin with.
+_WIDE_BYTES = b"\xe2\x80"
 _EOL = r"(?:\r\n?+|\n)"
 _IN_LINE = f"(?>[^{_ENDS}]*)"
 _IN_FIELD = f"(?>[^|{_ENDS}]*)"
@@ -281,8 +283,8 @@ def plain_values(text: Column | str) -> Column:
     """The header and order values of a plain message, joined by the segment separator, in one
     pass; any other text that begins like one is returned as it is, and the rest are null."""
     t = col_of(text)
-    ascii_only = F.length(t) == F.octet_length(t)
-    ends = ascii_only | ~(t.contains(_WIDE_ENDS[0]) | t.contains(_WIDE_ENDS[1]))
+    # one search by bytes for most texts
+    ends = ~t.contains(F.lit(_WIDE_BYTES).cast("string")) | ~(t.contains(_WIDE_ENDS[0]) | t.contains(_WIDE_ENDS[1]))
     return F.when(t.startswith(PLAIN_HEADER) & ends, F.regexp_replace(t, PLAIN_MESSAGE, _PLAIN_VALUES))
 
 
